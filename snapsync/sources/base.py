@@ -46,9 +46,9 @@ KEY_USAGE = T.StructType(
     ]
 )
 
-# Names under which catalogs report integral column types.
+# Names under which catalogs report integral column types. Not
+# tinyint: MySQL's tinyint(1) is read as a boolean, which cannot be a split column.
 INTEGRAL_TYPES = (
-    "tinyint",
     "smallint",
     "mediumint",
     "int",

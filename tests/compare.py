@@ -1,0 +1,71 @@
+"""Compare every registered query with its SQL: python tests/compare.py [sf_dir] [names]."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import duckdb
+
+import __spark_entry__ as entry
+
+
+def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in entry.TABLES:
+        path = f"{sf_dir}/{table}.parquet"
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+def _key(value):
+    if isinstance(value, (list, tuple)):
+        return tuple(_key(v) for v in value)
+    if isinstance(value, float):
+        return ("float", repr(value))
+    return (type(value).__name__, str(value))
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_key(row[i]) for i in order) for row in rows)
+
+
+def mismatch(df, connection, sql: str) -> str | None:
+    """Why the two results differ, or None."""
+    found = connection.execute(sql)
+    names = [c[0] for c in found.description]
+    expected = _rows(names, found.fetchall())
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    actual = _rows(df.columns, [tuple(r) for r in df.collect()])
+    if len(actual) != len(expected):
+        return f"{len(actual)} rows != {len(expected)}"
+    for a, e in zip(actual, expected):
+        if a != e:
+            return f"{a} != {e}"
+    return None
+
+
+if __name__ == "__main__":
+    from session import new_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = new_session()
+    connection = oracle(sf_dir)
+    sql = entry.oracle_sql()
+    bad = 0
+    for name, query in entry.queries().items():
+        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+            continue
+        start = time.time()
+        try:
+            why = mismatch(query(spark, sf_dir), connection, sql[name]) if name in sql else "no SQL"
+        except Exception as e:
+            why = f"{type(e).__name__}: {str(e)[:600]}"
+        bad += why is not None
+        print(f"{name:24s} {time.time() - start:6.2f}s  {why or 'equal'}", flush=True)
+    print("all equal" if not bad else f"{bad} differ")

@@ -1,0 +1,184 @@
+import os
+
+import embedded_db
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from snapsync.operators import sink
+from snapsync.options import CatalogTarget, ConnectorTarget, FileTarget
+from snapsync.storage import Storage, workspace
+
+
+@pytest.fixture
+def target(tmp_path):
+    return FileTarget(str(tmp_path / "target"))
+
+
+def boom(df, at):
+    """The rows of ``df``, but the task that reaches ``id = at`` fails."""
+    return df.withColumn(
+        "id", F.when(F.col("id") == at, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id"))
+    )
+
+
+def staged(target):
+    path = f"{target.path}/_staging"
+    return os.listdir(path) if os.path.exists(path) else []
+
+
+def versions(target, name):
+    return sorted(n for n in os.listdir(f"{target.path}/{name}") if n.startswith("v"))
+
+
+def ids(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
+def test_snapshot_replaces_rows_and_schema(spark, target):
+    done = sink.write_snapshot(spark.range(100), target, "t")
+    assert (done.rows, done.schema, done.target_name) == (
+        100, "struct<id:bigint>", f"{target.path}/t",
+    )
+    sink.write_snapshot(spark.range(5).withColumn("s", F.lit("x")), target, "t")
+    found = sink.read_snapshot(spark, target, "t")
+    assert found.columns == ["id", "s"] and ids(found) == [0, 1, 2, 3, 4]
+    assert staged(target) == [] and sink.list_tables(spark, target) == ["t"]
+
+
+def test_failed_write_keeps_the_old_rows(spark, target):
+    sink.write_snapshot(spark.range(100), target, "t")
+    with pytest.raises(Exception, match="boom"):
+        sink.write_snapshot(boom(spark.range(0, 1000, 1, 4), 999), target, "t")
+    assert ids(sink.read_snapshot(spark, target, "t")) == list(range(100))
+    assert staged(target) == [] and len(versions(target, "t")) == 1
+    with pytest.raises(Exception, match="boom"):
+        sink.append_increment(boom(spark.range(100, 1000, 1, 4), 999), target, "t", "id")
+    assert ids(sink.read_snapshot(spark, target, "t")) == list(range(100))
+
+
+def test_a_table_can_be_written_from_itself(spark, target):
+    sink.write_snapshot(spark.range(10), target, "t")
+    for _ in range(3):
+        old = sink.read_snapshot(spark, target, "t")
+        sink.write_snapshot(old.filter("id > 0").withColumn("id", F.col("id") - 1), target, "t")
+    assert ids(sink.read_snapshot(spark, target, "t")) == list(range(7))
+
+
+def test_superseded_versions_are_removed(spark, tmp_path):
+    target = FileTarget(str(tmp_path), keep_versions=2)
+    for n in range(1, 5):
+        sink.write_snapshot(spark.range(n), target, "t")
+    kept = versions(target, "t")
+    assert [v[:11] for v in kept] == ["v0000000002", "v0000000003"]
+    assert sink.read_snapshot(spark, target, "t").count() == 4
+
+
+def test_empty_snapshots(spark, target):
+    for name, df in (
+        ("filtered", spark.range(10).filter("id < 0")),
+        ("local", spark.createDataFrame([], "id long, s string")),
+        ("folded", spark.range(10).filter(F.lit(False))),
+    ):
+        assert sink.write_snapshot(df, target, name, "id").rows == 0
+        found = sink.read_snapshot(spark, target, name)
+        assert found.count() == 0 and found.dtypes == df.dtypes
+        assert sink.high_water(spark, target, name, "id") is None
+
+
+def test_increments(spark, target):
+    assert sink.high_water(spark, target, "t", "id") is None
+    sink.write_snapshot(spark.range(10), target, "t", "id")
+    assert sink.high_water(spark, target, "t", "id") == 9
+    assert sink.append_increment(spark.range(10, 15), target, "t", "id").rows == 5
+    assert sink.append_increment(spark.range(0), target, "t", "id").rows == 0
+    assert sink.append_increment(spark.range(15, 17), target, "t", "id").rows == 2
+    assert sink.high_water(spark, target, "t", "id") == 16
+    assert ids(sink.read_snapshot(spark, target, "t")) == list(range(17))
+    parts = os.listdir(f"{target.path}/t/{versions(target, 't')[-1]}")
+    assert len(parts) == 3
+    # A new snapshot starts over.
+    sink.write_snapshot(spark.range(3), target, "t", "id")
+    assert sink.high_water(spark, target, "t", "id") == 2
+
+
+def test_high_water_without_a_noted_key(spark, target):
+    sink.write_snapshot(spark.range(-9, -2), target, "t")
+    assert sink.high_water(spark, target, "t", "id") == -3
+
+
+def test_no_such_table(spark, target):
+    with pytest.raises(FileNotFoundError):
+        sink.read_snapshot(spark, target, "t")
+    assert not sink.target_exists(spark, target, "t")
+    assert sink.list_tables(spark, target) == []
+
+
+def test_overwrite_and_create_flags(spark, target):
+    sink.check_target(spark, target, "t")
+    sink.check_target(spark, target, "t", overwrite=False)
+    with pytest.raises(sink.TargetStateError, match="absent"):
+        sink.check_target(spark, target, "t", create=False)
+    sink.write_snapshot(spark.range(1), target, "t")
+    sink.check_target(spark, target, "t", create=False)
+    with pytest.raises(sink.TargetStateError, match="exists"):
+        sink.check_target(spark, target, "t", overwrite=False)
+
+
+def test_publish_never_overwrites(spark, tmp_path):
+    storage = Storage(spark, str(tmp_path))
+    for name in ("a", "b"):
+        storage.write_text(name, name, "f")
+    with pytest.raises(FileExistsError):
+        storage.publish(("a",), ("b",))
+    with pytest.raises(ValueError):
+        storage.delete()
+    storage.publish(("a",), ("deep", "c"))
+    assert storage.read_text("deep", "c", "f") == "a"
+    assert storage.read_text("gone") is None
+
+
+def test_workspace_is_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = workspace(spark, "x"), workspace(spark, "x")
+    assert first.startswith(f"{shared}/snapsync/x-") and first != second
+
+
+def test_catalog_target(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS snaps")
+    target = CatalogTarget("snaps", prefix="p_")
+    assert not sink.target_exists(spark, target, "t")
+    assert sink.write_snapshot(spark.range(100), target, "t").rows == 100
+    assert sink.write_snapshot(spark.range(4), target, "t").target_name == "snaps.t"
+    assert sink.target_exists(spark, target, "t")
+    assert ids(sink.read_snapshot(spark, target, "t")) == [0, 1, 2, 3]
+    with pytest.raises(Exception, match="boom"):
+        sink.write_snapshot(boom(spark.range(0, 1000, 1, 4), 999), target, "t")
+    # From itself.
+    sink.write_snapshot(sink.read_snapshot(spark, target, "t").filter("id > 1"), target, "t")
+    assert ids(sink.read_snapshot(spark, target, "t")) == [2, 3]
+    assert [t.name for t in spark.catalog.listTables("snaps")] == ["t"]
+
+
+def test_connector_target(spark):
+    embedded_db.execute(spark, "sinkdb", 'CREATE TABLE APP."seen"("id" INT)')
+    target = ConnectorTarget(
+        dataset="APP",
+        format="jdbc",
+        options={
+            "url": "jdbc:derby:memory:sinkdb",
+            "dbtable": "{table}",
+            "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+        },
+    )
+    assert not sink.target_exists(spark, target, "T")
+    sink.write_snapshot(spark.range(9), target, "T")
+    done = sink.write_snapshot(spark.range(3), target, "T")
+    assert (done.rows, done.target_name) == (3, "APP.T")
+    assert rows(sink.read_snapshot(spark, target, "T")) == [(0,), (1,), (2,)]
+    assert sink.target_exists(spark, target, "T")
+
+
+def test_connector_options():
+    target = ConnectorTarget("data", "proj", options={"temporaryGcsBucket": "b"})
+    assert target.write_options("t") == {"temporaryGcsBucket": "b", "table": "proj:data.t"}
