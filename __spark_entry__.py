@@ -204,7 +204,7 @@ def jdbc_composite_split(spark, sf_dir):
 
 def selected_tables(spark, sf_dir):
     options = CopyOptions(whitelist=WHITELIST, blacklist=BLACKLIST)
-    tables = select_tables(catalog.tables(_open(spark, sf_dir)), options)
+    tables = select_tables(catalog.tables(_open(spark, sf_dir), "counted"), options)
     return tables.select("table_name", "table_rows", "skip_reason")
 
 

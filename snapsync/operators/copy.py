@@ -165,35 +165,52 @@ def _high_water(
     """``table_name, high_water`` of the tables an increment is meant for."""
     if not isinstance(target, FileTarget):
         return None
-    spark = opened.spark
-    marks = [
-        (r.table_name, sink.high_water(spark, target, r.target_name, r.append_key))
-        for r in rows
-        if r.skip_reason is None and r.immutable and r.append_key is not None
-    ]
-    return local_frame(spark, marks, MARKS)
-
-
-def copy_all(
-    spark: SparkSession,
-    source,
+    marks = []
+    for r in rows:
+        if r.skip_reason is None and r.immutable and r.append_key is not None:
+            try:
+                mark = sink.high_water(opened.spark, target, r.target_name, r.append_key)
+            except Exception as e:
+                # The copy of this table will fail alike, and report it.
+                log.warning("no high-water mark of %s: %s", r.table_name, _message(opened, e))
+                mark = None
+            marks.append((r.table_name, mark))
+    return local_frame(opened.spark, marks, MARKS)
+
+
+def copy_planned(
+    opened: Opened,
     target: Target,
-    options: CopyOptions | None = None,
+    plan: list,
+    options: CopyOptions,
     declared: Mapping[str, T.StructType] | None = None,
-) -> DataFrame:
-    """Copy all selected tables -> report, one row per table of the source.
+) -> list[tuple]:
+    """Copy the tables of collected plan rows -> their report rows.
 
     Up to ``max_parallel_writers`` tables are copied at a time, the largest first.
     The driver threads only start Spark jobs; with ``spark.scheduler.mode=FAIR``
     each table gets its own pool, so small ones do not wait behind large ones.
     """
-    options = options or CopyOptions()
     declared = declared or {}
-    opened = source if isinstance(source, Opened) else source.open(spark)
-    is_jdbc = isinstance(opened, OpenedJdbc)
+    spark = opened.spark
+
+    def run(row) -> tuple:
+        context = spark.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", f"copy-{row.table_name}")
+        context.setLocalProperty("spark.job.description", f"copy {row.table_name}")
+        return copy_table(opened, target, row.asDict(), options, declared.get(row.table_name))
+
+    largest_first = sorted(plan, key=lambda r: (-r.bytes_to_sync, r.table_name))
+    with ThreadPoolExecutor(max_workers=options.max_parallel_writers) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(run), r) for r in largest_first]
+        return [f.result() for f in running]
+
 
-    def planned(tables: DataFrame, ranges: bool, marks: DataFrame | None = None) -> list:
-        # The plan, like the report, has one short row per table.
+def collect_plan(opened: Opened, target: Target, options: CopyOptions) -> list:
+    """The plan, skipped tables included. It has one short row per table."""
+    tables = select_tables(check_empty_estimates(opened, catalog.tables(opened)), options)
+
+    def planned(ranges: bool, marks: DataFrame | None = None) -> list:
         return plan_tables(
             opened,
             options,
@@ -204,37 +221,41 @@ def copy_all(
             keep_skipped=True,
         ).collect()
 
-    tables = select_tables(
-        check_empty_estimates(opened, catalog.tables(opened, "stored")), options
-    )
     # Files are split by bytes: their key ranges are of no use here.
-    plan = planned(tables, is_jdbc and not options.incremental)
-    if options.incremental and is_jdbc:
-        marks = _high_water(opened, target, options, plan)
-        if marks is not None:
-            plan = planned(tables, True, marks)
+    if not isinstance(opened, OpenedJdbc):
+        return planned(False)
+    if not options.incremental:
+        return planned(True)
+    return planned(True, _high_water(opened, target, options, planned(False)))
+
+
+def copy_all(
+    spark: SparkSession,
+    source,
+    target: Target,
+    options: CopyOptions | None = None,
+    declared: Mapping[str, T.StructType] | None = None,
+) -> DataFrame:
+    """Copy all selected tables -> report, one row per table of the source.
+
+    ``declared`` gives target schemas by table name. A table that fails does not
+    stop the others.
+    """
+    options = options or CopyOptions()
+    opened = source if isinstance(source, Opened) else source.open(spark)
+    plan = collect_plan(opened, target, options)
     skipped = [
         (r.table_name, target.qualified(r.target_name), "skipped", None, 0, None, None,
          r.skip_reason, None)
         for r in plan
         if r.skip_reason is not None
     ]
-    plan = [r for r in plan if r.skip_reason is None]
-
-    def run(row) -> tuple:
-        context = spark.sparkContext
-        context.setLocalProperty("spark.scheduler.pool", f"copy-{row.table_name}")
-        context.setLocalProperty("spark.job.description", f"copy {row.table_name}")
-        return copy_table(opened, target, row.asDict(), options, declared.get(row.table_name))
-
-    plan.sort(key=lambda r: (-r.bytes_to_sync, r.table_name))
-    with ThreadPoolExecutor(max_workers=options.max_parallel_writers) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(run), row) for row in plan]
-        outcomes = [f.result() for f in running]
+    chosen = [r for r in plan if r.skip_reason is None]
+    outcomes = copy_planned(opened, target, chosen, options, declared)
     report = local_frame(spark, sorted(outcomes + skipped, key=lambda r: r[0]), REPORT)
     failed = sorted(o[0] for o in outcomes if o[2] == "failed")
     if failed:
-        log.error("failed to copy %s of %s tables: %s", len(failed), len(plan), ", ".join(failed))
+        log.error("failed to copy %s of %s tables: %s", len(failed), len(chosen), ", ".join(failed))
         if options.raise_on_failure:
             raise CopyFailed(report, failed)
     return report

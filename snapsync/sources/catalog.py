@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +13,6 @@ from snapsync.functions.names import quoted
 from snapsync.sources import base
 from snapsync.sources.base import Opened
 
-RULED_OUT = T.StructType(
-    [
-        T.StructField("table_name", T.StringType()),
-        T.StructField("column_name", T.StringType()),
-        T.StructField("ruled_out", T.BooleanType()),
-    ]
-)
 CANDIDATES = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -28,6 +22,9 @@ CANDIDATES = T.StructType(
     ]
 )
 
+# Rows looked at to rule columns out before any is counted.
+FIRST_ROWS = 2_000
+
 KEY_JOIN = ["constraint_name", "table_schema", "table_name"]
 
 
@@ -82,10 +79,6 @@ def _can_be_key(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
-def _is_integral(data_type: T.DataType) -> bool:
-    return isinstance(data_type, T.IntegralType)
-
-
 def _compact(column: Column, data_type: T.DataType) -> Column:
     """Values of 32 bytes and more as their SHA-256, so that a distinct count
     shuffles at most 32 bytes a value; shorter ones stay as they are."""
@@ -95,43 +88,71 @@ def _compact(column: Column, data_type: T.DataType) -> Column:
     return F.when(F.octet_length(raw) >= 32, F.unhex(F.sha2(raw, 256))).otherwise(raw)
 
 
-def _pigeonhole(name: str, df: DataFrame) -> DataFrame:
-    """``table_name, column_name, ruled_out`` of the integral columns, in one pass
-    without a shuffle: a column with a NULL is no key, nor is one with fewer
+def _repeated_at_once(df: DataFrame) -> set[str]:
+    """Columns with a repeated or missing value in the first rows of the table.
+
+    That is enough to rule a column out, and it does for most, without reading the
+    table. What it does not rule out is still to be counted.
+    """
+    names = [f.name for f in df.schema.fields if _can_be_key(f.dataType)]
+    values = [
+        _compact(F.col(quoted(n)), df.schema[n].dataType).alias(f"v{i}")
+        for i, n in enumerate(names)
+    ]
+    seen = df.select(values).take(FIRST_ROWS) if values else []
+    out = set()
+    for i, name in enumerate(names):
+        column = [bytes(r[i]) if isinstance(r[i], bytearray) else r[i] for r in seen]
+        if None in column or len(set(column)) < len(column):
+            out.add(name)
+    return out
+
+
+def _pigeonhole(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """``table_name, checks`` of integral columns, in one pass without a shuffle: a
+    column with a NULL is no key, nor is one with fewer
     possible values between its least and greatest than there are rows."""
     n = F.count(F.lit(1))
     checks = []
-    for f in df.schema.fields:
-        if _is_integral(f.dataType):
-            column = F.col(quoted(f.name))
-            wide = column.cast("decimal(20,0)")
-            out = (F.count(column) < n) | (F.max(wide) - F.min(wide) + 1 < n)
-            checks.append(
-                F.struct(
-                    F.lit(f.name).alias("column_name"),
-                    F.coalesce(out, F.lit(True)).alias("ruled_out"),
-                )
+    for c in columns:
+        column = F.col(quoted(c))
+        wide = column.cast("decimal(20,0)")
+        out = (F.count(column) < n) | (F.max(wide) - F.min(wide) + 1 < n)
+        checks.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.coalesce(out, F.lit(True)).alias("ruled_out"),
             )
-    if not checks:
-        return base.local_frame(df.sparkSession, [], RULED_OUT)
-    return df.agg(F.array(*checks).alias("checks")).select(
-        F.lit(name).alias("table_name"), F.inline("checks")
-    )
+        )
+    return df.select(F.lit(name).alias("table_name"), F.array(*checks).alias("checks"))
 
 
 def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
     """``table_name, column_name, ordinal_position, is_key`` for every column:
     whether the table has rows, none is NULL there and no two are the same.
 
-    A first pass over the integral columns rules out what it can (its result is
-    one short row per column); the rest is counted exactly, each column by a scan
-    of its own that reads nothing else.
+    Most columns are ruled out by the first rows, and more integral ones by a pass
+    without a shuffle. The rest is counted exactly, each column by a scan of its own
+    that reads nothing else.
     """
     if not frames:
         raise ValueError("no tables to profile")
     spark = next(iter(frames.values())).sparkSession
-    first = base.union_all(_pigeonhole(name, df) for name, df in frames.items())
-    ruled_out = {(r.table_name, r.column_name) for r in first.filter("ruled_out").collect()}
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        repeated = pool.map(_repeated_at_once, frames.values())
+        ruled_out = {(t, c) for t, columns in zip(frames, repeated) for c in columns}
+    integral = {
+        name: [
+            f.name
+            for f in df.schema.fields
+            if isinstance(f.dataType, T.IntegralType) and (name, f.name) not in ruled_out
+        ]
+        for name, df in frames.items()
+    }
+    passes = [_pigeonhole(name, frames[name], c) for name, c in integral.items() if c]
+    if passes:
+        for r in base.union_all(passes).collect():
+            ruled_out |= {(r.table_name, c.column_name) for c in r.checks if c.ruled_out}
     settled, counted = [], []
     for name, df in frames.items():
         for position, f in enumerate(df.schema.fields, start=1):
@@ -139,15 +160,13 @@ def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
                 settled.append((name, f.name, position, False))
                 continue
             n = F.count(F.lit(1))
-            value = _compact(F.col(quoted(f.name)), f.dataType)
+            n_values = F.count_distinct(_compact(F.col(quoted(f.name)), f.dataType))
             counted.append(
-                df.select(value.alias("v"))
-                .agg(((n == F.count_distinct("v")) & (n > 0)).alias("is_key"))
-                .select(
+                df.select(
                     F.lit(name).alias("table_name"),
                     F.lit(f.name).alias("column_name"),
                     F.lit(position).alias("ordinal_position"),
-                    "is_key",
+                    ((n == n_values) & (n > 0)).alias("is_key"),
                 )
             )
     return base.union_all([base.local_frame(spark, settled, CANDIDATES), *counted])
@@ -158,24 +177,18 @@ def check_keys(frames: dict[str, DataFrame], keys: Mapping[str, Sequence[str]])
 
     ``n_keys`` counts the different keys without a NULL in them.
     """
+    n = F.count(F.lit(1))
     counted = []
     for name, columns in keys.items():
         df = frames[name]
-        values = [
-            _compact(F.col(quoted(c)), df.schema[c].dataType).alias(f"v{i}")
-            for i, c in enumerate(columns)
-        ]
-        n, n_keys = F.col("n_rows"), F.col("n_keys")
+        n_keys = F.count_distinct(
+            *[_compact(F.col(quoted(c)), df.schema[c].dataType) for c in columns]
+        )
         counted.append(
-            df.select(values)
-            .agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct(*[f"v{i}" for i in range(len(columns))]).alias("n_keys"),
-            )
-            .select(
+            df.select(
                 F.lit(name).alias("table_name"),
-                n,
-                n_keys,
+                n.alias("n_rows"),
+                n_keys.alias("n_keys"),
                 ((n == n_keys) & (n > 0)).alias("is_key"),
             )
         )

@@ -73,45 +73,53 @@ class OpenedFiles(base.Opened):
         return {n: df for n, df in self._opened.items() if isinstance(df, DataFrame)}
 
     def tables(self, sizes: str = "stored") -> DataFrame:
-        """Exact row counts and sizes.
+        """Tables with their sizes, measured in one of three ways.
 
-        ``stored`` takes the size of the files and counts rows from the footers;
-        ``logical`` adds up value widths, which reads all variable-width columns.
+        ``stored``: the size of the files. Whether a table is empty takes a look at
+        its first row; other row counts stay NULL, for unknown. ``counted``: the same
+        with exact row counts, from all footers. ``logical``: row counts and the sum
+        of all value widths, which reads the variable-width columns.
         """
-        if sizes not in ("stored", "logical"):
-            raise ValueError("sizes must be 'stored' or 'logical'")
+        if sizes not in ("stored", "counted", "logical"):
+            raise ValueError("sizes must be 'stored', 'counted' or 'logical'")
+        frames = self.frames
         stored = {n: Storage(self.spark, at).size() for n, at in self.locations.items()}
+        empty: set[str] = set()
+        if sizes == "stored" and frames:
+            with ThreadPoolExecutor(max_workers=8) as pool:
+                looked = pool.map(DataFrame.isEmpty, frames.values())
+                empty = {n for n, is_empty in zip(frames, looked) if is_empty}
+        # A table that cannot be opened has no known count; its copy will report why.
+        listed = base.local_frame(
+            self.spark,
+            [(self.database, n, 0 if n in empty else None, b, 0) for n, b in stored.items()],
+            base.TABLES,
+        )
+        if sizes == "stored" or not frames:
+            return listed
         # All tables in one aggregate: each task sends on one short row.
         widths = [
             df.select(
                 F.lit(name).alias("table_name"),
                 (row_bytes(df.schema) if sizes == "logical" else F.lit(0).cast("long")).alias("b"),
             )
-            for name, df in self.frames.items()
+            for name, df in frames.items()
         ]
-        # A table that cannot be opened has no known count; its copy will report why.
-        listed = base.local_frame(
-            self.spark,
-            [
-                (self.database, n, 0 if n in self.frames else None, size, 0)
-                for n, size in stored.items()
-            ],
-            base.TABLES,
-        )
-        if not widths:
-            return listed
         counted = (
             base.union_all(widths)
             .groupBy("table_name")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
         )
-        logical = F.coalesce("b", F.lit(0)) if sizes == "logical" else F.col("data_length")
         # A table without rows is in the list only.
+        readable = F.col("table_name").isin(list(frames))
+        logical = F.when(readable, F.coalesce("b", F.lit(0))) if sizes == "logical" else None
         return listed.join(counted, "table_name", "left").select(
             "table_schema",
             "table_name",
-            F.coalesce("n", "table_rows").alias("table_rows"),
-            logical.cast("long").alias("data_length"),
+            F.when(readable, F.coalesce("n", F.lit(0))).cast("long").alias("table_rows"),
+            F.coalesce(logical, "data_length").cast("long").alias("data_length")
+            if logical is not None
+            else F.col("data_length"),
             "index_length",
         )
 

@@ -264,6 +264,10 @@ def test_file_tables(spark, write_tables):
     assert rows(sizes) == [("filled", 2, 8 + 3 + 16 + 3 + 7), ("hollow", 0, 0)]
     stored = catalog.tables(opened).collect()
     assert all(r.size_bytes > 100 for r in stored)
+    assert {r.table_name: r.table_rows for r in stored} == {"filled": None, "hollow": 0}
+    counted = catalog.tables(opened, "counted")
+    assert rows(counted.select("table_name", "table_rows")) == [("filled", 2), ("hollow", 0)]
+    assert rows(counted.select("size_bytes")) == rows(catalog.tables(opened).select("size_bytes"))
     with pytest.raises(ValueError):
         catalog.tables(opened, "guessed")
 
