@@ -1,4 +1,4 @@
-"""``spark-submit -m snapsync settings.json``: copy tables, print the report.
+"""``python -m snapsync settings.json``: copy tables, print the report.
 
 The report goes to standard output, one JSON object per table.
 """

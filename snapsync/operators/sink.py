@@ -2,22 +2,24 @@
 
 A ``FileTarget`` keeps each table as numbered versions::
 
-    <path>/<table>/v0000000007-<run>/p000000-<run>/part-*.parquet    snapshot
-    <path>/<table>/v0000000007-<run>/p000001-<run>/part-*.parquet    increment
-    <path>/_staging/<run>/...                                        unfinished
-
-Rows are written below ``_staging`` and appear by one directory rename, so a
-reader sees the old table or the new one, and a failed write changes nothing.
-The current version is the one with the highest number. The rename has to be
-atomic, as on HDFS and local disks; on an object store use a table format.
+    <path>/<table>/v0000000007-<run>/p000000-<run>/   snapshot
+    <path>/<table>/v0000000007-<run>/p000001-<run>/   increment
+
+A part holds Parquet files and, once they are all there, ``_manifest.json``. Parts
+without a manifest are staged: no reader sees them. So one small file publishes a
+whole write, a reader sees the old table or the new one, and a failed write changes
+nothing. Nothing is renamed but that file, which matters on object stores, where
+moving a directory means to copy it. The highest published version is current.
+
+One job at a time may write a table.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -29,7 +31,6 @@ from snapsync.functions.names import quoted
 from snapsync.options import CatalogTarget, ConnectorTarget, FileTarget, Target
 from snapsync.storage import Storage
 
-STAGING = "_staging"
 MANIFEST = "_manifest.json"
 VERSION = re.compile(r"v(\d{10})-[0-9a-f]+")
 PART = re.compile(r"p(\d{6})-[0-9a-f]+")
@@ -54,20 +55,25 @@ def new_run() -> str:
 
 
 def _numbered(storage: Storage, pattern: re.Pattern, *parts: str) -> list[str]:
-    names = [n for n in storage.child_names(*parts) if pattern.fullmatch(n)]
-    return sorted(names)
+    return [n for n in storage.child_names(*parts) if pattern.fullmatch(n)]
 
 
 def _next(names: list[str], pattern: re.Pattern) -> int:
     return int(pattern.fullmatch(names[-1])[1]) + 1 if names else 0
 
 
+def _published_parts(storage: Storage, name: str, version: str) -> list[str]:
+    parts = _numbered(storage, PART, name, version)
+    return [p for p in parts if storage.exists(name, version, p, MANIFEST)]
+
+
 def _current(storage: Storage, name: str) -> tuple[str, list[str]] | None:
-    """The newest version and its parts."""
-    versions = _numbered(storage, VERSION, name)
-    if not versions:
-        return None
-    return versions[-1], _numbered(storage, PART, name, versions[-1])
+    """The newest published version and its parts."""
+    for version in reversed(_numbered(storage, VERSION, name)):
+        parts = _published_parts(storage, name, version)
+        if parts:
+            return version, parts
+    return None
 
 
 def _manifests(storage: Storage, name: str) -> list[dict]:
@@ -78,11 +84,10 @@ def _manifests(storage: Storage, name: str) -> list[dict]:
     return [json.loads(storage.read_text(name, version, p, MANIFEST)) for p in parts]
 
 
-def _stage(
-    spark: SparkSession, df: DataFrame, target: FileTarget, storage: Storage, run: str, key: str | None
+def _write_part(
+    df: DataFrame, target: FileTarget, storage: Storage, where: tuple[str, str, str], key: str | None
 ) -> int:
-    """Write rows and their manifest to the staging folder of this run."""
-    part = f"p000000-{run}"
+    """Write rows to a new part and publish it -> the number of rows."""
     counts = [F.count(F.lit(1)).alias("n")]
     if key is not None:
         k = F.col(quoted(key)).cast("long")
@@ -93,7 +98,7 @@ def _stage(
         df.observe(seen, *counts)
         .write.mode("errorifexists")
         .options(**target.write_options)
-        .parquet(storage.path(STAGING, run, part).toString())
+        .parquet(storage.path(*where).toString())
     )
     found = seen.get
     manifest = {
@@ -103,37 +108,68 @@ def _stage(
         "min_key": found.get("low"),
         "max_key": found.get("high"),
     }
-    storage.write_text(json.dumps(manifest), STAGING, run, part, MANIFEST)
+    storage.write_text(json.dumps(manifest), *where, MANIFEST)
     return found["n"]
 
 
-def _write_files(
-    spark: SparkSession, df: DataFrame, target: FileTarget, name: str, key: str | None, append: bool
+def _write_version(
+    spark: SparkSession, df: DataFrame, target: FileTarget, name: str, key: str | None
 ) -> int:
-    storage = Storage(spark, target.path)
-    run = new_run()
-    part = f"p000000-{run}"
+    storage, run = Storage(spark, target.path), new_run()
+    versions = _numbered(storage, VERSION, name)
+    version = f"v{_next(versions, VERSION):010d}-{run}"
     try:
-        rows = _stage(spark, df, target, storage, run, key)
-        versions = _numbered(storage, VERSION, name)
-        if append:
-            if rows:
-                number = _next(_numbered(storage, PART, name, versions[-1]), PART)
-                storage.publish(
-                    (STAGING, run, part), (name, versions[-1], f"p{number:06d}-{run}")
-                )
-        else:
-            version = f"v{_next(versions, VERSION):010d}-{run}"
-            storage.publish((STAGING, run), (name, version))
-            versions.append(version)
-    finally:
-        # Only ever this run's own folder.
-        storage.delete(STAGING, run)
-    for old in versions[: -target.keep_versions]:
+        rows = _write_part(df, target, storage, (name, version, f"p000000-{run}"), key)
+    except BaseException:
+        # Only ever what this run made.
+        storage.delete(name, version)
+        raise
+    older = [v for v in versions if _published_parts(storage, name, v)]
+    for old in older[: len(older) + 1 - target.keep_versions]:
         storage.delete(name, old)
     return rows
 
 
+def _add_part(
+    spark: SparkSession, df: DataFrame, target: FileTarget, name: str, key: str
+) -> int:
+    storage, run = Storage(spark, target.path), new_run()
+    current = _current(storage, name)
+    if current is None:
+        raise FileNotFoundError(target.qualified(name))
+    version = current[0]
+    number = _next(_numbered(storage, PART, name, version), PART)
+    where = (name, version, f"p{number:06d}-{run}")
+    try:
+        rows = _write_part(df, target, storage, where, key)
+    except BaseException:
+        storage.delete(*where)
+        raise
+    if rows == 0:
+        storage.delete(*where)
+    return rows
+
+
+def remove_unfinished(
+    spark: SparkSession, target: FileTarget, name: str, older_than_seconds: float
+) -> list[str]:
+    """Delete what runs that were killed left of a table -> the deleted folders.
+
+    The age keeps clear of writes that are still going on.
+    """
+    storage, removed = Storage(spark, target.path), []
+    latest = time.time() - older_than_seconds
+    for version in _numbered(storage, VERSION, name):
+        published = _published_parts(storage, name, version)
+        stale = [(name, version, p) for p in _numbered(storage, PART, name, version)
+                 if p not in published]
+        for where in [(name, version)] if not published else stale:
+            if storage.modified(*where) <= latest:
+                storage.delete(*where)
+                removed.append("/".join(where))
+    return removed
+
+
 def _read_files(spark: SparkSession, target: FileTarget, name: str) -> DataFrame:
     storage = Storage(spark, target.path)
     current = _current(storage, name)
@@ -230,7 +266,7 @@ def write_snapshot(df: DataFrame, target: Target, name: str, key: str | None = N
     """
     spark = df.sparkSession
     if isinstance(target, FileTarget):
-        rows = _write_files(spark, df, target, name, key, append=False)
+        rows = _write_version(spark, df, target, name, key)
     elif isinstance(target, CatalogTarget):
         rows = _write_catalog(spark, df, target, name)
     else:
@@ -240,7 +276,7 @@ def write_snapshot(df: DataFrame, target: Target, name: str, key: str | None = N
 
 def append_increment(df: DataFrame, target: FileTarget, name: str, key: str) -> Written:
     """Add the rows of ``df`` to the current version, all of them or none."""
-    rows = _write_files(df.sparkSession, df, target, name, key, append=True)
+    rows = _add_part(df.sparkSession, df, target, name, key)
     return Written(target.qualified(name), rows, df.schema.simpleString())
 
 
@@ -266,4 +302,4 @@ def high_water(spark: SparkSession, target: FileTarget, name: str, key: str) ->
 
 def list_tables(spark: SparkSession, target: FileTarget) -> list[str]:
     storage = Storage(spark, target.path)
-    return [n for n in storage.child_names() if _numbered(storage, VERSION, n)]
+    return [n for n in storage.child_names() if _current(storage, n) is not None]

@@ -113,14 +113,15 @@ def split_histogram(df: DataFrame, key: str, low: int, high: int, n: int) -> Dat
 def balanced_starts(df: DataFrame, key: str, n: int) -> list[int]:
     """Where the second and later of ``n`` ranges of about equal row counts start.
 
-    One pass over the key column, merged from sketches: the result has ``n - 1``
-    numbers whatever the table's size. A key that fills several ranges by itself
-    comes up several times.
+    One pass over the key column, merged from sketches of bounded size: the result
+    has ``n - 1`` numbers whatever the table's size. They are close to even, and the
+    ranges are whole in any case. A key that fills several ranges by itself comes up
+    several times.
     """
     if n < 2:
         return []
     shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    accuracy = F.lit(max(10_000, 50 * n))
+    accuracy = F.lit(min(100_000, max(10_000, 50 * n)))
     k = F.col(quoted(key)).cast("long")
     found = df.agg(F.percentile_approx(k, shares, accuracy).alias("starts")).first().starts
     return list(found or [])

@@ -8,10 +8,18 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from snapsync.options import CopyOptions
-from snapsync.plans.splits import balanced_starts, composite_predicates, range_predicates, range_starts
+from snapsync.plans.splits import (
+    balanced_starts,
+    composite_predicates,
+    range_predicates,
+    range_starts,
+)
 from snapsync.sources.base import Opened
 from snapsync.sources.jdbc import OpenedJdbc
 
+# Splits of a table per split of a pass over its keys alone.
+SPLITS_PER_KEY_SPLIT = 16
+
 
 def read_table(
     opened: Opened,
@@ -39,7 +47,9 @@ def read_table(
         return opened.read(name)
     n_ranges = min(n, high - low + 1)
     if options.split_by == "rows":
-        starts = balanced_starts(opened.read_range(name, key, low, high, n_ranges), key, n)
+        # Keys are a small share of the bytes: fewer queries are enough for them.
+        keys = opened.read_range(name, key, low, high, min(n_ranges, n // SPLITS_PER_KEY_SPLIT + 1))
+        starts = balanced_starts(keys, key, n)
         n_residues = 1
     else:
         starts = range_starts(low, high, n_ranges)

@@ -41,16 +41,9 @@ class Storage:
     def size(self, *parts: str) -> int:
         return self._fs.getContentSummary(self.path(*parts)).getLength()
 
-    def mkdirs(self, *parts: str) -> None:
-        self._fs.mkdirs(self.path(*parts))
-
-    def publish(self, source: tuple[str, ...], target: tuple[str, ...]) -> None:
-        """Move a finished directory to its final, unused name."""
-        if self.exists(*target):
-            raise FileExistsError(str(self.path(*target)))
-        self.mkdirs(*target[:-1])
-        if not self._fs.rename(self.path(*source), self.path(*target)):
-            raise OSError(f"could not move {self.path(*source)} to {self.path(*target)}")
+    def modified(self, *parts: str) -> float:
+        """When a path was last changed, in seconds since the epoch."""
+        return self._fs.getFileStatus(self.path(*parts)).getModificationTime() / 1000
 
     def delete(self, *parts: str) -> None:
         if not parts:
@@ -58,11 +51,16 @@ class Storage:
         self._fs.delete(self.path(*parts), True)
 
     def write_text(self, text: str, *parts: str) -> None:
-        out = self._fs.create(self.path(*parts), True)
+        """Create a file that appears with all of its text or not at all."""
+        *folder, name = parts
+        draft, final = self.path(*folder, f"_{name}.draft"), self.path(*parts)
+        out = self._fs.create(draft, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if not self._fs.rename(draft, final):
+            raise OSError(f"could not create {final}")
 
     def read_text(self, *parts: str) -> str | None:
         if not self.exists(*parts):

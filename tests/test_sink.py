@@ -22,15 +22,14 @@ def boom(df, at):
     )
 
 
-def staged(target):
-    path = f"{target.path}/_staging"
-    return os.listdir(path) if os.path.exists(path) else []
-
-
 def versions(target, name):
     return sorted(n for n in os.listdir(f"{target.path}/{name}") if n.startswith("v"))
 
 
+def parts(target, name):
+    return sorted(os.listdir(f"{target.path}/{name}/{versions(target, name)[-1]}"))
+
+
 def ids(df):
     return sorted(r.id for r in df.select("id").collect())
 
@@ -43,7 +42,7 @@ def test_snapshot_replaces_rows_and_schema(spark, target):
     sink.write_snapshot(spark.range(5).withColumn("s", F.lit("x")), target, "t")
     found = sink.read_snapshot(spark, target, "t")
     assert found.columns == ["id", "s"] and ids(found) == [0, 1, 2, 3, 4]
-    assert staged(target) == [] and sink.list_tables(spark, target) == ["t"]
+    assert sink.list_tables(spark, target) == ["t"]
 
 
 def test_failed_write_keeps_the_old_rows(spark, target):
@@ -51,10 +50,34 @@ def test_failed_write_keeps_the_old_rows(spark, target):
     with pytest.raises(Exception, match="boom"):
         sink.write_snapshot(boom(spark.range(0, 1000, 1, 4), 999), target, "t")
     assert ids(sink.read_snapshot(spark, target, "t")) == list(range(100))
-    assert staged(target) == [] and len(versions(target, "t")) == 1
+    assert len(versions(target, "t")) == 1
     with pytest.raises(Exception, match="boom"):
         sink.append_increment(boom(spark.range(100, 1000, 1, 4), 999), target, "t", "id")
     assert ids(sink.read_snapshot(spark, target, "t")) == list(range(100))
+    assert len(parts(target, "t")) == 1
+
+
+def unfinished(spark, target, *where):
+    """What a run leaves that is killed after its rows and before its manifest."""
+    spark.range(7).write.parquet("/".join([target.path, *where]))
+
+
+def test_unpublished_rows_are_not_seen(spark, target):
+    unfinished(spark, target, "t", "v0000000000-aa", "p000000-aa")
+    assert not sink.target_exists(spark, target, "t") and not sink.list_tables(spark, target)
+    sink.write_snapshot(spark.range(3), target, "t", "id")
+    kept = versions(target, "t")[-1]
+    unfinished(spark, target, "t", kept, "p000001-bb")
+    unfinished(spark, target, "t", "v0000000009-cc", "p000000-cc")
+    assert ids(sink.read_snapshot(spark, target, "t")) == [0, 1, 2]
+    assert sink.append_increment(spark.range(3, 5), target, "t", "id").rows == 2
+    assert ids(sink.read_snapshot(spark, target, "t")) == [0, 1, 2, 3, 4]
+    assert sink.remove_unfinished(spark, target, "t", 3600) == []
+    assert sink.remove_unfinished(spark, target, "t", 0) == [
+        "t/v0000000000-aa", f"t/{kept}/p000001-bb", "t/v0000000009-cc",
+    ]
+    assert ids(sink.read_snapshot(spark, target, "t")) == [0, 1, 2, 3, 4]
+    assert versions(target, "t") == [kept]
 
 
 def test_a_table_can_be_written_from_itself(spark, target):
@@ -95,8 +118,7 @@ def test_increments(spark, target):
     assert sink.append_increment(spark.range(15, 17), target, "t", "id").rows == 2
     assert sink.high_water(spark, target, "t", "id") == 16
     assert ids(sink.read_snapshot(spark, target, "t")) == list(range(17))
-    parts = os.listdir(f"{target.path}/t/{versions(target, 't')[-1]}")
-    assert len(parts) == 3
+    assert len(parts(target, "t")) == 3
     # A new snapshot starts over.
     sink.write_snapshot(spark.range(3), target, "t", "id")
     assert sink.high_water(spark, target, "t", "id") == 2
@@ -125,17 +147,14 @@ def test_overwrite_and_create_flags(spark, target):
         sink.check_target(spark, target, "t", overwrite=False)
 
 
-def test_publish_never_overwrites(spark, tmp_path):
+def test_storage(spark, tmp_path):
     storage = Storage(spark, str(tmp_path))
-    for name in ("a", "b"):
-        storage.write_text(name, name, "f")
-    with pytest.raises(FileExistsError):
-        storage.publish(("a",), ("b",))
+    assert storage.child_names("nowhere") == []
+    storage.write_text("é", "a", "f")
+    assert storage.read_text("a", "f") == "é" and storage.child_names("a") == ["f"]
+    assert storage.read_text("gone") is None
     with pytest.raises(ValueError):
         storage.delete()
-    storage.publish(("a",), ("deep", "c"))
-    assert storage.read_text("deep", "c", "f") == "a"
-    assert storage.read_text("gone") is None
 
 
 def test_workspace_is_the_shared_folder(spark):
