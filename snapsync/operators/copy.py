@@ -21,7 +21,7 @@ from snapsync.plans.plan import plan_tables
 from snapsync.plans.select import check_empty_estimates, select_tables
 from snapsync.sources import catalog
 from snapsync.sources.base import Opened, local_frame
-from snapsync.sources.jdbc import OpenedJdbc
+from snapsync.sources.jdbc import LONG_MAX, OpenedJdbc
 from snapsync.sources.read import read_table
 
 log = logging.getLogger(__name__)
@@ -65,6 +65,13 @@ def copy_snapshot(
     declared: T.StructType | None = None,
 ) -> sink.Written:
     """Replace the target table by all rows of the source table."""
+    sink.check_target(
+        opened.spark,
+        target,
+        row["target_name"],
+        options.overwrite_existing,
+        options.create_if_absent,
+    )
     df = read_table(opened, row, options)
     if declared is not None:
         df = conform(df, declared)
@@ -80,14 +87,14 @@ def copy_incremental(
 ) -> tuple[str, sink.Written]:
     """Append the rows above the target's greatest key, for tables that only grow.
 
-    The whole table is copied when the target is empty, absent, of another schema
-    or not a ``FileTarget``. Rows committed late are found ``lookback`` keys back.
+    The whole table is copied when the target is empty, absent, of another schema,
+    not a ``FileTarget``, or holds unsigned keys beyond a long. Rows committed late are found ``lookback`` keys back.
     """
     spark, name, key = opened.spark, row["target_name"], row["append_key"]
     if not isinstance(target, FileTarget):
         return "snapshot", copy_snapshot(opened, target, row, options, declared)
     mark = sink.high_water(spark, target, name, key)
-    if mark is None:
+    if mark is None or mark > LONG_MAX:
         return "snapshot", copy_snapshot(opened, target, row, options, declared)
     floor = mark - options.lookback
     present = sink.read_snapshot(spark, target, name)
@@ -125,20 +132,10 @@ def copy_table(
             time.sleep(options.retry_wait_seconds)
         attempts += 1
         try:
-            if not incremental:
-                sink.check_target(
-                    opened.spark,
-                    target,
-                    row["target_name"],
-                    options.overwrite_existing,
-                    options.create_if_absent,
-                )
-                mode, done = "snapshot", copy_snapshot(opened, target, row, options, declared)
-            else:
-                sink.check_target(
-                    opened.spark, target, row["target_name"], True, options.create_if_absent
-                )
+            if incremental:
                 mode, done = copy_incremental(opened, target, row, options, declared)
+            else:
+                mode, done = "snapshot", copy_snapshot(opened, target, row, options, declared)
             log.info("copied %s to %s: %s rows", name, done.target_name, done.rows)
             return (
                 name, done.target_name, "ok", mode, attempts, done.rows, done.schema, None, None,
@@ -170,6 +167,7 @@ def _high_water(
         if r.skip_reason is None and r.immutable and r.append_key is not None:
             try:
                 mark = sink.high_water(opened.spark, target, r.target_name, r.append_key)
+                mark = None if mark is None or mark > LONG_MAX else mark
             except Exception as e:
                 # The copy of this table will fail alike, and report it.
                 log.warning("no high-water mark of %s: %s", r.table_name, _message(opened, e))

@@ -84,13 +84,17 @@ def _manifests(storage: Storage, name: str) -> list[dict]:
     return [json.loads(storage.read_text(name, version, p, MANIFEST)) for p in parts]
 
 
+def _whole(key) -> int | None:
+    return None if key is None else int(key)
+
+
 def _write_part(
     df: DataFrame, target: FileTarget, storage: Storage, where: tuple[str, str, str], key: str | None
 ) -> int:
     """Write rows to a new part and publish it -> the number of rows."""
     counts = [F.count(F.lit(1)).alias("n")]
     if key is not None:
-        k = F.col(quoted(key)).cast("long")
+        k = F.col(quoted(key))
         counts += [F.min(k).alias("low"), F.max(k).alias("high")]
     # The counts are taken while the rows pass by; there is no second scan.
     seen = Observation()
@@ -105,8 +109,8 @@ def _write_part(
         "rows": found["n"],
         "schema": json.loads(df.schema.json()),
         "key": key,
-        "min_key": found.get("low"),
-        "max_key": found.get("high"),
+        "min_key": _whole(found.get("low")),
+        "max_key": _whole(found.get("high")),
     }
     storage.write_text(json.dumps(manifest), *where, MANIFEST)
     return found["n"]
@@ -297,7 +301,7 @@ def high_water(spark: SparkSession, target: FileTarget, name: str, key: str) ->
     if all(m["key"] == key for m in manifests):
         return max((m["max_key"] for m in manifests if m["max_key"] is not None), default=None)
     rows = read_snapshot(spark, target, name)
-    return rows.agg(F.max(F.col(quoted(key)).cast("long")).alias("high")).first().high
+    return _whole(rows.agg(F.max(F.col(quoted(key))).alias("high")).first().high)
 
 
 def list_tables(spark: SparkSession, target: FileTarget) -> list[str]:

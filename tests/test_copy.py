@@ -210,6 +210,32 @@ def test_changed_schema_is_copied_whole(spark, tmp_path, target):
     assert sink.read_snapshot(spark, target, "p_t").columns == ["id", "v", "w"]
 
 
+def test_appending_is_not_overwriting(spark, tmp_path, target):
+    source = growing(spark, tmp_path, 10, version=0)
+    options = CopyOptions(incremental=True, overwrite_existing=False, whitelist=["t"])
+    assert status(copy_all(spark, source, target, options))["t"].mode == "snapshot"
+    source = growing(spark, tmp_path, 12, version=1)
+    assert status(copy_all(spark, source, target, options))["t"].mode == "append"
+    # A whole copy would be.
+    source = growing(spark, tmp_path, 14, version=2, extra=True)
+    found = status(copy_all(spark, source, target, options))["t"]
+    assert found.status == "failed" and "exists" in found.error
+    assert sink.read_snapshot(spark, target, "p_t").count() == 12
+
+
+def test_unsigned_keys_beyond_a_long(spark, tmp_path, target):
+    path = f"{tmp_path}/u"
+    df = spark.sql("SELECT CAST(id AS DECIMAL(20,0)) + 18446744073709551000 AS id FROM range(9)")
+    df.select(df.id.cast("decimal(20,0)")).write.parquet(f"{path}/t.parquet")
+    opened = FileSource(path, keys={"t": ["id"]}).open(spark)
+    row = {"table_name": "t", "target_name": "t", "append_key": "id"}
+    options = CopyOptions(incremental=True)
+    for _ in range(2):
+        mode, done = copy_incremental(opened, target, row, options)
+        assert (mode, done.rows) == ("snapshot", 9)
+    assert sink.high_water(spark, target, "t", "id") == 18446744073709551008
+
+
 def test_retried_increment_does_not_repeat_rows(spark, tmp_path, target, monkeypatch):
     options = CopyOptions(incremental=True, max_attempts=3, whitelist=["t"])
     copy_all(spark, growing(spark, tmp_path, 10, version=0), target, options)
