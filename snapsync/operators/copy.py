@@ -65,17 +65,17 @@ def copy_snapshot(
     declared: T.StructType | None = None,
 ) -> sink.Written:
     """Replace the target table by all rows of the source table."""
-    sink.check_target(
-        opened.spark,
+    df = read_table(opened, row, options)
+    if declared is not None:
+        df = conform(df, declared)
+    return sink.write_snapshot(
+        df,
         target,
         row["target_name"],
+        row.get("append_key"),
         options.overwrite_existing,
         options.create_if_absent,
     )
-    df = read_table(opened, row, options)
-    if declared is not None:
-        df = conform(df, declared)
-    return sink.write_snapshot(df, target, row["target_name"], row.get("append_key"))
 
 
 def copy_incremental(
@@ -88,7 +88,8 @@ def copy_incremental(
     """Append the rows above the target's greatest key, for tables that only grow.
 
     The whole table is copied when the target is empty, absent, of another schema,
-    not a ``FileTarget``, or holds unsigned keys beyond a long. Rows committed late are found ``lookback`` keys back.
+    not a ``FileTarget``, or holds unsigned keys beyond a long. Rows committed late are
+    found up to ``lookback`` keys back.
     """
     spark, name, key = opened.spark, row["target_name"], row["append_key"]
     if not isinstance(target, FileTarget):

@@ -22,7 +22,6 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +88,11 @@ def _whole(key) -> int | None:
 
 
 def _write_part(
-    df: DataFrame, target: FileTarget, storage: Storage, where: tuple[str, str, str], key: str | None
+    df: DataFrame,
+    target: FileTarget,
+    storage: Storage,
+    where: tuple[str, str, str],
+    key: str | None,
 ) -> int:
     """Write rows to a new part and publish it -> the number of rows."""
     counts = [F.count(F.lit(1)).alias("n")]
@@ -134,9 +137,7 @@ def _write_version(
     return rows
 
 
-def _add_part(
-    spark: SparkSession, df: DataFrame, target: FileTarget, name: str, key: str
-) -> int:
+def _add_part(spark: SparkSession, df: DataFrame, target: FileTarget, name: str, key: str) -> int:
     storage, run = Storage(spark, target.path), new_run()
     current = _current(storage, name)
     if current is None:
@@ -208,7 +209,7 @@ def _write_catalog(spark: SparkSession, df: DataFrame, target: CatalogTarget, na
             spark.sql(f"ALTER TABLE {final} RENAME TO {old}")
         try:
             spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
-        except PySparkException:
+        except Exception:
             if replaced:
                 spark.sql(f"ALTER TABLE {old} RENAME TO {final}")
             raise
@@ -222,14 +223,14 @@ def _write_catalog(spark: SparkSession, df: DataFrame, target: CatalogTarget, na
 # Connectors --------------------------------------------------------------
 
 
-def _write_connector(df: DataFrame, target: ConnectorTarget, name: str) -> int:
+def _write_connector(df: DataFrame, target: ConnectorTarget, name: str, overwrite: bool) -> int:
     """The connector stages and replaces the table itself."""
     seen = Observation()
     (
         df.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.format(target.format)
         .options(**target.write_options(name))
-        .mode("overwrite")
+        .mode("overwrite" if overwrite else "errorifexists")
         .save()
     )
     return seen.get["n"]
@@ -263,18 +264,26 @@ def check_target(
         raise TargetStateError(f"{target.qualified(name)} is absent and is not to be created")
 
 
-def write_snapshot(df: DataFrame, target: Target, name: str, key: str | None = None) -> Written:
+def write_snapshot(
+    df: DataFrame,
+    target: Target,
+    name: str,
+    key: str | None = None,
+    overwrite: bool = True,
+    create: bool = True,
+) -> Written:
     """Make the target table hold exactly the rows of ``df``.
 
     ``key`` is an integral column whose range is noted for later increments.
     """
     spark = df.sparkSession
+    check_target(spark, target, name, overwrite, create)
     if isinstance(target, FileTarget):
         rows = _write_version(spark, df, target, name, key)
     elif isinstance(target, CatalogTarget):
         rows = _write_catalog(spark, df, target, name)
     else:
-        rows = _write_connector(df, target, name)
+        rows = _write_connector(df, target, name, overwrite)
     return Written(target.qualified(name), rows, df.schema.simpleString())
 
 

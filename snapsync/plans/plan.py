@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapsync.functions.names import target_name
 from snapsync.options import MUTABLE_MARKER, CopyOptions
-from snapsync.plans.select import check_empty_estimates, select_tables
+from snapsync.plans.select import check_empty_estimates, select_tables, selected
 from snapsync.plans.splits import key_range
 from snapsync.sources import catalog
-from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame
+from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame, union_all
+
+log = logging.getLogger(__name__)
 
 
 def _never_updated(marker: str) -> Column:
@@ -46,6 +50,18 @@ def split_count(options: CopyOptions) -> Column:
     return n.cast("int")
 
 
+def _reachable_ranges(opened: Opened, keys: dict[str, str]) -> DataFrame:
+    """Key ranges, without the tables that are gone or may not be read."""
+    found = []
+    for name, key in keys.items():
+        try:
+            found.append(key_range(opened, {name: key}))
+        except Exception as e:
+            # Planned unsplit; the copy will fail alike, and report it.
+            log.warning("no key range of %s: %s", name, type(e).__name__)
+    return union_all([key_range(opened, {}), *found])
+
+
 def plan_tables(
     opened: Opened,
     options: CopyOptions,
@@ -85,7 +101,7 @@ def plan_tables(
     leading, second = F.get(key, F.lit(0)), F.get(key, F.lit(1))
     integral = F.col("integral_columns")
     facts = (
-        tables.filter(F.lit(keep_skipped) | F.col("skip_reason").isNull())
+        (tables if keep_skipped else selected(tables))
         .join(described, "table_name", "left")
         .join(catalog.keys(opened), "table_name", "left")
         .select(
@@ -107,7 +123,7 @@ def plan_tables(
     facts = local_frame(spark, rows, facts.schema)
     if ranges:
         wanted = {r.table_name: r.split_key for r in rows if r.split_key is not None}
-        found = key_range(opened, wanted).drop("key_column")
+        found = _reachable_ranges(opened, wanted).drop("key_column")
         facts = facts.join(found, "table_name", "left")
         usable = F.col("max_key").isNotNull()
     else:

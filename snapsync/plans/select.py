@@ -26,7 +26,7 @@ def select_tables(tables: DataFrame, options: CopyOptions) -> DataFrame:
 
 
 def selected(tables: DataFrame) -> DataFrame:
-    return tables.filter(F.col("skip_reason").isNull()).drop("skip_reason")
+    return tables.filter(F.col("skip_reason").isNull())
 
 
 def check_empty_estimates(opened: Opened, tables: DataFrame) -> DataFrame:

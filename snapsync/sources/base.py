@@ -110,16 +110,6 @@ class Opened:
         """The whole table, in one unsplit scan where the source is a database."""
         raise NotImplementedError
 
-    def read_range(
-        self, name: str, key: str, low: int, high: int, n_splits: int, above: int | None = None
-    ) -> DataFrame:
-        """The table as ``n_splits`` key ranges; ``above`` drops keys up to it."""
-        raise NotImplementedError
-
-    def read_where(self, name: str, predicates: list[str]) -> DataFrame:
-        """The rows of each SQL predicate, one split per predicate."""
-        raise NotImplementedError
-
     def key_stats(self, name: str, key: str) -> DataFrame:
         """One row ``(min_key, max_key)`` of longs, NULL for an empty table."""
         raise NotImplementedError

@@ -110,8 +110,8 @@ def _repeated_at_once(df: DataFrame) -> set[str]:
 
 def _pigeonhole(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """``table_name, checks`` of integral columns, in one pass without a shuffle: a
-    column with a NULL is no key, nor is one with fewer
-    possible values between its least and greatest than there are rows."""
+    column with a NULL is no key, nor is one with fewer possible values between its
+    least and greatest than there are rows."""
     n = F.count(F.lit(1))
     checks = []
     for c in columns:

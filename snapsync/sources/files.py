@@ -83,10 +83,11 @@ class OpenedFiles(base.Opened):
         if sizes not in ("stored", "counted", "logical"):
             raise ValueError("sizes must be 'stored', 'counted' or 'logical'")
         frames = self.frames
-        stored = {n: Storage(self.spark, at).size() for n, at in self.locations.items()}
         empty: set[str] = set()
-        if sizes == "stored" and frames:
-            with ThreadPoolExecutor(max_workers=8) as pool:
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            measured = pool.map(lambda at: Storage(self.spark, at).size(), self.locations.values())
+            stored = dict(zip(self.locations, measured))
+            if sizes == "stored":
                 looked = pool.map(DataFrame.isEmpty, frames.values())
                 empty = {n for n, is_empty in zip(frames, looked) if is_empty}
         # A table that cannot be opened has no known count; its copy will report why.
@@ -112,14 +113,15 @@ class OpenedFiles(base.Opened):
         )
         # A table without rows is in the list only.
         readable = F.col("table_name").isin(list(frames))
-        logical = F.when(readable, F.coalesce("b", F.lit(0))) if sizes == "logical" else None
+        n = F.when(readable, F.coalesce("n", F.lit(0)))
+        data_length = F.col("data_length")
+        if sizes == "logical":
+            data_length = F.when(readable, F.coalesce("b", F.lit(0))).otherwise(data_length)
         return listed.join(counted, "table_name", "left").select(
             "table_schema",
             "table_name",
-            F.when(readable, F.coalesce("n", F.lit(0))).cast("long").alias("table_rows"),
-            F.coalesce(logical, "data_length").cast("long").alias("data_length")
-            if logical is not None
-            else F.col("data_length"),
+            n.cast("long").alias("table_rows"),
+            data_length.cast("long").alias("data_length"),
             "index_length",
         )
 
@@ -154,15 +156,6 @@ class OpenedFiles(base.Opened):
             raise opened
         return opened
 
-    def read_range(self, name, key, low, high, n_splits, above=None) -> DataFrame:
-        # Spark cuts files into tasks by bytes, whatever the keys look like; one
-        # scan per key range would only read the same row groups many times.
-        df = self.read(name)
-        return df if above is None else df.filter(F.col(quoted(key)) > F.lit(above))
-
-    def read_where(self, name, predicates) -> DataFrame:
-        return self.read(name)
-
     def key_stats(self, name: str, key: str) -> DataFrame:
         column = F.col(quoted(key)).cast("long")
         return self.read(name).agg(F.min(column).alias("min_key"), F.max(column).alias("max_key"))

@@ -228,7 +228,10 @@ class OpenedJdbc(base.Opened):
     def read(self, name: str) -> DataFrame:
         return self._reader().option("dbtable", self.qualified(name)).load()
 
-    def read_range(self, name, key, low, high, n_splits, above=None) -> DataFrame:
+    def read_range(
+        self, name: str, key: str, low: int, high: int, n_splits: int, above: int | None = None
+    ) -> DataFrame:
+        """The table as ``n_splits`` key ranges; ``above`` drops keys up to it."""
         # The bounds only set the stride: the first range is open below and takes
         # NULL keys, the last is open above.
         df = (
@@ -242,7 +245,8 @@ class OpenedJdbc(base.Opened):
         )
         return df if above is None else df.filter(F.col(quoted(key)) > F.lit(above))
 
-    def read_where(self, name, predicates) -> DataFrame:
+    def read_where(self, name: str, predicates: list[str]) -> DataFrame:
+        """The rows of each SQL predicate, one split per predicate."""
         options = self.source.reader_options()
         url = options.pop("url")
         return self.spark.read.jdbc(

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from snapsync.functions.names import quoted
 from snapsync.options import CopyOptions
 from snapsync.plans.splits import (
     balanced_starts,
@@ -36,13 +38,12 @@ def read_table(
     name, key, n = row["table_name"], row.get("key_column"), row.get("n_splits") or 1
     low, high, second = row.get("min_key"), row.get("max_key"), row.get("second_column")
     if not isinstance(opened, OpenedJdbc):
-        key = key or row.get("append_key")
-        return opened.read(name) if above is None else opened.read_range(name, key, 0, 0, 1, above)
+        # One scan per key range would only read the same row groups many times.
+        df = opened.read(name)
+        return df if above is None else df.filter(F.col(quoted(row["append_key"])) > above)
     if above is not None:
-        key, second = row["append_key"], None
-        if high is None or high <= above:
-            return opened.read_range(name, key, above, above, 1, above)
-        return opened.read_range(name, key, above, high, n, above)
+        n, high = (n, high) if high is not None and high > above else (1, above)
+        return opened.read_range(name, row["append_key"], above, high, n, above)
     if key is None or low is None or high is None or n < 2:
         return opened.read(name)
     n_ranges = min(n, high - low + 1)

@@ -286,6 +286,23 @@ def test_copy_a_database(spark, sf_dir, target, monkeypatch):
     assert scans["orders"] <= 60
 
 
+def test_a_table_that_is_gone(spark, sf_dir, target, monkeypatch):
+    keys = {"orders": ["o_orderkey"], "nation": ["n_nationkey"]}
+    opened = embedded_db.load(spark, sf_dir, keys, name="gonedb").open(spark)
+    tables, columns, usage = opened.tables(), opened.columns(), opened.key_usage()
+    constraints = opened.constraints()
+    for name, frame in (("tables", tables), ("columns", columns),
+                        ("constraints", constraints), ("key_usage", usage)):
+        # The catalog as it was before the table went.
+        kept = spark.createDataFrame(frame.collect(), frame.schema)
+        monkeypatch.setattr(opened, name, lambda *_, kept=kept: kept)
+    embedded_db.execute(spark, "gonedb", 'DROP TABLE APP."orders"')
+    options = CopyOptions(min_split_bytes=100, bytes_per_split=1000, max_attempts=2)
+    found = status(copy_all(spark, opened, target, options))
+    assert (found["orders"].status, found["orders"].attempts) == ("failed", 2)
+    assert (found["nation"].status, found["nation"].rows) == ("ok", 25)
+
+
 def test_errors_do_not_show_the_password(spark, target):
     source = embedded_db.source("gone", user="u", password="hidden-word")
     opened = source.open(spark)

@@ -17,9 +17,8 @@ def target(tmp_path):
 
 def boom(df, at):
     """The rows of ``df``, but the task that reaches ``id = at`` fails."""
-    return df.withColumn(
-        "id", F.when(F.col("id") == at, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id"))
-    )
+    fail = F.raise_error(F.lit("boom")).cast("long")
+    return df.withColumn("id", F.when(F.col("id") == at, fail).otherwise(F.col("id")))
 
 
 def versions(target, name):
@@ -196,6 +195,9 @@ def test_connector_target(spark):
     assert (done.rows, done.target_name) == (3, "APP.T")
     assert rows(sink.read_snapshot(spark, target, "T")) == [(0,), (1,), (2,)]
     assert sink.target_exists(spark, target, "T")
+    with pytest.raises(sink.TargetStateError, match="exists"):
+        sink.write_snapshot(spark.range(7), target, "T", overwrite=False)
+    assert sink.read_snapshot(spark, target, "T").count() == 3
 
 
 def test_connector_options():
