@@ -6,11 +6,15 @@ Every query reads the whole tables of ``sf_dir``. Copies go to a new folder belo
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import embedded_db
 from snapsync.functions.names import qualified_name, target_name
 from snapsync.functions.text import render_fixed_width
@@ -21,6 +25,8 @@ from snapsync.options import CopyOptions, FileTarget
 from snapsync.plans.plan import immutability, plan_tables
 from snapsync.plans.select import select_tables
 from snapsync.plans.splits import (
+    balanced_starts,
+    composite_predicates,
     composite_split_of,
     key_range,
     split_bounds,
@@ -249,6 +255,17 @@ def all_split_histograms(spark, sf_dir):
     )
 
 
+def balanced_splits(spark, sf_dir):
+    lineitem = _open(spark, sf_dir).read("lineitem")
+    # Ranges of equal row counts; a key that fills several is cut by the line number.
+    starts = balanced_starts(lineitem, "l_orderkey", SPLITS)
+    predicates = composite_predicates("l_orderkey", "l_linenumber", starts)
+    counts = [F.count(F.when(F.expr(p), 1)) for p in predicates]
+    return lineitem.agg(
+        F.count(F.lit(1)).alias("n_rows"), sum(counts[1:], counts[0]).alias("n_rows_in_splits")
+    )
+
+
 def target_names(spark, sf_dir):
     names = target_name("table_name", PREFIX)
     return catalog.tables(_open(spark, sf_dir)).select(
@@ -320,6 +337,18 @@ def incremental_lookback(spark, sf_dir):
     return sink.read_snapshot(spark, target, "events")
 
 
+def incremental_copy(spark, sf_dir):
+    target = _target(spark, "incremental")
+    source = FileSource(sf_dir, keys=KEYS, names=TABLES)
+    options = CopyOptions(incremental=True, marker=MARKER)
+    copy_all(spark, source, target, options)
+    # Nothing is new for the second copy: append-only tables get no rows, the others
+    # are copied whole.
+    return copy_all(spark, source, target, options).select(
+        "table_name", "status", "mode", "rows"
+    )
+
+
 def copied_tables(spark, sf_dir):
     target = _target(spark, "copy")
     report = copy_all(spark, FileSource(sf_dir, keys=KEYS, names=TABLES), target)
@@ -329,9 +358,9 @@ def copied_tables(spark, sf_dir):
         .select(F.lit(name).alias("copied"), "n_rows")
         for name in sink.list_tables(spark, target)
     )
-    copied = target_name("table_name", PREFIX)
-    return report.join(counted, copied == F.col("copied"), "left").select(
-        "table_name", F.col("copied").alias("target_name"), "status", "n_rows"
+    name = target_name("table_name", PREFIX)
+    return report.join(counted, name == F.col("copied"), "left").select(
+        "table_name", name.alias("target_name"), "status", "n_rows"
     )
 
 
@@ -373,6 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sync_plan": sync_plan,
         "split_bounds": all_split_bounds,
         "split_histogram": all_split_histograms,
+        "balanced_splits": balanced_splits,
         "full_scan": full_scan,
         "partitioned_scan": partitioned_scan,
         "composite_split": composite_split,
@@ -391,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failed_tables": failed_copies,
         "incremental_append": incremental_append,
         "incremental_lookback": incremental_lookback,
+        "incremental_copy": incremental_copy,
     }
 
 
@@ -474,6 +505,7 @@ facts AS (
               THEN r.key_column END AS key_column,
          r.min_key AS low, r.max_key AS high
   FROM sizes s LEFT JOIN keys k USING (table_name) LEFT JOIN ranges r USING (table_name)
+  WHERE s.table_rows > 0
 ),
 plan AS (
   SELECT table_name, '{PREFIX}' || table_name AS target_name, size_bytes, immutable,
@@ -519,9 +551,11 @@ def oracle_sql() -> dict[str, str]:
         "white": ", ".join(f"'{n.lower()}'" for n in WHITELIST),
         "black": ", ".join(f"'{n.lower()}'" for n in BLACKLIST),
     }
-    composite = {t: ", ".join(KEYS[t]) for t in KEYS}
     columns = ", ".join(name for name, _ in _columns("customer"))
 
+    def filled(value, empty="NULL") -> str:
+        return f"CASE WHEN count(*) > 0 THEN {value} ELSE {empty} END"
+
     def copy_row(table: str) -> str:
         schema = "struct<" + ",".join(f"{n}:{k}" for n, k in _columns(table)) + ">"
         if table == "lineitem":
@@ -537,8 +571,10 @@ def oracle_sql() -> dict[str, str]:
                 " AS skip_reason, false AS has_error"
             )
         return (
-            f"'ok' AS status, 'snapshot' AS mode, 1 AS attempts, count(*) AS rows,"
-            f" '{schema}' AS schema, NULL AS skip_reason, false AS has_error"
+            f"{filled("'ok'", "'skipped'")} AS status, {filled("'snapshot'")} AS mode,"
+            f" {filled(1, 0)} AS attempts, nullif(count(*), 0) AS rows,"
+            f" {filled(f"'{schema}'")} AS schema,"
+            f" {filled("NULL", "'empty'")} AS skip_reason, false AS has_error"
         )
 
     return {
@@ -547,11 +583,12 @@ def oracle_sql() -> dict[str, str]:
             CAST(ordinal_position AS INTEGER) AS ordinal_position, {spark_type} AS data_type
             FROM information_schema.columns WHERE {listed}""",
         "catalog_keys": _union(
-            f"SELECT '{t}' AS table_name, '{','.join(k)}' AS primary_key, sum(n) AS n_rows,"
-            f" count(*) AS n_keys, sum(n) = count(*) AS is_key"
-            f" FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {t} GROUP BY {composite[t]})"
+            f"SELECT '{t}' AS table_name, '{','.join(k)}' AS primary_key,"
+            f" CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, count(*) AS n_keys,"
+            f" coalesce(sum(n) = count(*), false) AS is_key"
+            f" FROM (SELECT count(*) AS n FROM {t} GROUP BY {', '.join(k)})"
             for t, k in KEYS.items()
-        ).replace("sum(n) AS n_rows", "CAST(sum(n) AS BIGINT) AS n_rows"),
+        ),
         "candidate_keys": _candidates_sql(),
         "inferred_keys": f"""SELECT table_name, arg_min(column_name, ordinal_position)
             AS primary_key FROM ({_candidates_sql()}) WHERE is_key GROUP BY table_name""",
@@ -596,17 +633,21 @@ def oracle_sql() -> dict[str, str]:
             FROM rows r JOIN ends e ON r.table_name = e.table_name
               AND (e.lower IS NULL OR r.k >= e.lower) AND (e.upper IS NULL OR r.k < e.upper)
             GROUP BY r.table_name, e.split_id""",
+        "balanced_splits": """SELECT count(*) AS n_rows, count(*) AS n_rows_in_splits
+            FROM lineitem""",
         "full_scan": "SELECT * FROM customer",
         "partitioned_scan": f"""WITH r AS (SELECT min(o_orderkey) AS low,
               max(o_orderkey) - min(o_orderkey) + 1 AS span FROM orders)
             SELECT orders.*,
-              CAST(((o_orderkey - low + 1) * {SPLITS} - 1) // span AS INTEGER) AS split_id
+              CAST(coalesce(((o_orderkey - low + 1) * {SPLITS} - 1) // span, 0) AS INTEGER)
+                AS split_id
             FROM orders, r""",
         "composite_split": f"""WITH r AS (SELECT min(conv_id) AS low,
               max(conv_id) - min(conv_id) + 1 AS span FROM conversations)
             SELECT conversations.*,
-              CAST(((conv_id - low + 1) * {RANGES} - 1) // span * {RESIDUES}
-                   + turn % {RESIDUES} AS INTEGER) AS split_id
+              CAST(coalesce(((conv_id - low + 1) * {RANGES} - 1) // span, 0) * {RESIDUES}
+                   + (coalesce(turn, 0) % {RESIDUES} + {RESIDUES}) % {RESIDUES}
+                   AS INTEGER) AS split_id
             FROM conversations, r""",
         "jdbc_catalog_keys": """SELECT 'conversations' AS table_name,
             'conv_id,turn' AS primary_key, count(*) AS table_rows FROM conversations""",
@@ -637,7 +678,8 @@ def oracle_sql() -> dict[str, str]:
         )
         + " AS line FROM customer",
         "copy_all": _counts_sql(
-            lambda t: f"'{PREFIX}{t}' AS target_name, 'ok' AS status, count(*) AS n_rows"
+            lambda t: f"'{PREFIX}{t}' AS target_name, {filled("'ok'", "'skipped'")} AS status,"
+            " nullif(count(*), 0) AS n_rows"
         ),
         "copy_report": "SELECT * FROM ("
         + _union(
@@ -645,8 +687,15 @@ def oracle_sql() -> dict[str, str]:
             for t in ["lineitem", *(t for t in TABLES if t != "lineitem")]
         )
         + ")",
-        "failed_tables": """SELECT count(*) AS n_failed, string_agg(t, ',') AS failed
+        "failed_tables": """SELECT count(*) AS n_failed, coalesce(string_agg(t, ','), '') AS failed
             FROM (SELECT 'lineitem' AS t FROM lineitem GROUP BY 1)""",
         "incremental_append": "SELECT * FROM orders",
         "incremental_lookback": "SELECT * FROM events",
+        "incremental_copy": _counts_sql(
+            lambda t: f"{filled("'ok'", "'skipped'")} AS status,"
+            + f" {filled("'append'")} AS mode, {filled("0::BIGINT")} AS rows"
+            if len(KEYS.get(t, ())) == 1 and MARKER not in dict(_columns(t))
+            else f"{filled("'ok'", "'skipped'")} AS status,"
+            + f" {filled("'snapshot'")} AS mode, nullif(count(*), 0) AS rows"
+        ),
     }
