@@ -68,6 +68,7 @@ def copy_snapshot(
     df = read_table(opened, row, options)
     if declared is not None:
         df = conform(df, declared)
+    log.info("writing %s: %s", row["target_name"], df.schema.simpleString())
     return sink.write_snapshot(
         df,
         target,
@@ -110,6 +111,7 @@ def copy_incremental(
         df = df.join(present.filter(k > floor).select(k), key, "left_anti").select(
             [quoted(c) for c in present.columns]
         )
+    log.info("appending to %s above %s: %s", name, floor, df.schema.simpleString())
     return "append", sink.append_increment(df, target, name, key)
 
 

@@ -7,6 +7,7 @@ keys, the last is open above: whatever the bounds, each row is in exactly one.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -120,11 +121,12 @@ def balanced_starts(df: DataFrame, key: str, n: int) -> list[int]:
     """
     if n < 2:
         return []
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    accuracy = F.lit(min(100_000, max(10_000, 50 * n)))
-    k = F.col(quoted(key)).cast("long")
-    found = df.agg(F.percentile_approx(k, shares, accuracy).alias("starts")).first().starts
-    return list(found or [])
+    shares = ", ".join(f"{i / n!r}D" for i in range(1, n))
+    accuracy = min(100_000, max(10_000, 50 * n))
+    # As SQL text, since there may be thousands of shares.
+    k = f"CAST({quoted(key)} AS BIGINT)"
+    starts = F.expr(f"percentile_approx({k}, array({shares}), {accuracy})")
+    return list(df.agg(starts.alias("starts")).first().starts or [])
 
 
 def range_predicates(column: str, starts: Sequence[int]) -> list[str]:
@@ -159,14 +161,16 @@ def composite_predicates(
     A start given several times marks a leading value that fills several splits;
     its range is cut into that many more pieces.
     """
-    cuts = sorted(set(starts))
-    repeats = [1] + [list(starts).count(c) for c in cuts] if cuts else [1]
-    return [
-        f"{rows} AND {residue}" if pieces > 1 else rows
-        for rows, times in zip(range_predicates(leading, cuts), repeats)
-        for pieces in [times * n_residues]
-        for residue in residue_predicates(second, pieces)
-    ]
+    repeats = Counter(starts)
+    cuts = sorted(repeats)
+    predicates = []
+    for rows, times in zip(range_predicates(leading, cuts), [1, *(repeats[c] for c in cuts)]):
+        pieces = times * n_residues
+        if pieces == 1:
+            predicates.append(rows)
+        else:
+            predicates += [f"{rows} AND {r}" for r in residue_predicates(second, pieces)]
+    return predicates
 
 
 def composite_split_of(

@@ -74,7 +74,7 @@ class Storage:
 
 def workspace(spark: SparkSession, label: str) -> str:
     """A new folder for one run, where every executor can see it."""
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    shared = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -141,6 +141,15 @@ def test_hot_leading_key_is_cut_by_the_second_column(spark):
     assert max(df.filter(p).count() for p in range_predicates("a", starts)) >= 1200
 
 
+def test_many_splits(spark):
+    df = spark.range(100_000).toDF("k")
+    starts = balanced_starts(df, "k", 3000)
+    assert len(starts) == 2999 and starts == sorted(starts)
+    widths = [b - a for a, b in zip([0, *starts], [*starts, 100_000])]
+    assert max(widths) <= 60
+    assert len(composite_predicates("a", "b", range(100_000), 2)) == 200_002
+
+
 def test_composite_split_numbers(spark):
     df = spark.createDataFrame(
         [(0, 0), (0, -1), (0, None), (5, 4), (9, 8), (None, 1)], "a long, b long"
