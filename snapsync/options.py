@@ -36,9 +36,10 @@ class CopyOptions:
     bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT
     min_split_bytes: int = DEFAULT_MIN_SPLIT_BYTES
     max_splits: int = 100_000
-    # "range": equal-width key ranges. "rows": ranges of equal row counts, for
-    # keys that are not spread evenly; costs one extra pass over the key column.
-    split_by: str = "range"
+    # "range": equal-width key ranges. "rows": ranges of equal row counts, for keys
+    # that are not spread evenly; costs one extra pass over the key column. "auto":
+    # the former where keys are unique and dense, so that no range can be overfull.
+    split_by: str = "auto"
     marker: str = MUTABLE_MARKER
     overwrite_existing: bool = True
     create_if_absent: bool = True
@@ -60,8 +61,8 @@ class CopyOptions:
         for name in ("min_split_bytes", "lookback", "retry_wait_seconds"):
             if getattr(self, name) < 0:
                 raise ValueError(f"{name} must not be negative")
-        if self.split_by not in ("range", "rows"):
-            raise ValueError("split_by must be 'range' or 'rows'")
+        if self.split_by not in ("auto", "range", "rows"):
+            raise ValueError("split_by must be 'auto', 'range' or 'rows'")
         # Zero or less means a single attempt, as one is always made.
         object.__setattr__(self, "max_attempts", max(1, self.max_attempts))
 

@@ -16,6 +16,8 @@ from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame, union_all
 
 log = logging.getLogger(__name__)
 
+DENSE_SPAN = 4
+
 
 def _never_updated(marker: str) -> Column:
     return ~F.bool_or(F.lower("column_name") == marker.lower())
@@ -50,6 +52,22 @@ def split_count(options: CopyOptions) -> Column:
     return n.cast("int")
 
 
+def split_rule(options: CopyOptions) -> Column:
+    """How to place the split bounds: by key ``range``, or by ``rows``.
+
+    A range of unique keys cannot hold more rows than it is wide. If the keys span no
+    more than ``DENSE_SPAN`` times the rows, no equal-width range holds more than that
+    many times its share; else, and for keys that repeat, rows have to be counted.
+    """
+    if options.split_by != "auto":
+        rule = F.lit(options.split_by)
+    else:
+        span = F.col("max_key").cast("double") - F.col("min_key").cast("double")
+        dense = F.col("append_key").isNotNull() & (span <= F.col("table_rows") * DENSE_SPAN)
+        rule = F.when(dense, F.lit("range")).otherwise(F.lit("rows"))
+    return F.when(F.col("n_splits") > 1, rule)
+
+
 def _reachable_ranges(opened: Opened, keys: dict[str, str]) -> DataFrame:
     """Key ranges, without the tables that are gone or may not be read."""
     found = []
@@ -107,6 +125,7 @@ def plan_tables(
         .select(
             "table_name",
             "skip_reason",
+            "table_rows",
             "size_bytes",
             F.coalesce("immutable", F.lit(True)).alias("immutable"),
             "primary_key",
@@ -141,6 +160,7 @@ def plan_tables(
             "second_column", F.when(F.col("key_column").isNotNull(), F.col("split_second"))
         )
         .withColumn("bytes_to_sync", bytes_to_sync(F.col("high_water")))
+        .withColumn("n_splits", split_count(options))
         .select(
             "table_name",
             target_name("table_name", prefix).alias("target_name"),
@@ -153,7 +173,8 @@ def plan_tables(
             "min_key",
             "max_key",
             "bytes_to_sync",
-            split_count(options).alias("n_splits"),
+            "n_splits",
+            split_rule(options).alias("split_by"),
             "skip_reason",
         )
     )

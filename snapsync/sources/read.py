@@ -47,7 +47,8 @@ def read_table(
     if key is None or low is None or high is None or n < 2:
         return opened.read(name)
     n_ranges = min(n, high - low + 1)
-    if options.split_by == "rows":
+    by_rows = (row.get("split_by") or options.split_by) == "rows"
+    if by_rows:
         # Keys are a small share of the bytes: fewer queries are enough for them.
         keys = opened.read_range(name, key, low, high, min(n_ranges, n // SPLITS_PER_KEY_SPLIT + 1))
         starts = balanced_starts(keys, key, n)
@@ -58,6 +59,6 @@ def read_table(
     if second is not None and (n_residues > 1 or len(set(starts)) < len(starts)):
         leading, other = opened.quote(key), opened.quote(second)
         return opened.read_where(name, composite_predicates(leading, other, starts, n_residues))
-    if options.split_by == "rows":
+    if by_rows:
         return opened.read_where(name, range_predicates(opened.quote(key), starts))
     return opened.read_range(name, key, low, high, n_ranges)

@@ -154,6 +154,27 @@ def test_split_threshold_is_inclusive(information_schema):
         assert row.append_key == "id"
 
 
+@pytest.mark.parametrize(
+    "split_by,big,pair",
+    [("auto", "rows", "rows"), ("range", "range", "range"), ("rows", "rows", "rows")],
+)
+def test_split_rule(information_schema, split_by, big, pair):
+    options = CopyOptions(min_split_bytes=999, bytes_per_split=300, split_by=split_by)
+    found = {r.table_name: r for r in plan_tables(information_schema, options).collect()}
+    # 106 possible keys for three rows; a key that repeats; no split.
+    assert [found[t].split_by for t in ("big", "pair", "stale")] == [big, pair, None]
+
+
+def test_dense_keys_are_split_by_range(spark, write_tables):
+    path = write_tables(
+        dense=spark.range(1000), sparse=spark.range(0, 100_000, 100).toDF("id")
+    )
+    opened = FileSource(path, keys={"dense": ["id"], "sparse": ["id"]}).open(spark)
+    options = CopyOptions(min_split_bytes=0, bytes_per_split=1000)
+    plan = plan_tables(opened, options, sizes="logical").select("table_name", "split_by")
+    assert rows(plan) == [("dense", "range"), ("sparse", "rows")]
+
+
 def test_max_splits(information_schema):
     options = CopyOptions(min_split_bytes=0, bytes_per_split=1, max_splits=6, whitelist=["big"])
     assert plan_tables(information_schema, options).first().n_splits == 6

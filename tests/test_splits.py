@@ -231,6 +231,22 @@ def test_keys_outside_the_bounds_are_read(database, split_by):
     assert sorted(df.toPandas()["k"].fillna(-999)) == sorted([-999, -50, -1, 0, 5, 9, 100])
 
 
+@pytest.mark.parametrize("keys", [range(-9, 0), [0], [-(2**63), 0, 2**63 - 1]])
+@pytest.mark.parametrize("split_by", ["range", "rows"])
+def test_ranges_of_odd_keys(spark, database, keys, split_by):
+    name = f"odd_{split_by}_{len(keys)}"
+    values = ", ".join(f"({k})" for k in keys)
+    embedded_db.execute(
+        spark,
+        database.source.url.removeprefix("jdbc:derby:memory:"),
+        f'CREATE TABLE APP."{name}"("k" BIGINT NOT NULL PRIMARY KEY)',
+        f'INSERT INTO APP."{name}" VALUES {values}',
+    )
+    row = plan_row(database, name, "k", 4)
+    df = read_table(database, row, CopyOptions(split_by=split_by))
+    assert sorted(r.k for r in df.collect()) == list(keys)
+
+
 def test_more_splits_than_keys(database):
     row = {"table_name": "edge", "key_column": "k", "min_key": 0, "max_key": 3, "n_splits": 10}
     df = read_table(database, row)
