@@ -1,6 +1,7 @@
 """``python -m snapsync settings.json``: copy tables, print the report.
 
-The report goes to standard output, one JSON object per table.
+The report goes to standard output, one JSON object per table, and to a folder of
+JSON files if one is given.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ def run(spark: SparkSession, settings: str) -> DataFrame:
 def main() -> None:
     parser = argparse.ArgumentParser(prog="snapsync", description=__doc__)
     parser.add_argument("settings", type=Path, help="JSON file of settings")
+    parser.add_argument("--report", help="folder to write the report to")
     arguments = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
@@ -40,7 +42,10 @@ def main() -> None:
         .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
-    for row in run(spark, arguments.settings.read_text()).collect():
+    report = run(spark, arguments.settings.read_text())
+    if arguments.report:
+        report.coalesce(1).write.mode("overwrite").json(arguments.report)
+    for row in report.collect():
         print(json.dumps(row.asDict()))
     spark.stop()
 

@@ -32,7 +32,8 @@ def read_table(
     """All rows of one table, or those with a key greater than ``above``.
 
     A database is read in ``n_splits`` parallel queries where the plan row has a
-    key range, and in one otherwise. Files are cut into tasks by Spark itself.
+    key range, and in one otherwise. Files are cut into tasks by Spark itself; a
+    ``bytes_per_split`` above Spark's own makes them fewer.
     """
     options = options or CopyOptions()
     name, key, n = row["table_name"], row.get("key_column"), row.get("n_splits") or 1
@@ -40,7 +41,13 @@ def read_table(
     if not isinstance(opened, OpenedJdbc):
         # One scan per key range would only read the same row groups many times.
         df = opened.read(name)
-        return df if above is None else df.filter(F.col(quoted(row["append_key"])) > above)
+        if above is not None:
+            return df.filter(F.col(quoted(row["append_key"])) > above)
+        # Larger splits than Spark cuts, where that leaves work for all cores. This
+        # joins tasks without a shuffle, and makes fewer and larger files.
+        wanted = -(-(row.get("size_bytes") or 0) // options.bytes_per_split)
+        enough = wanted >= opened.spark.sparkContext.defaultParallelism
+        return df.coalesce(wanted) if enough else df
     if above is not None:
         n, high = (n, high) if high is not None and high > above else (1, above)
         return opened.read_range(name, row["append_key"], above, high, n, above)

@@ -330,7 +330,7 @@ def test_program(spark, write_tables, tmp_path):
         json.dumps({"source-files": {"path": path}, "target-files": {"path": f"{tmp_path}/out"}})
     )
     shown = subprocess.run(
-        [sys.executable, "-m", "snapsync", str(file)],
+        [sys.executable, "-m", "snapsync", str(file), "--report", f"{tmp_path}/report"],
         cwd=tmp_path,
         env={"PYTHONPATH": str(ROOT), "PATH": "/usr/bin:/bin:/usr/local/bin", "SPARK_CONF_OPTS": ""}
         | {k: v for k, v in __import__("os").environ.items() if k in ("JAVA_HOME", "SPARK_HOME")}
@@ -341,3 +341,4 @@ def test_program(spark, write_tables, tmp_path):
     )
     assert shown.returncode == 0, shown.stderr
     assert [json.loads(line)["rows"] for line in shown.stdout.splitlines()] == [4]
+    assert [r.status for r in spark.read.json(f"{tmp_path}/report").collect()] == ["ok"]

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from snapsync.functions.text import render_fixed_width
 from snapsync.operators import sink
 from snapsync.operators.schema import conform, load_schema
-from snapsync.options import FileTarget
+from snapsync.options import CopyOptions, FileTarget
 from snapsync.plans.splits import split_histogram, split_of
 from snapsync.sources import catalog
 from snapsync.sources.base import local_frame
@@ -44,6 +44,31 @@ def test_copies_do_not_shuffle(spark, opened):
         assert "Exchange" not in physical(df) and "Python" not in physical(df)
 
 
+@pytest.fixture
+def small_tasks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_larger_splits_of_files(spark, tmp_path, small_tasks):
+    spark.range(40_000).repartition(40).write.parquet(f"{tmp_path}/t")
+    opened = FileSource(str(tmp_path)).open(spark)
+    size = catalog.tables(opened).first().size_bytes
+    row = {"table_name": "t", "size_bytes": size}
+
+    def tasks(bytes_per_split):
+        df = read_table(opened, row, CopyOptions(bytes_per_split=bytes_per_split))
+        assert "Exchange" not in physical(df) and df.count() == 40_000
+        return df.rdd.getNumPartitions()
+
+    cut = opened.read("t").rdd.getNumPartitions()
+    assert cut > 12 and tasks(size // 1000) == cut
+    assert tasks(size // 12 + 1) == 12
+    # Fewer splits than cores would leave some idle.
+    assert tasks(size) == cut
+
+
 def test_increments_push_the_mark_down(spark, opened, tmp_path):
     row = {"table_name": "orders", "append_key": "o_orderkey"}
     plan = physical(read_table(opened, row, above=700))
