@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,8 +134,8 @@ class OpenedJdbc(base.Opened):
             base.KEY_USAGE,
         )
 
-    def _metadata(self, call) -> list[dict]:
-        """Rows of one driver metadata call, by column name."""
+    def _metadata(self, *calls) -> list[dict]:
+        """Rows of driver metadata calls, by column name, over one connection."""
         jvm = self.spark._jvm
         options = self.source.reader_options()
         properties = jvm.java.util.Properties()
@@ -147,12 +148,14 @@ class OpenedJdbc(base.Opened):
             )
         connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
         try:
-            found = call(connection.getMetaData())
-            header = found.getMetaData()
-            names = [header.getColumnName(i + 1) for i in range(header.getColumnCount())]
-            rows = []
-            while found.next():
-                rows.append({n.upper(): found.getString(n) for n in names})
+            metadata, rows = connection.getMetaData(), []
+            for call in calls:
+                found = call(metadata)
+                header = found.getMetaData()
+                names = [header.getColumnName(i + 1) for i in range(header.getColumnCount())]
+                while found.next():
+                    rows.append({n.upper(): found.getString(n) for n in names})
+                found.close()
             return rows
         finally:
             connection.close()
@@ -204,24 +207,28 @@ class OpenedJdbc(base.Opened):
         ]
         return base.local_frame(self.spark, rows, base.COLUMNS)
 
+    @cached_property
+    def _metadata_key_rows(self) -> list[tuple]:
+        # Drivers list the keys of one table at a time.
+        calls = [
+            lambda m, name=name: m.getPrimaryKeys(None, self.database, name)
+            for name in self._metadata_names()
+        ]
+        return [
+            (
+                r["PK_NAME"] or "PRIMARY",
+                self.database,
+                r["TABLE_NAME"],
+                "PRIMARY KEY",
+                r["COLUMN_NAME"],
+                int(r["KEY_SEQ"]),
+            )
+            for r in self._metadata(*calls)
+        ]
+
     def _metadata_keys(self) -> DataFrame:
-        rows = []
-        for name in self._metadata_names():
-            for r in self._metadata(lambda m: m.getPrimaryKeys(None, self.database, name)):
-                rows.append(
-                    (
-                        r["PK_NAME"] or "PRIMARY",
-                        self.database,
-                        name,
-                        "PRIMARY KEY",
-                        r["COLUMN_NAME"],
-                        int(r["KEY_SEQ"]),
-                    )
-                )
-        schema = T.StructType(
-            base.CONSTRAINTS.fields + base.KEY_USAGE.fields[-2:]
-        )
-        return base.local_frame(self.spark, rows, schema)
+        schema = T.StructType(base.CONSTRAINTS.fields + base.KEY_USAGE.fields[-2:])
+        return base.local_frame(self.spark, self._metadata_key_rows, schema)
 
     # Scans ---------------------------------------------------------------
 

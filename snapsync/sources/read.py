@@ -15,12 +15,13 @@ from snapsync.plans.splits import (
     composite_predicates,
     range_predicates,
     range_starts,
+    residue_predicates,
 )
 from snapsync.sources.base import Opened
 from snapsync.sources.jdbc import OpenedJdbc
 
-# Splits of a table per split of a pass over its keys alone.
-SPLITS_PER_KEY_SPLIT = 16
+# Queries for the keys of a table; prime, as keys often have common factors.
+KEY_SHARES = 13
 
 
 def read_table(
@@ -56,9 +57,10 @@ def read_table(
     n_ranges = min(n, high - low + 1)
     by_rows = (row.get("split_by") or options.split_by) == "rows"
     if by_rows:
-        # Keys are a small share of the bytes: fewer queries are enough for them.
-        keys = opened.read_range(name, key, low, high, min(n_ranges, n // SPLITS_PER_KEY_SPLIT + 1))
-        starts = balanced_starts(keys, key, n)
+        # Where the rows are is not known yet, so this pass goes by remainders: each
+        # query scans the index, and fetches an even share of the keys.
+        shares = residue_predicates(opened.quote(second or key), KEY_SHARES)
+        starts = balanced_starts(opened.read_where(name, shares), key, n)
         n_residues = 1
     else:
         starts = range_starts(low, high, n_ranges)

@@ -2,6 +2,7 @@ import embedded_db
 import pytest
 from conftest import rows
 
+from snapsync import FileTarget, copy_all, read_snapshot
 from snapsync.options import CopyOptions
 from snapsync.plans.plan import immutability, plan_tables
 from snapsync.plans.select import check_empty_estimates, select_tables, selected
@@ -140,6 +141,25 @@ def test_plan_of_a_database(information_schema):
     assert (late.key_column, late.max_key, late.n_splits, late.immutable) == (None, None, 1, False)
 
 
+def test_copy_by_information_schema(spark, information_schema, tmp_path):
+    target = FileTarget(str(tmp_path), prefix="i_")
+    options = CopyOptions(min_split_bytes=999, bytes_per_split=300, max_parallel_writers=3)
+    report = copy_all(spark, information_schema, target, options)
+    found = {r.table_name: (r.status, r.rows, r.skip_reason) for r in report.collect()}
+    assert found == {
+        "big": ("ok", 3, None),
+        "pair": ("ok", 3, None),
+        "text_key": ("ok", 2, None),
+        "stale": ("ok", 1, None),
+        "hollow": ("skipped", None, "empty"),
+        # The catalog counts rows that are not there.
+        "no_rows_yet": ("ok", 0, None),
+    }
+    assert rows(read_snapshot(spark, target, "i_big")) == [(-5, 1), (3, 2), (100, None)]
+    assert rows(read_snapshot(spark, target, "i_pair")) == [(1, 7), (2, 7), (3, 8)]
+    assert read_snapshot(spark, target, "i_no_rows_yet").columns == ["id", "updated_at"]
+
+
 def test_plan_without_splits(information_schema):
     options = CopyOptions(min_split_bytes=999, bytes_per_split=300, auto_split=False)
     assert {r.n_splits for r in plan_tables(information_schema, options).collect()} == {1}
