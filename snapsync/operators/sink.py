@@ -87,6 +87,10 @@ def _whole(key) -> int | None:
     return None if key is None else int(key)
 
 
+def _stored_rows(df: DataFrame, path: str) -> int:
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
 def _write_part(
     df: DataFrame,
     target: FileTarget,
@@ -108,6 +112,10 @@ def _write_part(
         .parquet(storage.path(*where).toString())
     )
     found = seen.get
+    if target.verify:
+        stored = _stored_rows(df, storage.path(*where).toString())
+        if stored != found["n"]:
+            raise OSError(f"{found['n']} rows were written, but {stored} are stored")
     manifest = {
         "rows": found["n"],
         "schema": json.loads(df.schema.json()),

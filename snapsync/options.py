@@ -78,6 +78,8 @@ class FileTarget:
     prefix: str = ""
     # Superseded versions kept for readers that still use them.
     keep_versions: int = 2
+    # Count the rows of the written files, from their footers, before they appear.
+    verify: bool = False
     write_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -183,6 +185,7 @@ def load_settings(settings: Mapping[str, Any] | str, env: Mapping[str, str] | No
         target: Target = FileTarget(
             path=_require(section, "target-files", "path"),
             prefix=section.get("table-prefix", ""),
+            verify=section.get("verify", False),
         )
     elif "target-catalog" in settings:
         section = _section(settings, "target-catalog")

@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 def new_session(cpus: str = "8", **conf: str) -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="snapsync-session-")
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        # As on a cluster, a task that fails is run again.
+        SparkSession.builder.master(f"local[{cpus},3]")
         .appName("snapsync")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

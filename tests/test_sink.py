@@ -3,6 +3,7 @@ import os
 import embedded_db
 import pytest
 from conftest import rows
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from snapsync.operators import sink
@@ -128,6 +129,38 @@ def test_high_water_without_a_noted_key(spark, target):
     assert sink.high_water(spark, target, "t", "id") == -3
 
 
+def test_tasks_that_run_again_count_once(spark, tmp_path):
+    target = FileTarget(str(tmp_path), verify=True)
+
+    def flaky(batches):
+        task = TaskContext.get()
+        for batch in batches:
+            yield batch
+        # After all of its rows went on to the writer.
+        if task.attemptNumber() < task.partitionId() % 3:
+            raise RuntimeError("the executor is gone")
+
+    df = spark.range(0, 10_000, 1, 6).mapInPandas(flaky, "id long")
+    assert sink.write_snapshot(df, target, "t", "id").rows == 10_000
+    assert ids(sink.read_snapshot(spark, target, "t")) == list(range(10_000))
+    more = spark.range(10_000, 12_000, 1, 6).mapInPandas(flaky, "id long")
+    assert sink.append_increment(more, target, "t", "id").rows == 2000
+    assert sink.high_water(spark, target, "t", "id") == 11_999
+    assert sink.read_snapshot(spark, target, "t").count() == 12_000
+
+
+def test_verified_writes(spark, tmp_path, monkeypatch):
+    target = FileTarget(str(tmp_path), verify=True)
+    for df in (spark.range(10), spark.range(0), spark.range(0, 1000, 1, 7).filter("id > 500")):
+        assert sink.write_snapshot(df, target, "t").rows == df.count()
+    counted = sink._stored_rows
+    monkeypatch.setattr(sink, "_stored_rows", lambda *a: counted(*a) - 1)
+    with pytest.raises(OSError, match="20 rows were written, but 19 are stored"):
+        sink.write_snapshot(spark.range(20), target, "t")
+    assert sink.read_snapshot(spark, target, "t").count() == 499
+    assert len(versions(target, "t")) == 2
+
+
 def test_no_such_table(spark, target):
     with pytest.raises(FileNotFoundError):
         sink.read_snapshot(spark, target, "t")
