@@ -231,13 +231,15 @@ def _write_catalog(spark: SparkSession, df: DataFrame, target: CatalogTarget, na
 # Connectors --------------------------------------------------------------
 
 
-def _write_connector(df: DataFrame, target: ConnectorTarget, name: str, overwrite: bool) -> int:
+def _write_connector(
+    df: DataFrame, target: ConnectorTarget, name: str, overwrite: bool, create: bool
+) -> int:
     """The connector stages and replaces the table itself."""
     seen = Observation()
     (
         df.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.format(target.format)
-        .options(**target.write_options(name))
+        .options(**target.write_options(name, create))
         .mode("overwrite" if overwrite else "errorifexists")
         .save()
     )
@@ -291,7 +293,7 @@ def write_snapshot(
     elif isinstance(target, CatalogTarget):
         rows = _write_catalog(spark, df, target, name)
     else:
-        rows = _write_connector(df, target, name, overwrite)
+        rows = _write_connector(df, target, name, overwrite, create)
     return Written(target.qualified(name), rows, df.schema.simpleString())
 
 

@@ -17,6 +17,31 @@ DEFAULT_MAX_PARALLEL_WRITERS = 8
 DEFAULT_MAX_ATTEMPTS = 1
 MUTABLE_MARKER = "updated_at"
 
+# The names of settings. Sections first, then what each key sets.
+DATABASE_SECTION, DATASET_SECTION = "source-db", "gcp"
+FILES_SECTION = "source-files"
+TARGET_FILES_SECTION, TARGET_CATALOG_SECTION = "target-files", "target-catalog"
+DATABASE_KEYS = ("url", "user", "password", "database")
+DATASET_KEYS = ("project-id", "tempbucket-id", "dataset-id", "table-prefix")
+SOURCE_OPTIONS = {
+    "tables-whitelist": "whitelist",
+    "tables-blacklist": "blacklist",
+    "auto-parallelize": "auto_split",
+    "min-split-bytes": "min_split_bytes",
+    "split-by": "split_by",
+}
+SPLIT_MEGABYTES = "megabytes-per-partition"
+TARGET_OPTIONS = {
+    "create-if-absent": "create_if_absent",
+    "overwrite-existing": "overwrite_existing",
+}
+JOB_OPTIONS = {
+    "attempt-incremental-updates": "incremental",
+    "incremental-lookback": "lookback",
+    "max-parallel-writers": "max_parallel_writers",
+    "max-retries": "max_attempts",
+    "raise-on-failure": "raise_on_failure",
+}
 CREDENTIALS_VARIABLE = "GOOGLE_APPLICATION_CREDENTIALS"
 
 
@@ -120,28 +145,60 @@ class ConnectorTarget:
         table = f"{self.dataset}.{name}" if self.dataset else name
         return f"{self.project}:{table}" if self.project else table
 
-    def write_options(self, name: str) -> dict[str, str]:
+    def write_options(self, name: str, create: bool = True) -> dict[str, str]:
         table = self.qualified(name)
         filled = {k: str(v).replace("{table}", table) for k, v in self.options.items()}
         if self.format == "bigquery":
             filled.setdefault("table", table)
+            if not create:
+                filled.setdefault("createDisposition", "CREATE_NEVER")
         return filled
 
 
 Target = FileTarget | CatalogTarget | ConnectorTarget
 
 
-def _section(settings: Mapping[str, Any], name: str) -> Mapping[str, Any]:
+def _section(settings: Mapping[str, Any], name: str, required=()) -> Mapping[str, Any]:
     section = settings.get(name)
     if not isinstance(section, Mapping):
         raise ValueError(f"settings need a {name!r} section")
+    for key in required:
+        if section.get(key) is None:
+            raise ValueError(f"settings need {name}.{key}")
     return section
 
 
-def _require(section: Mapping[str, Any], name: str, key: str):
-    if section.get(key) is None:
-        raise ValueError(f"settings need {name}.{key}")
-    return section[key]
+def _source(settings: Mapping[str, Any]):
+    """The source and the section it comes from."""
+    from snapsync.sources.files import FileSource
+    from snapsync.sources.jdbc import JdbcSource
+
+    if FILES_SECTION in settings:
+        section = _section(settings, FILES_SECTION, ["path"])
+        return FileSource(section["path"], keys=section.get("keys", {})), section
+    section = _section(settings, DATABASE_SECTION, DATABASE_KEYS)
+    chosen = {key: section[key] for key in DATABASE_KEYS}
+    for key, name in (("driver", "driver"), ("fetch-size", "fetchsize")):
+        if key in section:
+            chosen[name] = section[key]
+    return JdbcSource(**chosen), section
+
+
+def _target(settings: Mapping[str, Any], env: Mapping[str, str]):
+    """The target and the section it comes from."""
+    if TARGET_FILES_SECTION in settings:
+        section = _section(settings, TARGET_FILES_SECTION, ["path"])
+        prefix, verify = section.get("table-prefix", ""), section.get("verify", False)
+        return FileTarget(section["path"], prefix=prefix, verify=verify), section
+    if TARGET_CATALOG_SECTION in settings:
+        section = _section(settings, TARGET_CATALOG_SECTION, ["database"])
+        return CatalogTarget(section["database"], prefix=section.get("table-prefix", "")), section
+    section = _section(settings, DATASET_SECTION, DATASET_KEYS)
+    project, bucket, dataset, prefix = (section[key] for key in DATASET_KEYS)
+    options = {"temporaryGcsBucket": bucket, "parentProject": project}
+    if env.get(CREDENTIALS_VARIABLE):
+        options["credentialsFile"] = env[CREDENTIALS_VARIABLE]
+    return ConnectorTarget(dataset, project, prefix=prefix, options=options), section
 
 
 def load_settings(settings: Mapping[str, Any] | str, env: Mapping[str, str] | None = None):
@@ -152,81 +209,20 @@ def load_settings(settings: Mapping[str, Any] | str, env: Mapping[str, str] | No
     ``target-files.path`` or ``target-catalog.database`` writes to Spark's own
     storage.
     """
-    from snapsync.sources.files import FileSource
-    from snapsync.sources.jdbc import JdbcSource
-
     if isinstance(settings, str):
         settings = json.loads(settings)
-    env = os.environ if env is None else env
-
-    lists: Mapping[str, Any]
-    if "source-files" in settings:
-        lists = _section(settings, "source-files")
-        source = FileSource(
-            path=_require(lists, "source-files", "path"),
-            keys=lists.get("keys", {}),
+    source, source_section = _source(settings)
+    target, target_section = _target(settings, os.environ if env is None else env)
+    chosen = {
+        name: section[key]
+        for section, names in (
+            (source_section, SOURCE_OPTIONS),
+            (target_section, TARGET_OPTIONS),
+            (settings, JOB_OPTIONS),
         )
-    else:
-        lists = _section(settings, "source-db")
-        source = JdbcSource(
-            url=_require(lists, "source-db", "url"),
-            database=_require(lists, "source-db", "database"),
-            user=_require(lists, "source-db", "user"),
-            password=_require(lists, "source-db", "password"),
-            **{
-                name: lists[key]
-                for key, name in (("driver", "driver"), ("fetch-size", "fetchsize"))
-                if key in lists
-            },
-        )
-
-    if "target-files" in settings:
-        section = _section(settings, "target-files")
-        target: Target = FileTarget(
-            path=_require(section, "target-files", "path"),
-            prefix=section.get("table-prefix", ""),
-            verify=section.get("verify", False),
-        )
-    elif "target-catalog" in settings:
-        section = _section(settings, "target-catalog")
-        target = CatalogTarget(
-            database=_require(section, "target-catalog", "database"),
-            prefix=section.get("table-prefix", ""),
-        )
-    else:
-        section = _section(settings, "gcp")
-        project = _require(section, "gcp", "project-id")
-        writer = {
-            "temporaryGcsBucket": _require(section, "gcp", "tempbucket-id"),
-            "parentProject": project,
-        }
-        if env.get(CREDENTIALS_VARIABLE):
-            writer["credentialsFile"] = env[CREDENTIALS_VARIABLE]
-        target = ConnectorTarget(
-            dataset=_require(section, "gcp", "dataset-id"),
-            project=project,
-            prefix=_require(section, "gcp", "table-prefix"),
-            options=writer,
-        )
-
-    chosen: dict[str, Any] = {
-        "whitelist": lists.get("tables-whitelist", ()),
-        "blacklist": lists.get("tables-blacklist", ()),
+        for key, name in names.items()
+        if key in section
     }
-    for where, key, name in (
-        (lists, "auto-parallelize", "auto_split"),
-        (lists, "min-split-bytes", "min_split_bytes"),
-        (lists, "split-by", "split_by"),
-        (section, "overwrite-existing", "overwrite_existing"),
-        (section, "create-if-absent", "create_if_absent"),
-        (settings, "max-parallel-writers", "max_parallel_writers"),
-        (settings, "max-retries", "max_attempts"),
-        (settings, "attempt-incremental-updates", "incremental"),
-        (settings, "incremental-lookback", "lookback"),
-        (settings, "raise-on-failure", "raise_on_failure"),
-    ):
-        if key in where:
-            chosen[name] = where[key]
-    if "megabytes-per-partition" in lists:
-        chosen["bytes_per_split"] = lists["megabytes-per-partition"] * MIB
+    if SPLIT_MEGABYTES in source_section:
+        chosen["bytes_per_split"] = source_section[SPLIT_MEGABYTES] * MIB
     return source, target, CopyOptions(**chosen)

@@ -87,9 +87,14 @@ class OpenedJdbc(base.Opened):
     def query(self, sql: str) -> DataFrame:
         return self._reader().option("query", sql).load()
 
-    def _relation(self, sql: str, schema: T.StructType) -> DataFrame:
+    def _information_schema(self, relation: str, schema: T.StructType) -> DataFrame:
+        names = ", ".join(schema.fieldNames())
+        df = self.query(
+            f"SELECT {names} FROM information_schema.{relation}"
+            f" WHERE table_schema = {sql_string(self.database)}"
+        )
         # Databases differ in the case and the integer types they answer with.
-        df = self.query(sql).toDF(*schema.fieldNames())
+        df = df.toDF(*schema.fieldNames())
         return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     # Catalog relations ---------------------------------------------------
@@ -98,41 +103,22 @@ class OpenedJdbc(base.Opened):
         """Catalog figures; the row counts may be estimates. Views have no size."""
         if self.source.catalog_kind == "metadata":
             return self._metadata_tables()
-        return self._relation(
-            "SELECT table_schema, table_name, table_rows, data_length, index_length"
-            " FROM information_schema.tables"
-            f" WHERE table_schema = {sql_string(self.database)} AND data_length IS NOT NULL",
-            base.TABLES,
-        )
+        return self._information_schema("tables", base.TABLES)
 
     def columns(self) -> DataFrame:
         if self.source.catalog_kind == "metadata":
             return self._metadata_columns()
-        return self._relation(
-            "SELECT table_schema, table_name, column_name, ordinal_position, data_type"
-            f" FROM information_schema.columns WHERE table_schema = {sql_string(self.database)}",
-            base.COLUMNS,
-        )
+        return self._information_schema("columns", base.COLUMNS)
 
     def constraints(self) -> DataFrame:
         if self.source.catalog_kind == "metadata":
             return self._metadata_keys().select(base.CONSTRAINTS.fieldNames()).distinct()
-        return self._relation(
-            "SELECT constraint_name, table_schema, table_name, constraint_type"
-            " FROM information_schema.table_constraints"
-            f" WHERE table_schema = {sql_string(self.database)}",
-            base.CONSTRAINTS,
-        )
+        return self._information_schema("table_constraints", base.CONSTRAINTS)
 
     def key_usage(self) -> DataFrame:
         if self.source.catalog_kind == "metadata":
             return self._metadata_keys().select(base.KEY_USAGE.fieldNames())
-        return self._relation(
-            "SELECT constraint_name, table_schema, table_name, column_name, ordinal_position"
-            " FROM information_schema.key_column_usage"
-            f" WHERE table_schema = {sql_string(self.database)}",
-            base.KEY_USAGE,
-        )
+        return self._information_schema("key_column_usage", base.KEY_USAGE)
 
     def _metadata(self, *calls) -> list[dict]:
         """Rows of driver metadata calls, by column name, over one connection."""

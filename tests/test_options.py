@@ -11,7 +11,7 @@ from snapsync.options import (
     load_settings,
 )
 from snapsync.sources.files import FileSource
-from snapsync.sources.jdbc import JdbcSource
+from snapsync.sources.jdbc import JdbcSource, sql_string
 
 SETTINGS = {
     "source-db": {
@@ -138,6 +138,13 @@ def test_reader_options_of_mysql():
     assert "useCursorFetch" not in JdbcSource("jdbc:derby:memory:x", "APP").reader_options()["url"]
 
 
+def test_names_are_quoted_for_the_database(spark):
+    source, _, _ = load_settings(SETTINGS, {})
+    assert source.open(spark).qualified("order") == "`shop`.`order`"
+    assert JdbcSource("jdbc:derby:memory:x", "APP").open(spark).qualified("t") == '"APP"."t"'
+    assert sql_string("o'clock") == "'o''clock'"
+
+
 def test_password_is_not_shown():
     source, target, _ = load_settings(SETTINGS, {})
     assert "hidden-word" not in repr(source) and "bucket" not in repr(target)

@@ -235,4 +235,7 @@ def test_connector_target(spark):
 
 def test_connector_options():
     target = ConnectorTarget("data", "proj", options={"temporaryGcsBucket": "b"})
-    assert target.write_options("t") == {"temporaryGcsBucket": "b", "table": "proj:data.t"}
+    options = {"temporaryGcsBucket": "b", "table": "proj:data.t"}
+    assert target.write_options("t") == options
+    never = options | {"createDisposition": "CREATE_NEVER"}
+    assert target.write_options("t", create=False) == never
