@@ -8,8 +8,8 @@ A ``FileTarget`` keeps each table as numbered versions::
 A part holds Parquet files and, once they are all there, ``_manifest.json``. Parts
 without a manifest are staged: no reader sees them. So one small file publishes a
 whole write, a reader sees the old table or the new one, and a failed write changes
-nothing. Nothing is renamed but that file, which matters on object stores, where
-moving a directory means to copy it. The highest published version is current.
+nothing. No directory is renamed for it, which matters on object stores, where that
+means to copy it. The highest published version is current.
 
 One job at a time may write a table.
 """
@@ -168,7 +168,7 @@ def remove_unfinished(
 ) -> list[str]:
     """Delete what runs that were killed left of a table -> the deleted folders.
 
-    The age keeps clear of writes that are still going on.
+    The age has to be above that of any write that is still going on.
     """
     storage, removed = Storage(spark, target.path), []
     latest = time.time() - older_than_seconds

@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import embedded_db
 import pytest
@@ -62,6 +63,28 @@ def unfinished(spark, target, *where):
     spark.range(7).write.parquet("/".join([target.path, *where]))
 
 
+def test_readers_see_whole_snapshots_while_writers_run(spark, target):
+    sink.write_snapshot(spark.range(500), target, "t")
+
+    def write(n):
+        for _ in range(4):
+            sink.write_snapshot(spark.range(0, n, 1, 4), target, "t")
+
+    with ThreadPoolExecutor(2) as pool:
+        writers = [pool.submit(write, n) for n in (500, 700)]
+        seen = set()
+        while not all(w.done() for w in writers):
+            try:
+                seen.add(sink.read_snapshot(spark, target, "t").count())
+            except Exception:
+                # Two writers can supersede a version while it is read; never half of it.
+                pass
+        for w in writers:
+            w.result()
+    seen.add(sink.read_snapshot(spark, target, "t").count())
+    assert seen <= {500, 700}
+
+
 def test_unpublished_rows_are_not_seen(spark, target):
     unfinished(spark, target, "t", "v0000000000-aa", "p000000-aa")
     assert not sink.target_exists(spark, target, "t") and not sink.list_tables(spark, target)
