@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from snapsync.functions.names import target_name
 from snapsync.options import MUTABLE_MARKER, CopyOptions
 from snapsync.plans.select import check_empty_estimates, select_tables, selected
-from snapsync.plans.splits import key_range
+from snapsync.plans.splits import KEY_RANGES, key_range
 from snapsync.sources import catalog
-from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame, union_all
+from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame
 
 log = logging.getLogger(__name__)
 
@@ -69,15 +70,18 @@ def split_rule(options: CopyOptions) -> Column:
 
 
 def _reachable_ranges(opened: Opened, keys: dict[str, str]) -> DataFrame:
-    """Key ranges, without the tables that are gone or may not be read."""
-    found = []
-    for name, key in keys.items():
+    """Key ranges, one row per table, without the tables that cannot be read."""
+
+    def find(key: tuple[str, str]):
         try:
-            found.append(key_range(opened, {name: key}))
+            return key_range(opened, dict([key])).first()
         except Exception as e:
             # Planned unsplit; the copy will fail alike, and report it.
-            log.warning("no key range of %s: %s", name, type(e).__name__)
-    return union_all([key_range(opened, {}), *found])
+            log.warning("no key range of %s: %s", key[0], type(e).__name__)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        found = [r for r in pool.map(find, keys.items()) if r is not None]
+    return local_frame(opened.spark, found, KEY_RANGES)
 
 
 def plan_tables(

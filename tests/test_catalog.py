@@ -1,6 +1,7 @@
 import embedded_db
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from snapsync import FileTarget, copy_all, read_snapshot
 from snapsync.options import CopyOptions
@@ -195,6 +196,20 @@ def test_dense_keys_are_split_by_range(spark, write_tables):
     assert rows(plan) == [("dense", "range"), ("sparse", "rows")]
 
 
+def test_unreadable_keys_do_not_stop_the_plan(information_schema, monkeypatch):
+    key_stats = information_schema.key_stats
+
+    def denied(name, key):
+        df = key_stats(name, key)
+        return df if name == "pair" else df.withColumn("max_key", F.raise_error(F.lit("denied")))
+
+    monkeypatch.setattr(information_schema, "key_stats", denied)
+    options = CopyOptions(min_split_bytes=999, bytes_per_split=300)
+    found = {r.table_name: r for r in plan_tables(information_schema, options).collect()}
+    assert (found["pair"].n_splits, found["big"].n_splits, found["big"].key_column) == (17, 1, None)
+    assert found["big"].append_key == "id"
+
+
 def test_max_splits(information_schema):
     options = CopyOptions(min_split_bytes=0, bytes_per_split=1, max_splits=6, whitelist=["big"])
     assert plan_tables(information_schema, options).first().n_splits == 6
