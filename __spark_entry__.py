@@ -149,6 +149,8 @@ def full_scan(spark, sf_dir):
 
 
 def partitioned_scan(spark, sf_dir):
+    # Spark cuts files by bytes; split_id is the range query of a database that a row
+    # would come from.
     opened = _open(spark, sf_dir)
     span = key_range(opened, {"orders": "o_orderkey"}).first()
     row = {"table_name": "orders", "n_splits": SPLITS, **span.asDict()}
