@@ -98,7 +98,7 @@ def plan_tables(
 
     ``key_column`` is the split column: the leading column of the primary key, for
     tables larger than ``min_split_bytes`` whose leading column is integral.
-    ``second_column`` is the next one if that is integral too. ``high_water``
+    ``second_column`` is the next integral column of the key. ``high_water``
     (``table_name, high_water``) sizes the splits for the rows above it.
     ``keep_skipped`` keeps the tables that are not to be copied, with their
     ``skip_reason``.
@@ -120,8 +120,9 @@ def plan_tables(
     )
     key = F.col("primary_key")
     large = (F.col("size_bytes") > options.min_split_bytes) & F.col("skip_reason").isNull()
-    leading, second = F.get(key, F.lit(0)), F.get(key, F.lit(1))
     integral = F.col("integral_columns")
+    leading = F.get(key, F.lit(0))
+    others = F.filter(F.slice(key, 2, F.size(key)), lambda c: F.array_contains(integral, c))
     facts = (
         (tables if keep_skipped else selected(tables))
         .join(described, "table_name", "left")
@@ -134,7 +135,7 @@ def plan_tables(
             F.coalesce("immutable", F.lit(True)).alias("immutable"),
             "primary_key",
             F.when(large & F.array_contains(integral, leading), leading).alias("split_key"),
-            F.when(F.array_contains(integral, second), second).alias("split_second"),
+            F.get(others, F.lit(0)).alias("split_second"),
             F.when((F.size(key) == 1) & F.array_contains(integral, leading), leading).alias(
                 "append_key"
             ),

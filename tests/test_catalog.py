@@ -210,6 +210,22 @@ def test_unreadable_keys_do_not_stop_the_plan(information_schema, monkeypatch):
     assert found["big"].append_key == "id"
 
 
+def test_second_column_is_the_next_integral_one(spark, write_tables):
+    path = write_tables(t=spark.sql("SELECT id a, 'x' s, id b, 1.5D d FROM range(9)"))
+    options = CopyOptions(min_split_bytes=0, bytes_per_split=1)
+
+    def second(*key):
+        opened = FileSource(path, keys={"t": key}).open(spark)
+        row = plan_tables(opened, options, sizes="logical").first()
+        return row.key_column, row.second_column
+
+    assert second("a", "s", "b") == ("a", "b")
+    assert second("b", "a", "s") == ("b", "a")
+    assert second("a", "s", "d") == ("a", None)
+    assert second("a") == ("a", None)
+    assert second("s", "a") == (None, None)
+
+
 def test_max_splits(information_schema):
     options = CopyOptions(min_split_bytes=0, bytes_per_split=1, max_splits=6, whitelist=["big"])
     assert plan_tables(information_schema, options).first().n_splits == 6
