@@ -652,7 +652,9 @@ def oracle_sql() -> dict[str, str]:
                    AS INTEGER) AS split_id
             FROM conversations, r""",
         "jdbc_catalog_keys": """SELECT 'conversations' AS table_name,
-            'conv_id,turn' AS primary_key, count(*) AS table_rows FROM conversations""",
+            'conv_id,turn' AS primary_key, count(*) AS table_rows FROM conversations
+            HAVING count(*) = (SELECT count(*) FROM
+                               (SELECT DISTINCT conv_id, turn FROM conversations))""",
         "jdbc_full_scan": "SELECT * FROM customer",
         "jdbc_partitioned_scan": "SELECT * FROM orders",
         "jdbc_composite_split": "SELECT * FROM conversations",
