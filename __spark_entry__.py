@@ -391,7 +391,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return copied_tables(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def copy_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "catalog_tables": catalog_tables,
         "catalog_columns": catalog_columns,
@@ -544,7 +544,7 @@ def _counts_sql(extra: Callable[[str], str]) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def copy_sql() -> dict[str, str]:
     spark_type = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
         WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END"""
@@ -703,3 +703,26 @@ def oracle_sql() -> dict[str, str]:
             + f" {filled("'snapshot'")} AS mode, nullif(count(*), 0) AS rows"
         ),
     }
+
+
+# The operators on documents and their pipeline are optional.
+try:
+    import corpus_pipeline
+    from snapsync.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "snapsync.llm"):
+        raise
+    llm = None
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return copy_queries()
+    return {**copy_queries(), **llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return copy_sql()
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return {**copy_sql(), **llm.oracle_sql(), **({"pipeline": pipeline} if pipeline else {})}

@@ -3,7 +3,7 @@ from compare import mismatch, oracle
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
+QUERIES = entry.copy_queries()
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +12,13 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(entry.copy_sql()) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_its_sql(spark, sf_dir, connection, name):
     df = QUERIES[name](spark, sf_dir)
-    assert mismatch(df, connection, entry.oracle_sql()[name]) is None
+    assert mismatch(df, connection, entry.copy_sql()[name]) is None
 
 
 def test_entry(spark):
