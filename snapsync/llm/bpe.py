@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, DataType, LongType, StringType, StructField, StructType
 
 from snapsync.llm.common import expand, slices
 
@@ -180,7 +181,7 @@ def model(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-IDS_SCHEMA = "n_tokens long, ids binary"
+ADDED = {"n_tokens": LongType(), "ids": BinaryType()}
 
 
 def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -188,10 +189,9 @@ def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch
     return pa.RecordBatch.from_pydict(kept | columns)
 
 
-def _schema(df: DataFrame, added: str) -> str:
-    names = {part.split()[0] for part in added.split(", ")}
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in names]
-    return ", ".join([*kept, added])
+def _schema(df: DataFrame, added: dict[str, DataType]) -> StructType:
+    kept = [f for f in df.schema if f.name not in added]
+    return StructType(kept + [StructField(n, t) for n, t in added.items()])
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -211,7 +211,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                 {"n_tokens": pa.array(np.diff(ends), pa.int64()), "ids": pa.array(packed, pa.binary())},
             )
 
-    return df.mapInArrow(run, _schema(df, IDS_SCHEMA))
+    return df.mapInArrow(run, _schema(df, ADDED))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -224,4 +224,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             found = [bpe.decode(np.frombuffer(p or b"", "<u4")) for p in packed]
             yield _with(batch, {"decoded": pa.array(found, pa.string())})
 
-    return df.mapInArrow(run, _schema(df, "decoded string"))
+    return df.mapInArrow(run, _schema(df, {"decoded": StringType()}))

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from snapsync.llm.common import slices, texts, written
 
@@ -100,7 +101,7 @@ def spans(
     """
     kept = [c for c in df.columns if c != column]
     df = df.select(*[f"`{c}`" for c in kept], F.lit(None).cast(SPANS).alias(column))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    schema = df.schema
     kind = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("items", pa.list_(pa.string()))])
     )
@@ -168,9 +169,16 @@ def contamination(
                 ["doc_id", "n_words", "n_hit", "items"],
             )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
     counted = found.mapInArrow(
-        run, f"doc_id {kind}, n_words long, n_hit long, items array<string>"
+        run,
+        StructType(
+            [
+                rows.schema["doc_id"],
+                StructField("n_words", LongType()),
+                StructField("n_hit", LongType()),
+                StructField("items", ArrayType(StringType())),
+            ]
+        ),
     )
     return counted.withColumn("contaminated", F.col("n_hit") > 0)
 

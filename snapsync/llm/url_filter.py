@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapsync.llm.common import fold, slices
 
@@ -154,7 +155,7 @@ def with_difference(df: DataFrame, model: Model, url: str = "url") -> DataFrame:
     kept = [f for f in df.schema if f.name != "difference"]
     names = [f.name for f in kept]
     sent = df.sparkSession.sparkContext.broadcast(model.counts.astype(np.float32))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema = StructType([*kept, StructField("difference", DoubleType())])
 
     def run(batches):
         own = Model(sent.value)
@@ -166,7 +167,7 @@ def with_difference(df: DataFrame, model: Model, url: str = "url") -> DataFrame:
                 [*(batch.column(n) for n in names), pa.array(found)], [*names, "difference"]
             )
 
-    return df.mapInArrow(run, f"{schema}, difference double")
+    return df.mapInArrow(run, schema)
 
 
 def threshold(judged: DataFrame) -> float:

@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from snapsync.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "\n\n \t x", "  two  spaces ", "aaaaaaaaaaaaa" * 30, "don't I'LL x's", "½ ² Ⅷ 123",
+    "a<|endoftext|>b<|endoftext|>", "<|endoftext|", "日本語テスト", "é \U0001f600‍",
+    "\x00\x1c\x85\xa0y", "ab" * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def check(texts, library):
+    model = bpe.ByteBpe(PATH)
+    ids, ends = model.encode(texts)
+    for text, a, b, e in zip(texts, ends, ends[1:], library.encode_batch(texts, add_special_tokens=False)):
+        assert ids[a:b].tolist() == e.ids, text[:80]
+        assert model.decode(ids[a:b]) == library.decode(e.ids, skip_special_tokens=False)
+
+
+def test_odd_texts(library):
+    check(ODD, library)
+
+
+def test_random_letters_in_one_long_word(library):
+    random.seed(3)
+    check(["".join(random.choices("abcdefghij", k=20_000)), "".join(random.choices("ab é", k=5_000))], library)
+
+
+def test_every_code_point(library):
+    check([f"a{chr(c)} b{chr(c)}1" for c in range(0x110000) if not 0xD800 <= c < 0xE000], library)
+
+
+def test_ids_that_are_no_text(library):
+    ids = np.array([220, 128, 50256, 171], np.uint32)
+    assert bpe.ByteBpe(PATH).decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False)
+
+
+def test_memory_is_bounded(monkeypatch, library):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 8)
+    model = bpe.ByteBpe(PATH)
+    for text in ["a b c d e f", "f g h i", "one two three four five six seven eight nine ten", "a"]:
+        ids, _ = model.encode([text, text])
+        assert ids.tolist() == library.encode(text).ids * 2
+
+
+def test_frames_with_nulls_and_clashing_columns(spark, library):
+    rows = [(1, "to be", 7, "x"), (1, "to be", 7, "x"), (None, None, 8, "y"), (2, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, ids string")
+    found = bpe.decode(bpe.encode(df, PATH), PATH)
+    assert sorted(found.columns) == ["decoded", "doc_id", "ids", "n_tokens", "text"]
+    got = sorted((r.decoded, r.n_tokens, bytes(r.ids)) for r in found.collect())
+    ids = np.array(library.encode("to be").ids, "<u4").tobytes()
+    assert got == [("", 0, b""), ("", 0, b""), ("to be", 2, ids), ("to be", 2, ids)]
+    assert bpe.encode(df.limit(0), PATH).count() == 0
+
+
+def test_query(spark, sf_dir, library):
+    from snapsync.llm.queries import op1_bpe
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op1_bpe(spark, sf_dir).collect()}
+    for doc, text in texts.items():
+        ids = library.encode(text, add_special_tokens=False).ids
+        digests = [hashlib.sha256(x).hexdigest() for x in (np.array(ids, "<u4").tobytes(), text.encode())]
+        assert got[doc] == (len(ids), *digests)
+    assert len(got) == len(texts)

@@ -1,0 +1,72 @@
+import corpus_pipeline as pipeline
+import pytest
+from pyspark.sql import functions as F
+from test_decontaminate import brute
+from test_quality_rules import slow_measures
+from test_simhash import slow_components, slow_fingerprint
+
+from snapsync.llm import quality_classifier as qc
+from snapsync.llm.common import table, written
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = [docs]
+    for name, stage in pipeline.STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"test-{name}")
+        out.append(docs)
+    return out
+
+
+def texts(df):
+    return {r.doc_id: r.text or "" for r in df.select("doc_id", "text").collect()}
+
+
+def test_each_stage_against_brute_force(spark, sf_dir, stages):
+    before = [texts(df) for df in stages]
+
+    def passes(text):
+        words, chars, symbols, lines, doubles, repeated = slow_measures(text)
+        return not (
+            words < 20 or 100 * repeated > 30 * words or 100 * symbols > 10 * words
+            or 100 * doubles > 50 * lines or chars < 2 * words or chars > 15 * words
+        )
+
+    assert before[1].keys() == {d for d, t in before[0].items() if passes(t)}
+    found = qc.classified(stages[1], table(spark, sf_dir, "labels")).filter("score >= 0.5")
+    assert before[2].keys() == {r.doc_id for r in found.collect()}
+    prints = {d: slow_fingerprint(t) for d, t in before[2].items()}
+    root, least = slow_components(set(prints.values()), 2), {}
+    for d in sorted(prints):
+        least.setdefault(root[prints[d]], d)
+    assert before[3].keys() == set(least.values())
+    items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()]
+    assert before[4].keys() == {r[0] for r in brute([*before[3].items()], items) if not r[4]}
+    assert before[5] == before[4]
+    assert stages[5].filter("decoded <> text").count() == 0
+
+
+def test_columns(stages):
+    for df in stages[:-1]:
+        assert df.columns == stages[0].columns
+    assert {"ids", "n_tokens", "decoded"} <= set(stages[-1].columns)
+
+
+def test_odd_rows(spark, sf_dir):
+    good = stages_text(spark, sf_dir)
+    rows = [(None, good, "en", None), (-5, good, None, "s"), (-5, good, None, "s"), (-6, None, "en", "s"), (-7, "", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({n: F.lit(n) for n in ("measures", "failed_bits", "fp", "spans", "x", "text_hash")})
+    for _, stage in pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns
+        kept.collect()
+    assert pipeline.near_duplicates(spark, docs, sf_dir).count() == 2
+    empty = docs.limit(0)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0
+
+
+def stages_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").filter("length(text) > 400").first().text

@@ -1,0 +1,97 @@
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from snapsync.llm import url_filter as uf
+from snapsync.llm.queries import RULES
+
+URLS = [
+    None, "", "no scheme/org/", "http://a.org", "http://A.ORG/", "https://x.Example.org/es/1?q=://b.com/fr/",
+    "ftp://example.org/en/12", "http://example.org/en/2", "http://myexample.org/es/", "s://b.com/fr/x#y",
+    "s://c.com/de/", "s://c.com/fr", "s://org/", "s://xorg/", "s://?q", "://a.org/z", "s://é.org/ü?x", "s://b.com:80/fr/",
+]
+
+
+def split(url):
+    if not url or "://" not in url:
+        return "", ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.DOTALL).groups()
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(url):
+    host, path = split(url)
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+def slow_difference(urls, judged):
+    """The model with dictionaries in place of hashed tables."""
+    counts = [{}, {}]
+    framed = lambda u: "\1" * uf.ORDER + u + "\2"
+    for url, verdict in judged:
+        own, text = counts[verdict == "allow"], framed(url)
+        for i in range(uf.ORDER, len(text)):
+            for k in range(uf.ORDER + 1):
+                context = text[i - k : i]
+                own[context, None] = own.get((context, None), 0) + 1
+                own[context, text[i]] = own.get((context, text[i]), 0) + 1
+    out = []
+    for url in urls:
+        text, gain = framed(url), 0.0
+        for i in range(uf.ORDER, len(text)):
+            for sign, own in ((1, counts[1]), (-1, counts[0])):
+                p = 1 / 0x110000
+                for k in range(uf.ORDER + 1):
+                    context = text[i - k : i]
+                    p = (own.get((context, text[i]), 0) + uf.PULL * p) / (own.get((context, None), 0) + uf.PULL)
+                gain += sign * np.log(p)
+        out.append(gain / (len(url) + 1))
+    return out
+
+
+def test_hosts_paths_and_rules(spark):
+    df = spark.createDataFrame([*enumerate(URLS)], "page_id long, url string")
+    df = df.withColumns({"host": F.lit(1), "verdict": F.lit("x"), "difference": F.lit(2)})
+    got = {r.page_id: r for r in uf.judged(df.unionByName(df), RULES).collect()}
+    assert len(got) == len(URLS)
+    for i, url in enumerate(URLS):
+        rule = rule_of(url)
+        assert (got[i].host, got[i].path) == split(url)
+        assert got[i].rule == (rule.text if rule else None)
+        assert got[i].verdict in ("allow", "block")
+        if rule:
+            assert got[i].verdict == rule.verdict
+
+
+def test_models_are_those_of_the_formula(spark):
+    judged = [(f"http://a{i}.org/en/{i}", "allow") for i in range(60)]
+    judged += [(f"http://b{i}.com/de/{i}?x", "block") for i in range(40)] * 2
+    model = uf.trained(spark.createDataFrame(judged, "url string, verdict string"))
+    ask = ["http://a7.org/en/99", "http://b.com/de/1", "", "zzz", "http://é.org/"]
+    # A few n-grams share a slot.
+    assert model.difference(ask) == pytest.approx(slow_difference(ask, judged), rel=0.02)
+
+
+def test_held_out_urls_are_told_apart(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    ruled = uf.judged(pages, RULES).filter("rule IS NOT NULL")
+    limit = uf.threshold(ruled.filter(F.crc32(F.col("page_id").cast("string").cast("binary")) % 5 == 0))
+    right = F.avg(((F.col("difference") >= limit) == (F.col("verdict") == "allow")).cast("int"))
+    assert ruled.agg(right).first()[0] > 0.9
+
+
+def test_threshold(spark):
+    rows = [("allow", 0.5), ("allow", 0.31), ("block", 0.2), ("block", -99.0)]
+    df = spark.createDataFrame(rows, "verdict string, difference double")
+    assert 0.2 < uf.threshold(df) <= 0.31
+    assert uf.threshold(df.filter("verdict = 'allow'")) == 0.0
+
+
+def test_nothing_to_learn_from(spark):
+    df = spark.createDataFrame([(None, None), (1, "s://a.net/")], "page_id long, url string")
+    assert {r.verdict for r in uf.judged(df, RULES).collect()} == {"allow"}
+    assert uf.judged(df.limit(0), RULES).count() == 0
+    assert uf.judged(df, []).count() == 2
