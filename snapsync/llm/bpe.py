@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from snapsync.llm.common import expand, slices
 
 # Fixed value: the pattern that splits texts of this kind of tokenizer into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -140,9 +141,7 @@ class ByteBpe:
         return np.concatenate(done_symbols)[order], np.bincount(where, minlength=len(words))
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self._forget()
-        fresh = [w for w in words if w not in self.known]
+        fresh = [*words]
         ids, counts = self.merge([w.encode() for w in fresh])
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
         self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(counts)]
@@ -160,12 +159,15 @@ class ByteBpe:
         """Ids of all texts, one text after another, and where each text begins and ends."""
         split = [self.split(t) for t in texts]
         words = [w for text in split for w in text]
-        fresh = set(words)
-        fresh.difference_update(self.known)
-        if fresh:
-            # After a reset the words known before are needed as well.
-            self._learn(fresh if len(self.known) + len(fresh) <= CACHE_WORDS else set(words))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(missing := np.flatnonzero(at < 0)):
+            fresh = {words[i] for i in missing.tolist()}
+            if len(self.known) + len(fresh) > CACHE_WORDS:
+                # The words that were known are needed as well.
+                self._forget()
+                fresh, missing = set(words) - self.known.keys(), np.arange(len(words))
+            self._learn(fresh)
+            at[missing] = [self.known[words[i]] for i in missing.tolist()]
         counts = self.starts[at + 1] - self.starts[at]
         ids = self.ids[expand(self.starts[at], counts)]
         ends = np.r_[0, np.cumsum([len(text) for text in split])].astype(np.int64)
@@ -194,24 +196,29 @@ def _schema(df: DataFrame, added: dict[str, DataType]) -> StructType:
     return StructType(kept + [StructField(n, t) for n, t in added.items()])
 
 
-def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", check: bool = False) -> DataFrame:
     """``df`` with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers).
 
+    With ``check`` also ``decoded``, the text that the ids give back, from the same pass.
     Columns of those names are replaced; all others are kept.
     """
+    added = ADDED | ({"decoded": StringType()} if check else {})
 
     def run(batches):
         bpe = model(path)
         for batch in slices(batches, text):
             column = ["" if t is None else t for t in batch.column(text).to_pylist()]
             ids, ends = bpe.encode(column)
-            packed = [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-            yield _with(
-                batch,
-                {"n_tokens": pa.array(np.diff(ends), pa.int64()), "ids": pa.array(packed, pa.binary())},
-            )
-
-    return df.mapInArrow(run, _schema(df, ADDED))
+            own = [ids[a:b] for a, b in zip(ends, ends[1:])]
+            columns = {
+                "n_tokens": pa.array(np.diff(ends), pa.int64()),
+                "ids": pa.array([i.tobytes() for i in own], pa.binary()),
+            }
+            if check:
+                columns["decoded"] = pa.array([bpe.decode(i) for i in own], pa.string())
+            yield _with(batch, columns)
+
+    return df.mapInArrow(run, _schema(df, added))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:

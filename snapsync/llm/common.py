@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from snapsync.storage import workspace
 
 # Bytes of text that a task works on at a time; one longer text stands alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

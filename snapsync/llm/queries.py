@@ -35,7 +35,7 @@ MARKED = "<|im_end|><|im_start|>assistant ok"
 
 def op1_bpe(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(documents, BYTE_BPE).drop("text"), BYTE_BPE)
+    coded = bpe.encode(documents, BYTE_BPE, check=True)
     return coded.select(
         "doc_id",
         "n_tokens",

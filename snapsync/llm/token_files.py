@@ -25,6 +25,7 @@ import json
 import struct
 import zlib
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 from snapsync.llm.common import expand, slices, texts
 from snapsync.storage import Storage, workspace
 
-SHARD_BYTES = 32 << 20  # of text, on average
-CACHE_WORDS = 600_000
+SHARD_BYTES = 16 << 20  # of text, on average
+CACHE_WORDS = 700_000
+# Words that are encoded as one text.
+JOINED_WORDS = 1000
 MAGIC = b"TOKSHRD1"
 TRAILER = struct.Struct("<8sQQQIII")  # magic, index offset, docs, NULL ids, width, levels, salt
 LEVELS = 64
@@ -80,7 +83,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            self.by_words = _by_words(json.load(file))
+            spec = json.load(file)
+        self.by_words = _by_words(spec)
+        # A-Z may be put in lower case at once where the tokenizer does so anyway.
+        self.lower = self.by_words and '"Lowercase"' in json.dumps(spec["normalizer"])
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -93,29 +99,39 @@ class Encoder:
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self, words: set[bytes]) -> None:
-        fresh = [*words]
-        coded = self.tokenizer.encode_batch(
-            [w.decode() for w in fresh], add_special_tokens=False
-        )
-        ids = [c.ids for c in coded]
+        fresh, ids, counts = [*words], [self.ids], []
+        step = JOINED_WORDS if self.by_words else 1
+        for i in range(0, len(fresh), step):
+            part = [w.decode() for w in fresh[i : i + step]]
+            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids.append(np.array(coded.ids, np.uint32))
+            # A token belongs to the word in which it starts.
+            begins = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
+            at = np.fromiter((o[0] for o in coded.offsets), np.int64, len(ids[-1]))
+            of = np.searchsorted(begins, at, side="right") - 1
+            counts.append(np.bincount(of, minlength=len(part)))
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-        ends = self.starts[-1] + np.cumsum([len(i) for i in ids])
-        self.starts = np.r_[self.starts, ends.astype(np.int64)]
-        flat = np.fromiter((i for own in ids for i in own), np.uint32)
-        self.ids = np.r_[self.ids, flat]
+        ends = self.starts[-1] + np.cumsum(np.concatenate(counts))
+        self.starts = np.r_[self.starts, ends]
+        self.ids = np.concatenate(ids)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each begins and ends."""
-        split = [t.split() for t in texts] if self.by_words else [[t] if t else [] for t in texts]
+        if self.by_words:
+            split = [(t.lower() if self.lower else t).split() for t in texts]
+        else:
+            split = [[t] if t else [] for t in texts]
         words = [w for text in split for w in text]
-        fresh = set(words)
-        fresh.difference_update(self.known)
-        if len(self.known) + len(fresh) > CACHE_WORDS or not self.by_words:
+        if not self.by_words:
             self._forget()
-            fresh = set(words)
-        if fresh:
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(missing := np.flatnonzero(at < 0)):
+            fresh = {words[i] for i in missing.tolist()}
+            if len(self.known) + len(fresh) > CACHE_WORDS:
+                self._forget()
+                fresh, missing = set(words), np.arange(len(words))
             self._learn(fresh)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            at[missing] = [self.known[words[i]] for i in missing.tolist()]
         counts = self.starts[at + 1] - self.starts[at]
         ids = self.ids[expand(self.starts[at], counts)]
         ends = np.r_[0, np.cumsum([len(text) for text in split])].astype(np.int64)
