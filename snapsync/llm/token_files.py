@@ -25,7 +25,6 @@ import json
 import struct
 import zlib
 from functools import cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from snapsync.llm.common import expand, slices, texts
 from snapsync.storage import Storage, workspace
 
 SHARD_BYTES = 16 << 20  # of text, on average
-CACHE_WORDS = 700_000
+CACHE_WORDS = 2_000_000
 # Words that are encoded as one text.
 JOINED_WORDS = 1000
 MAGIC = b"TOKSHRD1"
@@ -50,6 +49,11 @@ LEVELS = 64
 # Fixed value: the word pattern of the tokenizers that may be fed single words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+MARKS = ".,;:!?"
+LANES = 3  # of eight bytes each: words of up to 24 bytes are told apart by them
+LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 
 def _by_words(spec: dict) -> bool:
     """Whether words between white space can be encoded one by one.
@@ -76,6 +80,64 @@ def _by_words(spec: dict) -> bool:
     )
 
 
+class WordTable:
+    """Words by number. Short ones are found together, by their bytes as integers."""
+
+    def __init__(self):
+        self.hashes = np.empty(0, np.uint64)
+        self.lanes = np.empty((LANES + 1, 0), np.uint64)
+        self.numbers = np.empty(0, np.int64)
+        self.others: dict[bytes, int] = {}
+        self.size = 0
+
+    def numbered(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """The number of each word ``text[start:end]``, and the words that are new.
+
+        ``text`` goes on for 32 bytes after the last word. New words get the next numbers,
+        in the order in which they are returned.
+        """
+        size = ends - starts
+        eights = np.ndarray((len(text) - 7,), "<u8", text.data, strides=(1,))
+        lanes = np.empty((LANES + 1, len(starts)), np.uint64)
+        for i in range(LANES):
+            lanes[i] = eights[starts + 8 * i] & LANE_MASKS[np.clip(size - 8 * i, 0, 8)]
+        lanes[LANES] = size
+        hashes = scrambled(lanes[0], 11) + lanes[LANES]
+        for i in range(1, LANES):
+            hashes = scrambled(hashes ^ lanes[i], 11 + i)
+        found, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, found)
+        known = np.zeros(len(found), bool)
+        inside = np.flatnonzero(at < len(self.hashes))
+        known[inside] = self.hashes[at[inside]] == found[inside]
+        # The hash only sorts: a word is one that is known if all its bytes are the same.
+        odd = (size > 8 * LANES) | (lanes != lanes[:, first[of]]).any(0)
+        clash = np.zeros(len(found), bool)
+        clash[known] = (self.lanes[:, at[known]] != lanes[:, first[known]]).any(0)
+        odd |= clash[of]
+        # Only words that are not odd may be entered.
+        fresh = ~known & ~odd[first]
+        numbers = np.full(len(found), -1, np.int64)
+        numbers[known] = self.numbers[at[known]]
+        numbers[fresh] = self.size + np.arange(fresh.sum())
+        self.size += int(fresh.sum())
+        new = [text[a:b].tobytes() for a, b in zip(starts[first[fresh]], ends[first[fresh]])]
+        self.hashes = np.insert(self.hashes, at[fresh], found[fresh])
+        self.lanes = np.insert(self.lanes, at[fresh], lanes[:, first[fresh]], axis=1)
+        self.numbers = np.insert(self.numbers, at[fresh], numbers[fresh])
+        out = numbers[of]
+        # A word that shares the hash of an odd one is found by itself, too.
+        odd |= out < 0
+        for i in np.flatnonzero(odd).tolist():
+            word = text[starts[i] : ends[i]].tobytes()
+            if word not in self.others:
+                self.others[word] = self.size
+                self.size += 1
+                new.append(word)
+            out[i] = self.others[word]
+        return out, new
+
+
 class Encoder:
     """Ids by the tokenizers library; a word that a task has met is not encoded again."""
 
@@ -90,52 +152,96 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Whether a token ends a word, for tokenizers that say so.
+        suffix, self.ends = spec["model"].get("end_of_word_suffix"), None
+        if self.by_words and suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.marks = {}
+        for m in MARKS if self.by_words else "":
+            ids = self.tokenizer.encode(m, add_special_tokens=False).ids
+            if len(ids) == 1:
+                self.marks[m] = ids[0]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._forget()
 
     def _forget(self):
-        self.known: dict[bytes, int] = {}
+        self.words = WordTable()
         self.ids = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, words: set[bytes]) -> None:
-        fresh, ids, counts = [*words], [self.ids], []
-        step = JOINED_WORDS if self.by_words else 1
-        for i in range(0, len(fresh), step):
-            part = [w.decode() for w in fresh[i : i + step]]
-            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids.append(np.array(coded.ids, np.uint32))
-            # A token belongs to the word in which it starts.
-            begins = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
-            at = np.fromiter((o[0] for o in coded.offsets), np.int64, len(ids[-1]))
-            of = np.searchsorted(begins, at, side="right") - 1
-            counts.append(np.bincount(of, minlength=len(part)))
-        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-        ends = self.starts[-1] + np.cumsum(np.concatenate(counts))
-        self.starts = np.r_[self.starts, ends]
-        self.ids = np.concatenate(ids)
+    def _joined(self, part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are encoded as one text, and how many each word has."""
+        text = " ".join(part)
+        if self.ends is not None and "".join(part).isalpha():
+            (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(coded.ids, np.uint32)
+            # A word of letters has one token that ends a word; if that adds up, each has.
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(part):
+                return ids, np.diff(last, prepend=-1)
+        coded = self.tokenizer.encode(text, add_special_tokens=False)
+        ids = np.array(coded.ids, np.uint32)
+        # A token belongs to the word in which it starts.
+        begins = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
+        at = np.fromiter((o[0] for o in coded.offsets), np.int64, len(ids))
+        of = np.searchsorted(begins, at, side="right") - 1
+        return ids, np.bincount(of, minlength=len(part))
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of words, which get the next places."""
+        words = [w.decode() for w in new]
+        # A mark right after letters is a token of its own, the same after any.
+        mark = np.full(len(words), -1, np.int64)
+        for i, w in enumerate(words):
+            if w[-1] in self.marks and w[:-1].isalpha():
+                words[i], mark[i] = w[:-1], self.marks[w[-1]]
+        letters = np.array([w.isalpha() for w in words], bool)
+        # Words of letters are joined with their like, which is cheaper.
+        order = np.argsort(~letters, kind="stable")
+        cut = int(letters.sum())
+        ids, counts = [], []
+        for low, high in ((0, cut), (cut, len(words))):
+            for i in range(low, high, JOINED_WORDS):
+                part = [words[k] for k in order[i : min(i + JOINED_WORDS, high)].tolist()]
+                own, n = self._joined(part)
+                ids.append(own)
+                counts.append(n)
+        flat, n = np.concatenate(ids), np.concatenate(counts)
+        # Back from the order of encoding, with the marks.
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        begins, n = (np.cumsum(n) - n)[place], n[place]
+        whole = n + (mark >= 0)
+        starts = np.cumsum(whole) - whole
+        out = np.empty(int(whole.sum()), np.uint32)
+        out[expand(starts, n)] = flat[expand(begins, n)]
+        out[(starts + n)[mark >= 0]] = mark[mark >= 0]
+        self.ids = np.concatenate([self.ids, out])
+        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(whole)]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each begins and ends."""
-        if self.by_words:
-            split = [(t.lower() if self.lower else t).split() for t in texts]
-        else:
-            split = [[t] if t else [] for t in texts]
-        words = [w for text in split for w in text]
         if not self.by_words:
+            coded = [
+                self.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts
+            ]
+            ends = np.r_[0, np.cumsum([len(ids) for ids in coded])].astype(np.int64)
+            return np.fromiter((i for ids in coded for i in ids), np.uint32, ends[-1]), ends
+        joined = b"\n".join([b"", *texts, b" " * 32])
+        text = np.frombuffer(joined.lower() if self.lower else joined, np.uint8)
+        edge = np.diff(SPACES[text].astype(np.int8))
+        starts, ends = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
+        if self.words.size > CACHE_WORDS:
             self._forget()
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        if len(missing := np.flatnonzero(at < 0)):
-            fresh = {words[i] for i in missing.tolist()}
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                self._forget()
-                fresh, missing = set(words), np.arange(len(words))
-            self._learn(fresh)
-            at[missing] = [self.known[words[i]] for i in missing.tolist()]
+        at, new = self.words.numbered(text, starts, ends)
+        if new:
+            self._learn(new)
         counts = self.starts[at + 1] - self.starts[at]
         ids = self.ids[expand(self.starts[at], counts)]
-        ends = np.r_[0, np.cumsum([len(text) for text in split])].astype(np.int64)
-        return ids, np.r_[0, np.cumsum(counts)][ends]
+        begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        return ids, np.r_[0, np.cumsum(counts)][np.searchsorted(starts, begins)]
 
 
 @cache
