@@ -6,6 +6,7 @@ Every query reads the whole tables of ``sf_dir``. Copies go to a new folder belo
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -25,13 +26,14 @@ from snapsync.options import CopyOptions, FileTarget
 from snapsync.plans.plan import immutability, plan_tables
 from snapsync.plans.select import select_tables
 from snapsync.plans.splits import (
-    balanced_starts,
     composite_predicates,
-    composite_split_of,
     key_range,
+    range_predicates,
+    range_starts,
     split_bounds,
+    split_by,
     split_histogram,
-    split_of,
+    split_predicates,
 )
 from snapsync.sources import catalog
 from snapsync.sources.base import union_all
@@ -79,6 +81,15 @@ DECLARED_PART = """[
   {"name": "p_type", "type": "STRING", "mode": "NULLABLE"},
   {"name": "p_comment", "type": "STRING", "mode": "NULLABLE"}
 ]"""
+# Types that could lose something, and do not on these rows.
+DECLARED_ORDERS = """[
+  {"name": "o_orderkey", "type": "FLOAT64", "mode": "REQUIRED"},
+  {"name": "o_custkey", "type": "STRING"},
+  {"name": "o_orderstatus", "type": "STRING"},
+  {"name": "o_totalprice", "type": "NUMERIC", "precision": 15, "scale": 2},
+  {"name": "o_orderdate", "type": "DATE"},
+  {"name": "o_orderpriority", "type": "STRING"}
+]"""
 # The letters of l_returnflag are no numbers: this copy fails while it writes.
 DECLARED_LINEITEM = """[
   {"name": "l_orderkey", "type": "INT64"},
@@ -138,7 +149,7 @@ def candidate_keys(spark, sf_dir):
 def inferred_keys(spark, sf_dir):
     opened = _open(spark, sf_dir)
     found = catalog.inferred_constraints(
-        catalog.candidate_keys(opened.frames), opened.database
+        catalog.candidate_keys(opened.frames), catalog.columns(opened), opened.database
     )
     keys = catalog.primary_keys(*found, opened.database)
     return keys.select("table_name", F.array_join("primary_key", ",").alias("primary_key"))
@@ -148,23 +159,27 @@ def full_scan(spark, sf_dir):
     return read_table(_open(spark, sf_dir), {"table_name": "customer"})
 
 
+def _with_split(opened, table, predicates):
+    """Rows with the number of the query that would read them from a database."""
+    number, hits = split_by(predicates)
+    return read_table(opened, {"table_name": table}).withColumns(
+        {"split_id": number, "n_queries": hits}
+    )
+
+
 def partitioned_scan(spark, sf_dir):
-    # Spark cuts files by bytes; split_id is the range query of a database that a row
-    # would come from.
     opened = _open(spark, sf_dir)
     span = key_range(opened, {"orders": "o_orderkey"}).first()
-    row = {"table_name": "orders", "n_splits": SPLITS, **span.asDict()}
-    split = split_of("o_orderkey", span.min_key, span.max_key, SPLITS)
-    return read_table(opened, row).withColumn("split_id", split)
+    starts = range_starts(span.min_key, span.max_key, SPLITS)
+    return _with_split(opened, "orders", range_predicates("o_orderkey", starts))
 
 
 def composite_split(spark, sf_dir):
     opened = _open(spark, sf_dir)
     span = key_range(opened, {"conversations": "conv_id"}).first()
-    split = composite_split_of(
-        "conv_id", "turn", span.min_key, span.max_key, RANGES, RESIDUES
-    )
-    return read_table(opened, {"table_name": "conversations"}).withColumn("split_id", split)
+    starts = range_starts(span.min_key, span.max_key, RANGES)
+    predicates = composite_predicates("conv_id", "turn", starts, RESIDUES)
+    return _with_split(opened, "conversations", predicates)
 
 
 # JDBC scans. They need the embedded database, which only the driver's JVM sees.
@@ -258,14 +273,39 @@ def all_split_histograms(spark, sf_dir):
 
 
 def balanced_splits(spark, sf_dir):
-    lineitem = _open(spark, sf_dir).read("lineitem")
-    # Ranges of equal row counts; a key that fills several is cut by the line number.
-    starts = balanced_starts(lineitem, "l_orderkey", SPLITS)
-    predicates = composite_predicates("l_orderkey", "l_linenumber", starts)
-    counts = [F.count(F.when(F.expr(p), 1)) for p in predicates]
-    return lineitem.agg(
-        F.count(F.lit(1)).alias("n_rows"), sum(counts[1:], counts[0]).alias("n_rows_in_splits")
+    # Ranges with counted rows, of a key that repeats, and of one whose values below a
+    # tenth of the keys are all one key: it is cut by the next column.
+    opened = _open(spark, sf_dir)
+    span = key_range(opened, {"lineitem": "l_orderkey"}).first()
+    low = span.min_key
+    tenth = low + (span.max_key - low) // 10
+    hot = opened.read("lineitem").selectExpr(
+        f"IF(l_orderkey < {tenth}, {low}L, l_orderkey * 1000) AS k",
+        "l_partkey * 7 AS part",
     )
+    path = workspace(spark, "skewed")
+    hot.write.parquet(f"{path}/skewed.parquet")
+    skewed = FileSource(path).open(spark)
+    results = []
+    for source, table, columns in (
+        (opened, "lineitem", ["l_orderkey", "l_linenumber"]),
+        (skewed, "skewed", ["k", "part"]),
+    ):
+        number, hits = split_by(split_predicates(source, table, columns, SPLITS))
+        rows = source.read(table).select(number.alias("split_id"), hits.alias("hits"))
+        per_split = rows.groupBy("split_id").agg(
+            F.count(F.lit(1)).alias("n"), F.max("hits").alias("hits")
+        )
+        even = F.max("n") * SPLITS <= 2 * F.sum("n") + 2 * SPLITS
+        results.append(
+            per_split.agg(
+                F.sum("n").alias("n_rows"),
+                F.max("hits").alias("queries_of_a_row"),
+                (F.count("split_id") >= SPLITS // 2).alias("enough_splits"),
+                even.alias("none_above_twice_its_share"),
+            ).select(F.lit(table).alias("table_name"), "*")
+        )
+    return union_all(results)
 
 
 def target_names(spark, sf_dir):
@@ -298,6 +338,10 @@ def conform_schema(spark, sf_dir):
     return conform(_open(spark, sf_dir).read("part"), load_schema(DECLARED_PART))
 
 
+def conform_types(spark, sf_dir):
+    return conform(_open(spark, sf_dir).read("orders"), load_schema(DECLARED_ORDERS))
+
+
 def fixed_width(spark, sf_dir):
     return render_fixed_width(_open(spark, sf_dir).read("customer"))
 
@@ -339,6 +383,47 @@ def incremental_lookback(spark, sf_dir):
     return sink.read_snapshot(spark, target, "events")
 
 
+def _reloaded(spark, table, before, after, key):
+    """The target after a copy of ``before`` and an incremental one of ``after``."""
+    target, row = _target(spark, "reloaded"), {"table_name": table, "append_key": key}
+    for df in (before, after):
+        path = workspace(spark, "source")
+        df.write.parquet(f"{path}/{table}.parquet")
+        opened = FileSource(path, keys={table: [key]}).open(spark)
+        copy_incremental(opened, target, row | {"target_name": table}, CopyOptions())
+    return sink.read_snapshot(spark, target, table)
+
+
+def incremental_nulls(spark, sf_dir):
+    # New rows without a key are above no mark: the table is copied whole.
+    orders = _open(spark, sf_dir).read("orders")
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("o_orderkey")
+    others = [c for c in orders.columns if c != "o_orderkey"]
+    before = orders.filter(F.col("o_orderkey") % 7 != 0)
+    return _reloaded(spark, "orders", before, orders.select(key, *others), "o_orderkey")
+
+
+def incremental_reload(spark, sf_dir):
+    # The source was loaded anew with fewer rows.
+    opened = _open(spark, sf_dir)
+    events, span = opened.read("events"), key_range(opened, {"events": "event_id"}).first()
+    half = (span.min_key + span.max_key) // 2
+    return _reloaded(spark, "events", events, events.filter(F.col("event_id") <= half), "event_id")
+
+
+def incremental_joined(spark, sf_dir):
+    # Increments are joined into a new version when there are too many.
+    target = FileTarget(workspace(spark, "joined"), prefix=PREFIX, max_parts=2)
+    orders = _open(spark, sf_dir).read("orders")
+    for step in range(5):
+        part = orders.filter(F.col("o_orderkey") % 5 == step)
+        if step:
+            sink.append_increment(part, target, "orders", "o_orderkey")
+        else:
+            sink.write_snapshot(part, target, "orders", "o_orderkey")
+    return sink.read_snapshot(spark, target, "orders")
+
+
 def incremental_copy(spark, sf_dir):
     target = _target(spark, "incremental")
     source = FileSource(sf_dir, keys=KEYS, names=TABLES)
@@ -375,8 +460,8 @@ def _report(spark, sf_dir):
 
 def copy_report(spark, sf_dir):
     return _report(spark, sf_dir).select(
-        "table_name", "status", "mode", "attempts", "rows", "schema", "skip_reason",
-        F.col("error").isNotNull().alias("has_error"),
+        "table_name", "status", "mode", "attempts", "rows", "schema", "target_schema",
+        "skip_reason", F.col("error").isNotNull().alias("has_error"),
     )
 
 
@@ -417,12 +502,16 @@ def copy_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dated_targets": dated_targets,
         "target_schema": target_schemas,
         "conform_schema": conform_schema,
+        "conform_types": conform_types,
         "fixed_width": fixed_width,
         "copy_all": copied_tables,
         "copy_report": copy_report,
         "failed_tables": failed_copies,
         "incremental_append": incremental_append,
         "incremental_lookback": incremental_lookback,
+        "incremental_nulls": incremental_nulls,
+        "incremental_reload": incremental_reload,
+        "incremental_joined": incremental_joined,
         "incremental_copy": incremental_copy,
     }
 
@@ -452,6 +541,10 @@ COLUMNS = {
     "region": "r_regionkey int, r_name string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
+TARGET_NAMES = {
+    "bigint": "INT64", "int": "INT64", "double": "FLOAT64", "string": "STRING",
+    "timestamp_ntz": "DATETIME", "array<float>": "FLOAT64",
+}
 WIDTHS = {"bigint": 8, "double": 8, "timestamp_ntz": 8, "int": 4}
 
 
@@ -549,6 +642,9 @@ def copy_sql() -> dict[str, str]:
         WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END"""
     listed = "table_schema = 'main' AND table_name IN (" + ", ".join(f"'{t}'" for t in TABLES) + ")"
+    integral = ", ".join(
+        f"('{t}', '{n}')" for t in TABLES for n, kind in _columns(t) if kind in ("bigint", "int")
+    )
     lists = {
         "white": ", ".join(f"'{n.lower()}'" for n in WHITELIST),
         "black": ", ".join(f"'{n.lower()}'" for n in BLACKLIST),
@@ -560,22 +656,33 @@ def copy_sql() -> dict[str, str]:
 
     def copy_row(table: str) -> str:
         schema = "struct<" + ",".join(f"{n}:{k}" for n, k in _columns(table)) + ">"
+        target = json.dumps(
+            [
+                {
+                    "name": n,
+                    "mode": "REPEATED" if k.startswith("array") else "NULLABLE",
+                    "type": TARGET_NAMES[k],
+                }
+                for n, k in _columns(table)
+            ]
+        )
         if table == "lineitem":
             return (
                 "'failed' AS status, CAST(NULL AS VARCHAR) AS mode, 2 AS attempts,"
                 " CAST(NULL AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS schema,"
+                " CAST(NULL AS VARCHAR) AS target_schema,"
                 " CAST(NULL AS VARCHAR) AS skip_reason, count(*) > 0 AS has_error"
             )
         if table == "region":
             return (
                 "'skipped' AS status, NULL AS mode, 0 AS attempts, NULL AS rows,"
-                " NULL AS schema, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'blacklisted' END"
+                " NULL AS schema, NULL AS target_schema, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'blacklisted' END"
                 " AS skip_reason, false AS has_error"
             )
         return (
             f"{filled("'ok'", "'skipped'")} AS status, {filled("'snapshot'")} AS mode,"
             f" {filled(1, 0)} AS attempts, nullif(count(*), 0) AS rows,"
-            f" {filled(f"'{schema}'")} AS schema,"
+            f" {filled(f"'{schema}'")} AS schema, {filled(f"'{target}'")} AS target_schema,"
             f" {filled("NULL", "'empty'")} AS skip_reason, false AS has_error"
         )
 
@@ -593,7 +700,8 @@ def copy_sql() -> dict[str, str]:
         ),
         "candidate_keys": _candidates_sql(),
         "inferred_keys": f"""SELECT table_name, arg_min(column_name, ordinal_position)
-            AS primary_key FROM ({_candidates_sql()}) WHERE is_key GROUP BY table_name""",
+            AS primary_key FROM ({_candidates_sql()})
+            WHERE is_key AND (table_name, column_name) IN ({integral}) GROUP BY table_name""",
         "select_tables": f"""SELECT table_name, table_rows,
             CASE WHEN table_rows = 0 THEN 'empty'
                  WHEN table_name NOT IN ({lists["white"]}) THEN 'not_whitelisted'
@@ -635,21 +743,24 @@ def copy_sql() -> dict[str, str]:
             FROM rows r JOIN ends e ON r.table_name = e.table_name
               AND (e.lower IS NULL OR r.k >= e.lower) AND (e.upper IS NULL OR r.k < e.upper)
             GROUP BY r.table_name, e.split_id""",
-        "balanced_splits": """SELECT count(*) AS n_rows, count(*) AS n_rows_in_splits
-            FROM lineitem""",
+        "balanced_splits": _union(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, 1 AS queries_of_a_row,"
+            " true AS enough_splits, true AS none_above_twice_its_share FROM lineitem"
+            for t in ("lineitem", "skewed")
+        ),
         "full_scan": "SELECT * FROM customer",
         "partitioned_scan": f"""WITH r AS (SELECT min(o_orderkey) AS low,
               max(o_orderkey) - min(o_orderkey) + 1 AS span FROM orders)
             SELECT orders.*,
               CAST(coalesce(((o_orderkey - low + 1) * {SPLITS} - 1) // span, 0) AS INTEGER)
-                AS split_id
+                AS split_id, 1 AS n_queries
             FROM orders, r""",
         "composite_split": f"""WITH r AS (SELECT min(conv_id) AS low,
               max(conv_id) - min(conv_id) + 1 AS span FROM conversations)
             SELECT conversations.*,
               CAST(coalesce(((conv_id - low + 1) * {RANGES} - 1) // span, 0) * {RESIDUES}
                    + (coalesce(turn, 0) % {RESIDUES} + {RESIDUES}) % {RESIDUES}
-                   AS INTEGER) AS split_id
+                   AS INTEGER) AS split_id, 1 AS n_queries
             FROM conversations, r""",
         "jdbc_catalog_keys": """SELECT 'conversations' AS table_name,
             'conv_id,turn' AS primary_key, count(*) AS table_rows FROM conversations
@@ -673,6 +784,10 @@ def copy_sql() -> dict[str, str]:
         "conform_schema": """SELECT p_name, p_partkey, CAST(p_size AS BIGINT) AS p_size,
             CAST(p_retailprice AS VARCHAR) AS p_retailprice, p_brand, p_type,
             CAST(NULL AS VARCHAR) AS p_comment FROM part""",
+        "conform_types": """SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey,
+            CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+            CAST(o_totalprice AS DECIMAL(15, 2)) AS o_totalprice,
+            CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""",
         "fixed_width": "SELECT "
         + " || ".join(
             f"CASE WHEN length(coalesce(CAST({n} AS VARCHAR), 'null')) >= 50"
@@ -695,6 +810,11 @@ def copy_sql() -> dict[str, str]:
             FROM (SELECT 'lineitem' AS t FROM lineitem GROUP BY 1)""",
         "incremental_append": "SELECT * FROM orders",
         "incremental_lookback": "SELECT * FROM events",
+        "incremental_nulls": "SELECT * REPLACE"
+        " (CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey) FROM orders",
+        "incremental_reload": """SELECT * FROM events WHERE event_id <=
+            (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
+        "incremental_joined": "SELECT * FROM orders",
         "incremental_copy": _counts_sql(
             lambda t: f"{filled("'ok'", "'skipped'")} AS status,"
             + f" {filled("'append'")} AS mode, {filled("0::BIGINT")} AS rows"

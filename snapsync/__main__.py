@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snapsync.operators.copy import copy_all
 from snapsync.operators.schema import load_schema
-from snapsync.options import load_settings
+from snapsync.options import DECLARED_SCHEMAS, load_settings
 
 
 def run(spark: SparkSession, settings: str) -> DataFrame:
@@ -24,7 +24,7 @@ def run(spark: SparkSession, settings: str) -> DataFrame:
     source, target, options = load_settings(parsed)
     declared = {
         table: load_schema(json.dumps(columns))
-        for table, columns in parsed.get("declared-schemas", {}).items()
+        for table, columns in parsed.get(DECLARED_SCHEMAS, {}).items()
     }
     return copy_all(spark, source, target, options, declared)
 

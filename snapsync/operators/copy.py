@@ -18,9 +18,8 @@ from snapsync.operators import sink
 from snapsync.operators.schema import conform
 from snapsync.options import CopyOptions, FileTarget, Target
 from snapsync.plans.plan import plan_tables
-from snapsync.plans.select import check_empty_estimates, select_tables
-from snapsync.sources import catalog
-from snapsync.sources.base import Opened, local_frame
+from snapsync.plans.select import chosen_tables
+from snapsync.sources.base import Opened, at_once, local_frame
 from snapsync.sources.jdbc import LONG_MAX, OpenedJdbc
 from snapsync.sources.read import read_table
 
@@ -35,6 +34,7 @@ REPORT = T.StructType(
         T.StructField("attempts", T.IntegerType()),
         T.StructField("rows", T.LongType()),
         T.StructField("schema", T.StringType()),
+        T.StructField("target_schema", T.StringType()),
         T.StructField("skip_reason", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
@@ -42,7 +42,6 @@ REPORT = T.StructType(
 MARKS = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("high_water", T.LongType())]
 )
-ERROR_LENGTH = 2000
 
 
 class CopyFailed(RuntimeError):
@@ -89,8 +88,9 @@ def copy_incremental(
     """Append the rows above the target's greatest key, for tables that only grow.
 
     The whole table is copied when the target is empty, absent, of another schema,
-    not a ``FileTarget``, or holds unsigned keys beyond a long. Rows committed late are
-    found up to ``lookback`` keys back.
+    not a ``FileTarget``, or holds unsigned keys beyond a long. So it is when the source
+    has NULL keys, which no mark is below, or its greatest key is below the mark: then it
+    was loaded anew. Rows committed late are found up to ``lookback`` keys back.
     """
     spark, name, key = opened.spark, row["target_name"], row["append_key"]
     if not isinstance(target, FileTarget):
@@ -98,6 +98,10 @@ def copy_incremental(
     mark = sink.high_water(spark, target, name, key)
     if mark is None or mark > LONG_MAX:
         return "snapshot", copy_snapshot(opened, target, row, options, declared)
+    source = opened.append_stats(row["table_name"], key).first()
+    if source.null_keys or source.max_key is None or source.max_key < mark:
+        log.info("%s does not only grow: copying it whole", row["table_name"])
+        return "snapshot", copy_snapshot(opened, target, row, options, declared)
     floor = mark - options.lookback
     present = sink.read_snapshot(spark, target, name)
     df = read_table(opened, row, options, above=floor)
@@ -141,7 +145,8 @@ def copy_table(
                 mode, done = "snapshot", copy_snapshot(opened, target, row, options, declared)
             log.info("copied %s to %s: %s rows", name, done.target_name, done.rows)
             return (
-                name, done.target_name, "ok", mode, attempts, done.rows, done.schema, None, None,
+                name, done.target_name, "ok", mode, attempts, done.rows, done.schema,
+                done.target_schema, None, None,
             )
         except Exception as e:
             error = _message(opened, e)
@@ -149,14 +154,13 @@ def copy_table(
             if isinstance(e, sink.TargetStateError):
                 break
     log.error("failed to copy %s to %s: %s", name, target_name, error)
-    return (name, target_name, "failed", None, attempts, None, None, None, error)
+    return (name, target_name, "failed", None, attempts, None, None, None, None, error)
 
 
 def _message(opened: Opened, error: Exception) -> str:
+    """The whole error, as its root cause may be at the end."""
     text = str(error) or type(error).__name__
-    if isinstance(opened, OpenedJdbc) and opened.source.password:
-        text = text.replace(opened.source.password, "***")
-    return text[:ERROR_LENGTH]
+    return opened.source.masked(text) if isinstance(opened, OpenedJdbc) else text
 
 
 def _high_water(
@@ -165,18 +169,20 @@ def _high_water(
     """``table_name, high_water`` of the tables an increment is meant for."""
     if not isinstance(target, FileTarget):
         return None
-    marks = []
-    for r in rows:
-        if r.skip_reason is None and r.immutable and r.append_key is not None:
-            try:
-                mark = sink.high_water(opened.spark, target, r.target_name, r.append_key)
-                mark = None if mark is None or mark > LONG_MAX else mark
-            except Exception as e:
-                # The copy of this table will fail alike, and report it.
-                log.warning("no high-water mark of %s: %s", r.table_name, _message(opened, e))
-                mark = None
-            marks.append((r.table_name, mark))
-    return local_frame(opened.spark, marks, MARKS)
+
+    def mark(r) -> tuple:
+        try:
+            found = sink.high_water(opened.spark, target, r.target_name, r.append_key)
+            return (r.table_name, None if found is None or found > LONG_MAX else found)
+        except Exception as e:
+            # The copy of this table will fail alike, and report it.
+            log.warning("no high-water mark of %s: %s", r.table_name, _message(opened, e))
+            return (r.table_name, None)
+
+    growing = [
+        r for r in rows if r.skip_reason is None and r.immutable and r.append_key is not None
+    ]
+    return local_frame(opened.spark, at_once(mark, growing), MARKS)
 
 
 def copy_planned(
@@ -209,7 +215,7 @@ def copy_planned(
 
 def collect_plan(opened: Opened, target: Target, options: CopyOptions) -> list:
     """The plan, skipped tables included. It has one short row per table."""
-    tables = select_tables(check_empty_estimates(opened, catalog.tables(opened)), options)
+    tables = chosen_tables(opened, options)
 
     def planned(ranges: bool, marks: DataFrame | None = None) -> list:
         return plan_tables(
@@ -246,7 +252,7 @@ def copy_all(
     opened = source if isinstance(source, Opened) else source.open(spark)
     plan = collect_plan(opened, target, options)
     skipped = [
-        (r.table_name, target.qualified(r.target_name), "skipped", None, 0, None, None,
+        (r.table_name, target.qualified(r.target_name), "skipped", None, 0, None, None, None,
          r.skip_reason, None)
         for r in plan
         if r.skip_reason is not None

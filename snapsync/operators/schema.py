@@ -146,8 +146,67 @@ def _refuse(path: str, why: str, data_type: T.DataType) -> Column:
     return F.raise_error(F.lit(f"{path}: {why}")).cast(data_type)
 
 
+# What a text has to look like, beyond being castable, to be the value it is cast to.
+# More digits after the second than a timestamp keeps, and a zone after a time.
+TOO_FINE = r"\.\d{6}\d*[1-9]"
+ZONED = r"\d:\d.*([zZ]|[A-Za-z]{3}|[+-]\d{1,2}(:?\d{2})*)\s*$"
+
+
+def _number_text(text: Column) -> Column:
+    """A number's text without what does not change it: spaces, plus, outer zeros."""
+    text = F.regexp_replace(F.trim(text), r"^\+", "")
+    text = F.regexp_replace(text, r"^(-?)0+(?=\d)", "$1")
+    text = F.regexp_replace(text, r"(\.\d*?)0+$", "$1")
+    text = F.regexp_replace(text, r"\.$", "")
+    return F.regexp_replace(F.regexp_replace(text, r"^(-?)\.", "$10."), r"^-0$", "0")
+
+
+def _text_changes(value: Column, cast: Column, want: T.DataType) -> Column:
+    """Whether a text that can be cast says something else than the cast value."""
+    if isinstance(want, T.DecimalType):
+        # Without an exponent only digits after the point can be too many.
+        fraction = F.regexp_extract(_number_text(value), r"\.(\d+)$", 1)
+        same = F.length(fraction) <= want.scale
+        # With an exponent digits do not line up; a double has 15 that are safe.
+        scientific = value.rlike("[eE]")
+        digits = F.length(F.regexp_replace(value, r"[eE].*|\D", ""))
+        close = (value.try_cast("double") == cast.cast("double")) & (digits <= 15)
+        return ~F.when(scientific, close).otherwise(same)
+    if isinstance(want, T.DoubleType):
+        # 15 digits are safe; the double of 16 or 17 has to read the same again.
+        exact, back = (c.try_cast(T.DecimalType(38, 20)) for c in (value, cast.cast("string")))
+        digits = F.length(F.regexp_replace(_number_text(value), r"[eE].*|\D|^-?0\.0*", ""))
+        return (digits > 15) & (F.coalesce(exact != back, F.lit(True)) | (digits > 17))
+    if isinstance(want, T.DateType):
+        moment = value.try_cast(T.TimestampNTZType())
+        return moment.isNotNull() & (moment != cast.cast(T.TimestampNTZType()))
+    if isinstance(want, T.TimestampType):
+        return value.rlike(TOO_FINE)
+    if isinstance(want, T.TimestampNTZType):
+        return value.rlike(TOO_FINE) | value.rlike(ZONED)
+    return F.lit(False)
+
+
+def _changes(value: Column, cast: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a cast value is another one than before.
+
+    It is cast back and compared in the type that it had: a common type of both might
+    have dropped the same digits.
+    """
+    if isinstance(have, T.StringType):
+        return _text_changes(value, cast, want)
+    if isinstance(want, T.StringType):
+        return ~F.is_valid_utf8(cast) if isinstance(have, T.BinaryType) else F.lit(False)
+    return ~cast.try_cast(have).eqNullSafe(value)
+
+
 def _fitted(value: Column, have: T.DataType, want: T.DataType, path: str) -> Column:
     """The value as type ``want``; a value that would change is an error."""
+    if isinstance(want, T.ArrayType) and isinstance(have, T.MapType):
+        entry = T.StructType(
+            [T.StructField("key", have.keyType), T.StructField("value", have.valueType)]
+        )
+        return _fitted(F.map_entries(value), T.ArrayType(entry), want, path)
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
         return F.transform(
             value, lambda v: _fitted(v, have.elementType, want.elementType, f"{path}[]")
@@ -158,12 +217,7 @@ def _fitted(value: Column, have: T.DataType, want: T.DataType, path: str) -> Col
     if have == want:
         return value
     cast = value.try_cast(want)
-    lost = cast.isNull()
-    if isinstance(want, T.IntegralType) and isinstance(have, T.FractionalType):
-        lost = lost | (cast.cast(have) != value)
-    elif isinstance(want, T.DecimalType) and isinstance(have, T.DecimalType):
-        if have.scale > want.scale:
-            lost = lost | (cast != value)
+    lost = cast.isNull() | _changes(value, cast, have, want)
     why = f"value does not fit {want.simpleString()}"
     return F.when(value.isNull(), F.lit(None).cast(want)).otherwise(
         F.when(lost, _refuse(path, why, want)).otherwise(cast)

@@ -11,6 +11,9 @@ whole write, a reader sees the old table or the new one, and a failed write chan
 nothing. No directory is renamed for it, which matters on object stores, where that
 means to copy it. The highest published version is current.
 
+Increments pile up as parts; from ``max_parts`` on, the next one is joined with them into
+a new version by one Spark job, so that readers never list more than that.
+
 One job at a time may write a table.
 """
 
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
+from snapsync.operators.schema import target_fields
 from snapsync.options import CatalogTarget, ConnectorTarget, FileTarget, Target
+from snapsync.sources.base import at_once
 from snapsync.storage import Storage
 
 MANIFEST = "_manifest.json"
@@ -41,9 +46,24 @@ class TargetStateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Written:
+    """``target_schema``: the target's columns, as JSON entries that can be declared."""
+
     target_name: str
     rows: int
     schema: str
+    target_schema: str | None = None
+
+
+def _written(name: str, rows: int, schema: T.StructType) -> Written:
+    return Written(name, rows, schema.simpleString(), target_text(schema))
+
+
+def target_text(schema: T.StructType) -> str | None:
+    """The target schema as JSON; None for types that a target has no name for."""
+    try:
+        return json.dumps(target_fields(schema))
+    except TypeError:
+        return None
 
 
 def new_run() -> str:
@@ -63,7 +83,8 @@ def _next(names: list[str], pattern: re.Pattern) -> int:
 
 def _published_parts(storage: Storage, name: str, version: str) -> list[str]:
     parts = _numbered(storage, PART, name, version)
-    return [p for p in parts if storage.exists(name, version, p, MANIFEST)]
+    published = at_once(lambda p: storage.exists(name, version, p, MANIFEST), parts)
+    return [p for p, there in zip(parts, published) if there]
 
 
 def _current(storage: Storage, name: str) -> tuple[str, list[str]] | None:
@@ -80,7 +101,8 @@ def _manifests(storage: Storage, name: str) -> list[dict]:
     if current is None:
         return []
     version, parts = current
-    return [json.loads(storage.read_text(name, version, p, MANIFEST)) for p in parts]
+    texts = at_once(lambda p: storage.read_text(name, version, p, MANIFEST), parts)
+    return [json.loads(text) for text in texts]
 
 
 def _whole(key) -> int | None:
@@ -119,6 +141,7 @@ def _write_part(
     manifest = {
         "rows": found["n"],
         "schema": json.loads(df.schema.json()),
+        "target_schema": json.loads(target_text(df.schema) or "null"),
         "key": key,
         "min_key": _whole(found.get("low")),
         "max_key": _whole(found.get("high")),
@@ -151,6 +174,12 @@ def _add_part(spark: SparkSession, df: DataFrame, target: FileTarget, name: str,
     if current is None:
         raise FileNotFoundError(target.qualified(name))
     version = current[0]
+    if len(current[1]) >= target.max_parts:
+        seen = Observation()
+        new = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        present = _read_files(spark, target, name)
+        _write_version(spark, present.unionByName(new), target, name, key)
+        return seen.get["n"]
     number = _next(_numbered(storage, PART, name, version), PART)
     where = (name, version, f"p{number:06d}-{run}")
     try:
@@ -198,33 +227,84 @@ def _read_files(spark: SparkSession, target: FileTarget, name: str) -> DataFrame
 # Catalog tables ----------------------------------------------------------
 
 
+CATALOG_VERSION = re.compile(r"v(\d{10})-[0-9a-f]+")
+
+
+def _leftover(target: CatalogTarget, name: str) -> str:
+    return f"{quoted(target.database)}.{quoted(f'{name}__replaced')}"
+
+
+def _catalog_name(target: CatalogTarget, name: str) -> str:
+    return f"{quoted(target.database)}.{quoted(name)}"
+
+
+def recover_catalog(spark: SparkSession, target: CatalogTarget, name: str) -> None:
+    """Put a table back that a run was about to replace when it was killed."""
+    final, old = _catalog_name(target, name), _leftover(target, name)
+    if spark.catalog.tableExists(old):
+        if spark.catalog.tableExists(final):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {final}")
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def _same_columns(spark: SparkSession, table: str, schema: T.StructType, format: str) -> bool:
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Provider'").collect()
+    provider = described[0].data_type.lower() if described else ""
+    pairs = [[(f.name, f.dataType) for f in s.fields] for s in (spark.table(table).schema, schema)]
+    return provider == format.lower() and pairs[0] == pairs[1]
+
+
 def _write_catalog(spark: SparkSession, df: DataFrame, target: CatalogTarget, name: str) -> int:
-    """Write a table beside the old one, then swap the names."""
-    run = new_run()
-    final = f"{quoted(target.database)}.{quoted(name)}"
-    staged = f"{quoted(target.database)}.{quoted(f'{name}__staged_{run}')}"
-    old = f"{quoted(target.database)}.{quoted(f'{name}__old_{run}')}"
+    """Write a new version of the files, then point the table at it.
+
+    That is one call to the catalog for a table of the same columns. For others, the old
+    table is renamed, the new one is made, and the old one dropped; a run that dies in
+    between leaves the renamed table, which the next read or write puts back.
+    """
+    recover_catalog(spark, target, name)
+    final, old = _catalog_name(target, name), _leftover(target, name)
+    root = spark.catalog.getDatabase(target.database).locationUri
+    storage = Storage(spark, f"{root.rstrip('/')}/{name}__versions")
+    versions = _numbered(storage, CATALOG_VERSION)
+    version = f"v{_next(versions, CATALOG_VERSION):010d}-{new_run()}"
+    path = storage.path(version).toString()
+    exists = spark.catalog.tableExists(final)
     seen = Observation()
     try:
         (
             df.observe(seen, F.count(F.lit(1)).alias("n"))
             .write.format(target.format)
             .options(**target.write_options)
-            .saveAsTable(staged)
+            .save(path)
         )
-        replaced = spark.catalog.tableExists(final)
-        if replaced:
-            spark.sql(f"ALTER TABLE {final} RENAME TO {old}")
-        try:
-            spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
-        except Exception:
-            if replaced:
-                spark.sql(f"ALTER TABLE {old} RENAME TO {final}")
-            raise
-        if replaced:
-            spark.sql(f"DROP TABLE {old}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        if exists and _same_columns(spark, final, df.schema, target.format):
+            spark.sql(f"ALTER TABLE {final} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(final)
+        else:
+            if exists:
+                spark.sql(f"ALTER TABLE {final} RENAME TO {old}")
+            try:
+                spark.catalog.createTable(final, path, target.format, df.schema)
+            except Exception:
+                recover_catalog(spark, target, name)
+                raise
+            if exists:
+                spark.sql(f"DROP TABLE {old}")
+    except BaseException:
+        # Only what this run made, and only if no table reads it.
+        held = _location(spark, final) if spark.catalog.tableExists(final) else None
+        if held is None or not held.endswith(version):
+            storage.delete(version)
+        raise
+    # The version before stays for readers that have begun.
+    for older in versions[:-1]:
+        storage.delete(older)
     return seen.get["n"]
 
 
@@ -253,7 +333,8 @@ def target_exists(spark: SparkSession, target: Target, name: str) -> bool:
     if isinstance(target, FileTarget):
         return _current(Storage(spark, target.path), name) is not None
     if isinstance(target, CatalogTarget):
-        return spark.catalog.tableExists(f"{quoted(target.database)}.{quoted(name)}")
+        recover_catalog(spark, target, name)
+        return spark.catalog.tableExists(_catalog_name(target, name))
     try:
         spark.read.format(target.format).options(**target.write_options(name)).load()
     except Exception:
@@ -294,13 +375,13 @@ def write_snapshot(
         rows = _write_catalog(spark, df, target, name)
     else:
         rows = _write_connector(df, target, name, overwrite, create)
-    return Written(target.qualified(name), rows, df.schema.simpleString())
+    return _written(target.qualified(name), rows, df.schema)
 
 
 def append_increment(df: DataFrame, target: FileTarget, name: str, key: str) -> Written:
     """Add the rows of ``df`` to the current version, all of them or none."""
     rows = _add_part(df.sparkSession, df, target, name, key)
-    return Written(target.qualified(name), rows, df.schema.simpleString())
+    return _written(target.qualified(name), rows, df.schema)
 
 
 def read_snapshot(spark: SparkSession, target: Target, name: str) -> DataFrame:
@@ -308,7 +389,8 @@ def read_snapshot(spark: SparkSession, target: Target, name: str) -> DataFrame:
     if isinstance(target, FileTarget):
         return _read_files(spark, target, name)
     if isinstance(target, CatalogTarget):
-        return spark.table(f"{quoted(target.database)}.{quoted(name)}")
+        recover_catalog(spark, target, name)
+        return spark.table(_catalog_name(target, name))
     return spark.read.format(target.format).options(**target.write_options(name)).load()
 
 

@@ -28,7 +28,9 @@ SOURCE_OPTIONS = {
     "tables-blacklist": "blacklist",
     "auto-parallelize": "auto_split",
     "min-split-bytes": "min_split_bytes",
+    "max-splits": "max_splits",
     "split-by": "split_by",
+    "mutable-marker": "marker",
 }
 SPLIT_MEGABYTES = "megabytes-per-partition"
 TARGET_OPTIONS = {
@@ -40,8 +42,29 @@ JOB_OPTIONS = {
     "incremental-lookback": "lookback",
     "max-parallel-writers": "max_parallel_writers",
     "max-retries": "max_attempts",
+    "retry-wait-seconds": "retry_wait_seconds",
     "raise-on-failure": "raise_on_failure",
 }
+DECLARED_SCHEMAS = "declared-schemas"
+# Further keys of the sections, and the fields that they set.
+DATABASE_FIELDS = {
+    "driver": "driver",
+    "fetch-size": "fetchsize",
+    "options": "options",
+    "catalog": "catalog",
+}
+TARGET_FILES_FIELDS = {
+    "table-prefix": "prefix",
+    "verify": "verify",
+    "keep-versions": "keep_versions",
+    "max-parts": "max_parts",
+    "write-options": "write_options",
+}
+TARGET_CATALOG_FIELDS = {
+    "table-prefix": "prefix",
+    "format": "format",
+    "write-options": "write_options",
+}
 CREDENTIALS_VARIABLE = "GOOGLE_APPLICATION_CREDENTIALS"
 
 
@@ -60,7 +83,8 @@ class CopyOptions:
     auto_split: bool = True
     bytes_per_split: int = DEFAULT_BYTES_PER_SPLIT
     min_split_bytes: int = DEFAULT_MIN_SPLIT_BYTES
-    max_splits: int = 100_000
+    # None: as many as the size asks for.
+    max_splits: int | None = None
     # "range": equal-width key ranges. "rows": ranges of equal row counts, for keys
     # that are not spread evenly; costs one extra pass over the key column. "auto":
     # the former where keys are unique and dense, so that no range can be overfull.
@@ -81,7 +105,7 @@ class CopyOptions:
         object.__setattr__(self, "whitelist", _name_set(self.whitelist))
         object.__setattr__(self, "blacklist", _name_set(self.blacklist))
         for name in ("bytes_per_split", "max_splits", "max_parallel_writers"):
-            if getattr(self, name) < 1:
+            if getattr(self, name) is not None and getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
         for name in ("min_split_bytes", "lookback", "retry_wait_seconds"):
             if getattr(self, name) < 0:
@@ -103,13 +127,16 @@ class FileTarget:
     prefix: str = ""
     # Superseded versions kept for readers that still use them.
     keep_versions: int = 2
+    # With this many parts the next increment joins them all into a new version.
+    max_parts: int = 50
     # Count the rows of the written files, from their footers, before they appear.
     verify: bool = False
     write_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.keep_versions < 1:
-            raise ValueError("keep_versions must be at least 1")
+        for name in ("keep_versions", "max_parts"):
+            if getattr(self, name) < 1:
+                raise ValueError(f"{name} must be at least 1")
 
     def qualified(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
@@ -168,36 +195,52 @@ def _section(settings: Mapping[str, Any], name: str, required=()) -> Mapping[str
     return section
 
 
+def _known(section: Mapping[str, Any], where: str, *names) -> None:
+    """Refuse settings that would be ignored."""
+    unknown = sorted(set(section) - {n for group in names for n in group})
+    if unknown:
+        raise ValueError(f"unknown settings in {where}: {', '.join(unknown)}")
+
+
+def _fields(section: Mapping[str, Any], names: Mapping[str, str]) -> dict[str, Any]:
+    return {field: section[key] for key, field in names.items() if key in section}
+
+
 def _source(settings: Mapping[str, Any]):
     """The source and the section it comes from."""
     from snapsync.sources.files import FileSource
     from snapsync.sources.jdbc import JdbcSource
 
+    common = (SOURCE_OPTIONS, [SPLIT_MEGABYTES])
     if FILES_SECTION in settings:
         section = _section(settings, FILES_SECTION, ["path"])
+        _known(section, FILES_SECTION, ["path", "keys"], *common)
         return FileSource(section["path"], keys=section.get("keys", {})), section
     section = _section(settings, DATABASE_SECTION, DATABASE_KEYS)
+    _known(section, DATABASE_SECTION, DATABASE_KEYS, DATABASE_FIELDS, *common)
     chosen = {key: section[key] for key in DATABASE_KEYS}
-    for key, name in (("driver", "driver"), ("fetch-size", "fetchsize")):
-        if key in section:
-            chosen[name] = section[key]
-    return JdbcSource(**chosen), section
+    return JdbcSource(**chosen, **_fields(section, DATABASE_FIELDS)), section
 
 
 def _target(settings: Mapping[str, Any], env: Mapping[str, str]):
     """The target and the section it comes from."""
     if TARGET_FILES_SECTION in settings:
         section = _section(settings, TARGET_FILES_SECTION, ["path"])
-        prefix, verify = section.get("table-prefix", ""), section.get("verify", False)
-        return FileTarget(section["path"], prefix=prefix, verify=verify), section
+        _known(section, TARGET_FILES_SECTION, ["path"], TARGET_FILES_FIELDS, TARGET_OPTIONS)
+        return FileTarget(section["path"], **_fields(section, TARGET_FILES_FIELDS)), section
     if TARGET_CATALOG_SECTION in settings:
         section = _section(settings, TARGET_CATALOG_SECTION, ["database"])
-        return CatalogTarget(section["database"], prefix=section.get("table-prefix", "")), section
+        _known(
+            section, TARGET_CATALOG_SECTION, ["database"], TARGET_CATALOG_FIELDS, TARGET_OPTIONS
+        )
+        return CatalogTarget(section["database"], **_fields(section, TARGET_CATALOG_FIELDS)), section
     section = _section(settings, DATASET_SECTION, DATASET_KEYS)
+    _known(section, DATASET_SECTION, DATASET_KEYS, TARGET_OPTIONS, ["write-options"])
     project, bucket, dataset, prefix = (section[key] for key in DATASET_KEYS)
     options = {"temporaryGcsBucket": bucket, "parentProject": project}
     if env.get(CREDENTIALS_VARIABLE):
         options["credentialsFile"] = env[CREDENTIALS_VARIABLE]
+    options |= section.get("write-options", {})
     return ConnectorTarget(dataset, project, prefix=prefix, options=options), section
 
 
@@ -211,6 +254,11 @@ def load_settings(settings: Mapping[str, Any] | str, env: Mapping[str, str] | No
     """
     if isinstance(settings, str):
         settings = json.loads(settings)
+    sections = (
+        DATABASE_SECTION, DATASET_SECTION, FILES_SECTION, TARGET_FILES_SECTION,
+        TARGET_CATALOG_SECTION, DECLARED_SCHEMAS,
+    )
+    _known(settings, "the settings", sections, JOB_OPTIONS)
     source, source_section = _source(settings)
     target, target_section = _target(settings, os.environ if env is None else env)
     chosen = {

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from snapsync.functions.names import target_name
 from snapsync.options import MUTABLE_MARKER, CopyOptions
-from snapsync.plans.select import check_empty_estimates, select_tables, selected
+from snapsync.plans.select import chosen_tables, selected
 from snapsync.plans.splits import KEY_RANGES, key_range
 from snapsync.sources import catalog
 from snapsync.sources.base import INTEGRAL_TYPES, Opened, local_frame
 
 log = logging.getLogger(__name__)
 
-DENSE_SPAN = 4
-
 
 def _never_updated(marker: str) -> Column:
     return ~F.bool_or(F.lower("column_name") == marker.lower())
@@ -39,33 +37,25 @@ def bytes_to_sync(high_water: Column) -> Column:
 
 
 def split_count(options: CopyOptions) -> Column:
-    """Splits for the bytes to read: at least one, and without a second key column
-    no more than there are keys."""
+    """Splits for the bytes to read: at least one, and of an integral key without a second
+    column no more than there are keys."""
     by_size = F.ceil(F.col("bytes_to_sync") / F.lit(options.bytes_per_split))
-    n = F.least(by_size, F.lit(options.max_splits))
+    n = by_size if options.max_splits is None else F.least(by_size, F.lit(options.max_splits))
     span = (
         F.col("max_key").cast("decimal(20,0)") - F.col("min_key").cast("decimal(20,0)") + 1
     )
     n = F.when(F.col("second_column").isNull(), F.least(n, span)).otherwise(n)
     if not options.auto_split:
         n = F.lit(1)
-    n = F.when(F.col("key_column").isNotNull(), F.greatest(n, F.lit(1))).otherwise(F.lit(1))
-    return n.cast("int")
+    may_split = F.col("key_column").isNotNull() | F.col("by_order")
+    return F.when(may_split, F.greatest(n, F.lit(1))).otherwise(F.lit(1)).cast("int")
 
 
 def split_rule(options: CopyOptions) -> Column:
-    """How to place the split bounds: by key ``range``, or by ``rows``.
-
-    A range of unique keys cannot hold more rows than it is wide. If the keys span no
-    more than ``DENSE_SPAN`` times the rows, no equal-width range holds more than that
-    many times its share; else, and for keys that repeat, rows have to be counted.
-    """
-    if options.split_by != "auto":
-        rule = F.lit(options.split_by)
-    else:
-        span = F.col("max_key").cast("double") - F.col("min_key").cast("double")
-        dense = F.col("append_key").isNotNull() & (span <= F.col("table_rows") * DENSE_SPAN)
-        rule = F.when(dense, F.lit("range")).otherwise(F.lit("rows"))
+    """How to place the split bounds: by key ``range``, by ``rows`` that the source counts
+    per range, or by the ``order`` of keys that are not integral."""
+    rule = F.lit("range" if options.split_by == "range" else "rows")
+    rule = F.when(F.col("key_column").isNotNull(), rule).otherwise(F.lit("order"))
     return F.when(F.col("n_splits") > 1, rule)
 
 
@@ -105,9 +95,7 @@ def plan_tables(
     """
     spark = opened.spark
     if tables is None:
-        tables = select_tables(
-            check_empty_estimates(opened, catalog.tables(opened, sizes)), options
-        )
+        tables = chosen_tables(opened, options, sizes)
     described = (
         catalog.columns(opened)
         .groupBy("table_name")
@@ -136,6 +124,12 @@ def plan_tables(
             "primary_key",
             F.when(large & F.array_contains(integral, leading), leading).alias("split_key"),
             F.get(others, F.lit(0)).alias("split_second"),
+            # Databases order other keys, or hash the rows of tables without one.
+            (
+                F.lit(opened.splits_any_key)
+                & large
+                & ~F.coalesce(F.array_contains(integral, leading), F.lit(False))
+            ).alias("by_order"),
             F.when((F.size(key) == 1) & F.array_contains(integral, leading), leading).alias(
                 "append_key"
             ),

@@ -7,8 +7,7 @@ keys, the last is open above: whatever the bounds, each row is in exactly one.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
 from snapsync.sources import base
-from snapsync.sources.base import Opened
+from snapsync.sources.base import Cell, Opened, at_once
 
 LONG_SAFE = 2**62
 
@@ -111,27 +110,93 @@ def split_histogram(df: DataFrame, key: str, low: int, high: int, n: int) -> Dat
     )
 
 
-def balanced_starts(df: DataFrame, key: str, n: int) -> list[int]:
-    """Where the second and later of ``n`` ranges of about equal row counts start.
+# Pieces that an overfull range is cut into before it is counted again.
+REFINE = 16
 
-    One pass over the key column, merged from sketches of bounded size: the result
-    has ``n - 1`` numbers whatever the table's size. They are close to even, and the
-    ranges are whole in any case. A key that fills several ranges by itself comes up
-    several times.
+
+def even_cells(
+    count: Callable[[int, int, int], list[Cell]], low: int, high: int, n: int
+) -> list[tuple[int, int]]:
+    """About ``n`` ranges as (start, pieces), none above twice its share of the rows.
+
+    ``count(low, high, n)`` has the filled ones of ``n`` equally wide ranges. Ranges above
+    twice their share are cut and counted again, until they are small enough or a single
+    key; small neighbours are joined. Only counts travel, and each pass reads no more than
+    what is still overfull. A key that is too large by itself has as many ``pieces`` as
+    it needs.
     """
-    if n < 2:
-        return []
-    shares = ", ".join(f"{i / n!r}D" for i in range(1, n))
-    accuracy = min(100_000, max(10_000, 50 * n))
-    # As SQL text, since there may be thousands of shares.
-    k = f"CAST({quoted(key)} AS BIGINT)"
-    starts = F.expr(f"percentile_approx({k}, array({shares}), {accuracy})")
-    return list(df.agg(starts.alias("starts")).first().starts or [])
+    cells = count(low, high, n)
+    share = max(1, -(-sum(c.n_rows for c in cells) // n))
+    while wide := [c for c in cells if c.n_rows > 2 * share and c.low < c.high]:
+        finer = at_once(lambda c: count(c.low, c.high, REFINE), wide)
+        cells = [c for c in cells if c not in wide] + [c for part in finer for c in part]
+    packs: list[tuple[int, int]] = []
+    held = share
+    for c in sorted(cells, key=lambda c: c.low):
+        if c.n_rows > 2 * share:
+            packs.append((c.low, -(-c.n_rows // share)))
+            held = share
+        elif held + c.n_rows > share:
+            packs.append((c.low, 1))
+            held = c.n_rows
+        else:
+            held += c.n_rows
+    return packs
+
+
+def split_predicates(
+    opened: Opened, name: str, columns: Sequence[str], n: int, where: str | None = None
+) -> list[str]:
+    """SQL predicates, about ``n``, that each row of a table (or of ``where``) meets once.
+
+    Ranges of the first column; a value of it that holds several shares is cut by ranges
+    of the next column, and so on. Where no column is left, by a hash of the last one, if
+    the database has a function for it.
+    """
+    if not columns:
+        return ["1 = 1"]
+    column, quote = columns[0], opened.quote
+    span = opened.key_stats(name, column, where).first()
+    if n < 2 or span.max_key is None:
+        return ["1 = 1"]
+
+    def count(low: int, high: int, parts: int) -> list[Cell]:
+        return opened.key_cells(name, column, low, high, parts, where)
+
+    packs = even_cells(count, span.min_key, span.max_key, n)
+    ranges = range_predicates(quote(column), [start for start, _ in packs[1:]])
+
+    def pieces(pack: tuple[tuple[int, int], str]) -> list[str]:
+        (start, parts), rows = pack
+        if parts < 2:
+            return [rows]
+        hot = f"{quote(column)} = {start}"
+        if columns[1:]:
+            inner = split_predicates(
+                opened, name, columns[1:], parts, f"{where} AND {hot}" if where else hot
+            )
+        else:
+            inner = opened.hash_predicates([column], parts) or ["1 = 1"]
+        return [rows] if inner == ["1 = 1"] else [f"{rows} AND {p}" for p in inner]
+
+    return [p for part in at_once(pieces, zip(packs, ranges)) for p in part]
+
+
+def split_by(predicates: Sequence[str]) -> tuple[Column, Column]:
+    """The number of the predicate that reads a row, and how many predicates do."""
+    meets = [F.coalesce(F.expr(p), F.lit(False)) for p in predicates]
+    number = F.coalesce(*[F.when(m, F.lit(i)) for i, m in enumerate(meets)])
+    hits = [m.cast("int") for m in meets]
+    return number, sum(hits[1:], hits[0])
 
 
 def range_predicates(column: str, starts: Sequence[int]) -> list[str]:
     """One SQL predicate per range; ``column`` is quoted for the database."""
-    cuts = sorted(set(starts))
+    return bound_predicates(column, sorted(set(starts)))
+
+
+def bound_predicates(column: str, cuts: Sequence) -> list[str]:
+    """One SQL predicate per range between literals in ascending order."""
     if not cuts:
         return ["1 = 1"]
     return [
@@ -156,21 +221,13 @@ def residue_predicates(column: str, n: int) -> list[str]:
 def composite_predicates(
     leading: str, second: str, starts: Sequence[int], n_residues: int = 1
 ) -> list[str]:
-    """Ranges on the leading key column times remainders of the second.
-
-    A start given several times marks a leading value that fills several splits;
-    its range is cut into that many more pieces.
-    """
-    repeats = Counter(starts)
-    cuts = sorted(repeats)
-    predicates = []
-    for rows, times in zip(range_predicates(leading, cuts), [1, *(repeats[c] for c in cuts)]):
-        pieces = times * n_residues
-        if pieces == 1:
-            predicates.append(rows)
-        else:
-            predicates += [f"{rows} AND {r}" for r in residue_predicates(second, pieces)]
-    return predicates
+    """Ranges on the leading key column times remainders of the second."""
+    residues = residue_predicates(second, n_residues)
+    return [
+        rows if n_residues == 1 else f"{rows} AND {r}"
+        for rows in range_predicates(leading, starts)
+        for r in residues
+    ]
 
 
 def composite_split_of(

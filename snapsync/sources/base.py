@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -78,9 +80,13 @@ def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType
     return spark.createDataFrame(table, schema)
 
 
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    """One DataFrame of all rows, as a shallow tree of unions."""
+def union_all(frames: Iterable[DataFrame], empty: DataFrame | None = None) -> DataFrame:
+    """One DataFrame of all rows, as a shallow tree of unions; ``empty`` for no frames."""
     level = list(frames)
+    if not level:
+        if empty is None:
+            raise ValueError("a union of no frames")
+        return empty
     while len(level) > 1:
         level = [
             reduce(DataFrame.unionByName, level[i : i + 8]) for i in range(0, len(level), 8)
@@ -88,13 +94,33 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return level[0]
 
 
+@dataclass(frozen=True)
+class Cell:
+    """Keys from ``low`` to ``high``, both of which occur, and their rows."""
+
+    low: int
+    high: int
+    n_rows: int
+
+
+def at_once(call: Callable, items: Iterable) -> list:
+    """``call`` of each item, eight at a time: the driver's calls mostly wait."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(call, items))
+
+
 class Opened:
     """A source bound to a session."""
 
     spark: SparkSession
     database: str
+    # Whether tables without an integral key can be read in several queries.
+    splits_any_key = False
 
-    def tables(self, sizes: str = "stored") -> DataFrame:
+    def tables(
+        self, sizes: str = "stored", wanted: Callable[[str], bool] | None = None
+    ) -> DataFrame:
+        """The tables; those that are not ``wanted`` need not be measured."""
         raise NotImplementedError
 
     def columns(self) -> DataFrame:
@@ -110,10 +136,28 @@ class Opened:
         """The whole table, in one unsplit scan where the source is a database."""
         raise NotImplementedError
 
-    def key_stats(self, name: str, key: str) -> DataFrame:
+    def quote(self, name: str) -> str:
+        """A name as the source's predicates have it."""
+        raise NotImplementedError
+
+    def key_stats(self, name: str, key: str, where: str | None = None) -> DataFrame:
         """One row ``(min_key, max_key)`` of longs, NULL for an empty table."""
         raise NotImplementedError
 
+    def key_cells(
+        self, name: str, key: str, low: int, high: int, n: int, where: str | None = None
+    ) -> list[Cell]:
+        """The filled ones of ``n`` equally wide ranges of the keys ``low..high``."""
+        raise NotImplementedError
+
+    def hash_predicates(self, columns: Sequence[str], n: int) -> list[str] | None:
+        """``n`` predicates by a hash of columns; None if the source has no function."""
+        return None
+
+    def append_stats(self, name: str, key: str) -> DataFrame:
+        """One row ``(max_key, null_keys)``: what an increment has to know beforehand."""
+        raise NotImplementedError
+
     def probe_empty_estimates(self) -> bool:
         """Whether a row count of zero is an estimate that needs a look."""
         return False

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +21,19 @@ CANDIDATES = T.StructType(
     ]
 )
 
-# Rows looked at to rule columns out before any is counted.
-FIRST_ROWS = 2_000
+# The error of estimated distinct counts. A column is ruled out only if the estimate is
+# below half the rows, which is ten times that error away from a key.
+DISTINCT_ERROR = 0.05
 
 KEY_JOIN = ["constraint_name", "table_schema", "table_name"]
 
 
-def tables(opened: Opened, sizes: str = "stored") -> DataFrame:
+def tables(
+    opened: Opened, sizes: str = "stored", wanted: Callable[[str], bool] | None = None
+) -> DataFrame:
     """One row per base table of the source's database, with its size."""
     return (
-        opened.tables(sizes)
+        opened.tables(sizes, wanted)
         .filter(F.col("table_schema") == opened.database)
         .filter(F.col("data_length").isNotNull())
         .select(
@@ -88,88 +90,97 @@ def _compact(column: Column, data_type: T.DataType) -> Column:
     return F.when(F.octet_length(raw) >= 32, F.unhex(F.sha2(raw, 256))).otherwise(raw)
 
 
-def _repeated_at_once(df: DataFrame) -> set[str]:
-    """Columns with a repeated or missing value in the first rows of the table.
+def _profile(name: str, df: DataFrame) -> DataFrame | None:
+    """``table_name, column_name, is_open``: the columns that may be keys, in one pass
+    without a shuffle.
 
-    That is enough to rule a column out, and it does for most, without reading the
-    table. What it does not rule out is still to be counted.
+    A column with a NULL is no key, nor is one with fewer possible values between its
+    least and greatest than there are rows, nor one with far fewer distinct values.
     """
-    names = [f.name for f in df.schema.fields if _can_be_key(f.dataType)]
-    values = [
-        _compact(F.col(quoted(n)), df.schema[n].dataType).alias(f"v{i}")
-        for i, n in enumerate(names)
-    ]
-    seen = df.select(values).take(FIRST_ROWS) if values else []
-    out = set()
-    for i, name in enumerate(names):
-        column = [bytes(r[i]) if isinstance(r[i], bytearray) else r[i] for r in seen]
-        if None in column or len(set(column)) < len(column):
-            out.add(name)
-    return out
-
-
-def _pigeonhole(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """``table_name, checks`` of integral columns, in one pass without a shuffle: a
-    column with a NULL is no key, nor is one with fewer possible values between its
-    least and greatest than there are rows."""
     n = F.count(F.lit(1))
     checks = []
-    for c in columns:
-        column = F.col(quoted(c))
-        wide = column.cast("decimal(20,0)")
-        out = (F.count(column) < n) | (F.max(wide) - F.min(wide) + 1 < n)
+    for f in df.schema.fields:
+        if not _can_be_key(f.dataType):
+            continue
+        column = F.col(quoted(f.name))
+        may_be = (
+            (n > 0)
+            & (F.count(column) == n)
+            & (F.approx_count_distinct(column, DISTINCT_ERROR) * 2 >= n)
+        )
+        if isinstance(f.dataType, T.IntegralType):
+            wide = column.cast("decimal(20,0)")
+            may_be = may_be & (F.max(wide) - F.min(wide) + 1 >= n)
         checks.append(
             F.struct(
-                F.lit(c).alias("column_name"),
-                F.coalesce(out, F.lit(True)).alias("ruled_out"),
+                F.lit(f.name).alias("column_name"),
+                F.coalesce(may_be, F.lit(False)).alias("is_open"),
             )
         )
-    return df.select(F.lit(name).alias("table_name"), F.array(*checks).alias("checks"))
+    if not checks:
+        return None
+    return df.select(F.lit(name).alias("table_name"), F.explode(F.array(checks)).alias("c")).select(
+        "table_name", "c.*"
+    )
+
+
+def _as_bytes(column: Column, data_type: T.DataType) -> Column:
+    """Values as bytes that are equal where the values are."""
+    if isinstance(data_type, T.TimestampType):
+        # As text, both sides of a clock change would be the same.
+        column = F.unix_micros(column)
+    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
+        column = F.when(column == 0, F.abs(column)).otherwise(column)
+    if not isinstance(data_type, T.BinaryType):
+        column = column.cast("string").cast("binary")
+    return _compact(column, T.BinaryType())
 
 
 def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
     """``table_name, column_name, ordinal_position, is_key`` for every column:
     whether the table has rows, none is NULL there and no two are the same.
 
-    Most columns are ruled out by the first rows, and more integral ones by a pass
-    without a shuffle. The rest is counted exactly, each column by a scan of its own
-    that reads nothing else.
+    One pass over each table rules out most columns. The values of the others are
+    counted exactly, all of them in one shuffle; values stay in Spark.
     """
     if not frames:
         raise ValueError("no tables to profile")
     spark = next(iter(frames.values())).sparkSession
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        repeated = pool.map(_repeated_at_once, frames.values())
-        ruled_out = {(t, c) for t, columns in zip(frames, repeated) for c in columns}
-    integral = {
-        name: [
-            f.name
-            for f in df.schema.fields
-            if isinstance(f.dataType, T.IntegralType) and (name, f.name) not in ruled_out
-        ]
-        for name, df in frames.items()
+    profiles = [p for p in (_profile(name, df) for name, df in frames.items()) if p is not None]
+    may_be = {
+        (r.table_name, r.column_name)
+        for r in (base.union_all(profiles).filter("is_open").collect() if profiles else ())
     }
-    passes = [_pigeonhole(name, frames[name], c) for name, c in integral.items() if c]
-    if passes:
-        for r in base.union_all(passes).collect():
-            ruled_out |= {(r.table_name, c.column_name) for c in r.checks if c.ruled_out}
-    settled, counted = [], []
+    listed, values = [], []
     for name, df in frames.items():
+        counted = []
         for position, f in enumerate(df.schema.fields, start=1):
-            if (name, f.name) in ruled_out or not _can_be_key(f.dataType):
-                settled.append((name, f.name, position, False))
-                continue
-            n = F.count(F.lit(1))
-            n_values = F.count_distinct(_compact(F.col(quoted(f.name)), f.dataType))
-            counted.append(
-                df.select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(f.name).alias("column_name"),
-                    F.lit(position).alias("ordinal_position"),
-                    ((n == n_values) & (n > 0)).alias("is_key"),
+            listed.append((name, f.name, position, False))
+            if (name, f.name) in may_be:
+                value = _as_bytes(F.col(quoted(f.name)), f.dataType)
+                counted.append(
+                    F.struct(F.lit(f.name).alias("column_name"), value.alias("v"))
+                )
+        if counted:
+            values.append(
+                df.select(F.explode(F.array(counted)).alias("c")).select(
+                    F.lit(name).alias("table_name"), "c.*"
                 )
             )
-    return base.union_all([base.local_frame(spark, settled, CANDIDATES), *counted])
+    columns = base.local_frame(spark, listed, CANDIDATES)
+    if not values:
+        return columns
+    which = ["table_name", "column_name"]
+    found = (
+        base.union_all(values)
+        .groupBy(*which, "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*which)
+        .agg((F.max("n") == 1).alias("unique"))
+    )
+    return columns.join(found, which, "left").select(
+        *which, "ordinal_position", F.coalesce("unique", F.lit(False)).alias("is_key")
+    )
 
 
 def check_keys(frames: dict[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -195,16 +206,29 @@ def check_keys(frames: dict[str, DataFrame], keys: Mapping[str, Sequence[str]])
     return base.union_all(counted)
 
 
-def inferred_constraints(candidates: DataFrame, database: str) -> tuple[DataFrame, DataFrame]:
-    """Candidate keys as ``(constraints, key_usage)``: the first of a table
-    becomes its primary key, the others are unique constraints."""
+def inferred_constraints(
+    candidates: DataFrame, columns: DataFrame, database: str
+) -> tuple[DataFrame, DataFrame]:
+    """Candidate keys as ``(constraints, key_usage)``, as a guess.
+
+    The first integral one of a table becomes its primary key, the others are unique
+    constraints: a column of texts or measurements that happen to differ is no key.
+    """
     spark = candidates.sparkSession
+    integral = F.lower("data_type").isin(*base.INTEGRAL_TYPES).alias("integral")
+    kinds = columns.select("table_name", "column_name", integral)
     # One short row per key column; both relations are built from it.
-    found = candidates.filter("is_key").orderBy("table_name", "ordinal_position").collect()
+    found = (
+        candidates.filter("is_key")
+        .join(kinds, ["table_name", "column_name"])
+        .orderBy("table_name", "ordinal_position")
+        .collect()
+    )
     constraints, usage, seen = [], [], set()
     for r in found:
-        primary = r.table_name not in seen
-        seen.add(r.table_name)
+        primary = r.integral and r.table_name not in seen
+        if primary:
+            seen.add(r.table_name)
         name = "PRIMARY" if primary else f"unique_{r.column_name}"
         kind = "PRIMARY KEY" if primary else "UNIQUE"
         constraints.append((name, database, r.table_name, kind))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -72,7 +72,9 @@ class OpenedFiles(base.Opened):
         """Each readable table as a scan."""
         return {n: df for n, df in self._opened.items() if isinstance(df, DataFrame)}
 
-    def tables(self, sizes: str = "stored") -> DataFrame:
+    def tables(
+        self, sizes: str = "stored", wanted: Callable[[str], bool] | None = None
+    ) -> DataFrame:
         """Tables with their sizes, measured in one of three ways.
 
         ``stored``: the size of the files. Whether a table is empty takes a look at
@@ -82,11 +84,13 @@ class OpenedFiles(base.Opened):
         """
         if sizes not in ("stored", "counted", "logical"):
             raise ValueError("sizes must be 'stored', 'counted' or 'logical'")
-        frames = self.frames
+        wanted = wanted or (lambda name: True)
+        frames = {n: df for n, df in self.frames.items() if wanted(n)}
+        locations = {n: at for n, at in self.locations.items() if wanted(n)}
         empty: set[str] = set()
         with ThreadPoolExecutor(max_workers=8) as pool:
-            measured = pool.map(lambda at: Storage(self.spark, at).size(), self.locations.values())
-            stored = dict(zip(self.locations, measured))
+            measured = pool.map(lambda at: Storage(self.spark, at).size(), locations.values())
+            stored = dict.fromkeys(self.locations, 0) | dict(zip(locations, measured))
             if sizes == "stored":
                 looked = pool.map(DataFrame.isEmpty, frames.values())
                 empty = {n for n, is_empty in zip(frames, looked) if is_empty}
@@ -156,6 +160,36 @@ class OpenedFiles(base.Opened):
             raise opened
         return opened
 
-    def key_stats(self, name: str, key: str) -> DataFrame:
+    def quote(self, name: str) -> str:
+        return quoted(name)
+
+    def _rows(self, name: str, where: str | None) -> DataFrame:
+        df = self.read(name)
+        return df.filter(where) if where else df
+
+    def key_stats(self, name: str, key: str, where: str | None = None) -> DataFrame:
         column = F.col(quoted(key)).cast("long")
-        return self.read(name).agg(F.min(column).alias("min_key"), F.max(column).alias("max_key"))
+        return self._rows(name, where).agg(
+            F.min(column).alias("min_key"), F.max(column).alias("max_key")
+        )
+
+    def key_cells(
+        self, name: str, key: str, low: int, high: int, n: int, where: str | None = None
+    ) -> list[base.Cell]:
+        k = F.col(quoted(key)).cast("long")
+        width = -(-(high - low + 1) // n)
+        offset = k.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+        cells = (
+            self._rows(name, where)
+            .filter(k.between(low, high))
+            .groupBy(F.floor(offset / F.lit(width).cast("decimal(20,0)")).alias("cell"))
+            .agg(F.min(k).alias("low"), F.max(k).alias("high"), F.count(F.lit(1)).alias("n"))
+        )
+        return [base.Cell(r.low, r.high, r.n) for r in cells.collect()]
+
+    def append_stats(self, name: str, key: str) -> DataFrame:
+        column = F.col(quoted(key))
+        return self.read(name).agg(
+            F.max(column).cast("decimal(38,0)").alias("max_key"),
+            F.count_if(column.isNull()).alias("null_keys"),
+        )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+import re
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -16,8 +19,37 @@ from snapsync.sources import base
 # Fixed value: the driver class of MySQL's own connector.
 MYSQL_DRIVER = "com.mysql.cj.jdbc.Driver"
 
+# Where passwords are: in options, as a parameter of a URL, or before its host.
+SECRET_NAME = re.compile(r"(?i)password|passwd|pwd|secret|token")
+SECRET_IN_URL = re.compile(r"(?i)[?&;,(](?:password|passwd|pwd)=([^&;,)]+)")
+SECRET_BEFORE_HOST = re.compile(r"//[^/:@]*:([^/@]+)@")
+
 LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
+# Codes of java.sql.Types, with the bytes of a value, and the names that the
+# catalog has for the integral ones and for dates and timestamps.
+FIXED_WIDTHS = {
+    -7: 1, 16: 1, -6: 1, 5: 2, 4: 4, -5: 8, 7: 4, 6: 8, 8: 8, 2: 16, 3: 16, 91: 4, 92: 8,
+    93: 8, 2013: 8, 2014: 8,
+}
+TYPE_NAMES = {5: "smallint", 4: "integer", -5: "bigint", 91: "date", 93: "timestamp"}
+# Functions for the bytes of a value, where it is not OCTET_LENGTH.
+OCTET_FUNCTIONS = {
+    "jdbc:sqlserver:": "DATALENGTH({})",
+    "jdbc:oracle:": "LENGTH({})",
+    "jdbc:derby:": "LENGTH({})",
+}
+
+# A function that hashes columns to numbers from 0, and what joins them.
+HASH_FUNCTIONS = {
+    "jdbc:mysql:": ("CRC32(CONCAT_WS('|', {}))", ", "),
+    "jdbc:mariadb:": ("CRC32(CONCAT_WS('|', {}))", ", "),
+    "jdbc:postgresql:": ("ABS(CAST(HASHTEXT(CONCAT_WS('|', {})) AS BIGINT))", ", "),
+    "jdbc:oracle:": ("ORA_HASH({})", " || '|' || "),
+}
+
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -28,7 +60,8 @@ class JdbcSource:
     without one. By default MySQL-like URLs use the former.
     """
 
-    url: str
+    # Not shown: it may hold a password.
+    url: str = field(repr=False)
     database: str
     user: str | None = None
     password: str | None = field(default=None, repr=False)
@@ -44,6 +77,20 @@ class JdbcSource:
     def is_mysql(self) -> bool:
         return self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
 
+    def secrets(self) -> list[str]:
+        """Texts that must not be logged, the longest first."""
+        found = {self.password}
+        found |= {v for k, v in self.options.items() if SECRET_NAME.search(k)}
+        for url in (self.url, self.options.get("url", "")):
+            found |= {m[1] for m in SECRET_IN_URL.finditer(url)}
+            found |= {m[1] for m in SECRET_BEFORE_HOST.finditer(url)}
+        return sorted((t for t in found if t), key=len, reverse=True)
+
+    def masked(self, text: str) -> str:
+        for secret in self.secrets():
+            text = text.replace(secret, "***")
+        return text
+
     @property
     def catalog_kind(self) -> str:
         return self.catalog or ("information_schema" if self.is_mysql else "metadata")
@@ -55,7 +102,9 @@ class JdbcSource:
             # Without a cursor the driver holds the whole result in memory,
             # whatever the fetch size.
             url += ("&" if "?" in url else "?") + "useCursorFetch=true"
-        chosen = {"url": url, "fetchsize": str(self.fetchsize)}
+        # Database timestamps without a zone stay without one; read as instants they
+        # would shift with the zone of each JVM.
+        chosen = {"url": url, "fetchsize": str(self.fetchsize), "preferTimestampNTZ": "true"}
         driver = self.driver or (MYSQL_DRIVER if self.url.startswith("jdbc:mysql:") else None)
         for key, value in (("user", self.user), ("password", self.password), ("driver", driver)):
             if value is not None:
@@ -64,11 +113,21 @@ class JdbcSource:
         return chosen
 
 
+def literal(number: int) -> str:
+    """A long as SQL; the least one has no literal of its own."""
+    return f"({LONG_MIN + 1} - 1)" if number == LONG_MIN else f"({number})"
+
+
 def sql_string(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
 class OpenedJdbc(base.Opened):
+    @property
+    def splits_any_key(self) -> bool:
+        # Derby numbers rows, but in no order that can be asked for.
+        return not self.source.url.startswith("jdbc:derby:")
+
     def __init__(self, spark: SparkSession, source: JdbcSource):
         self.spark = spark
         self.source = source
@@ -87,11 +146,13 @@ class OpenedJdbc(base.Opened):
     def query(self, sql: str) -> DataFrame:
         return self._reader().option("query", sql).load()
 
-    def _information_schema(self, relation: str, schema: T.StructType) -> DataFrame:
+    def _information_schema(
+        self, relation: str, schema: T.StructType, where: str = ""
+    ) -> DataFrame:
         names = ", ".join(schema.fieldNames())
         df = self.query(
             f"SELECT {names} FROM information_schema.{relation}"
-            f" WHERE table_schema = {sql_string(self.database)}"
+            f" WHERE table_schema = {sql_string(self.database)}{where}"
         )
         # Databases differ in the case and the integer types they answer with.
         df = df.toDF(*schema.fieldNames())
@@ -99,11 +160,13 @@ class OpenedJdbc(base.Opened):
 
     # Catalog relations ---------------------------------------------------
 
-    def tables(self, sizes: str = "stored") -> DataFrame:
+    def tables(
+        self, sizes: str = "stored", wanted: Callable[[str], bool] | None = None
+    ) -> DataFrame:
         """Catalog figures; the row counts may be estimates. Views have no size."""
         if self.source.catalog_kind == "metadata":
-            return self._metadata_tables()
-        return self._information_schema("tables", base.TABLES)
+            return self._metadata_tables(wanted or (lambda name: True))
+        return self._information_schema("tables", base.TABLES, " AND data_length IS NOT NULL")
 
     def columns(self) -> DataFrame:
         if self.source.catalog_kind == "metadata":
@@ -146,39 +209,70 @@ class OpenedJdbc(base.Opened):
         finally:
             connection.close()
 
+    def _pattern(self, metadata) -> str:
+        """The database's name, where metadata calls take a LIKE pattern."""
+        escape = metadata.getSearchStringEscape() or ""
+        return re.sub(r"[_%]", lambda m: escape + m[0], self.database) if escape else self.database
+
+    def _in_database(self, row: dict) -> bool:
+        # Some drivers have databases as catalogs, and then no schema.
+        return row.get("TABLE_SCHEM") in (None, "", self.database)
+
     def _metadata_names(self) -> list[str]:
         kinds = self.spark.sparkContext._gateway.new_array(self.spark._jvm.java.lang.String, 1)
         kinds[0] = "TABLE"
-        rows = self._metadata(lambda m: m.getTables(None, self.database, "%", kinds))
-        return sorted(r["TABLE_NAME"] for r in rows)
+        rows = self._metadata(lambda m: m.getTables(None, self._pattern(m), "%", kinds))
+        return sorted({r["TABLE_NAME"] for r in rows if self._in_database(r)})
 
     def _metadata_column_rows(self) -> list[dict]:
         tables = set(self._metadata_names())
-        rows = self._metadata(lambda m: m.getColumns(None, self.database, "%", "%"))
-        return [r for r in rows if r["TABLE_NAME"] in tables]
+        rows = self._metadata(lambda m: m.getColumns(None, self._pattern(m), "%", "%"))
+        return [r for r in rows if r["TABLE_NAME"] in tables and self._in_database(r)]
+
+    def _measured(self, name: str, long_columns: list[str], width: int) -> tuple:
+        """Rows and bytes of a table, counted in the database; unknown if that fails.
 
-    def _metadata_tables(self) -> DataFrame:
-        # The driver knows no sizes: count in the database, and take the declared
-        # column widths for the size of a row.
-        widths: dict[str, int] = {}
+        Columns without a fixed width are measured, not guessed from their type.
+        """
+        lengths = "".join(
+            f" + COALESCE(SUM(CAST({self._octets(c)} AS BIGINT)), 0)" for c in long_columns
+        )
+        sql = f"SELECT COUNT(*) AS n, COUNT(*) * {width}{lengths} AS b FROM {self.qualified(name)}"
+        try:
+            found = self.query(sql).toDF("n", "b").first()
+            return (self.database, name, int(found.n), int(found.b or 0), 0)
+        except Exception as e:
+            # Planned unsplit; the copy will fail alike, and report it.
+            log.warning("no size of %s: %s", name, type(e).__name__)
+            return (self.database, name, None, 0, 0)
+
+    def _octets(self, column: str) -> str:
+        quoted_column = self.quote(column)
+        for start, function in OCTET_FUNCTIONS.items():
+            if self.source.url.startswith(start):
+                return function.format(quoted_column)
+        return f"OCTET_LENGTH({quoted_column})"
+
+    def _metadata_tables(self, wanted: Callable[[str], bool]) -> DataFrame:
+        # The driver knows no sizes: the database counts, one query per table.
+        fixed: dict[str, int] = {}
+        longer: dict[str, list[str]] = {}
         for r in self._metadata_column_rows():
-            width = min(int(r["COLUMN_SIZE"] or 8), 8 if "CHAR" not in r["TYPE_NAME"] else 1 << 16)
-            widths[r["TABLE_NAME"]] = widths.get(r["TABLE_NAME"], 0) + max(width, 1)
-        counts = [
-            self.query(f"SELECT COUNT(*) AS n FROM {self.qualified(name)}")
-            .toDF("n")
-            .select(
-                F.lit(self.database).alias("table_schema"),
-                F.lit(name).alias("table_name"),
-                F.col("n").cast("long").alias("table_rows"),
-                (F.col("n").cast("long") * F.lit(width)).cast("long").alias("data_length"),
-                F.lit(0).cast("long").alias("index_length"),
-            )
-            for name, width in sorted(widths.items())
-        ]
-        if not counts:
-            return base.local_frame(self.spark, [], base.TABLES)
-        return base.union_all(counts)
+            name, code = r["TABLE_NAME"], int(r["DATA_TYPE"])
+            fixed.setdefault(name, 0)
+            if code in FIXED_WIDTHS:
+                fixed[name] += FIXED_WIDTHS[code]
+            else:
+                longer.setdefault(name, []).append(r["COLUMN_NAME"])
+
+        def measure(name: str) -> tuple:
+            if not wanted(name):
+                return (self.database, name, None, 0, 0)
+            return self._measured(name, longer.get(name, []), fixed[name])
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            rows = list(pool.map(measure, sorted(fixed)))
+        return base.local_frame(self.spark, rows, base.TABLES)
 
     def _metadata_columns(self) -> DataFrame:
         rows = [
@@ -187,7 +281,8 @@ class OpenedJdbc(base.Opened):
                 r["TABLE_NAME"],
                 r["COLUMN_NAME"],
                 int(r["ORDINAL_POSITION"]),
-                r["TYPE_NAME"].lower(),
+                # The portable code where there is a name for it; vendors have their own.
+                TYPE_NAMES.get(int(r["DATA_TYPE"]), r["TYPE_NAME"].lower()),
             )
             for r in self._metadata_column_rows()
         ]
@@ -246,12 +341,13 @@ class OpenedJdbc(base.Opened):
             url, self.qualified(name), predicates=predicates, properties=options
         )
 
-    def key_stats(self, name: str, key: str) -> DataFrame:
+    def key_stats(self, name: str, key: str, where: str | None = None) -> DataFrame:
         # Written as SQL because the reader would fetch every key to aggregate.
         column = self.quote(key)
+        rows = f" WHERE {where}" if where else ""
         df = self.query(
             f"SELECT MIN({column}) AS min_key, MAX({column}) AS max_key"
-            f" FROM {self.qualified(name)}"
+            f" FROM {self.qualified(name)}{rows}"
         ).toDF("min_key", "max_key")
         # Keys beyond the long range cannot be split columns.
         fits = F.col("max_key").cast("decimal(38,0)") <= F.lit(LONG_MAX)
@@ -259,5 +355,82 @@ class OpenedJdbc(base.Opened):
             [F.when(fits, F.col(c)).cast("long").alias(c) for c in ("min_key", "max_key")]
         )
 
+    def key_cells(
+        self, name: str, key: str, low: int, high: int, n: int, where: str | None = None
+    ) -> list[base.Cell]:
+        """Counted by the database along its index, in up to eight queries at a time."""
+        width = -(-(high - low + 1) // n)
+        each = -(-n // 8) * width
+        starts = range(low, high + 1, each)
+        parts = base.at_once(
+            lambda a: self._counted(name, key, a, min(a + each - 1, high), width, where), starts
+        )
+        return [cell for part in parts for cell in part]
+
+    def _counted(
+        self, name: str, key: str, low: int, high: int, width: int, where: str | None
+    ) -> list[base.Cell]:
+        column = self.quote(key)
+        rows = f"{column} >= {literal(low)} AND {column} <= {literal(high)}"
+        rows += f" AND {where}" if where else ""
+        offset = f"({column} - {literal(low)})"
+        # SQL Server divides integers and has no MOD; others may divide to a fraction.
+        whole = offset if self.is_sql_server else f"({offset} - MOD({offset}, {width}))"
+        df = self.query(
+            "SELECT cell, MIN(k) AS low_key, MAX(k) AS high_key, COUNT(*) AS n_rows FROM"
+            f" (SELECT {column} AS k, {whole} / {width} AS cell"
+            f" FROM {self.qualified(name)} WHERE {rows}) cells GROUP BY cell"
+        ).toDF("cell", "low", "high", "n")
+        return [base.Cell(int(r.low), int(r.high), int(r.n)) for r in df.collect()]
+
+    @property
+    def is_sql_server(self) -> bool:
+        return self.source.url.startswith("jdbc:sqlserver:")
+
+    def hash_predicates(self, columns: Sequence[str], n: int) -> list[str] | None:
+        names = [self.quote(c) for c in columns]
+        for start, (function, glue) in HASH_FUNCTIONS.items():
+            if self.source.url.startswith(start):
+                hashed = function.format(glue.join(names))
+                return [f"(MOD({hashed}, {n}) = {i})" for i in range(n)]
+        return None
+
+    def key_bounds(self, name: str, key: str, n: int) -> list[str]:
+        """Literals of the keys that cut a table of any ordered key into ``n`` even ranges.
+
+        The database numbers the keys in the order of its index and sends every n-th.
+        """
+        column, table = self.quote(key), self.qualified(name)
+        total = self.query(f"SELECT COUNT({column}) AS n FROM {table}").toDF("n").first().n
+        step = max(1, -(-int(total) // n))
+        nth = f"(place - 1) % {step} = 0" if self.is_sql_server else f"MOD(place - 1, {step}) = 0"
+        df = self.query(
+            "SELECT place, k FROM"
+            f" (SELECT {column} AS k, ROW_NUMBER() OVER (ORDER BY {column}) AS place"
+            f" FROM {table} WHERE {column} IS NOT NULL) ordered WHERE place > 1 AND {nth}"
+        ).toDF("place", "k")
+        kind = df.schema["k"].dataType
+        # In the order of the database, which may not be that of the texts.
+        rows = df.select("place", F.col("k").cast("string")).collect()
+        found = [r.k for r in sorted(rows, key=lambda r: int(r.place))]
+        if isinstance(kind, T.StringType):
+            escaped = [k.replace("\\", "\\\\") if self.source.is_mysql else k for k in found]
+            return [sql_string(k) for k in escaped]
+        if isinstance(kind, T.DateType):
+            return [f"DATE {sql_string(k)}" for k in found]
+        if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+            return [f"TIMESTAMP {sql_string(k)}" for k in found]
+        return found if isinstance(kind, (T.DecimalType, T.IntegralType)) else []
+
+    def append_stats(self, name: str, key: str) -> DataFrame:
+        # A primary key has no NULLs, and its greatest value is at the end of the index.
+        stats = self.query(
+            f"SELECT MAX({self.quote(key)}) AS max_key FROM {self.qualified(name)}"
+        ).toDF("max_key")
+        return stats.select(
+            F.col("max_key").cast("decimal(38,0)").alias("max_key"),
+            F.lit(0).cast("long").alias("null_keys"),
+        )
+
     def probe_empty_estimates(self) -> bool:
         return self.source.catalog_kind == "information_schema"

@@ -11,17 +11,16 @@ from pyspark.sql import functions as F
 from snapsync.functions.names import quoted
 from snapsync.options import CopyOptions
 from snapsync.plans.splits import (
-    balanced_starts,
+    bound_predicates,
     composite_predicates,
-    range_predicates,
     range_starts,
-    residue_predicates,
+    split_predicates,
 )
 from snapsync.sources.base import Opened
 from snapsync.sources.jdbc import OpenedJdbc
 
-# Queries for the keys of a table; prime, as keys often have common factors.
-KEY_SHARES = 13
+# Queries of a table without any key: each scans all of it in the database.
+HASH_SPLITS = 8
 
 
 def read_table(
@@ -52,22 +51,34 @@ def read_table(
     if above is not None:
         n, high = (n, high) if high is not None and high > above else (1, above)
         return opened.read_range(name, row["append_key"], above, high, n, above)
-    if key is None or low is None or high is None or n < 2:
+    if n < 2:
         return opened.read(name)
+    if row.get("split_by") == "order":
+        return _without_integral_key(opened, name, row, n)
+    if key is None or low is None or high is None:
+        return opened.read(name)
+    columns = [key] if second is None else [key, second]
+    if (row.get("split_by") or options.split_by) == "rows":
+        return opened.read_where(name, split_predicates(opened, name, columns, n))
     n_ranges = min(n, high - low + 1)
-    by_rows = (row.get("split_by") or options.split_by) == "rows"
-    if by_rows:
-        # Where the rows are is not known yet, so this pass goes by remainders: each
-        # query scans the index, and fetches an even share of the keys.
-        shares = residue_predicates(opened.quote(second or key), KEY_SHARES)
-        starts = balanced_starts(opened.read_where(name, shares), key, n)
-        n_residues = 1
-    else:
+    n_residues = -(-n // n_ranges)
+    if second is not None and n_residues > 1:
+        leading, other = map(opened.quote, columns)
         starts = range_starts(low, high, n_ranges)
-        n_residues = -(-n // n_ranges)
-    if second is not None and (n_residues > 1 or len(set(starts)) < len(starts)):
-        leading, other = opened.quote(key), opened.quote(second)
         return opened.read_where(name, composite_predicates(leading, other, starts, n_residues))
-    if by_rows:
-        return opened.read_where(name, range_predicates(opened.quote(key), starts))
     return opened.read_range(name, key, low, high, n_ranges)
+
+
+def _without_integral_key(opened: OpenedJdbc, name: str, row: Mapping[str, Any], n: int):
+    """Parallel queries of a table that has no integral key to cut by.
+
+    Ranges of its leading key column, placed by the order of the database's index; without
+    a key remainders of a hash of its columns, each of which scans the table.
+    """
+    key = row.get("primary_key")
+    if key:
+        # NULLs, and keys below the first bound, are in the first range.
+        bounds = opened.key_bounds(name, key[0], n)
+        return opened.read_where(name, bound_predicates(opened.quote(key[0]), bounds))
+    hashed = opened.hash_predicates(opened.read(name).columns, min(n, HASH_SPLITS))
+    return opened.read_where(name, hashed) if hashed else opened.read(name)

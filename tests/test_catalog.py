@@ -117,7 +117,9 @@ def test_information_schema(information_schema):
 
 def test_stale_zero_counts_are_checked(information_schema):
     tables = catalog.tables(information_schema)
-    chosen = select_tables(check_empty_estimates(information_schema, tables), CopyOptions())
+    options = CopyOptions()
+    checked = check_empty_estimates(information_schema, tables, options)
+    chosen = select_tables(checked, options)
     reasons = dict(rows(chosen.select("table_name", "skip_reason")))
     assert reasons["hollow"] == "empty" and reasons["stale"] is None
 
@@ -186,20 +188,58 @@ def test_split_rule(information_schema, split_by, big, pair):
     assert [found[t].split_by for t in ("big", "pair", "stale")] == [big, pair, None]
 
 
-def test_dense_keys_are_split_by_range(spark, write_tables):
-    path = write_tables(
-        dense=spark.range(1000), sparse=spark.range(0, 100_000, 100).toDF("id")
-    )
-    opened = FileSource(path, keys={"dense": ["id"], "sparse": ["id"]}).open(spark)
+def test_split_rule_of_keys(spark, write_tables, monkeypatch):
+    path = write_tables(t=spark.sql("SELECT id, CAST(id AS string) AS s FROM range(1000)"))
     options = CopyOptions(min_split_bytes=0, bytes_per_split=1000)
-    plan = plan_tables(opened, options, sizes="logical").select("table_name", "split_by")
-    assert rows(plan) == [("dense", "range"), ("sparse", "rows")]
+
+    def rule(*key, **changes):
+        opened = FileSource(path, keys={"t": key} if key else {}).open(spark)
+        monkeypatch.setattr(opened, "splits_any_key", True, raising=False)
+        row = plan_tables(opened, options.with_(**changes), sizes="logical").first()
+        return row.split_by, row.n_splits > 1
+
+    assert rule("id") == ("rows", True)
+    assert rule("id", split_by="range") == ("range", True)
+    assert rule("s") == ("order", True) and rule("s", "id") == ("order", True)
+    assert rule() == ("order", True)
+    assert rule("s", auto_split=False) == (None, False)
+    assert rule(min_split_bytes=10**9) == (None, False)
+
+
+def test_only_listed_tables_are_looked_into(spark):
+    class Estimates(base.Opened):
+        database = "db"
+        looked = []
+
+        def probe_empty_estimates(self):
+            return True
+
+        def read(self, name):
+            self.looked.append(name)
+            if name == "denied":
+                raise PermissionError(name)
+            return self.spark.range(1 if name == "stale" else 0)
+
+    opened = Estimates()
+    opened.spark = spark
+    names = ("stale", "hollow", "denied", "dropped")
+    tables = catalog_rows(spark, *((n, 0, 10, 0) for n in names))
+    options = CopyOptions(blacklist=["dropped"])
+    found = select_tables(check_empty_estimates(opened, tables, options), options)
+    assert dict(rows(found.select("table_name", "skip_reason"))) == {
+        "stale": None, "hollow": "empty", "denied": None, "dropped": "blacklisted",
+    }
+    assert sorted(opened.looked) == ["denied", "hollow", "stale"]
+
+
+def catalog_rows(spark, *found):
+    return tables_frame(spark, *found).drop("table_schema")
 
 
 def test_unreadable_keys_do_not_stop_the_plan(information_schema, monkeypatch):
     key_stats = information_schema.key_stats
 
-    def denied(name, key):
+    def denied(name, key, where=None):
         df = key_stats(name, key)
         return df if name == "pair" else df.withColumn("max_key", F.raise_error(F.lit("denied")))
 
@@ -307,12 +347,47 @@ def test_candidate_keys(spark, write_tables):
         ("nested", "v"): False,
     }
     constraints, usage = catalog.inferred_constraints(
-        catalog.candidate_keys(opened.frames), opened.database
+        catalog.candidate_keys(opened.frames), catalog.columns(opened), opened.database
     )
     assert rows(catalog.primary_keys(constraints, usage, opened.database)) == [("t", ["id"])]
     assert constraints.filter("constraint_type = 'UNIQUE'").count() == 2
 
 
+def test_texts_are_no_primary_keys(spark, write_tables):
+    path = write_tables(t=spark.createDataFrame([("a", 1), ("b", 1)], "text string, n int"))
+    opened = FileSource(path).open(spark)
+    constraints, usage = catalog.inferred_constraints(
+        catalog.candidate_keys(opened.frames), catalog.columns(opened), opened.database
+    )
+    assert rows(catalog.primary_keys(constraints, usage, opened.database)) == []
+
+
+def test_keys_of_moments(spark):
+    # Both sides of an autumn clock change, and years that Python does not have.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        frames = {
+            "clock": spark.range(30).selectExpr(
+                "timestamp_seconds(1698537600 + id * 600) AS at",
+                "CAST(timestamp_seconds(1698537600 + id * 600) AS timestamp_ntz) AS local",
+            ),
+            "far": spark.sql("SELECT explode(array(1, 2)) AS i").selectExpr(
+                "timestamp_seconds(400000000000 + i) AS at",
+                "IF(i = 1, -0.0D, 0.0D) AS zero",
+                "CAST('NaN' AS double) AS nan",
+            ),
+        }
+        found = {(r.table_name, r.column_name): r.is_key for r in
+                 catalog.candidate_keys(frames).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == {
+        ("clock", "at"): True, ("clock", "local"): False, ("far", "at"): True,
+        ("far", "zero"): False, ("far", "nan"): False,
+    }
+
+
 def test_check_keys(spark, write_tables):
     path = write_tables(
         t=spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, None)], "a int, b int")

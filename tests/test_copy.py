@@ -223,6 +223,35 @@ def test_appending_is_not_overwriting(spark, tmp_path, target):
     assert sink.read_snapshot(spark, target, "p_t").count() == 12
 
 
+def test_null_keys_and_reloads_are_copied_whole(spark, tmp_path, target):
+    row = {"table_name": "t", "target_name": "t", "append_key": "id"}
+
+    def increment(number, df):
+        df.write.parquet(f"{tmp_path}/s{number}/t.parquet")
+        opened = FileSource(f"{tmp_path}/s{number}", keys={"t": ["id"]}).open(spark)
+        mode, done = copy_incremental(opened, target, row, CopyOptions())
+        assert same_rows(sink.read_snapshot(spark, target, "t"), opened.read("t"))
+        return mode, done.rows
+
+    first = spark.range(10).select("id")
+    assert increment(0, first) == ("snapshot", 10)
+    assert increment(1, spark.range(12).select("id")) == ("append", 2)
+    with_null = spark.range(12).unionByName(spark.sql("SELECT CAST(NULL AS bigint) AS id"))
+    assert increment(2, with_null) == ("snapshot", 13)
+    # A source that was loaded anew.
+    assert increment(3, spark.range(5)) == ("snapshot", 5)
+    assert increment(4, spark.range(0)) == ("snapshot", 0)
+    assert increment(5, spark.range(3)) == ("snapshot", 3)
+
+
+def test_errors_are_whole(spark, write_tables, target):
+    path = write_tables(t=spark.createDataFrame([("x" * 5000 + "the cause",)], "a string"))
+    declared = {"t": load_schema('[{"name": "a", "type": "STRING"}, {"name": "' + "b" * 3000
+                                 + '", "type": "STRING", "mode": "REQUIRED"}]')}
+    found = status(copy_all(spark, FileSource(path), target, declared=declared))
+    assert "required column is missing" in found["t"].error and len(found["t"].error) > 3000
+
+
 def test_unsigned_keys_beyond_a_long(spark, tmp_path, target):
     path = f"{tmp_path}/u"
     df = spark.sql("SELECT CAST(id AS DECIMAL(20,0)) + 18446744073709551000 AS id FROM range(9)")

@@ -126,6 +126,55 @@ def test_missing_settings(section, key):
         load_settings({k: v for k, v in settings.items() if k != section}, {})
 
 
+def test_every_field_has_a_setting():
+    settings = {
+        "source-db": SETTINGS["source-db"] | {
+            "driver": "d", "fetch-size": 5, "options": {"a": "b"}, "catalog": "metadata",
+            "max-splits": 9, "mutable-marker": "changed",
+        },
+        "target-files": {
+            "path": "/o", "keep-versions": 4, "max-parts": 6, "verify": True,
+            "write-options": {"maxRecordsPerFile": "7"},
+        },
+        "retry-wait-seconds": 1.5,
+    }
+    source, target, options = load_settings(settings, {})
+    assert (source.driver, source.fetchsize, source.catalog) == ("d", 5, "metadata")
+    assert source.options == {"a": "b"} and source.catalog_kind == "metadata"
+    assert target == FileTarget(
+        "/o", keep_versions=4, max_parts=6, verify=True, write_options={"maxRecordsPerFile": "7"}
+    )
+    assert (options.max_splits, options.marker, options.retry_wait_seconds) == (9, "changed", 1.5)
+    _, target, _ = load_settings(
+        {"source-files": {"path": "/in"}, "target-catalog": {"database": "d", "format": "orc"}}, {}
+    )
+    assert target == CatalogTarget("d", format="orc")
+
+
+@pytest.mark.parametrize(
+    "section,key",
+    [(None, "max-retrys"), ("source-db", "fetchsize"), ("gcp", "project"), ("source-db", "path")],
+)
+def test_unknown_settings_are_refused(section, key):
+    settings = json.loads(json.dumps(SETTINGS))
+    (settings if section is None else settings[section])[key] = 1
+    with pytest.raises(ValueError, match=key):
+        load_settings(settings, {})
+
+
+def test_passwords_are_masked_wherever_they_are():
+    source = JdbcSource(
+        "jdbc:mysql://u:in-host@h/db?user=a&password=in-url&x=y", "db", password="plain-word",
+        options={"trustStorePassword": "in-options", "fetch": "shown"},
+    )
+    text = "in-host in-url plain-word in-options shown"
+    assert source.masked(text) == "*** *** *** *** shown"
+    assert not any(s in repr(source) for s in ("in-host", "in-url", "plain-word", "in-options"))
+    assert source.reader_options()["preferTimestampNTZ"] == "true"
+    off = JdbcSource("jdbc:x", "db", options={"preferTimestampNTZ": "false"})
+    assert off.reader_options()["preferTimestampNTZ"] == "false"
+
+
 def test_reader_options_of_mysql():
     source, _, _ = load_settings(SETTINGS, {})
     options = source.reader_options()

@@ -138,6 +138,26 @@ def test_conform(spark):
         (1e30, "double", "INT64"),
         ("2024-13-01", "string", "DATE"),
         (Decimal("1.25"), "decimal(5,2)", {"type": "NUMERIC", "precision": 5, "scale": 1}),
+        (Decimal("1.123456789012"), "decimal(20,12)", "NUMERIC"),
+        (Decimal("1" * 29), "decimal(38,0)", "FLOAT64"),
+        (0.12345678912345, "double", "NUMERIC"),
+        (9007199254740993, "bigint", "FLOAT64"),
+        (2, "int", "BOOL"),
+        (float("nan"), "double", "NUMERIC"),
+        ("1.23456789012345", "string", "NUMERIC"),
+        ("9007199254740993", "string", "FLOAT64"),
+        ("0.1234567890123456789", "string", "FLOAT64"),
+        ("2024-01-02 23:59:58", "string", "DATE"),
+        ("2024-01-02 03:04:05.1234567", "string", "DATETIME"),
+        ("2024-01-02 03:04:05+02:00", "string", "DATETIME"),
+        ("2024-01-02T03:04:05Z", "string", "DATETIME"),
+        (datetime.datetime(2024, 1, 2, 23, 59, 58), "timestamp_ntz", "DATE"),
+        (datetime.datetime(2024, 1, 2, 0, 0, 0, 1), "timestamp", "DATE"),
+        (b"\xff", "binary", "STRING"),
+        ({"k": "x"}, "map<string,string>", {
+            "type": "RECORD", "mode": "REPEATED",
+            "fields": [{"name": "key", "type": "STRING"}, {"name": "value", "type": "INT64"}],
+        }),
         (Decimal("12345"), "decimal(9,0)", {"type": "NUMERIC", "precision": 4, "scale": 0}),
         (None, "string", {"type": "STRING", "mode": "REQUIRED"}),
         (["1", "x"], "array<string>", {"type": "INT64", "mode": "REPEATED"}),
@@ -153,12 +173,58 @@ def test_values_that_do_not_fit(spark, value, have, want, ansi):
     try:
         entry = {"name": "c"} | (want if isinstance(want, dict) else {"type": want})
         df = spark.createDataFrame([(value,)], f"c {have}")
-        with pytest.raises(PySparkException, match="c(\\[\\]|\\.p)?: "):
+        with pytest.raises(PySparkException, match="c(\\[\\])?(\\.(p|value))?: "):
             conform(df, load_schema(json.dumps([entry]))).collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_that_fit(spark, ansi):
+    pairs = [
+        (Decimal("1.100000000000"), "decimal(20,12)", "NUMERIC", Decimal("1.1")),
+        (Decimal("0.1"), "decimal(3,1)", "FLOAT64", 0.1),
+        (0.1, "double", "NUMERIC", Decimal("0.1")),
+        (0.1, "float", "FLOAT64", pytest.approx(0.1)),
+        (2**53, "bigint", "FLOAT64", 2.0**53),
+        (7, "bigint", "NUMERIC", Decimal(7)),
+        (1, "int", "BOOL", True),
+        ("007", "string", "INT64", 7),
+        (" +1.50 ", "string", "NUMERIC", Decimal("1.5")),
+        ("-.5", "string", "NUMERIC", Decimal("-0.5")),
+        ("0.0", "string", "NUMERIC", Decimal(0)),
+        ("1e3", "string", "NUMERIC", Decimal(1000)),
+        ("0.1", "string", "FLOAT64", 0.1),
+        ("9007199254740992", "string", "FLOAT64", 2.0**53),
+        ("1.5e300", "string", "FLOAT64", 1.5e300),
+        ("2024-01-02 00:00:00", "string", "DATE", datetime.date(2024, 1, 2)),
+        ("2024-01-02 03:04:05.1234560", "string", "DATETIME",
+         datetime.datetime(2024, 1, 2, 3, 4, 5, 123456)),
+        (datetime.datetime(2024, 1, 2), "timestamp_ntz", "DATE", datetime.date(2024, 1, 2)),
+        (datetime.date(2024, 1, 2), "date", "DATETIME", datetime.datetime(2024, 1, 2)),
+        (datetime.date(2024, 1, 2), "date", "STRING", "2024-01-02"),
+        (b"ok", "binary", "STRING", "ok"),
+    ]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        names = [f"c{i}" for i in range(len(pairs))]
+        schema = ", ".join(f"{n} {p[1]}" for n, p in zip(names, pairs))
+        df = spark.createDataFrame([tuple(p[0] for p in pairs), (None,) * len(pairs)], schema)
+        found = conform(df, declared(**{n: p[2] for n, p in zip(names, pairs)})).collect()
+        assert [tuple(r) for r in found if r.c0 is not None] == [tuple(p[3] for p in pairs)]
+        assert all(v is None for v in found[1])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_maps_as_their_own_target_fields(spark):
+    df = spark.createDataFrame([({"b": 2, "a": None},), (None,)], "m map<string,int>")
+    found = conform(df, load_schema(json.dumps(target_fields(df.schema))))
+    assert [r.m and sorted(map(tuple, r.m)) for r in found.collect()] == [
+        [("a", None), ("b", 2)], None,
+    ]
+
+
 def test_conform_nested(spark):
     df = spark.createDataFrame(
         [((1, "5"), ["1", None]), (None, None)], "r struct<p:int,q:string>, a array<string>"

@@ -1,3 +1,4 @@
+import json
 import os
 from concurrent.futures import ThreadPoolExecutor
 
@@ -234,6 +235,64 @@ def test_catalog_target(spark):
     assert [t.name for t in spark.catalog.listTables("snaps")] == ["t"]
 
 
+@pytest.mark.parametrize("step", ["SET LOCATION", "RENAME", "create", "DROP"])
+def test_catalog_swap_that_dies(spark, monkeypatch, step):
+    spark.sql("CREATE DATABASE IF NOT EXISTS swaps")
+    target, name = CatalogTarget("swaps"), "t_" + step.split()[0].lower()
+    sink.write_snapshot(spark.range(3), target, name)
+    # The same columns are switched by one call, others by renaming.
+    new = spark.range(9) if step == "SET LOCATION" else spark.range(9).selectExpr("id", "id AS b")
+    sql, create = spark.sql, spark.catalog.createTable
+
+    class Killed(BaseException):
+        pass
+
+    def dying_sql(text, *rest, **named):
+        if step in text and (step != "DROP" or "__replaced" in text):
+            raise Killed
+        return sql(text, *rest, **named)
+
+    def dying_create(*rest, **named):
+        if step == "create":
+            raise Killed
+        return create(*rest, **named)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", lambda self, *a, **k: dying_sql(*a, **k))
+        m.setattr(type(spark.catalog), "createTable", lambda self, *a, **k: dying_create(*a, **k))
+        with pytest.raises(Killed):
+            sink.write_snapshot(new, target, name)
+    # The old table, or the whole new one.
+    expected = 9 if step == "DROP" else 3
+    assert sink.read_snapshot(spark, target, name).count() == expected
+    sink.write_snapshot(new, target, name)
+    assert sink.read_snapshot(spark, target, name).columns == new.columns
+    assert sink.read_snapshot(spark, target, name).count() == 9
+    assert not spark.catalog.tableExists(f"swaps.{name}__replaced")
+
+
+def test_many_increments_are_joined(spark, tmp_path):
+    target = FileTarget(str(tmp_path), max_parts=3)
+    sink.write_snapshot(spark.range(10), target, "t", "id")
+    for n in range(1, 8):
+        done = sink.append_increment(spark.range(10 * n, 10 * n + 10), target, "t", "id")
+        assert done.rows == 10
+        assert sink.high_water(spark, target, "t", "id") == 10 * n + 9
+        assert ids(sink.read_snapshot(spark, target, "t")) == list(range(10 * n + 10))
+        assert len(parts(target, "t")) <= 3
+    assert len(versions(target, "t")) == 2
+
+
+def test_target_schema_is_noted(spark, tmp_path):
+    target = FileTarget(str(tmp_path))
+    done = sink.write_snapshot(spark.sql("SELECT 1 AS a, array('x') AS s"), target, "t")
+    (noted,) = sink._manifests(Storage(spark, target.path), "t")
+    assert json.loads(done.target_schema) == noted["target_schema"] == [
+        {"name": "a", "mode": "NULLABLE", "type": "INT64"},
+        {"name": "s", "mode": "REPEATED", "type": "STRING"},
+    ]
+
+
 def test_connector_target(spark):
     embedded_db.execute(spark, "sinkdb", 'CREATE TABLE APP."seen"("id" INT)')
     target = ConnectorTarget(

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from snapsync.options import CopyOptions
 from snapsync.plans.splits import (
-    balanced_starts,
     composite_predicates,
     composite_split_of,
+    even_cells,
     key_range,
     range_predicates,
     range_starts,
     residue_predicates,
     split_bounds,
+    split_by,
     split_histogram,
     split_of,
+    split_predicates,
 )
+from snapsync.sources import jdbc
+from snapsync.sources.base import Cell
 from snapsync.sources.files import FileSource
 from snapsync.sources.read import read_table
 
@@ -100,11 +104,6 @@ def test_skew_shows(spark):
     )
     n_rows = {r.split_id: r.n_rows for r in split_histogram(df, "k", 0, 9999, 10).collect()}
     assert n_rows[9] >= 900 and sum(n_rows.values()) == 1000
-    starts = balanced_starts(df, "k", 10)
-    counts = [
-        df.filter(p).count() for p in range_predicates("k", starts)
-    ]
-    assert len(counts) == 10 and sum(counts) == 1000 and max(counts) <= 120
 
 
 @settings(max_examples=25, deadline=None)
@@ -127,27 +126,131 @@ def test_predicates_cover_each_row_once(spark, keys, starts, n):
     df.unpersist()
 
 
-def test_hot_leading_key_is_cut_by_the_second_column(spark):
-    # One leading key holds a third of the rows and more.
-    df = spark.range(3000).select(
-        F.when(F.col("id") < 1200, 50).otherwise(F.col("id") % 100).alias("a"),
-        F.col("id").alias("b"),
-    )
-    starts = balanced_starts(df, "a", 10)
-    assert len(set(starts)) < len(starts)
-    predicates = composite_predicates("a", "b", starts)
-    counts = [df.filter(p).count() for p in predicates]
-    assert sum(counts) == 3000 and max(counts) <= 450
-    assert max(df.filter(p).count() for p in range_predicates("a", starts)) >= 1200
-
-
-def test_many_splits(spark):
-    df = spark.range(100_000).toDF("k")
-    starts = balanced_starts(df, "k", 3000)
-    assert len(starts) == 2999 and starts == sorted(starts)
-    widths = [b - a for a, b in zip([0, *starts], [*starts, 100_000])]
-    assert max(widths) <= 60
-    assert len(composite_predicates("a", "b", range(100_000), 2)) == 200_002
+class Views(jdbc.OpenedJdbc):
+    """A database whose SQL Spark answers, from temporary views."""
+
+    def __init__(self, spark, url="jdbc:mysql://x/y"):
+        super().__init__(spark, jdbc.JdbcSource(url, "db"))
+        self.asked = []
+
+    def quote(self, name):
+        return f"`{name}`"
+
+    def qualified(self, name):
+        return f"`{name}`"
+
+    def query(self, sql):
+        self.asked.append(sql)
+        return self.spark.sql(sql)
+
+    def read(self, name):
+        return self.spark.table(name)
+
+    def read_where(self, name, predicates):
+        self.predicates = predicates
+        parts = [self.spark.table(name).filter(p).withColumn("q", F.lit(i))
+                 for i, p in enumerate(predicates)]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+
+def even(df, predicates, n):
+    """Each row is read once, and no query reads above twice its share."""
+    number, hits = split_by(predicates)
+    found = df.select(number.alias("s"), hits.alias("hits")).groupBy("s").agg(
+        F.count("*").alias("n"), F.min("hits").alias("low"), F.max("hits").alias("high")
+    )
+    counts = found.collect()
+    assert {(r.low, r.high) for r in counts} == {(1, 1)}
+    total = sum(r.n for r in counts)
+    assert total == df.count()
+    assert max(r.n for r in counts) <= 2 * -(-total // n) + 1
+    return len(counts)
+
+
+SHAPES = {
+    "dense": "SELECT id AS a, 0 AS b FROM range(3000)",
+    "sparse": "SELECT IF(id < 2900, id, id * 1000000000000) AS a, id AS b FROM range(3000)",
+    "far_apart": "SELECT IF(id % 2 = 0, id, 9000000000000000000 - id) AS a, id AS b FROM range(3000)",
+    "hot": "SELECT IF(id < 1200, 50, id % 100) AS a, id AS b FROM range(3000)",
+    "hot_tens": "SELECT IF(id < 1200, 50, id % 100) AS a, id * 10 AS b FROM range(3000)",
+    "one_key": "SELECT 7 AS a, id * 10 AS b FROM range(3000)",
+    "negative": "SELECT -id AS a, id AS b FROM range(3000)",
+    "nulls": "SELECT IF(id % 30 = 0, NULL, id) AS a, id AS b FROM range(3000)",
+    "extremes": "SELECT explode(array(-9223372036854775808, 0, 9223372036854775807)) AS a, 1 AS b",
+    "squares": "SELECT id * id AS a, id AS b FROM range(3000)",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_splits_are_even(spark, write_tables, shape):
+    df = spark.sql(SHAPES[shape]).selectExpr("CAST(a AS bigint) a", "CAST(b AS bigint) b")
+    df.createOrReplaceTempView(f"even_{shape}")
+    opened = FileSource(write_tables(t=df)).open(spark)
+    n = 3 if shape == "extremes" else 10
+    predicates = split_predicates(opened, "t", ["a", "b"], n)
+    assert even(df, predicates, n) >= n // 2
+    # A database is asked for the same cells in its own SQL.
+    assert split_predicates(Views(spark), f"even_{shape}", ["a", "b"], n) == predicates
+
+
+def test_hot_key_without_another_column(spark):
+    df = spark.sql("SELECT CAST(IF(id < 1200, 50, id % 100) AS bigint) AS a FROM range(3000)")
+    df.createOrReplaceTempView("hot_alone")
+    found = split_predicates(Views(spark, "jdbc:postgresql://x/y"), "hot_alone", ["a"], 10)
+    assert sum("HASHTEXT" in p for p in found) == 5
+    # A database without a hash function reads it in one query.
+    found = split_predicates(Views(spark, "jdbc:derby:memory:x"), "hot_alone", ["a"], 10)
+    number, hits = split_by(found)
+    assert df.select(hits.alias("h")).distinct().collect() == [(1,)]
+
+
+def test_many_splits():
+    # Keys of a hundred thousand splits, counted in cells of a histogram.
+    def count(low, high, n):
+        width = -(-(high - low + 1) // n)
+        return [Cell(a, min(a + width - 1, high), min(width, high - a + 1))
+                for a in range(low, high + 1, width)]
+
+    packs = even_cells(count, 0, 9_999_999, 100_000)
+    starts = [a for a, _ in packs] + [10_000_000]
+    assert len(packs) == 100_000 and {b - a for a, b in zip(starts, starts[1:])} == {100}
+
+
+@pytest.mark.parametrize(
+    "keys",
+    [
+        "CONCAT('k', LPAD(CAST(id AS string), 6, '0'), '\\\\''x')",
+        "CONCAT(CAST(id % 50 AS string), 'same')",
+        "DATE'2024-01-01' + CAST(id % 700 AS int)",
+        "CAST(id AS decimal(20,2)) / 4",
+        "IF(id % 10 = 0, NULL, CAST(id AS string))",
+    ],
+)
+def test_keys_that_are_not_integral(spark, keys):
+    df = spark.sql(f"SELECT {keys} AS k, id FROM range(1000)")
+    df.createOrReplaceTempView("other_keys")
+    row = {"table_name": "other_keys", "primary_key": ["k"], "n_splits": 8, "split_by": "order"}
+    opened = Views(spark)
+    found = read_table(opened, row)
+    counts = {r.q: r["count"] for r in found.groupBy("q").count().collect()}
+    assert sum(counts.values()) == 1000 and len(counts) >= 6 and max(counts.values()) <= 300
+    assert same_rows(found.drop("q"), df)
+
+
+def test_tables_without_a_key(spark):
+    df = spark.sql("SELECT id, CAST(id AS string) AS s FROM range(1000)")
+    df.createOrReplaceTempView("no_key")
+    row = {"table_name": "no_key", "primary_key": None, "n_splits": 1000, "split_by": "order"}
+    opened = Views(spark)
+    found = read_table(opened, row)
+    assert len(opened.predicates) == 8 and "CRC32" in opened.predicates[0]
+    assert opened.predicates[7].endswith("= 7)") and "`id`, `s`" in opened.predicates[7]
+    # Spark's CRC32 takes bytes; the remainders are what matters here.
+    assert found.columns == ["id", "s", "q"]
+    assert read_table(Views(spark, "jdbc:derby:memory:x"), row).columns == ["id", "s"]
 
 
 def test_composite_split_numbers(spark):
