@@ -42,7 +42,7 @@ def decontamination(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir):
     """Documents with their token ids and the text that the ids give back."""
-    return bpe.decode(bpe.encode(docs, BYTE_BPE), BYTE_BPE)
+    return bpe.encode(docs, BYTE_BPE, check=True)
 
 
 STAGES = [

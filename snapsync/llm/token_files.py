@@ -35,7 +35,7 @@ from snapsync.llm.common import expand, slices, texts
 from snapsync.storage import Storage, workspace
 
 SHARD_BYTES = 16 << 20  # of text, on average
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 500_000
 # Words that are encoded as one text.
 JOINED_WORDS = 1000
 MAGIC = b"TOKSHRD1"
