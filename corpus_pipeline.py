@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from snapsync.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash
-from snapsync.llm.common import table, written
+from snapsync.llm.common import importable, table, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -45,12 +45,20 @@ def tokens(spark, docs, sf_dir):
     return bpe.encode(docs, BYTE_BPE, check=True)
 
 
+def _ready(stage):
+    def run_stage(spark, docs, sf_dir):
+        importable(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", rules),
-    ("quality_classifier", classifier),
-    ("simhash_near_dedup", near_duplicates),
-    ("decontamination", decontamination),
-    ("bpe", tokens),
+    ("quality_rules", _ready(rules)),
+    ("quality_classifier", _ready(classifier)),
+    ("simhash_near_dedup", _ready(near_duplicates)),
+    ("decontamination", _ready(decontamination)),
+    ("bpe", _ready(tokens)),
 ]
 
 # A trained classifier is no SQL: tests hold run() against a brute-force version.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines do not have that folder, send it along (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; NULL keys are in fold 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))

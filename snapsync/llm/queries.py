@@ -17,7 +17,7 @@ from snapsync.llm import (
     url_filter,
     warc,
 )
-from snapsync.llm.common import table
+from snapsync.llm.common import importable, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -116,19 +116,28 @@ def op10_warc(spark, sf_dir):
     return found.drop("url")
 
 
+def _ready(query):
+    def run(spark, sf_dir):
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries():
-    return {
-        "op1_bpe": op1_bpe,
-        "op2_simhash": op2_simhash,
-        "op3_url_filter": op3_url_filter,
-        "op4_quality_rules": op4_quality_rules,
-        "op5_quality_classifier": op5_quality_classifier,
-        "op6_token_files": op6_token_files,
-        "op7_decontamination": op7_decontamination,
-        "op8_chat": op8_chat,
-        "op9_lm_scoring": op9_lm_scoring,
-        "op10_warc": op10_warc,
-    }
+    found = [
+        op1_bpe,
+        op2_simhash,
+        op3_url_filter,
+        op4_quality_rules,
+        op5_quality_classifier,
+        op6_token_files,
+        op7_decontamination,
+        op8_chat,
+        op9_lm_scoring,
+        op10_warc,
+    ]
+    return {query.__name__: _ready(query) for query in found}
 
 
 OP4_SQL = r"""
