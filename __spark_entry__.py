@@ -107,7 +107,7 @@ DECLARED_LINEITEM = """[
 
 
 def _open(spark: SparkSession, sf_dir: str) -> OpenedFiles:
-    return FileSource(sf_dir, keys=KEYS, names=TABLES).open(spark)
+    return FileSource(sf_dir, keys=KEYS).open(spark)
 
 
 def _target(spark: SparkSession, label: str) -> FileTarget:
@@ -426,7 +426,7 @@ def incremental_joined(spark, sf_dir):
 
 def incremental_copy(spark, sf_dir):
     target = _target(spark, "incremental")
-    source = FileSource(sf_dir, keys=KEYS, names=TABLES)
+    source = FileSource(sf_dir, keys=KEYS)
     options = CopyOptions(incremental=True, marker=MARKER)
     copy_all(spark, source, target, options)
     # Nothing is new for the second copy: append-only tables get no rows, the others
@@ -438,7 +438,7 @@ def incremental_copy(spark, sf_dir):
 
 def copied_tables(spark, sf_dir):
     target = _target(spark, "copy")
-    report = copy_all(spark, FileSource(sf_dir, keys=KEYS, names=TABLES), target)
+    report = copy_all(spark, FileSource(sf_dir, keys=KEYS), target)
     counted = union_all(
         sink.read_snapshot(spark, target, name)
         .agg(F.count(F.lit(1)).alias("n_rows"))
@@ -454,7 +454,7 @@ def copied_tables(spark, sf_dir):
 def _report(spark, sf_dir):
     options = CopyOptions(max_attempts=2, blacklist=["region"])
     declared = {"lineitem": load_schema(DECLARED_LINEITEM)}
-    source = FileSource(sf_dir, keys=KEYS, names=TABLES)
+    source = FileSource(sf_dir, keys=KEYS)
     return copy_all(spark, source, _target(spark, "report"), options, declared)
 
 

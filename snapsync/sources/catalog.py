@@ -90,38 +90,28 @@ def _compact(column: Column, data_type: T.DataType) -> Column:
     return F.when(F.octet_length(raw) >= 32, F.unhex(F.sha2(raw, 256))).otherwise(raw)
 
 
-def _profile(name: str, df: DataFrame) -> DataFrame | None:
-    """``table_name, column_name, is_open``: the columns that may be keys, in one pass
-    without a shuffle.
+def _may_be_keys(df: DataFrame) -> list[str]:
+    """The columns that may be keys, from one pass without a shuffle.
 
     A column with a NULL is no key, nor is one with fewer possible values between its
     least and greatest than there are rows, nor one with far fewer distinct values.
     """
+    fields = [f for f in df.schema.fields if _can_be_key(f.dataType)]
+    if not fields:
+        return []
     n = F.count(F.lit(1))
-    checks = []
-    for f in df.schema.fields:
-        if not _can_be_key(f.dataType):
-            continue
+    checks = [n > 0]
+    for f in fields:
         column = F.col(quoted(f.name))
-        may_be = (
-            (n > 0)
-            & (F.count(column) == n)
-            & (F.approx_count_distinct(column, DISTINCT_ERROR) * 2 >= n)
+        may_be = (F.count(column) == n) & (
+            F.approx_count_distinct(column, DISTINCT_ERROR) * 2 >= n
         )
         if isinstance(f.dataType, T.IntegralType):
             wide = column.cast("decimal(20,0)")
             may_be = may_be & (F.max(wide) - F.min(wide) + 1 >= n)
-        checks.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.coalesce(may_be, F.lit(False)).alias("is_open"),
-            )
-        )
-    if not checks:
-        return None
-    return df.select(F.lit(name).alias("table_name"), F.explode(F.array(checks)).alias("c")).select(
-        "table_name", "c.*"
-    )
+        checks.append(may_be)
+    some, *found = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(checks)]).first()
+    return [f.name for f, may_be in zip(fields, found) if some and may_be]
 
 
 def _as_bytes(column: Column, data_type: T.DataType) -> Column:
@@ -146,11 +136,8 @@ def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("no tables to profile")
     spark = next(iter(frames.values())).sparkSession
-    profiles = [p for p in (_profile(name, df) for name, df in frames.items()) if p is not None]
-    may_be = {
-        (r.table_name, r.column_name)
-        for r in (base.union_all(profiles).filter("is_open").collect() if profiles else ())
-    }
+    found = base.at_once(_may_be_keys, frames.values())
+    may_be = {(name, c) for name, columns in zip(frames, found) for c in columns}
     listed, values = [], []
     for name, df in frames.items():
         counted = []
@@ -186,11 +173,14 @@ def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
 def check_keys(frames: dict[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
     """``table_name, n_rows, n_keys, is_key`` of declared keys of any width.
 
-    ``n_keys`` counts the different keys without a NULL in them.
+    ``n_keys`` counts the different keys without a NULL in them. Tables that are not
+    there are left out.
     """
     n = F.count(F.lit(1))
     counted = []
     for name, columns in keys.items():
+        if name not in frames:
+            continue
         df = frames[name]
         n_keys = F.count_distinct(
             *[_compact(F.col(quoted(c)), df.schema[c].dataType) for c in columns]

@@ -59,11 +59,11 @@ if __name__ == "__main__":
     sql = entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
-        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+        if name not in sql or (len(sys.argv) > 2 and name not in sys.argv[2:]):
             continue
         start = time.time()
         try:
-            why = mismatch(query(spark, sf_dir), connection, sql[name]) if name in sql else "no SQL"
+            why = mismatch(query(spark, sf_dir), connection, sql[name])
         except Exception as e:
             why = f"{type(e).__name__}: {str(e)[:600]}"
         bad += why is not None

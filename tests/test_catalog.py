@@ -9,6 +9,7 @@ from snapsync.plans.plan import immutability, plan_tables
 from snapsync.plans.select import check_empty_estimates, select_tables, selected
 from snapsync.sources import base, catalog
 from snapsync.sources.files import FileSource
+from snapsync.sources.jdbc import JdbcSource
 
 
 def tables_frame(spark, *found):
@@ -232,6 +233,53 @@ def test_only_listed_tables_are_looked_into(spark):
     assert sorted(opened.looked) == ["denied", "hollow", "stale"]
 
 
+def test_tables_that_cannot_be_counted(spark, monkeypatch):
+    opened = JdbcSource("jdbc:postgresql://h/d", "public").open(spark)
+    asked = []
+
+    def query(sql):
+        asked.append(sql)
+        if "denied" in sql:
+            raise PermissionError
+        return spark.sql("SELECT 7 AS n, 700 AS b")
+
+    columns = [("wide", "id", "-5"), ("wide", "doc", "2005"), ("denied", "id", "4"), ("off", "id", "4")]
+    rows_found = [dict(zip(("TABLE_NAME", "COLUMN_NAME", "DATA_TYPE"), c)) for c in columns]
+    monkeypatch.setattr(opened, "query", query)
+    monkeypatch.setattr(opened, "_metadata_column_rows", lambda: rows_found)
+    assert rows(opened._metadata_tables(lambda name: name != "off")) == [
+        ("public", "denied", None, 0, 0), ("public", "off", None, 0, 0), ("public", "wide", 7, 700, 0),
+    ]
+    # A long text is measured, not taken for eight bytes.
+    (sql,) = [s for s in asked if "wide" in s]
+    assert "COUNT(*) * 8" in sql and 'SUM(CAST(OCTET_LENGTH("doc") AS BIGINT))' in sql
+
+
+def test_integral_types_by_portable_code(spark, monkeypatch):
+    opened = JdbcSource("jdbc:postgresql://h/d", "public").open(spark)
+    found = [
+        {"TABLE_NAME": "t", "COLUMN_NAME": c, "DATA_TYPE": code, "TYPE_NAME": name, "ORDINAL_POSITION": i}
+        for i, (c, code, name) in enumerate(
+            [("a", "-5", "int8"), ("b", "-5", "bigint identity"), ("c", "4", "serial"), ("d", "12", "TEXT")], 1
+        )
+    ]
+    monkeypatch.setattr(opened, "_metadata_column_rows", lambda: found)
+    assert [r.data_type for r in opened._metadata_columns().orderBy("ordinal_position").collect()] == [
+        "bigint", "bigint", "integer", "text",
+    ]
+
+
+def test_database_names_are_no_patterns(spark):
+    class Metadata:
+        def getSearchStringEscape(self):
+            return "\\"
+
+    opened = JdbcSource("jdbc:postgresql://h/d", "a_b%c").open(spark)
+    assert opened._pattern(Metadata()) == "a\\_b\\%c"
+    assert opened._in_database({"TABLE_SCHEM": "a_b%c"}) and opened._in_database({"TABLE_SCHEM": None})
+    assert not opened._in_database({"TABLE_SCHEM": "axb%c"})
+
+
 def catalog_rows(spark, *found):
     return tables_frame(spark, *found).drop("table_schema")
 

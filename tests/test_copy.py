@@ -297,7 +297,7 @@ def test_copy_a_database(spark, sf_dir, target, monkeypatch):
         return df
 
     monkeypatch.setattr(copying, "read_table", watched)
-    options = CopyOptions(min_split_bytes=5000, bytes_per_split=20_000, incremental=True)
+    options = CopyOptions(min_split_bytes=5000, bytes_per_split=5000, incremental=True)
     report = status(copy_all(spark, source, target, options))
     assert {n: r.status for n, r in report.items()} == dict.fromkeys(keys, "ok")
     assert scans["orders"] > 4 and scans["nation"] == 1
