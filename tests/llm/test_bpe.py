@@ -65,6 +65,10 @@ def test_frames_with_nulls_and_clashing_columns(spark, library):
     ids = np.array(library.encode("to be").ids, "<u4").tobytes()
     assert got == [("", 0, b""), ("", 0, b""), ("to be", 2, ids), ("to be", 2, ids)]
     assert bpe.encode(df.limit(0), PATH).count() == 0
+    # In one pass the same.
+    once = bpe.encode(df, PATH, check=True)
+    assert sorted(once.columns) == sorted(found.columns)
+    assert sorted((r.decoded, r.n_tokens, bytes(r.ids)) for r in once.collect()) == got
 
 
 def test_query(spark, sf_dir, library):
