@@ -172,5 +172,84 @@ FROM measured
 """
 
 
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, doc_id, text FROM documents
+  UNION ALL SELECT 'i', CAST(item_id AS VARCHAR), NULL, text FROM benchmark
+), words AS (
+  SELECT kind, id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), items AS (
+  SELECT DISTINCT id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS shingle
+  FROM words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i)
+  WHERE kind = 'i' AND len(w) > 0
+), windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS shingle
+  FROM words, (SELECT DISTINCT n FROM items), unnest(range(1, len(w) - n + 2)) AS r(i)
+  WHERE kind = 'd'
+), hits AS (
+  SELECT doc_id, i, n, id FROM windows JOIN items USING (n, shingle)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) WHERE kind = 'd'
+"""
+
+OP8_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, i, r, '{MARKED}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)
+), formed AS (
+  SELECT *, '<|im_start|>'
+    || regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g')
+    || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10) AS whole
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(whole)) AS BIGINT) AS formatted_chars,
+  regexp_full_match(string_agg(role, ',' ORDER BY turn, role, text),
+    '(system,)?user,assistant(,user,assistant)*') AS valid
+FROM formed GROUP BY conv_id
+"""
+
+OP10_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS keeper FROM payloads
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  -- Base 32: five bits at a time, out of two hexadecimal digits.
+  array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+      (strpos('0123456789abcdef', substr(h, 5 * i // 4 + 1, 1)) - 1) * 16
+      + strpos('0123456789abcdef', substr(h, 5 * i // 4 + 2, 1)) - 1
+    ) // (1 << (3 - 5 * i % 4)) % 32 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM kept
+"""
+
+
 def oracle_sql():
-    return {"op4_quality_rules": OP4_SQL}
+    return {
+        "op4_quality_rules": OP4_SQL,
+        "op7_decontamination": OP7_SQL,
+        "op8_chat": OP8_SQL,
+        "op10_warc": OP10_SQL,
+    }
