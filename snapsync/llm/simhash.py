@@ -152,8 +152,9 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     if not 0 <= distance <= 3:
         raise ValueError("distances from 0 to 3 bits")
     # As many tasks as a shuffle has: a row becomes 64, so few small rows are much work.
+    # Dealt in turn, as hashed ones would be joined again into few tasks.
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    variants = _variants(fps.repartition(tasks, "fp"), distance)
+    variants = _variants(fps.repartition(tasks), distance)
     sizes = variants.groupBy("tag", "rest").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(variants.join(sizes, ["tag", "rest"]), "simhash-shared")
     some = shared.filter(F.col("n") <= CROWD)
