@@ -417,7 +417,9 @@ def write(df: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "
             )
 
     coded = rows.mapInArrow(encode, "shard int, doc_id long, ids binary")
-    dealt = coded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "doc_id", "ids")
+    # A task for each shard: hashed numbers would put several into one.
+    dealt = coded.repartitionById(len(bounds) + 1, "shard")
+    dealt = dealt.sortWithinPartitions("shard", "doc_id", "ids")
 
     def build(batches):
         width = encoder(path).width
