@@ -212,9 +212,11 @@ def kept(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "tex
     """The rows of ``df`` that score 0.5 or more."""
     found = classified(df, labels, key, text)
     # A score depends on the text alone, so rows are told apart by key and text.
+    # Written, they have a known size: texts are only shuffled if there are many.
     bad = found.filter("score < 0.5").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h")
     )
+    bad = written(bad.distinct(), "quality-rejected")
     marked = df.withColumn("__k", F.col(f"`{key}`").cast("long")).withColumn(
         "__t", F.xxhash64(F.col(f"`{text}`"))
     )
