@@ -1,22 +1,28 @@
 """Token ids in binary shard files with a minimal perfect hash index.
 
-A shard holds the documents of a range of ids, in ascending order. Its file begins with
+A shard holds the documents of a range of ids, in ascending order (rows of one id by
+their token ids), and SHARD_BYTES or one document at most. Its file begins with
 the raw token ids (little-endian unsigned integers, one document after another); then
 come the index and a trailer that says where the index begins:
 
     ids | doc ids | hash levels | fingerprints | starts | counts | trailer | newline
 
-The hash maps a key (doc id, and how many rows before have the same id) to one of n
-slots without collisions: each level is a bit array in which keys that are alone at
+The hash maps a key (doc id, and how many rows of the shard before have the same id) to
+one of n slots without collisions: each level is a bit array in which keys that are alone at
 their place set a bit, the others go on to the next level; the slot is the number of bits
 before. A slot stores a fingerprint of its key, which tells an absent key from a present
 one, and where the ids of the document begin and how many there are.
 
 Files are written through Spark's text writer, one value per file, so they land in any
-store and only when their task commits. The folder names of a shard carry its first id
-and its counts; the manifest is read from them, without opening a file. NULL doc ids
-come first. NULL texts are empty: they have the end id only. A document id is a key:
-rows that share one stay in one shard.
+store and only when their task commits. The folder names of a shard carry its first and
+last id and its counts; the manifest is read from them, without opening a file. NULL doc
+ids come first. NULL texts are empty: they have the end id only.
+
+Tasks get shares of the key (doc id, then token ids) that hold about as many bytes each, by
+a sample of the bytes. An id with more than one share is cut by its token ids; rows alike
+in their first KEY_BYTES of those are dealt to all shares that end or begin with them.
+What a share has above SHARD_BYTES goes to further shards of the same task. The manifest
+says how many rows of a shard's first id are in the shards before.
 """
 
 from __future__ import annotations
@@ -24,17 +30,26 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapsync.llm.common import expand, slices, texts
 from snapsync.storage import Storage, workspace
 
-SHARD_BYTES = 16 << 20  # of text, on average
+# Of text in a share, on average; of token ids in a shard, at most.
+SHARD_BYTES = 16 << 20
+DOC_BYTES = 256  # What a document costs besides
+POINTS, HOT_POINTS = 128, 16  # of the sample, for each share
+KEY_BYTES = 4096  # of token ids, by which the rows of one id are cut
+PIECES = 1 << 24  # shards of a share
 CACHE_WORDS = 500_000
 # Words that are encoded as one text.
 JOINED_WORDS = 1000
@@ -378,84 +393,174 @@ class Shard:
 
 # Writing and reading -----------------------------------------------------
 
-# Folder names that carry the manifest.
-PARTS = ["shard", "first", "docs", "tokens"]
-FILES = (
-    "path string, modificationTime timestamp, length long, content binary,"
-    " shard int, first long, docs long, tokens long"
+# Folder names that carry the manifest. ``tail`` rows have the last id.
+PARTS = ["shard", "first", "last", "docs", "tail", "tokens"]
+FILES = ", ".join(
+    ["path string, modificationTime timestamp, length long, content binary"]
+    + [f"{name} long" for name in PARTS]
 )
 
 
+def _sampled(rows: DataFrame, step: int, path: str | None = None, end: int = 0) -> pa.Table:
+    """``doc_id`` at each ``step`` bytes of the rows; with a tokenizer, their first token ids.
+
+    A long document is there once for each step that it fills.
+    """
+
+    def run(batches):
+        held = step * (TaskContext.get().partitionId() * 0.6180339887 % 1)
+        for batch in batches:
+            size = pc.fill_null(batch.column("size"), 0).to_numpy().astype(np.int64) + DOC_BYTES
+            passed = ((held + np.cumsum(size)) // step).astype(np.int64)
+            times = np.diff(passed, prepend=0)
+            held = held + int(size.sum()) - step * int(passed[-1]) if len(size) else held
+            at = np.flatnonzero(times)
+            out = [batch.column("doc_id").take(pa.array(np.repeat(at, times[at])))]
+            if path:
+                own = encoder(path)
+                found = []
+                for i in at.tolist():
+                    ids, _ = own.encode(texts(batch.slice(i, 1)))
+                    key = np.r_[ids, end].astype(f"<u{own.width}").tobytes()[:KEY_BYTES]
+                    found += [key] * int(times[i])
+                out.append(pa.array(found, pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "key"][: len(out)])
+
+    size = F.octet_length("text").alias("size")
+    if path:
+        return rows.select("doc_id", size, "text").mapInArrow(run, "doc_id long, key binary").toArrow()
+    return rows.select("doc_id", size).mapInArrow(run, "doc_id long").toArrow()
+
+
+class Shares:
+    """Bounds of the shares of (doc_id, token ids), NULLs first."""
+
+    def __init__(self, rows: DataFrame, path: str, end: int):
+        points = _sampled(rows, max(SHARD_BYTES // POINTS, 1)).column("doc_id")
+        n = len(points) // POINTS + 1
+        nulls = points.null_count
+        ids = np.sort(points.drop_null().to_numpy())
+        at = np.arange(1, n) * len(points) // n
+        self.nulls = int((at < nulls).sum())
+        self.ids = ids[at[self.nulls :] - nulls]
+        self.count = n
+        # Ids with several bounds, and those as token ids.
+        found, times = np.unique(self.ids, return_counts=True)
+        self.hot: dict[int | None, list[bytes]] = {}
+        several = [None] * (self.nulls > 1) + found[times > 1].tolist()
+        if not several:
+            return
+        hot = F.col("doc_id").isin([d for d in several if d is not None])
+        if self.nulls > 1:
+            hot = F.col("doc_id").isNull() | hot
+        keys = _sampled(rows.filter(hot), max(SHARD_BYTES // HOT_POINTS, 1), path, end)
+        grouped = {d: [] for d in several}
+        for d, key in zip(*(keys.column(c).to_pylist() for c in ("doc_id", "key"))):
+            grouped[d].append(key)
+        for d in several:
+            low, high = 0, nulls
+            if d is not None:
+                low, high = (nulls + np.searchsorted(ids, d, side) for side in ("left", "right"))
+            of, own = at[(low <= at) & (at < high)], sorted(grouped[d]) or [b""]
+            self.hot[d] = [own[i] for i in ((of - low) * len(own) // (high - low)).tolist()]
+
+    def of(self, docs: pa.Array, ids: list[bytes], seen: Counter) -> np.ndarray:
+        """The share of each row. ``seen`` counts alike rows of a task."""
+        null = docs.is_null().to_numpy(zero_copy_only=False)
+        own = docs.fill_null(0).to_numpy()
+        share = self.nulls + np.searchsorted(self.ids, own, side="right")
+        share[null] = self.nulls
+        if not self.hot:
+            return share
+        hot = np.isin(own, [d for d in self.hot if d is not None]) & ~null
+        if None in self.hot:
+            hot |= null
+        first = self.nulls + np.searchsorted(self.ids, own, side="left")
+        first[null] = 0
+        task = TaskContext.get().partitionId()
+        for i in np.flatnonzero(hot).tolist():
+            d, key = None if null[i] else int(own[i]), ids[i][:KEY_BYTES]
+            cuts = self.hot[d]
+            low, high = bisect_left(cuts, key), bisect_right(cuts, key)
+            if low < high:
+                # By content and count, not by place: a task that is run again deals alike.
+                crc = zlib.crc32(ids[i])
+                low += (crc + task + seen[d, crc]) % (high - low + 1)
+                seen[d, crc] += 1
+            share[i] = first[i] + low
+        return share
+
+
 def write(df: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "text") -> str:
     """Encode ``df`` with the tokenizer file ``path`` -> the folder of the shard files."""
     spark = df.sparkSession
     rows = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = int(total // SHARD_BYTES) + 1
-    bounds = None
-    if n > 1:
-        # Enough accuracy for shards that differ by a hundredth.
-        cuts = F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)
-        bounds = rows.agg(cuts).first()[0]
-    bounds = np.unique(np.array(bounds or [], np.int64))
-    sent = spark.sparkContext.broadcast(bounds)
+    shares = Shares(rows, path, end)
+    sent = spark.sparkContext.broadcast(shares)
+    most = SHARD_BYTES
 
     def encode(batches):
         own = encoder(path)
         kind = f"<u{own.width}"
         last = np.array([end], kind).tobytes()
+        seen = Counter()
         for batch in slices(batches):
             ids, ends = own.encode(texts(batch))
             ids = ids.astype(kind)
             packed = [ids[a:b].tobytes() + last for a, b in zip(ends, ends[1:])]
             docs = batch.column("doc_id")
-            shard = np.searchsorted(sent.value, docs.fill_null(0).to_numpy(), side="right")
-            shard[docs.is_null().to_numpy(zero_copy_only=False)] = 0
+            share = sent.value.of(docs, packed, seen)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), docs, pa.array(packed, pa.binary())],
-                ["shard", "doc_id", "ids"],
+                [pa.array(share, pa.int32()), docs, pa.array(packed, pa.binary())],
+                ["share", "doc_id", "ids"],
             )
 
-    coded = rows.mapInArrow(encode, "shard int, doc_id long, ids binary")
-    # A task for each shard: hashed numbers would put several into one.
-    dealt = coded.repartitionById(len(bounds) + 1, "shard")
-    dealt = dealt.sortWithinPartitions("shard", "doc_id", "ids")
+    coded = rows.mapInArrow(encode, "share int, doc_id long, ids binary")
+    # A task for each share: hashed numbers would put several into one.
+    dealt = coded.repartitionById(shares.count, "share")
+    dealt = dealt.sortWithinPartitions("share", "doc_id", "ids")
 
     def build(batches):
         width = encoder(path).width
-        shard, docs, tokens = None, [], []
+        share, piece, held, docs, tokens = None, 0, 0, [], []
 
         def whole():
             column = pa.chunked_array(docs, pa.int64()).combine_chunks()
             null = column.is_null().to_numpy(zero_copy_only=False)
-            content = shard_bytes(column.fill_null(0).to_numpy(), null, tokens, width)
-            there = column.drop_null()
+            ids = column.fill_null(0).to_numpy()
+            content = shard_bytes(ids, null, tokens, width)
+            tail = int(((ids == ids[-1]) & (null == null[-1])).sum())
+            found = [share * PIECES + piece, column[0].as_py(), column[-1].as_py(), len(ids), tail]
+            found.append(sum(map(len, tokens)) // width)
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int32()),
-                    pa.array([there[0].as_py() if len(there) else -(1 << 63)], pa.int64()),
-                    pa.array([len(column)], pa.int64()),
-                    pa.array([sum(map(len, tokens)) // width], pa.int64()),
-                    pa.array([content], pa.binary()),
-                ],
+                [*(pa.array([v], pa.int64()) for v in found), pa.array([content], pa.binary())],
                 [*PARTS, "value"],
             )
 
         for batch in batches:
-            of = batch.column("shard").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
-            for a, b in zip(cuts, cuts[1:]):
-                if shard is not None and of[a] != shard:
+            of = batch.column("share").to_numpy()
+            cost = pc.binary_length(batch.column("ids")).to_numpy().astype(np.int64) + DOC_BYTES
+            a = 0
+            while a < len(of):
+                if share is not None and of[a] != share:
+                    yield whole()
+                    share, piece, held, docs, tokens = None, 0, 0, [], []
+                share = int(of[a])
+                filled = held + np.cumsum(cost[a : np.searchsorted(of, share, side="right")])
+                n = int(np.searchsorted(filled, most, side="right"))
+                if not n and held:
                     yield whole()
-                    docs, tokens = [], []
-                shard = int(of[a])
-                docs.append(batch.column("doc_id").slice(a, b - a))
-                tokens += batch.column("ids").slice(a, b - a).to_pylist()
-        if shard is not None:
+                    piece, held, docs, tokens = piece + 1, 0, [], []
+                    continue
+                n = max(n, 1)
+                docs.append(batch.column("doc_id").slice(a, n))
+                tokens += batch.column("ids").slice(a, n).to_pylist()
+                held, a = int(filled[n - 1]), a + n
+        if share is not None:
             yield whole()
 
     folder = workspace(spark, "token-shards")
-    files = dealt.mapInArrow(build, "shard int, first long, docs long, tokens long, value binary")
+    files = dealt.mapInArrow(build, ", ".join(f"{p} long" for p in PARTS) + ", value binary")
     files = files.withColumn("value", F.col("value").cast("string"))
     files.write.partitionBy(*PARTS).text(folder)
     return folder
@@ -464,14 +569,25 @@ def write(df: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "
 def _files(spark: SparkSession, folder: str) -> DataFrame:
     if not any("=" in name for name in Storage(spark, folder).child_names()):
         return spark.createDataFrame([], FILES)
-    return spark.read.format("binaryFile").load(folder)
+    found = spark.read.format("binaryFile").load(folder)
+    return found.withColumns({p: F.col(p).cast("long") for p in PARTS})
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per shard: its first id, counts, and the token ids in shards before it."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    """One row per shard: its ids, counts, and what the shards before it have.
+
+    ``base`` counts their token ids, ``ordinal`` their rows with this shard's first id.
+    """
+    order = Window.orderBy("shard")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     found = _files(spark, folder).select(*PARTS)
-    return found.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    found = found.withColumn("upto", F.sum("tail").over(Window.partitionBy("last").orderBy("shard")))
+    goes_on = F.lag("last").over(order).eqNullSafe(F.col("first"))
+    return found.select(
+        *PARTS,
+        F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"),
+        F.when(goes_on, F.coalesce(F.lag("upto").over(order), F.lit(0))).otherwise(0).alias("ordinal"),
+    )
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -491,7 +607,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number.as_py()] * len(crc), pa.int32()),
+                        pa.array([number.as_py()] * len(crc), pa.int64()),
                         pa.array(shard.docs, pa.int64(), mask=shard.null),
                         pa.array(starts, pa.int64()),
                         pa.array(counts, pa.int64()),
@@ -502,7 +618,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     files = _files(spark, folder).select("shard", "content")
     found = files.mapInArrow(
-        run, "shard int, doc_id long, at long, n_tokens long, ids_crc32 long"
+        run, "shard long, doc_id long, at long, n_tokens long, ids_crc32 long"
     )
     bases = manifest(spark, folder).select("shard", "base")
     return found.join(bases, "shard").select(
@@ -513,22 +629,23 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     """``doc_id``, ``ids`` for each key of ``keys.doc_id`` that is there (its first row).
 
-    A key goes to the one shard whose range has it; the shard's bytes come to its keys.
-    The list of shards is the only thing that is sent to all executors, a row per 32 MB.
+    A key goes to the first shard that ends with it or later; the shard's bytes come to
+    its keys. The list of shards is the only thing that is sent to all executors.
     """
-    shards = manifest(spark, folder).select("shard", "first").orderBy("first").collect()
-    firsts = np.array([s["first"] for s in shards], np.int64)
-    numbers = np.array([s.shard for s in shards], np.int32)
-    sent = spark.sparkContext.broadcast((firsts, numbers))
+    shards = _files(spark, folder).filter("last IS NOT NULL").select("shard", "last")
+    shards = shards.orderBy("shard").collect()
+    lasts = np.array([s["last"] for s in shards], np.int64)
+    numbers = np.array([s.shard for s in shards], np.int64)
+    sent = spark.sparkContext.broadcast((lasts, numbers))
 
     def route(batches):
-        firsts, numbers = sent.value
+        lasts, numbers = sent.value
         for batch in batches:
             docs = batch.column("doc_id").drop_null()
-            at = np.searchsorted(firsts, docs.to_numpy(), side="right") - 1
-            docs, at = docs.filter(pa.array(at >= 0)), at[at >= 0]
+            at = np.searchsorted(lasts, docs.to_numpy(), side="left")
+            docs, at = docs.filter(pa.array(at < len(lasts))), at[at < len(lasts)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers[at], pa.int32()), docs], ["shard", "doc_id"]
+                [pa.array(numbers[at], pa.int64()), docs], ["shard", "doc_id"]
             )
 
     def find(key, asked, file):
@@ -543,7 +660,7 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
         )
 
     wanted = keys.select(F.col("doc_id").cast("long")).distinct()
-    routed = wanted.mapInArrow(route, "shard int, doc_id long")
+    routed = wanted.mapInArrow(route, "shard long, doc_id long")
     files = _files(spark, folder).select("shard", "content")
     return (
         routed.groupBy("shard")

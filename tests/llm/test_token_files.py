@@ -101,3 +101,28 @@ def test_query(spark, sf_dir, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = sorted(map(tuple, op6_token_files(spark, sf_dir).collect()), key=lambda r: r[1])
     assert got == expected(rows, library)
+
+
+def test_one_id_fills_several_bounded_shards(spark, monkeypatch, library):
+    rows = [(None, f"null {i % 90} " * 30) for i in range(300)] + [(7, f"seven {i} " * 30) for i in range(300)]
+    rows += [(8, "alike " * 40)] * 300 + [(i, "x") for i in range(9, 60)] + [(-(1 << 63), "least")]
+    # Long documents next to each other.
+    rows += [(i, f"run {i} " * 900) for i in range(60, 90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(tf, "SHARD_BYTES", 20_000)
+    folder = tf.write(df, PATH, 2)
+    got = sorted(map(tuple, tf.read(spark, folder).collect()), key=lambda r: r[1])
+    assert got == expected(rows, library)
+    shards = tf.manifest(spark, folder).orderBy("shard").collect()
+    assert all(s.docs == 1 or 2 * s.tokens + tf.DOC_BYTES * s.docs <= 20_000 for s in shards)
+    tasks = {d: {s.shard // tf.PIECES for s in shards if s["first"] == s["last"] == d} for d in (None, 7, 8)}
+    assert all(len(t) > 2 for t in tasks.values())
+    ids, at = [r[0] for r in got], 0
+    for s in shards:
+        assert ids[at] == s["first"] and s.ordinal == ids[:at].count(ids[at])
+        at += s.docs
+    keys = spark.createDataFrame([(7,), (8,), (59,), (-(1 << 63),)], "doc_id long")
+    found = {r.doc_id: r.ids for r in tf.lookup(spark, folder, keys).collect()}
+    first = min(([*library.encode(t).ids, 2] for d, t in rows if d == 7), key=lambda i: np.array(i, "<u2").tobytes())
+    assert found[7] == first
+    assert found.keys() == {7, 8, 59, -(1 << 63)}
