@@ -3,10 +3,13 @@
 Rules decide what they fit, the longest first. The URLs so judged teach two models of
 characters, one of allowed and one of blocked URLs. A model mixes the orders 0 to 4: the
 estimate of an order leans on the next lower one the more, the less often its context
-was seen. Counts are in hashed tables of a fixed size, so a model is bounded however
-many URLs it has seen. A URL without a rule is allowed if the mean log-likelihood
-difference per character reaches a threshold, which is set on a fifth of the judged URLs
-that the models have not seen.
+was seen. A URL without a rule is allowed if the mean log-likelihood difference per
+character reaches a threshold, which is set on a fifth of the judged URLs that the models
+have not seen.
+
+Every n-gram is counted by itself; n-grams are told apart by 64-bit hashes. As in LM
+scoring, URLs are packed into batches, a batch asks hash ranges for just the n-grams it
+has, and no task holds more than a batch or one range of the counts.
 
 NULL and empty URLs have no host and no path, and a difference of 0.
 """
@@ -17,16 +20,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from snapsync.llm.common import fold, slices
+from snapsync.llm.common import fold, slices, written
+from snapsync.llm.lm_scoring import packed_counts, packed_keys, unpacked_counts, unpacked_keys
 
 ORDER = 4
-SLOTS = 1 << 18
+BATCH_BYTES = 1 << 20  # of URLs; a byte has ten n-grams of eight bytes at most
 PULL = 4.0
 FOLDS, CALIBRATES = 5, 0
+# Parts: without a rule, judged to learn from, judged to set the threshold.
+OPEN, TRAINS, SETS = 0, 1, 2
 # The threshold lies on a grid of mean differences in nats.
 GRID, REACH = 0.01, 10.0
 BEGIN, END = 1, 2
@@ -73,7 +81,7 @@ def longest_rule(rules: list[Rule], value) -> Column:
 
 
 def _grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of contexts and of contexts with their character, by order; length of each URL.
+    """Hashes of contexts and of contexts with their character, by order; length of each URL.
 
     Each URL is framed by ORDER begins and an end, which counts as a character.
     """
@@ -91,9 +99,8 @@ def _grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for order in range(ORDER + 1):
         if order:
             hashed = _stir(hashed ^ flat[at - order])
-        contexts.append((_stir(hashed) % np.uint64(SLOTS)).astype(np.int64))
-        with_char = _stir(hashed + flat[at] * np.uint64(0xD1342543DE82EF95))
-        grams.append((with_char % np.uint64(SLOTS)).astype(np.int64))
+        contexts.append(_stir(hashed))
+        grams.append(_stir(hashed + flat[at] * np.uint64(0xD1342543DE82EF95)))
     return np.array(contexts), np.array(grams), lengths
 
 
@@ -102,11 +109,25 @@ def _stir(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _counted(urls: list[str], sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of ``urls``, and their counts in those of side 0 and of side 1."""
+    contexts, grams, lengths = _grams(urls)
+    keys, of = np.unique(np.concatenate([contexts, grams]), return_inverse=True)
+    of, at = of.reshape(2 * ORDER + 2, -1), np.repeat(sides, lengths)
+    return keys, np.stack([np.bincount(of[:, at == c].ravel(), minlength=len(keys)) for c in (0, 1)])
+
+
 class Model:
-    """Counts of contexts and n-grams in allowed (1) and blocked (0) URLs."""
+    """Counts of contexts and n-grams in blocked (0) and allowed (1) URLs."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts  # sorted hashes; side, hash
 
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts  # class, contexts or grams, slot
+    def _count(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros((2, len(hashes)))
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.counts[:, at], 0)
 
     def difference(self, urls: list[str]) -> np.ndarray:
         """Mean log-likelihood difference per character, allowed minus blocked."""
@@ -114,60 +135,161 @@ class Model:
         if not len(lengths):
             return np.empty(0)
         p = np.full((2, contexts.shape[1]), 1 / 0x110000)
-        for order in range(ORDER + 1):
-            seen, with_char = self.counts[:, 0, contexts[order]], self.counts[:, 1, grams[order]]
-            p = (np.minimum(with_char, seen) + PULL * p) / (seen + PULL)
+        for context, gram in zip(contexts, grams):
+            p = (self._count(gram) + PULL * p) / (self._count(context) + PULL)
         gain = np.log(p[1]) - np.log(p[0])
         return np.add.reduceat(gain, np.cumsum(lengths) - lengths) / lengths
 
 
 def trained(rows: DataFrame) -> Model:
-    """The models of ``url`` by ``verdict``; at most 4 * SLOTS counts reach the driver."""
+    """The whole model of ``url`` by ``verdict`` on the driver, for few URLs."""
 
     def run(batches):
-        counts = np.zeros(4 * SLOTS, np.int64)
-        for batch in slices(batches, "url"):
+        for batch in slices(batches, "url", 1 << 20):
             urls = [u or "" for u in batch.column("url").to_pylist()]
-            contexts, grams, lengths = _grams(urls)
-            allowed = np.array([v == "allow" for v in batch.column("verdict").to_pylist()])
-            shift = 2 * SLOTS * np.repeat(allowed, lengths).astype(np.int64)
-            for slots in (contexts + shift, grams + shift + SLOTS):
-                counts += np.bincount(slots.ravel(), minlength=len(counts))
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(counts[used])], ["slot", "n"]
-        )
+            sides = np.array([v == "allow" for v in batch.column("verdict").to_pylist()], int)
+            keys, counts = _counted(urls, sides)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), *map(pa.array, counts)], ["hash", "n0", "n1"]
+            )
 
     sums = (
         rows.select("url", "verdict")
-        .mapInArrow(run, "slot int, n long")
-        .groupBy("slot")
-        .agg(F.sum("n").alias("n"))
+        .mapInArrow(run, "hash long, n0 long, n1 long")
+        .groupBy("hash")
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .toArrow()
     )
-    counts = np.zeros(4 * SLOTS)
-    counts[sums.column("slot").to_numpy()] = sums.column("n").to_numpy()
-    return Model(counts.reshape(2, 2, SLOTS))
+    keys = sums.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Model(keys[order], np.stack([sums.column(c).to_numpy()[order] for c in ("n0", "n1")]))
+
 
+# Batches -----------------------------------------------------------------
 
-def with_difference(df: DataFrame, model: Model, url: str = "url") -> DataFrame:
-    """``df`` with ``difference``; a column of that name is replaced."""
-    kept = [f for f in df.schema if f.name != "difference"]
-    names = [f.name for f in kept]
-    sent = df.sparkSession.sparkContext.broadcast(model.counts.astype(np.float32))
-    schema = StructType([*kept, StructField("difference", DoubleType())])
+
+def batches_of(rows: DataFrame) -> DataFrame:
+    """``rows`` as a table of (batch, blob): packed by their bytes of ``url``."""
+    limit = BATCH_BYTES
 
     def run(batches):
-        own = Model(sent.value)
-        for batch in slices(batches, url):
-            urls = [u or "" for u in batch.column(url).to_pylist()]
-            found = own.difference(urls)
-            found[[not u for u in urls]] = 0.0
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(found)], [*names, "difference"]
+        task = TaskContext.get().partitionId() << 32
+        made, size, waiting = 0, 0, []
+
+        def packed():
+            whole = pa.Table.from_batches(waiting).combine_chunks()
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            with pa.ipc.new_stream(sink, whole.schema, options=options) as stream:
+                stream.write_table(whole)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task + made], pa.int64()),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                ],
+                ["batch", "blob"],
+            )
+
+        for batch in slices(batches, "url", limit):
+            own = pc.sum(pc.binary_length(batch.column("url"))).as_py() or 0
+            own += 64 * batch.num_rows
+            if waiting and size + own > limit:
+                yield packed()
+                made, size, waiting = made + 1, 0, []
+            waiting.append(batch)
+            size += own
+        if waiting:
+            yield packed()
+
+    return written(rows.mapInArrow(run, "batch long, blob binary"), "url-batches")
+
+
+def _unpacked(blob: bytes) -> tuple[pa.Table, list[str]]:
+    whole = pa.ipc.open_stream(blob).read_all()
+    return whole, [u or "" for u in whole.column("url").to_pylist()]
+
+
+COUNTED = "range int, batch long, n long, keys binary, blocked binary, allowed binary"
+
+
+def asked(packs: DataFrame, ranges: int) -> DataFrame:
+    """Per batch and range: the n-grams it has, and their counts in its URLs that train."""
+    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
+
+    def run(batches):
+        for batch in batches:
+            for number, blob in zip(*(batch.column(c).to_pylist() for c in ("batch", "blob"))):
+                rows, urls = _unpacked(blob)
+                sides = np.array(
+                    [
+                        (v == "allow") if p == TRAINS else -1
+                        for v, p in zip(*(rows.column(c).to_pylist() for c in ("verdict", "part")))
+                    ],
+                    int,
+                )
+                keys, counts = _counted(urls, sides)
+                at = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+                for r, (i, j) in enumerate(zip(at, at[1:])):
+                    if i == j:
+                        continue
+                    parts = [packed_keys(keys[i:j]), *(packed_counts(c[i:j]) for c in counts)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([r], pa.int32()),
+                            *(pa.array([v], pa.int64()) for v in (number, j - i)),
+                            *(pa.array([v], pa.binary()) for v in parts),
+                        ],
+                        ["range", "batch", "n", "keys", "blocked", "allowed"],
+                    )
+
+    return packs.mapInArrow(run, COUNTED)
+
+
+def answered(questions: DataFrame) -> DataFrame:
+    """Each question with the counts of all batches."""
+
+    def answer(group: pa.Table) -> pa.Table:
+        sizes = group.column("n").to_pylist()
+
+        def flat(column, unpacked):
+            return np.concatenate(
+                [unpacked(v, n) for v, n in zip(group.column(column).to_pylist(), sizes)]
+            )
+
+        known, of = np.unique(flat("keys", unpacked_keys), return_inverse=True)
+        ends = np.cumsum([0, *sizes])
+        for name in ("blocked", "allowed"):
+            total = np.bincount(of, flat(name, unpacked_counts), len(known)).astype(np.int64)
+            packed = [packed_counts(total[of[a:b]]) for a, b in zip(ends, ends[1:])]
+            group = group.set_column(
+                group.schema.get_field_index(name), name, pa.array(packed, pa.binary())
+            )
+        return group
+
+    return questions.groupBy("range").applyInArrow(answer, COUNTED)
+
+
+def with_difference(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``difference`` by the models of those whose ``part`` is TRAINS."""
+    schema = StructType([*rows.schema, StructField("difference", DoubleType())])
+    packs = batches_of(rows)
+    answers = answered(asked(packs, max(1, packs.count())))
+
+    def score(pack: pa.Table, replies: pa.Table) -> pa.Table:
+        own, urls = _unpacked(pack.column("blob")[0].as_py())
+        replies = replies.sort_by("range")
+        sizes = replies.column("n").to_pylist()
+        keys, *counts = (
+            np.concatenate([f(v, n) for v, n in zip(replies.column(c).to_pylist(), sizes)])
+            for c, f in (
+                ("keys", unpacked_keys), ("blocked", unpacked_counts), ("allowed", unpacked_counts)
             )
+        )
+        found = Model(keys, np.stack(counts)).difference(urls)
+        found[[not u for u in urls]] = 0.0
+        return own.append_column("difference", pa.array(found))
 
-    return df.mapInArrow(run, schema)
+    return packs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
 
 
 def threshold(judged: DataFrame) -> float:
@@ -208,10 +330,9 @@ def judged(
             "verdict": longest_rule(rules, lambda r: r.verdict),
         }
     )
-    ruled = rows.filter("verdict IS NOT NULL")
-    calibrates = fold(F.col("page_id"), FOLDS) == CALIBRATES
-    model = trained(ruled.filter(~calibrates))
-    limit = threshold(with_difference(ruled.filter(calibrates).select("url", "verdict"), model))
-    found = with_difference(rows, model)
+    held_back = fold(F.col("page_id"), FOLDS) == CALIBRATES
+    part = F.when(F.col("verdict").isNull(), OPEN).when(held_back, SETS).otherwise(TRAINS)
+    found = written(with_difference(rows.withColumn("part", part)), "url-differences")
+    limit = threshold(found.filter(F.col("part") == SETS))
     learnt = F.when(F.col("difference") >= limit, "allow").otherwise("block")
-    return found.withColumn("verdict", F.coalesce("verdict", learnt))
+    return found.withColumn("verdict", F.coalesce("verdict", learnt)).drop("part")

@@ -95,3 +95,28 @@ def test_nothing_to_learn_from(spark):
     assert {r.verdict for r in uf.judged(df, RULES).collect()} == {"allow"}
     assert uf.judged(df.limit(0), RULES).count() == 0
     assert uf.judged(df, []).count() == 2
+
+
+def test_every_ngram_is_counted_by_itself(spark, monkeypatch):
+    # Far more distinct n-grams than the 2^18 slots of a table that they once shared.
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, w)) for w in rng.integers(0x4E00, 0x9F00, (9000, 12))]
+    urls = [(i, f"s://{w[:4]}.{'org' if i % 2 else 'com/de'}/{w}") for i, w in enumerate(words)]
+    urls += [(9000 + i, f"s://{w[:4]}.net/{w}") for i, w in enumerate(words[:40])]
+    urls += [(9100, None), (9101, ""), (None, "s://a.net/")]
+    df = spark.createDataFrame(urls, "page_id long, url string").repartition(3)
+    monkeypatch.setattr(uf, "BATCH_BYTES", 100_000, raising=False)
+    got = uf.judged(df, RULES).collect()
+    assert len(got) == len(urls)
+    trains = F.crc32(F.col("page_id").cast("string").cast("binary")) % 5 != 0
+    learnt = kept(df, trains)
+    judged = [(u, "allow" if i % 2 else "block") for i, u in urls[:9000] if i in learnt]
+    open_urls = {r.page_id: r for r in got if r.rule is None and r.url}
+    ask = [(i, u) for i, u in urls if i in open_urls]
+    want = slow_difference([u for _, u in ask], judged)
+    assert [open_urls[i].difference for i, _ in ask] == pytest.approx(want, rel=1e-9)
+    assert {r.difference for r in got if not r.url} == {0.0}
+
+
+def kept(df, condition):
+    return {r.page_id for r in df.filter(condition).collect()}
