@@ -110,9 +110,10 @@ def op9_lm_scoring(spark, sf_dir):
 
 
 def op10_warc(spark, sf_dir):
-    archives = warc.write(warc.with_revisits(table(spark, sf_dir, "pages")))
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write(warc.with_revisits(pages))
     index = warc.write_index(warc.lines_of(spark, archives))
-    found = warc.records(spark, archives, warc.entries(spark, index), payload=False)
+    found = warc.captures(spark, archives, index, pages, payload=False)
     return found.drop("url")
 
 

@@ -9,7 +9,8 @@ The index has one line per record, sorted by key: the host in reverse order of i
 labels, then the rest of the URL. A file of the index holds compressed blocks of lines
 and, at its end, a sparse directory with the first key of each block. A lookup finds the
 file by its first key, the block by binary search in the directory, the line by binary
-search in the block, and then reads the range of the archive that the line names.
+search in the block, and then reads the range of the archive that the line names. URLs that differ in
+the scheme, and all without one, share a key: the record's own URL decides.
 
 Files are written through Spark's text writer, one value per file, so they land in any
 store and only when their task commits; zero bytes after a gzip member are padding.
@@ -27,6 +28,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -253,14 +255,13 @@ def block_lines(data: bytes) -> list[tuple[str, str, int, int]]:
     return [(key, archive, int(offset), int(length)) for key, archive, offset, length in rows]
 
 
-def search(directory, read_block, key: str) -> list[tuple[str, str, int, int]]:
-    """All lines of a key. ``read_block(offset, length)`` reads a block."""
-    firsts = [first for first, _, _ in directory]
+def search(firsts, directory, lines_at, key: str) -> list[tuple[str, str, int, int]]:
+    """All lines of a key. ``lines_at(offset, length)`` has those of a block."""
     # Lines of the key may begin in the block before the first that begins with it.
     at = max(0, bisect.bisect_left(firsts, key) - 1)
     found = []
     while at < len(directory) and firsts[at] <= key:
-        lines = block_lines(read_block(*directory[at][1:]))
+        lines = lines_at(*directory[at][1:])
         keys = [line[0] for line in lines]
         found += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
         at += 1
@@ -276,12 +277,15 @@ class IndexFile:
         if magic != MAGIC:
             raise ValueError("not an index file")
         self.directory = directory_of(self.content[offset : offset + length])
+        self.firsts = [first for first, _, _ in self.directory]
+        # Keys that are asked for in order meet a block many times.
+        self.cached = lru_cache(2)(lambda *at: block_lines(self.block(*at)))
 
     def block(self, offset: int, length: int) -> bytes:
         return self.content[offset : offset + length]
 
     def find(self, key: str) -> list[tuple[str, str, int, int]]:
-        return search(self.directory, self.block, key)
+        return search(self.firsts, self.directory, self.cached, key)
 
     def lines(self) -> Iterator[tuple[str, str, int, int]]:
         for _, offset, length in self.directory:
@@ -377,7 +381,7 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame) -> DataFrame:
         rows = []
         if asked.num_rows and file.num_rows:
             own = IndexFile(file.column("content")[0].as_py())
-            rows = [line for k in asked.column("key").to_pylist() for line in own.find(k)]
+            rows = [line for k in sorted(asked.column("key").to_pylist()) for line in own.find(k)]
         columns = [*zip(*rows)] or [[]] * 4
         return pa.table({n: pa.array(c, k) for (n, k), c in zip(empty.items(), columns)})
 
@@ -427,6 +431,15 @@ def records(spark: SparkSession, archives: str, lines: DataFrame, payload: bool
     return found if payload else found.drop("payload")
 
 
+def captures(
+    spark: SparkSession, archives: str, index: str, urls: DataFrame, payload: bool = True
+) -> DataFrame:
+    """The records of the URLs of ``urls.url``, found by the index and by their own URL."""
+    found = records(spark, archives, lookup(spark, index, urls), payload)
+    asked = urls.select(F.col("url").alias("asked")).distinct()
+    return found.join(asked, F.col("url").eqNullSafe(F.col("asked")), "left_semi")
+
+
 def _row(headers: dict[str, str], body: bytes, payload: bool = True) -> tuple:
     digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
     revisit = headers["WARC-Type"] == "revisit"
@@ -451,11 +464,14 @@ def read_url(spark: SparkSession, archives: str, index: str, url: str) -> list[t
         directory = directory_of(read(offset, size))
         if directory[0][0] > key:
             break
-        found += search(directory, read, key)
+        names = [first for first, _, _ in directory]
+        found += search(names, directory, lambda *at: block_lines(read(*at)), key)
     out = []
     for _, archive, offset, length in found:
         read, _ = _ranges(spark, archives, f"archive={archive}")
-        out.append(_row(*parsed(zlib.decompress(read(offset, length), 31))))
+        headers, body = parsed(zlib.decompress(read(offset, length), 31))
+        if target(headers) == url:
+            out.append(_row(headers, body))
     return out
 
 

@@ -104,3 +104,19 @@ def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
     got = op10_warc(spark, sf_dir).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted(map(tuple, got.collect()), key=str) == expected(rows)
+
+
+def test_records_are_those_of_the_url_alone(spark, written):
+    archives, index = written
+    for asked in ([None], [""], ["no scheme", "http://b.com/"], ["x", "http://a.org/", "http://a.org/"]):
+        urls = spark.createDataFrame([(u,) for u in asked], "url string")
+        found = warc.captures(spark, archives, index, urls).collect()
+        assert sorted(str(r.page_id) for r in found) == sorted(str(p) for p, u, _ in ROWS if u in asked)
+    assert [r[0] for r in warc.read_url(spark, archives, index, "no scheme")] == [5]
+
+
+def test_query_goes_by_the_search(spark, sf_dir, monkeypatch):
+    from snapsync.llm.queries import op10_warc
+
+    monkeypatch.setattr(warc, "lookup", lambda spark, index, urls: warc.entries(spark, index).limit(7))
+    assert op10_warc(spark, sf_dir).count() == 7
