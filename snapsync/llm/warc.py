@@ -296,10 +296,9 @@ def write_index(lines: DataFrame) -> str:
     """Sort index lines into files of blocks -> their folder."""
     spark = lines.sparkSession
     lines = written(lines, "warc-lines")
-    # Equal keys may fill several files: the page id tells them apart.
-    ordered = lines.repartitionByRange("key", "page_id").sortWithinPartitions(
-        "key", "page_id", "archive", "offset"
-    )
+    # Equal keys may fill several files: the place of the record tells any two lines apart.
+    order = ["key", "page_id", "archive", "offset"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
         rows = []

@@ -120,3 +120,19 @@ def test_query_goes_by_the_search(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(warc, "lookup", lambda spark, index, urls: warc.entries(spark, index).limit(7))
     assert op10_warc(spark, sf_dir).count() == 7
+
+
+def test_lines_with_one_key_and_no_page_fill_several_files(spark):
+    df = spark.range(20_000).select(
+        F.lit("").alias("key"), F.lit(None).cast("long").alias("page_id"), F.lit("a").alias("archive"),
+        F.col("id").alias("offset"), F.lit(1).cast("long").alias("length"),
+    )
+    kept = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(kept, "false")
+    try:
+        index = warc.write_index(df)
+    finally:
+        spark.conf.unset(kept)
+    assert len(warc.firsts(spark, index)) > 4
+    lines = warc.lookup(spark, index, spark.createDataFrame([(None,)], "url string"))
+    assert sorted(r.offset for r in lines.collect()) == [*range(20_000)]
