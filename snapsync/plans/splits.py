@@ -145,13 +145,20 @@ def even_cells(
 
 
 def split_predicates(
-    opened: Opened, name: str, columns: Sequence[str], n: int, where: str | None = None
+    opened: Opened,
+    name: str,
+    columns: Sequence[str],
+    n: int,
+    where: str | None = None,
+    key: Sequence[str] = (),
+    fixed: Sequence[str] = (),
 ) -> list[str]:
     """SQL predicates, about ``n``, that each row of a table (or of ``where``) meets once.
 
     Ranges of the first column; a value of it that holds several shares is cut by ranges
-    of the next column, and so on. Where no column is left, by a hash of the last one, if
-    the database has a function for it.
+    of the next column, and so on. Where no column is left, by a hash of the other columns
+    of ``key``, of any type, or of all others of the table, if the database has a function
+    for it. ``fixed`` columns have one value in ``where``.
     """
     if not columns:
         return ["1 = 1"]
@@ -165,6 +172,7 @@ def split_predicates(
 
     packs = even_cells(count, span.min_key, span.max_key, n)
     ranges = range_predicates(quote(column), [start for start, _ in packs[1:]])
+    same = [*fixed, column]
 
     def pieces(pack: tuple[tuple[int, int], str]) -> list[str]:
         (start, parts), rows = pack
@@ -173,10 +181,13 @@ def split_predicates(
         hot = f"{quote(column)} = {start}"
         if columns[1:]:
             inner = split_predicates(
-                opened, name, columns[1:], parts, f"{where} AND {hot}" if where else hot
+                opened, name, columns[1:], parts, f"{where} AND {hot}" if where else hot, key, same
             )
         else:
-            inner = opened.hash_predicates([column], parts) or ["1 = 1"]
+            others = [c for c in key if c not in same]
+            others = others or [c for c in opened.read(name).columns if c not in same]
+            # Rows of one column alone are all alike.
+            inner = opened.hash_predicates(others or [column], parts) or ["1 = 1"]
         return [rows] if inner == ["1 = 1"] else [f"{rows} AND {p}" for p in inner]
 
     return [p for part in at_once(pieces, zip(packs, ranges)) for p in part]

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
 from snapsync.options import CopyOptions
@@ -19,8 +20,9 @@ from snapsync.plans.splits import (
 from snapsync.sources.base import Opened
 from snapsync.sources.jdbc import OpenedJdbc
 
-# Queries of a table without any key: each scans all of it in the database.
-HASH_SPLITS = 8
+# Queries of a table without any key: each scans all of it in the database, so there are
+# few of them, and one more for each further 4 GB.
+HASH_SPLITS, HASH_BYTES = 8, 4 << 30
 
 
 def read_table(
@@ -59,7 +61,10 @@ def read_table(
         return opened.read(name)
     columns = [key] if second is None else [key, second]
     if (row.get("split_by") or options.split_by) == "rows":
-        return opened.read_where(name, split_predicates(opened, name, columns, n))
+        primary = row.get("primary_key") or []
+        integral = [f.name for f in opened.read(name).schema if isinstance(f.dataType, T.IntegralType)]
+        columns += [c for c in primary if c in integral and c not in columns]
+        return opened.read_where(name, split_predicates(opened, name, columns, n, key=primary))
     n_ranges = min(n, high - low + 1)
     n_residues = -(-n // n_ranges)
     if second is not None and n_residues > 1:
@@ -80,5 +85,6 @@ def _without_integral_key(opened: OpenedJdbc, name: str, row: Mapping[str, Any],
         # NULLs, and keys below the first bound, are in the first range.
         bounds = opened.key_bounds(name, key[0], n)
         return opened.read_where(name, bound_predicates(opened.quote(key[0]), bounds))
-    hashed = opened.hash_predicates(opened.read(name).columns, min(n, HASH_SPLITS))
+    queries = max(HASH_SPLITS, -(-(row.get("size_bytes") or 0) // HASH_BYTES))
+    hashed = opened.hash_predicates(opened.read(name).columns, min(n, queries))
     return opened.read_where(name, hashed) if hashed else opened.read(name)

@@ -379,3 +379,37 @@ def test_incremental_scan(database):
     assert partitions(df) == 3
     assert same_rows(df, database.read("orders").filter("o_orderkey > 1000"))
     assert read_table(database, row, above=row["max_key"]).count() == 0
+
+
+HOT_VALUES = {
+    "u": ("SELECT IF(id < 1200, 50, id % 100) AS a, 0L AS b, uuid() AS u FROM range(3000)", ["a"], ["a", "u"]),
+    "ab": (
+        "SELECT IF(id < 1500, 50, id % 100) AS a, IF(id < 1500, 7, id) AS b, CAST(id AS string) AS u FROM range(3000)",
+        ["a", "b"], ["a", "b", "u"],
+    ),
+    "rest": ("SELECT IF(id < 1200, 50, id % 100) AS a, NULL AS b, CAST(id AS string) AS u FROM range(3000)", ["a"], ["a"]),
+}
+
+
+@pytest.mark.parametrize("shape", HOT_VALUES)
+def test_hot_value_is_cut_by_what_tells_its_rows_apart(spark, write_tables, shape):
+    sql, columns, key = HOT_VALUES[shape]
+    path = write_tables(t=spark.sql(sql).selectExpr("CAST(a AS bigint) a", "CAST(b AS bigint) b", "u"))
+    df = spark.read.parquet(f"{path}/t.parquet")
+    df.createOrReplaceTempView(f"hot_{shape}")
+    opened = Views(spark)
+    row = {"table_name": f"hot_{shape}", "key_column": "a", "second_column": None, "n_splits": 10,
+           "min_key": 0, "max_key": 99, "primary_key": key, "split_by": "rows"}
+    assert read_table(opened, row).count() == 3000
+    assert even(df, opened.predicates, 10) >= 5
+    hashed = [p for p in opened.predicates if "CRC32" in p]
+    assert len(hashed) > 2 and all(df.filter(p).count() > 0 for p in hashed)
+
+
+def test_queries_of_a_table_without_key_follow_its_size(spark):
+    df = spark.sql("SELECT CAST(id AS string) AS u, NULL AS v FROM range(3000)")
+    df.createOrReplaceTempView("keyless")
+    opened = Views(spark)
+    row = {"table_name": "keyless", "n_splits": 400, "split_by": "order", "size_bytes": 80 << 30}
+    assert read_table(opened, row).count() == 3000
+    assert len(opened.predicates) == 20 and even(df, opened.predicates, 20) == 20
