@@ -8,8 +8,9 @@ occurs in it; taking one away gives the text back.
 
 Turns are ordered by ``turn`` (NULL first), then role and text; repeated rows are turns
 of their own. NULL roles and texts are empty. A conversation with an invalid order of
-roles is formatted as well, and marked. A task streams over its sorted turns and keeps
-the state of one conversation, so that a conversation may be of any length.
+roles is formatted as well, and marked. Turns are formatted, parsed back and counted where
+they lie; the task of a conversation streams over its sorted turns for their order, the
+state of the machine and the running digests, so that a conversation may be of any length.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ import hashlib
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapsync.llm.common import slices
+
 
 @dataclass(frozen=True)
 class Template:
@@ -83,7 +87,49 @@ def turn_segments(role: str, text: str, template: Template) -> list[tuple[str, b
 
 
 SEGMENTS = "array<struct<text:string,loss:boolean>>"
-_KIND = pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))
+
+
+# What a turn has beside its order: ``plain`` is its text where the escaped one differs.
+TURN = f"role string, plain string, segments {SEGMENTS}, chars long, loss_chars long"
+
+
+def _turns(rows: DataFrame, template: Template) -> DataFrame:
+    """Each turn by itself: formatted, held against what is parsed back, and counted."""
+    names = ["conv_id", "turn", *(f.split()[0] for f in TURN.split(", "))]
+
+    def run(batches):
+        parser = Parser(template)
+        for batch in slices(batches):
+            texts, losses, plains, chars, loss_chars = [], [], [], [], []
+            for role, text in zip(*(batch.column(c).to_pylist() for c in ("role", "text"))):
+                parts = turn_segments(role, text, template)
+                whole = "".join(t for t, _ in parts)
+                if parser.turns(whole) != [(role, text)]:
+                    raise ValueError("a turn is not read back as it was")
+                texts += [t for t, _ in parts]
+                losses += [loss for _, loss in parts]
+                plains.append(None if parts[1][0] == text else text)
+                chars.append(len(whole))
+                loss_chars.append(sum(len(unescaped(t)) for t, loss in parts if loss))
+            flat = pa.StructArray.from_arrays(
+                [pa.array(texts, pa.string()), pa.array(losses, pa.bool_())], ["text", "loss"]
+            )
+            at = pa.array(np.arange(batch.num_rows + 1) * 3, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("conv_id"),
+                    batch.column("turn"),
+                    batch.column("role"),
+                    pa.array(plains, pa.string()),
+                    pa.ListArray.from_arrays(at, flat),
+                    pa.array(chars, pa.int64()),
+                    pa.array(loss_chars, pa.int64()),
+                ],
+                names,
+            )
+
+    kind = rows.schema["turn"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conv_id long, turn {kind}, {TURN}")
 
 
 def formatted(
@@ -94,7 +140,7 @@ def formatted(
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """One row per turn, in order within a partition: conv_id, position, segments, state.
+    """One row per turn, in order within a partition: conv_id, position, state and TURN.
 
     ``state`` is the state of the machine after the turn, NULL once the order is invalid.
     All turns of a conversation are in one partition.
@@ -105,37 +151,33 @@ def formatted(
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    own = F.coalesce(F.col("plain"), F.col("segments")[1]["text"])
+    ordered = _turns(rows, template).repartition("conv_id")
+    ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", own)
+    kept = [f.split()[0] for f in TURN.split(", ")]
 
     def run(batches):
         current, position, state = (), 0, None
         for batch in batches:
-            ids = batch.column("conv_id").to_pylist()
-            positions, states, segments = [], [], []
-            for conv, role, text in zip(
-                ids, batch.column("role").to_pylist(), batch.column("text").to_pylist()
-            ):
+            positions, states = [], []
+            for conv, role in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role"))):
                 if conv != current:
                     current, position, state = conv, 0, template.start
                 state = template.step(state, role)
                 positions.append(position)
                 states.append(state)
-                parts = turn_segments(role, text, template)
-                segments.append([{"text": t, "loss": loss} for t, loss in parts])
                 position += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("conv_id"),
                     pa.array(positions, pa.int64()),
                     pa.array(states, pa.string()),
-                    pa.array(segments, _KIND),
+                    *(batch.column(c) for c in kept),
                 ],
-                ["conv_id", "position", "state", "segments"],
+                ["conv_id", "position", "state", *kept],
             )
 
-    return ordered.mapInArrow(
-        run, f"conv_id long, position long, state string, segments {SEGMENTS}"
-    )
+    return ordered.mapInArrow(run, f"conv_id long, position long, state string, {TURN}")
 
 
 class Parser:
@@ -173,7 +215,6 @@ def read_back(turns: DataFrame, template: Template = CHATML) -> DataFrame:
     """
     # Written turns may come in any order; those that come from formatted() stay put.
     def run(batches):
-        parser = Parser(template)
         current, sums = (), None
 
         def done():
@@ -187,24 +228,25 @@ def read_back(turns: DataFrame, template: Template = CHATML) -> DataFrame:
             )
 
         for batch in batches:
-            for conv, state, segments in zip(
-                *(batch.column(c).to_pylist() for c in ("conv_id", "state", "segments"))
+            flat = batch.column("segments").flatten()
+            middle = pa.array(np.arange(batch.num_rows) * 3 + 1)
+            columns = [batch.column(c) for c in ("conv_id", "state", "role", "plain", "chars", "loss_chars")]
+            columns += [flat.field(i).take(middle) for i in (0, 1)]
+            for conv, state, role, plain, chars, loss_chars, text, loss in zip(
+                *(c.to_pylist() for c in columns)
             ):
                 if conv != current:
                     if sums is not None:
                         yield done()
                     current = conv
                     sums = [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, None]
-                whole = "".join(s["text"] for s in segments)
-                for role, text in parser.turns(whole):
-                    sums[0].update(f"{role}\n{text}\n".encode())
-                    sums[2] += 1
-                for segment in segments:
-                    if segment["loss"]:
-                        text = unescaped(segment["text"])
-                        sums[1].update(text.encode())
-                        sums[3] += len(text)
-                sums[4] += len(whole)
+                text = (text if plain is None else plain).encode()
+                sums[0].update(b"%b\n%b\n" % (role.encode(), text))
+                if loss:
+                    sums[1].update(text)
+                sums[2] += 1
+                sums[3] += loss_chars
+                sums[4] += chars
                 sums[5] = state
         if sums is not None:
             yield done()

@@ -88,3 +88,18 @@ def test_query(spark, sf_dir):
         "conv_id", "turn", "role", "text").collect()]
     rows += [(-1, 0, "user", MARKED), (-1, 1, "assistant", MARKED)]
     assert {r.conv_id: tuple(r)[1:5] for r in op8_chat(spark, sf_dir).collect()} == digests(rows)
+
+
+def test_turns_are_formatted_before_they_are_dealt(spark):
+    plan = chat.read_back(chat.formatted(spark.createDataFrame(ROWS, SCHEMA)))._jdf.queryExecution().toString()
+    before = plan.split("RepartitionByExpression", 1)[1].split("== ")[0]
+    assert "MapInArrow" in before
+
+
+def test_sums_of_turns_with_marks(spark):
+    rows = [(1, 0, "us<|er\\\n", "<|a<\\|"), (1, 0, "us<|er\\\n", "<!"), (1, 0, "us<|er\\\n", "<|")]
+    rows += [(1, 1, "assistant", "<|é"), (1, 1, "assistant", "<\\|")]
+    got = chat.read_back(chat.formatted(spark.createDataFrame(rows, SCHEMA))).first()
+    assert tuple(got)[1:5] == digests(rows)[1]
+    wholes = ["".join(t for t, _ in chat.turn_segments(r, t, chat.CHATML)) for _, _, r, t in rows]
+    assert got.formatted_chars == len("".join(wholes))
