@@ -1,8 +1,9 @@
 """Deleted-interpolation language model: n-grams of all training texts, scores of all texts.
 
-P(w | u) mixes the maximum-likelihood estimates of two words, one word and none; the
-weights depend on how often the context u was seen (buckets of powers of two) and are
-learnt by expectation-maximisation on counts of held-out training texts.
+P(w | u) mixes the maximum-likelihood estimates of ``order`` words and fewer, down to two,
+one and none; the weights depend on the longest context that was seen, and how often
+(buckets of powers of two), and are learnt by expectation-maximisation on counts of
+held-out training texts.
 
 Counts are looked up in both directions in blocks. Documents are packed into batches,
 each one row of a written table. A batch sends its distinct n-grams, as sorted 64-bit
@@ -38,6 +39,7 @@ END = xxhash.xxh64_intdigest(b" end")
 # steps of 1 / STEPS.
 BUCKETS, STEPS = 64, 8
 ROUNDS = 50
+ORDER = 2  # words of the longest n-gram
 
 
 def split_at(key: Column) -> Column:
@@ -113,8 +115,7 @@ class Batch:
     part: np.ndarray  # of each document
     ends: np.ndarray  # first token of each document, and the number of tokens
     words: np.ndarray  # hash of each token
-    pairs: np.ndarray  # hash of each token and the one before it
-    contexts: np.ndarray  # hash of the token before, END for the first
+    grams: list[np.ndarray]  # by length: hash of each token and those before it, END before the first
 
     @property
     def trains(self) -> np.ndarray:
@@ -129,7 +130,7 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def unpacked(blob: bytes) -> Batch:
+def unpacked(blob: bytes, order: int = ORDER) -> Batch:
     whole = pa.ipc.open_stream(blob).read_all().combine_chunks()
     batch = whole.to_batches()[0]
     hashes, ends = [], [0]
@@ -141,11 +142,15 @@ def unpacked(blob: bytes) -> Batch:
         hashes.append(own)
         ends.append(ends[-1] + len(own))
     words, ends = np.concatenate(hashes), np.array(ends, np.int64)
-    # A text begins after an end: as many texts begin as end.
-    contexts = np.r_[np.uint64(END), words[:-1]]
-    pairs = mixed(contexts, words)
+    # A text begins after ends, whatever stands before it here.
+    grams, begin = [words], np.array([END], np.uint64)
+    for _ in range(order - 1):
+        contexts = np.r_[begin, grams[-1][:-1]]
+        contexts[ends[:-1]] = begin
+        grams.append(mixed(contexts, words))
+        begin = mixed(begin, np.array([END], np.uint64))
     part = batch.column("part").to_numpy(zero_copy_only=False)
-    return Batch(batch.column("doc_id"), part, ends, words, pairs, contexts)
+    return Batch(batch.column("doc_id"), part, ends, words, grams)
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -190,15 +195,15 @@ def _distinct(hashes: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.nd
 ASKED = "range int, batch long, grams int, tunes boolean, n long, keys binary, counts binary"
 
 
-def asked(packs: DataFrame, ranges: int) -> DataFrame:
+def asked(packs: DataFrame, ranges: int, order: int = ORDER) -> DataFrame:
     """Per batch, order and range: the n-grams it has, and their training counts."""
 
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
                 number, tunes = batch.column("batch")[row].as_py(), batch.column("tunes")[row].as_py()
-                b = unpacked(batch.column("blob")[row].as_py())
-                for grams, hashes in ((1, b.words), (2, b.pairs)):
+                b = unpacked(batch.column("blob")[row].as_py(), order)
+                for grams, hashes in enumerate(b.grams, 1):
                     keys, counts = _distinct(hashes, b.trains)
                     for r, (i, j) in enumerate(_cuts(keys, ranges)):
                         if i == j:
@@ -302,27 +307,31 @@ class Totals:
     types: int
 
 
-def estimates(word, pair, context, totals: Totals) -> np.ndarray:
-    """Columns: the estimates from a pair, from a word alone, and from nothing."""
-    return np.stack(
-        [
-            pair / np.maximum(context, 1),
-            word / max(totals.tokens, 1),
-            np.full(len(word), 1 / (totals.types + 1)),
-        ],
-        axis=1,
-    )
+def states(contexts: list[np.ndarray]) -> np.ndarray:
+    """The longest context that was seen, and its bucket; 0 if none was."""
+    found = bucket(contexts[0])
+    for level, counts in enumerate(contexts[1:], 1):
+        found = np.where(counts > 0, level * BUCKETS + bucket(counts), found)
+    return found
+
+
+def estimates(counts: list[np.ndarray], contexts: list[np.ndarray], totals: Totals) -> np.ndarray:
+    """Columns: the estimates from the longest n-gram down to a pair, a word alone, nothing."""
+    longer = [n / np.maximum(c, 1) for n, c in zip(counts[1:], contexts)]
+    word = counts[0] / max(totals.tokens, 1)
+    return np.stack([*longer[::-1], word, np.full(len(word), 1 / (totals.types + 1))], axis=1)
 
 
-def learnt(cells: dict[tuple[int, int, int, int], int]) -> np.ndarray:
-    """Weights per bucket by expectation-maximisation on counted held-out tokens.
+def learnt(cells: dict[tuple[int, ...], int], order: int = ORDER) -> np.ndarray:
+    """Weights per state by expectation-maximisation on counted held-out tokens.
 
-    A cell is (bucket, -log2 of each estimate in STEPS, or -1 for zero). Buckets without
+    A cell is (state, -log2 of each estimate in STEPS, or -1 for zero). States without
     held-out tokens have the weights of all tokens together.
     """
-    start = np.array([0.5, 0.3, 0.2])
+    start = np.array([0.5, 0.3, 0.2]) if order == 2 else np.arange(order + 1, 0, -1.0)
+    start /= start.sum()
     if not cells:
-        return learnt({(0, -1, -1, 0): 0})
+        return learnt({(0, *[-1] * order, 0): 0}, order)
     keys = np.array(list(cells), np.int64)
     n = np.array(list(cells.values()), np.float64)
     p = np.where(keys[:, 1:] < 0, 0.0, 2.0 ** (-keys[:, 1:] / STEPS))
@@ -337,19 +346,21 @@ def learnt(cells: dict[tuple[int, int, int, int], int]) -> np.ndarray:
         return w
 
     pooled = weights(p, n, start)
-    found = np.tile(pooled, (BUCKETS, 1))
+    found = np.tile(pooled, (BUCKETS * (order - 1), 1))
     for b in np.unique(keys[:, 0]).tolist():
         own = keys[:, 0] == b
         found[b] = weights(p[own], n[own], pooled)
-    # A context that was not seen has no estimate from pairs.
-    found[0, 0] = 0.0
+    # A context that was not seen has no estimate.
+    for level in range(1, order - 1):
+        found[: level * BUCKETS, order - 2 - level] = 0.0
+    found[0, : order - 1] = 0.0
     return found / found.sum(1, keepdims=True)
 
 
-def _looked_up(answers: pa.Table, column: str, b: Batch) -> tuple[np.ndarray, ...]:
-    """Counts of each token, of its pair and of its context, from a batch's answers."""
+def _looked_up(answers: pa.Table, column: str, b: Batch) -> tuple[list, list]:
+    """Counts of each token's n-grams by length, and of their contexts, from a batch's answers."""
     found = {}
-    for grams, hashes in ((1, b.words), (2, b.pairs)):
+    for grams, hashes in enumerate(b.grams, 1):
         own = answers.filter(pc.equal(answers.column("grams"), grams)).sort_by("range")
         keys = np.unique(hashes & ~np.uint64(1))
         sizes, packed = own.column("n").to_pylist(), own.column(column).to_pylist()
@@ -362,48 +373,58 @@ def _looked_up(answers: pa.Table, column: str, b: Batch) -> tuple[np.ndarray, ..
         keys, counts = found[grams]
         return counts[np.searchsorted(keys, hashes & ~np.uint64(1))]
 
-    word = of(1, b.words)
-    # The context of a token is the token before it; of the first, the end.
+    counts = [of(grams, hashes) for grams, hashes in enumerate(b.grams, 1)]
+    # As many texts begin as end.
     ends = of(1, np.array([END], np.uint64))
-    return word, of(2, b.pairs), np.r_[ends, word[:-1]]
+    contexts = []
+    for n in counts[:-1]:
+        before = np.r_[ends, n[:-1]]
+        before[b.ends[:-1]] = ends
+        contexts.append(before)
+    return counts, contexts
 
 
-CELLS = "bucket int, p2 int, p1 int, p0 int, n long"
 SCORES = (
     "doc_id long, part int, n_tokens long, n_known long, base_score double, score double"
 )
 
 
-def _met(packs: DataFrame, answers: DataFrame, use, schema: str) -> DataFrame:
+def _met(packs: DataFrame, answers: DataFrame, use, schema: str, order: int) -> DataFrame:
     """``use(batch, its answers)`` for every batch."""
 
     def run(key, pack, replies):
         if not pack.num_rows:
             return pa.Table.from_pylist([], schema=_arrow(schema))
-        return use(unpacked(pack.column("blob")[0].as_py()), replies)
+        return use(unpacked(pack.column("blob")[0].as_py(), order), replies)
 
     replies = answers.select("batch", "range", "grams", "n", "counts", "retained")
     return packs.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, schema)
 
 
-def cells_of(packs: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
+def cells_of(packs: DataFrame, answers: DataFrame, totals: Totals, order: int) -> DataFrame:
+    names = ["state", *(f"p{i}" for i in range(order, -1, -1))]
+    schema = ", ".join([*(f"{c} int" for c in names), "n long"])
+
     def use(b: Batch, replies: pa.Table) -> pa.Table:
-        word, pair, context = _looked_up(replies, "retained", b)
-        p = estimates(word, pair, context, totals)
+        counts, contexts = _looked_up(replies, "retained", b)
+        p = estimates(counts, contexts, totals)
         with np.errstate(divide="ignore"):
             steps = np.where(p > 0, np.rint(-np.log2(p) * STEPS), -1).astype(np.int64)
-        rows, n = np.unique(np.column_stack([bucket(context), steps]), axis=0, return_counts=True)
+        rows, n = np.unique(np.column_stack([states(contexts), steps]), axis=0, return_counts=True)
         columns = [pa.array(c, pa.int32()) for c in rows.T] + [pa.array(n, pa.int64())]
-        return pa.Table.from_arrays(columns, schema=_arrow(CELLS))
+        return pa.Table.from_arrays(columns, schema=_arrow(schema))
 
-    found = _met(packs.filter("tunes"), answers.filter("retained IS NOT NULL"), use, CELLS)
-    return found.groupBy("bucket", "p2", "p1", "p0").agg(F.sum("n").alias("n"))
+    found = _met(
+        packs.filter("tunes"), answers.filter("retained IS NOT NULL"), use, schema, order
+    )
+    return found.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def scores_of(packs: DataFrame, answers: DataFrame, totals: Totals, weights) -> DataFrame:
+def scores_of(packs: DataFrame, answers: DataFrame, totals: Totals, weights, order: int) -> DataFrame:
     def use(b: Batch, replies: pa.Table) -> pa.Table:
-        word, pair, context = _looked_up(replies, "counts", b)
-        p = (estimates(word, pair, context, totals) * weights[bucket(context)]).sum(1)
+        counts, contexts = _looked_up(replies, "counts", b)
+        p = (estimates(counts, contexts, totals) * weights[states(contexts)]).sum(1)
+        word = counts[0]
         base = (word + 1) / (totals.tokens + totals.types + 1)
         at = b.ends[:-1]
         columns = [
@@ -416,10 +437,12 @@ def scores_of(packs: DataFrame, answers: DataFrame, totals: Totals, weights) ->
         ]
         return pa.Table.from_arrays(columns, schema=_arrow(SCORES))
 
-    return _met(packs, answers.filter("batch IS NOT NULL"), use, SCORES)
+    return _met(packs, answers.filter("batch IS NOT NULL"), use, SCORES, order)
 
 
-def scored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(
+    df: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER
+) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``base_score`` is the add-one unigram log10 probability, ``score`` the model's; both
@@ -427,15 +450,15 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     packs = batches_of(df, key, text)
     ranges = max(1, packs.count())
-    answers = written(answered(asked(packs, ranges)), "lm-answers")
+    answers = written(answered(asked(packs, ranges, order)), "lm-answers")
     sums = answers.filter("grams = 1 AND batch IS NULL").agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "tuned_tokens", "tuned_types")]
     )
     tokens, types, tuned_tokens, tuned_types = sums.first()
-    # At most BUCKETS rows for each pair of rounded probabilities.
-    cells = cells_of(packs, answers, Totals(tuned_tokens, tuned_types)).collect()
-    weights = learnt({(r.bucket, r.p2, r.p1, r.p0): r.n for r in cells})
-    found = scores_of(packs, answers, Totals(tokens, types), weights)
+    # At most as many rows as there are states, for each set of rounded probabilities.
+    cells = cells_of(packs, answers, Totals(tuned_tokens, tuned_types), order).collect()
+    weights = learnt({tuple(r)[:-1]: r.n for r in cells}, order)
+    found = scores_of(packs, answers, Totals(tokens, types), weights, order)
     return found.select(
         "doc_id",
         (F.col("part") == 0).alias("held_out"),

@@ -104,3 +104,35 @@ def test_packing():
         assert (lm.unpacked_keys(lm.packed_keys(keys), len(keys)) == keys).all()
         counts = rng.integers(0, 2**40, n)
         assert (lm.unpacked_counts(lm.packed_counts(counts), n) == counts).all()
+
+
+def test_three_words(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()] + [(None, ""), (None, "of the"), (2000, "of the of")]
+    monkeypatch.setattr(lm, "BATCH_BYTES", 60_000)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm.scored(df, order=3).collect()
+
+    def counted(parts):
+        own = [[END, END, *tokens(t)] for d, t in rows if part(d) in parts]
+        grams = [Counter(tuple(o[i - n : i + 1]) for o in own for i in range(2, len(o))) for n in (0, 1, 2)]
+        seen = [Counter(tuple(o[i - n : i]) for o in own for i in range(2, len(o))) for n in (0, 1, 2)]
+        return grams, seen
+
+    def mixture(model, o, i):
+        grams, seen = model
+        p = [grams[n][tuple(o[i - n : i + 1])] / max(seen[n][tuple(o[i - n : i])], 1) for n in (2, 1, 0)]
+        c2, c1 = seen[2][tuple(o[i - 2 : i])], seen[1][tuple(o[i - 1 : i])]
+        state = lm.BUCKETS + int(math.log2(c2)) + 1 if c2 else int(math.log2(c1)) + 1 if c1 else 0
+        return state, [*p, 1 / (len(grams[0]) + 1)]
+
+    model, cells = counted({1}), Counter()
+    for o in ([END, END, *tokens(t)] for d, t in rows if part(d) == 2):
+        for i in range(2, len(o)):
+            state, p = mixture(model, o, i)
+            cells[(state, *(int(np.rint(-np.log2(x) * lm.STEPS)) if x else -1 for x in p))] += 1
+    weights, model, want = lm.learnt(cells, 3), counted({1, 2}), []
+    for o in ([END, END, *tokens(t)] for _, t in rows):
+        mixed = (mixture(model, o, i) for i in range(2, len(o)))
+        want.append(sum(math.log10(np.dot(weights[state], p)) for state, p in mixed))
+    assert sorted(r.score for r in got) == pytest.approx(sorted(want), rel=1e-7)
