@@ -10,11 +10,14 @@ from snapsync.llm import (
     chat,
     decontaminate,
     lm_scoring,
+    ngram_join,
     quality_classifier,
     quality_rules,
+    ranked_search,
     simhash,
     token_files,
     url_filter,
+    vector_codes,
     warc,
 )
 from snapsync.llm.common import importable, table
@@ -117,6 +120,25 @@ def op10_warc(spark, sf_dir):
     return found.drop("url")
 
 
+def op11_vector_codes(spark, sf_dir):
+    found, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _ready(query):
     def run(spark, sf_dir):
         importable(spark)
@@ -137,6 +159,9 @@ def queries():
         op8_chat,
         op9_lm_scoring,
         op10_warc,
+        op11_vector_codes,
+        op12_ranked_search,
+        op13_ngram_join,
     ]
     return {query.__name__: _ready(query) for query in found}
 
@@ -247,10 +272,122 @@ FROM kept
 """
 
 
+def _op11_sql():
+    """Rounds one after another, each a pair of tables: the nearest entries, then the means."""
+    rounds = "".join(
+        f"""
+, near{r} AS MATERIALIZED (
+  SELECT vec_id, part, v, min(struct_pack(d := list_sum(list_transform(range(1, len(v) + 1),
+    lambda i: (v[i] - e.e[i]) * (v[i] - e.e[i])))::BIGINT, entry := entry)) AS best
+  FROM parts JOIN book{r} AS e USING (part) GROUP BY vec_id, part, v
+)"""
+        + (
+            f""", sums{r} AS (
+  SELECT part, best.entry AS entry, i, sum(v[i])::BIGINT AS s, count(*) AS n
+  FROM near{r}, unnest(range(1, len(v) + 1)) AS u(i) GROUP BY ALL
+), book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{r} AS b LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e
+    FROM sums{r} GROUP BY part, entry) AS m USING (part, entry)
+)"""
+            if r < vector_codes.ROUNDS
+            else ""
+        )
+        for r in range(vector_codes.ROUNDS + 1)
+    )
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding,
+    lambda x: floor({vector_codes.SCALE} * CAST(x AS DOUBLE))::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p AS part, x[p * len(x) // 8 + 1 : (p + 1) * len(x) // 8] AS v
+  FROM kept, range(8) AS r(p)
+), book0 AS MATERIALIZED (
+  SELECT part, entry, v AS e FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+    FROM kept QUALIFY entry < 16) USING (vec_id)
+){rounds}
+, rows AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code,
+    sum(best.d)::BIGINT AS error
+  FROM near{last} GROUP BY vec_id
+)
+SELECT vec_id, code, error,
+  sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(e[i]::VARCHAR, ',' ORDER BY part, entry, i))
+   FROM book{last}, unnest(range(1, len(e) + 1)) AS u(i)) AS codebooks_sha256
+FROM rows JOIN kept USING (vec_id)
+"""
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+  FROM texts
+), counts AS (
+  SELECT id AS doc_id, term, count(*) AS tf FROM words WHERE kind = 'd' GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id
+), whole AS (
+  SELECT count(*) AS d, sum(n)::BIGINT AS l FROM lengths
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * d + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE)))
+    AS BIGINT) AS w
+  FROM counts, whole GROUP BY term, d
+), scored AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * d) // l))))::BIGINT AS score
+  FROM (SELECT DISTINCT id AS item_id, term FROM words WHERE kind = 'i')
+    JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER)
+  AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+OP13_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS r(i) WHERE len(w) > 0
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+  ) JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION SELECT doc_id, b FROM reached JOIN links ON a = other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id)
+  LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+
 def oracle_sql():
     return {
         "op4_quality_rules": OP4_SQL,
         "op7_decontamination": OP7_SQL,
         "op8_chat": OP8_SQL,
         "op10_warc": OP10_SQL,
+        "op11_vector_codes": _op11_sql(),
+        "op12_ranked_search": OP12_SQL,
+        "op13_ngram_join": OP13_SQL,
     }
