@@ -16,8 +16,7 @@ representative of each component found; pages of what is still apart are paired
 by size, so that no link is lost and no task holds more than two pages.
 
 Equal sets are one point, so copies cost nothing; pairs that are known to be connected are
-not verified again. The links returned are enough for the components of all links, not all
-pairs. Shingles and sets are told apart by 64-bit hashes (sets also by their size).
+not verified again. Shingles and sets are told apart by 64-bit hashes (sets also by their size).
 
 Words are runs of bytes other than space and \\t \\n \\v \\f \\r, with A-Z in lower case. A
 text with fewer words than a shingle has one shingle, of all its words; one without words,
@@ -309,8 +308,8 @@ def _counts(own: list[np.ndarray]) -> np.ndarray:
 
 def linked(
     block: np.ndarray, own: list[np.ndarray], known: np.ndarray | None = None, percent: int = PERCENT
-) -> list[tuple[int, int]]:
-    """Linked pairs of rows that connect all linked rows of a block.
+) -> np.ndarray:
+    """Per row the number of its component, by the links between rows of a block.
 
     Rows that ``known`` gives one number are connected already.
     """
@@ -323,7 +322,6 @@ def linked(
     if known is not None:
         _, first, same = np.unique(known[order], return_index=True, return_inverse=True)
         forest.up = first[same.ravel()]
-    found = []
     pure = [None] * len(tree.levels)  # per level: the one component of a node, or -1
 
     def refresh():
@@ -345,11 +343,12 @@ def linked(
             shared = len(np.intersect1d(own[a], own[b], assume_unique=True))
             if 100 * shared >= percent * (len(own[a]) + len(own[b]) - shared):
                 forest.join(a, b)
-                found.append((int(order[a]), int(order[b])))
                 joined = True
         if joined:
             refresh()
-    return found
+    label = np.empty(len(own), np.int64)
+    label[order] = order[forest.labels()]
+    return label
 
 
 # Pages -------------------------------------------------------------------
@@ -405,13 +404,14 @@ def _paged(df: DataFrame, *page: str) -> DataFrame:
     return df.repartition(tasks, *page).sortWithinPartitions(*page)
 
 
-LINKS = "a long, b long"
+LABELS = "node long, label long"
 
 
 def _joined(df: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of rows (page, part, block, node, known, own), page by page.
+    """Rows (page, part, node, known, own) as (node, label), page by page.
 
-    Pages that are small share a tree, which keeps them apart by their blocks.
+    Rows of a page have one label if links on it connect them, or ``known`` is the same.
+    Pages that are small share a tree, which keeps them apart.
     """
 
     def run(batches):
@@ -419,21 +419,18 @@ def _joined(df: DataFrame, percent: int) -> DataFrame:
         size = 0
 
         def ready():
-            page = np.array([(p, q) for p, q, *_ in waiting], np.int64)
+            page = np.array([r[:2] for r in waiting], np.int64)
             block = np.unique(page, axis=0, return_inverse=True)[1].ravel()
-            own = [np.frombuffer(s, np.uint64) for *_, s in waiting]
-            known = np.unique(
-                np.array([(b, k) for b, k in zip(block.tolist(), (r[3] for r in waiting))], np.int64),
-                axis=0, return_inverse=True,
-            )[1].ravel()
-            node = [r[2] for r in waiting]
-            # A node that came twice is one.
-            found = linked(block, own, known, percent)
-            return pa.RecordBatch.from_pydict(
-                {
-                    "a": pa.array([node[a] for a, _ in found], pa.int64()),
-                    "b": pa.array([node[b] for _, b in found], pa.int64()),
-                }
+            known = np.column_stack([block, np.array([r[3] for r in waiting], np.int64)])
+            known = np.unique(known, axis=0, return_inverse=True)[1].ravel()
+            node = np.array([r[2] for r in waiting], np.int64)
+            own = [np.frombuffer(r[4], np.uint64) for r in waiting]
+            label = linked(block, own, known, percent)
+            # The least node names what is connected.
+            least = np.full(len(node), np.iinfo(np.int64).max)
+            np.minimum.at(least, label, node)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(least[label])], ["node", "label"]
             )
 
         last = None
@@ -450,59 +447,61 @@ def _joined(df: DataFrame, percent: int) -> DataFrame:
             yield ready()
 
     rows = df.select("page", "part", "node", "known", "own")
-    return _paged(rows, "page", "part").mapInArrow(run, LINKS)
+    return _paged(rows, "page", "part").mapInArrow(run, LABELS)
 
 
-def links(
+def rooted(
     df: DataFrame, signed: DataFrame, key: str = "doc_id", text: str = "text",
     size: int = SHINGLE, percent: int = PERCENT,
 ) -> DataFrame:
-    """Links (a, b) between nodes of ``signed`` (a written table of ``sets``), enough to
-    connect all nodes that any links connect."""
+    """``node`` and ``label``, one for all nodes that links connect, of every node of
+    ``signed`` (a written table of ``sets``) that may have links."""
     blocks = components(agreeing(signed)).select("node", F.col("root").alias("block"))
     points = signed.filter("size(keys) > 0").groupBy("node").agg(
         F.min("row").alias("row"), F.max("n").alias("n")
     )
     points = written(points.join(blocks, "node"), "ngram-points")
     weight = F.sum(F.col("n") + OVERHEAD)
-    pages = points.groupBy("block").agg(F.ceil(weight / PAGE).alias("pages"))
-    points = written(points.join(pages, "block"), "ngram-blocks")
-
-    def dealt(rows):
-        part = F.pmod(F.xxhash64("node"), F.col("pages"))
-        rows = rows.select("row", F.col("block").alias("page"), part.alias("part"), "node", F.col("node").alias("known"))
-        return _read_again(df, rows, key, text, size)
 
-    found = written(_joined(dealt(points), percent), "ngram-links")
-    large = points.filter("pages > 1")
+    def dealt(rows, known):
+        """Points on the pages of their blocks, as many as a block needs."""
+        pages = rows.groupBy("block").agg(F.ceil(weight / PAGE).alias("pages"))
+        part = F.pmod(F.xxhash64("node"), F.col("pages")).alias("part")
+        return rows.join(pages, "block").select("row", F.col("block").alias("page"), part, "node", known)
+
+    pages = dealt(points, F.col("node").alias("known"))
+    labels = written(_joined(_read_again(df, pages, key, text, size), percent), "ngram-labels")
+    several = points.groupBy("block").agg(F.ceil(weight / PAGE).alias("pages")).filter("pages > 1")
+    large = points.join(several.select("block"), "block")
+    large = written(large.join(labels, "node"), "ngram-large")
     if not large.take(1):
-        return found
-
-    def labelled(found):
-        roots = components(found)
-        rows = large.join(roots, "node", "left").withColumn("known", F.coalesce("root", "node"))
-        return rows.drop("root")
+        return labels
 
     # Representatives of what the pages of a block connect.
-    rows = written(labelled(found), "ngram-large")
-    first = rows.groupBy("block", "known", F.pmod(F.xxhash64("node"), F.col("pages")).alias("part")).agg(
-        F.min(F.struct("node", "row", "n")).alias("p")
-    )
-    first = first.select("block", "p.*")
-    pages = first.groupBy("block").agg(F.ceil(weight / PAGE).alias("pages"))
-    more = written(_joined(dealt(first.join(pages, "block")), percent), "ngram-links")
-    found = found.unionByName(more)
-    rows = written(labelled(found), "ngram-large")
+    first = large.filter("node = label").drop("label")
+    pages = dealt(first, F.col("node").alias("known"))
+    more = _joined(_read_again(df, pages, key, text, size), percent)
+    more = more.select(F.col("node").alias("label"), F.col("label").alias("known"))
+    more = written(more, "ngram-labels")
+    large = written(large.join(more, "label").drop("label"), "ngram-large")
     # Blocks that are not one component yet: sizes that can link, page against page.
-    several = rows.groupBy("block").agg(F.min("known").alias("x"), F.max("known").alias("y"))
-    rest = rows.join(several.filter("x <> y").select("block"), "block")
-    if not rest.take(1):
-        return found
-    return found.unionByName(written(_crossed(df, rest, key, text, size, percent), "ngram-links"))
+    apart = large.groupBy("block").agg(F.min("known").alias("x"), F.max("known").alias("y"))
+    rest = large.join(apart.filter("x <> y").select("block"), "block")
+    if rest.take(1):
+        met = written(_crossed(df, rest, key, text, size, percent), "ngram-crossed")
+        # A label that pages share connects what they connect.
+        roots = components(met.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(
+            rest.select(F.col("node").alias("a"), F.col("known").alias("b"))
+        ))
+        large = large.join(roots, "node", "left")
+        large = large.withColumn("known", F.coalesce("root", "known")).drop("root")
+    last = large.select("node", F.col("known").alias("last"))
+    labels = labels.join(last, "node", "left")
+    return labels.select("node", F.coalesce("last", "label").alias("label"))
 
 
 def _crossed(df: DataFrame, rest: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """Links between the pages of blocks that are of several components.
+    """Labels of the pages of blocks that are of several components, two pages at a time.
 
     Linked sizes are in the same or in neighbouring steps. A component that fills a page of
     its step has pages of its own, which need not be paired among themselves.
@@ -551,9 +550,9 @@ def near_duplicates(
     if not 50 <= percent <= 100:
         raise ValueError("similarities of 50 to 100 percent")
     signed = written(sets(df, key, text, size, percent), "ngram-sets")
-    roots = components(links(df, signed, key, text, size, percent))
+    roots = rooted(df, signed, key, text, size, percent)
     least = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    of = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    of = least.join(roots, "node", "left").select("node", "least", F.coalesce("label", "node").alias("root"))
     of = written(of, "ngram-roots")
     ids = of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "node")

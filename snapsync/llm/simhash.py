@@ -171,11 +171,20 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     return pairs.unionByName(_meetings(crowd, distance)).distinct()
 
 
+def _unsettled(edges: DataFrame) -> bool:
+    """True unless every ``a`` has one ``b``, which is the least of its star and no ``a``."""
+    below, up = F.lit(1).alias("below"), (F.col("a") < F.col("b")).alias("up")
+    ends = edges.select(F.col("a").alias("node"), below, up).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(True).alias("up"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("up").alias("up"))
+    return bool(ends.filter("below > 1 OR below = 1 AND up").take(1))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, of all nodes of (a, b)."""
     edges = written(edges.select("a", "b").filter("a <> b"), "simhash-edges")
-    before = None
-    while True:
+    while _unsettled(edges):
         # Large star: neighbours above a node go to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -192,12 +201,6 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(least, F.col("a") == F.col("u"))
         small = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         edges = written(small.distinct(), "simhash-star")
-        state = edges.agg(
-            F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 65536)
-        ).first()
-        if state == before or not state[0]:
-            break
-        before = state
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
 
