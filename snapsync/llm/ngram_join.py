@@ -357,7 +357,7 @@ def linked(
 def _filter_of(picks: DataFrame) -> np.ndarray:
     """A bit map of the ``row`` hashes, of a size that is bounded; no row is missed."""
     wanted = picks.count()
-    bits = min(FILTER_BITS, 1 << max(16, (8 * wanted).bit_length()))
+    bits = min(FILTER_BITS, 1 << max(16, (64 * wanted).bit_length()))
     place = F.pmod(F.col("row"), F.lit(bits))
     words = picks.select(
         F.floor(place / 32).cast("int").alias("word"),
