@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
+from snapsync.functions.predicates import bound_predicates
 from snapsync.sources import base
 from snapsync.sources.base import Cell, Opened, at_once
 
@@ -127,12 +128,15 @@ def even_cells(
     """
     cells = count(low, high, n)
     share = max(1, -(-sum(c.n_rows for c in cells) // n))
-    while wide := [c for c in cells if c.n_rows > 2 * share and c.low < c.high]:
-        finer = at_once(lambda c: count(c.low, c.high, REFINE), wide)
-        cells = [c for c in cells if c not in wide] + [c for part in finer for c in part]
+    done: list[Cell] = []
+    while cells:
+        wide: list[Cell] = []
+        for c in cells:
+            (wide if c.n_rows > 2 * share and c.low < c.high else done).append(c)
+        cells = [c for part in at_once(lambda c: count(c.low, c.high, REFINE), wide) for c in part]
     packs: list[tuple[int, int]] = []
     held = share
-    for c in sorted(cells, key=lambda c: c.low):
+    for c in sorted(done, key=lambda c: c.low):
         if c.n_rows > 2 * share:
             packs.append((c.low, -(-c.n_rows // share)))
             held = share
@@ -185,7 +189,7 @@ def split_predicates(
             )
         else:
             others = [c for c in key if c not in same]
-            others = others or [c for c in opened.read(name).columns if c not in same]
+            others = others or [c for c in opened.hashable_columns(name) if c not in same]
             # Rows of one column alone are all alike.
             inner = opened.hash_predicates(others or [column], parts) or ["1 = 1"]
         return [rows] if inner == ["1 = 1"] else [f"{rows} AND {p}" for p in inner]
@@ -206,17 +210,6 @@ def range_predicates(column: str, starts: Sequence[int]) -> list[str]:
     return bound_predicates(column, sorted(set(starts)))
 
 
-def bound_predicates(column: str, cuts: Sequence) -> list[str]:
-    """One SQL predicate per range between literals in ascending order."""
-    if not cuts:
-        return ["1 = 1"]
-    return [
-        f"({column} < {cuts[0]} OR {column} IS NULL)",
-        *(f"({column} >= {a} AND {column} < {b})" for a, b in zip(cuts, cuts[1:])),
-        f"({column} >= {cuts[-1]})",
-    ]
-
-
 def residue_predicates(column: str, n: int) -> list[str]:
     """``n`` SQL predicates by remainder; NULLs go with remainder 0."""
     if n < 2:

@@ -154,6 +154,10 @@ class Opened:
         """``n`` predicates by a hash of columns; None if the source has no function."""
         return None
 
+    def hashable_columns(self, name: str) -> list[str]:
+        """The columns that can go into a hash."""
+        return self.read(name).columns
+
     def append_stats(self, name: str, key: str) -> DataFrame:
         """One row ``(max_key, null_keys)``: what an increment has to know beforehand."""
         raise NotImplementedError

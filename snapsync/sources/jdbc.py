@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
+from snapsync.functions.predicates import hash_remainders
 from snapsync.sources import base
 
 # Fixed value: the driver class of MySQL's own connector.
@@ -46,7 +47,13 @@ HASH_FUNCTIONS = {
     "jdbc:mariadb:": ("CRC32(CONCAT_WS('|', {}))", ", "),
     "jdbc:postgresql:": ("ABS(CAST(HASHTEXT(CONCAT_WS('|', {})) AS BIGINT))", ", "),
     "jdbc:oracle:": ("ORA_HASH({})", " || '|' || "),
+    "jdbc:sqlserver:": ("ABS(CAST(BINARY_CHECKSUM({}) AS BIGINT))", ", "),
 }
+# Types, in lower case, that databases do not concatenate or compare.
+LONG_TYPES = frozenset(
+    "blob clob nclob long bfile xmltype xml tinyblob mediumblob longblob text ntext image"
+    " tinytext mediumtext longtext json jsonb bytea geography geometry".split()
+)
 
 log = logging.getLogger(__name__)
 
@@ -392,15 +399,30 @@ class OpenedJdbc(base.Opened):
         for start, (function, glue) in HASH_FUNCTIONS.items():
             if self.source.url.startswith(start):
                 hashed = function.format(glue.join(names))
-                return [f"(MOD({hashed}, {n}) = {i})" for i in range(n)]
+                modulo = "({} % {})" if self.is_sql_server else "MOD({}, {})"
+                return hash_remainders(hashed, n, modulo)
         return None
 
+    def hashable_columns(self, name: str) -> list[str]:
+        """Columns that can go into a hash, or all where the catalog has none that can."""
+        # The functions of the others take any type.
+        if not self.source.url.startswith(("jdbc:oracle:", "jdbc:sqlserver:")):
+            return self.read(name).columns
+        kinds = self.columns().filter(F.col("table_name") == name).select("column_name", "data_type")
+        long = {r.column_name.lower() for r in kinds.collect() if str(r.data_type).lower() in LONG_TYPES}
+        names = self.read(name).columns
+        return [c for c in names if c.lower() not in long] or names
+
     def key_bounds(self, name: str, key: str, n: int) -> list[str]:
         """Literals of the keys that cut a table of any ordered key into ``n`` even ranges.
 
         The database numbers the keys in the order of its index and sends every n-th.
         """
         column, table = self.quote(key), self.qualified(name)
+        # Before anything is counted: a key that has no literals has no bounds.
+        kind = self.read(name).schema[key].dataType
+        if not isinstance(kind, self._literal_kinds()):
+            return []
         total = self.query(f"SELECT COUNT({column}) AS n FROM {table}").toDF("n").first().n
         step = max(1, -(-int(total) // n))
         nth = f"(place - 1) % {step} = 0" if self.is_sql_server else f"MOD(place - 1, {step}) = 0"
@@ -409,9 +431,9 @@ class OpenedJdbc(base.Opened):
             f" (SELECT {column} AS k, ROW_NUMBER() OVER (ORDER BY {column}) AS place"
             f" FROM {table} WHERE {column} IS NOT NULL) ordered WHERE place > 1 AND {nth}"
         ).toDF("place", "k")
-        kind = df.schema["k"].dataType
         # In the order of the database, which may not be that of the texts.
-        rows = df.select("place", F.col("k").cast("string")).collect()
+        shown = F.hex("k") if isinstance(kind, T.BinaryType) else F.col("k").cast("string")
+        rows = df.select("place", shown.alias("k")).collect()
         found = [r.k for r in sorted(rows, key=lambda r: int(r.place))]
         if isinstance(kind, T.StringType):
             escaped = [k.replace("\\", "\\\\") if self.source.is_mysql else k for k in found]
@@ -420,7 +442,16 @@ class OpenedJdbc(base.Opened):
             return [f"DATE {sql_string(k)}" for k in found]
         if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
             return [f"TIMESTAMP {sql_string(k)}" for k in found]
-        return found if isinstance(kind, (T.DecimalType, T.IntegralType)) else []
+        if isinstance(kind, T.BinaryType):
+            return [f"X'{k}'" for k in found]
+        return found
+
+    def _literal_kinds(self) -> tuple:
+        """Types of which a value can stand in a predicate. Floating ones are not exact."""
+        known = (
+            T.StringType, T.DateType, T.TimestampNTZType, T.TimestampType, T.DecimalType, T.IntegralType,
+        )
+        return (*known, T.BinaryType) if self.source.is_mysql else known
 
     def append_stats(self, name: str, key: str) -> DataFrame:
         # A primary key has no NULLs, and its greatest value is at the end of the index.

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
+from snapsync.functions.predicates import hot_bound_predicates
 from snapsync.options import CopyOptions
 from snapsync.plans.splits import (
-    bound_predicates,
     composite_predicates,
     range_starts,
     split_predicates,
@@ -78,13 +78,20 @@ def _without_integral_key(opened: OpenedJdbc, name: str, row: Mapping[str, Any],
     """Parallel queries of a table that has no integral key to cut by.
 
     Ranges of its leading key column, placed by the order of the database's index; without
-    a key remainders of a hash of its columns, each of which scans the table.
+    a key, or one of a type without literals, remainders of a hash of its columns, each of
+    which scans the table.
     """
     key = row.get("primary_key")
     if key:
         # NULLs, and keys below the first bound, are in the first range.
         bounds = opened.key_bounds(name, key[0], n)
-        return opened.read_where(name, bound_predicates(opened.quote(key[0]), bounds))
+        if bounds:
+            # A value that fills several ranges is cut by the rest of its key.
+            others = key[1:] or [c for c in opened.hashable_columns(name) if c != key[0]]
+            cut = hot_bound_predicates(
+                opened.quote(key[0]), bounds, lambda parts: opened.hash_predicates(others, parts)
+            )
+            return opened.read_where(name, cut)
     queries = max(HASH_SPLITS, -(-(row.get("size_bytes") or 0) // HASH_BYTES))
-    hashed = opened.hash_predicates(opened.read(name).columns, min(n, queries))
+    hashed = opened.hash_predicates(opened.hashable_columns(name), min(n, queries))
     return opened.read_where(name, hashed) if hashed else opened.read(name)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import embedded_db
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from snapsync.functions.predicates import hash_remainders, hot_bound_predicates
 from snapsync.options import CopyOptions
 from snapsync.plans.splits import (
     composite_predicates,
@@ -253,6 +255,53 @@ def test_tables_without_a_key(spark):
     assert read_table(Views(spark, "jdbc:derby:memory:x"), row).columns == ["id", "s"]
 
 
+@pytest.mark.parametrize("modulo", ["MOD({}, {})", "({} % {})"])
+def test_rows_without_a_hash_are_in_one_query(spark, modulo):
+    df = spark.sql("SELECT id, IF(id % 3 = 0, NULL, CRC32(CAST(id AS string))) AS h FROM range(300)")
+    number, hits = split_by(hash_remainders("h", 4, modulo))
+    found = df.select("h", number.alias("q"), hits.alias("hits"))
+    assert {r.hits for r in found.collect()} == {1}
+    assert {r.q for r in found.filter("h IS NULL").collect()} == {0}
+    assert found.select("q").distinct().count() == 4
+
+
+def test_hot_bounds_are_cut_by_other_columns(spark):
+    """A value between bounds that repeat is read in several queries, what follows it in one."""
+    df = spark.sql("SELECT IF(id < 700, 'hot', CONCAT('k', id)) AS k, id FROM range(1000)")
+    cuts = ["'hot'", "'hot'", "'hot'", "'k800'"]
+    found = hot_bound_predicates("k", cuts, lambda n: hash_remainders("CRC32(CAST(id AS string))", n))
+    assert len(found) == 6
+    number, hits = split_by(found)
+    counts = df.select(number.alias("q"), hits.alias("hits")).groupBy("q").agg(F.count("*").alias("n"), F.max("hits").alias("hits")).collect()
+    assert sum(r.n for r in counts) == 1000 and {r.hits for r in counts} == {1}
+    assert max(r.n for r in counts) < 320
+    # Without another column the value is one query.
+    assert len(hot_bound_predicates("k", cuts, lambda n: None)) == 3
+
+
+def test_even_cells_are_linear():
+    """Very many cells that are all too wide are cut without comparing each with each."""
+    n = 40_000
+    cells = [Cell(i * 1000, i * 1000 + 999, 10) for i in range(n)]
+
+    def count(low, high, parts):
+        return cells if low == 0 and high == n * 1000 else [Cell(low, low, 10)]
+
+    begun = time.time()
+    packs = even_cells(count, 0, n * 1000, 10 * n)
+    assert [p for p, _ in packs] == [c.low for c in cells] and time.time() - begun < 10
+
+
+def test_sql_server_has_hashes():
+    opened = jdbc.OpenedJdbc.__new__(jdbc.OpenedJdbc)
+    opened.source = jdbc.JdbcSource("jdbc:sqlserver://h", "db")
+    opened.quote = lambda c: f"[{c}]"
+    assert opened.hash_predicates(["a", "b"], 2) == [
+        "((ABS(CAST(BINARY_CHECKSUM([a], [b]) AS BIGINT)) % 2) = 0 OR ABS(CAST(BINARY_CHECKSUM([a], [b]) AS BIGINT)) IS NULL)",
+        "((ABS(CAST(BINARY_CHECKSUM([a], [b]) AS BIGINT)) % 2) = 1)",
+    ]
+
+
 def test_composite_split_numbers(spark):
     df = spark.createDataFrame(
         [(0, 0), (0, -1), (0, None), (5, 4), (9, 8), (None, 1)], "a long, b long"
