@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -147,7 +147,11 @@ def _refuse(path: str, why: str, data_type: T.DataType) -> Column:
 
 
 # What a text has to look like, beyond being castable, to be the value it is cast to.
-# More digits after the second than a timestamp keeps, and a zone after a time.
+# A whole date, more digits after the second than a timestamp keeps, a zone after a time,
+# an infinity that is meant, and the letter of a type after a number.
+WHOLE_DATE = r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}(\D|$)"
+INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+TYPE_LETTER = r"(?i)[\d.](d|f|l|s|y|bd)\s*$"
 TOO_FINE = r"\.\d{6}\d*[1-9]"
 ZONED = r"\d:\d.*([zZ]|[A-Za-z]{3}|[+-]\d{1,2}(:?\d{2})*)\s*$"
 
@@ -176,14 +180,20 @@ def _text_changes(value: Column, cast: Column, want: T.DataType) -> Column:
         # 15 digits are safe; the double of 16 or 17 has to read the same again.
         exact, back = (c.try_cast(T.DecimalType(38, 20)) for c in (value, cast.cast("string")))
         digits = F.length(F.regexp_replace(_number_text(value), r"[eE].*|\D|^-?0\.0*", ""))
-        return (digits > 15) & (F.coalesce(exact != back, F.lit(True)) | (digits > 17))
+        endless = cast.isin(float("inf"), float("-inf")) & ~value.rlike(INFINITY)
+        # A number that is not zero, and too small for a double.
+        vanished = (cast == 0) & value.rlike(r"^[^eE]*[1-9]")
+        other = endless | vanished | value.rlike(TYPE_LETTER)
+        return other | (digits > 15) & (F.coalesce(exact != back, F.lit(True)) | (digits > 17))
     if isinstance(want, T.DateType):
         moment = value.try_cast(T.TimestampNTZType())
-        return moment.isNotNull() & (moment != cast.cast(T.TimestampNTZType()))
+        later = moment.isNotNull() & (moment != cast.cast(T.TimestampNTZType()))
+        return ~value.rlike(WHOLE_DATE) | later
+    # Of a time without a date, or a part of a date, the rest would be made up.
     if isinstance(want, T.TimestampType):
-        return value.rlike(TOO_FINE)
+        return ~value.rlike(WHOLE_DATE) | value.rlike(TOO_FINE)
     if isinstance(want, T.TimestampNTZType):
-        return value.rlike(TOO_FINE) | value.rlike(ZONED)
+        return ~value.rlike(WHOLE_DATE) | value.rlike(TOO_FINE) | value.rlike(ZONED)
     return F.lit(False)
 
 
@@ -200,19 +210,24 @@ def _changes(value: Column, cast: Column, have: T.DataType, want: T.DataType) ->
     return ~cast.try_cast(have).eqNullSafe(value)
 
 
-def _fitted(value: Column, have: T.DataType, want: T.DataType, path: str) -> Column:
-    """The value as type ``want``; a value that would change is an error."""
+Refusal = Callable[[str, str, T.DataType], Column]
+
+
+def _fitted(
+    value: Column, have: T.DataType, want: T.DataType, path: str, refuse: Refusal = _refuse
+) -> Column:
+    """The value as type ``want``; a value that would change is what ``refuse`` says."""
     if isinstance(want, T.ArrayType) and isinstance(have, T.MapType):
         entry = T.StructType(
             [T.StructField("key", have.keyType), T.StructField("value", have.valueType)]
         )
-        return _fitted(F.map_entries(value), T.ArrayType(entry), want, path)
+        return _fitted(F.map_entries(value), T.ArrayType(entry), want, path, refuse)
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
         return F.transform(
-            value, lambda v: _fitted(v, have.elementType, want.elementType, f"{path}[]")
+            value, lambda v: _fitted(v, have.elementType, want.elementType, f"{path}[]", refuse)
         )
     if isinstance(want, T.StructType) and isinstance(have, T.StructType):
-        record = F.struct(*_columns(have, want, value.getField, f"{path}."))
+        record = F.struct(*_columns(have, want, value.getField, f"{path}.", refuse))
         return F.when(value.isNotNull(), record)
     if have == want:
         return value
@@ -220,11 +235,13 @@ def _fitted(value: Column, have: T.DataType, want: T.DataType, path: str) -> Col
     lost = cast.isNull() | _changes(value, cast, have, want)
     why = f"value does not fit {want.simpleString()}"
     return F.when(value.isNull(), F.lit(None).cast(want)).otherwise(
-        F.when(lost, _refuse(path, why, want)).otherwise(cast)
+        F.when(lost, refuse(path, why, want)).otherwise(cast)
     )
 
 
-def _columns(have: T.StructType, want: T.StructType, get, path: str = "") -> list[Column]:
+def _columns(
+    have: T.StructType, want: T.StructType, get, path: str = "", refuse: Refusal = _refuse
+) -> list[Column]:
     present = {f.name.lower(): f for f in have.fields}
     extra = present.keys() - {f.name.lower() for f in want.fields}
     if extra:
@@ -234,9 +251,9 @@ def _columns(have: T.StructType, want: T.StructType, get, path: str = "") -> lis
         source = present.get(f.name.lower())
         where = path + f.name
         if source is not None:
-            value = _fitted(get(source.name), source.dataType, f.dataType, where)
+            value = _fitted(get(source.name), source.dataType, f.dataType, where, refuse)
             if not f.nullable:
-                missing = _refuse(where, "required value is NULL", f.dataType)
+                missing = refuse(where, "required value is NULL", f.dataType)
                 value = F.coalesce(value, missing)
         elif f.nullable:
             value = F.lit(None).cast(f.dataType)
@@ -254,3 +271,77 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     checks and casts are one projection of the same scan.
     """
     return df.select(_columns(df.schema, schema, lambda n: F.col(quoted(n))))
+
+
+# Rows that do not conform ------------------------------------------------
+
+
+def _fits(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    cast = value.try_cast(want)
+    return value.isNull() | (cast.isNotNull() & ~_changes(value, cast, have, want))
+
+
+def _value_problems(
+    value: Column, have: T.DataType, want: T.DataType, path: str
+) -> list[tuple[Column, str, str]]:
+    """What can be wrong with a value: (whether it is, path, reason)."""
+    if isinstance(want, T.ArrayType) and isinstance(have, T.MapType):
+        entry = T.StructType(
+            [T.StructField("key", have.keyType), T.StructField("value", have.valueType)]
+        )
+        return _value_problems(F.map_entries(value), T.ArrayType(entry), want, path)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+
+        def inner(v: Column) -> list[tuple[Column, str, str]]:
+            return _value_problems(v, have.elementType, want.elementType, f"{path}[]")
+
+        def any_of(i: int) -> Column:
+            return F.coalesce(F.exists(value, lambda v: inner(v)[i][0]), F.lit(False))
+
+        told = inner(F.lit(None).cast(have.elementType))
+        return [(any_of(i), where, why) for i, (_, where, why) in enumerate(told)]
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        found = _problems(have, want, value.getField, f"{path}.")
+        return [(value.isNotNull() & wrong, where, why) for wrong, where, why in found]
+    if have == want:
+        return []
+    return [(~_fits(value, have, want), path, f"value does not fit {want.simpleString()}")]
+
+
+def _problems(
+    have: T.StructType, want: T.StructType, get, path: str = ""
+) -> list[tuple[Column, str, str]]:
+    present = {f.name.lower(): f for f in have.fields}
+    found = []
+    for f in want.fields:
+        source = present.get(f.name.lower())
+        if source is None:
+            continue
+        where, value = path + f.name, get(source.name)
+        found += _value_problems(value, source.dataType, f.dataType, where)
+        if not f.nullable:
+            found.append((value.isNull(), where, "required value is NULL"))
+    return found
+
+
+PROBLEMS = T.ArrayType(
+    T.StructType([T.StructField(c, T.StringType()) for c in ("column", "reason")])
+)
+
+
+def conform_or_tell(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Two columns: ``row``, as ``conform`` would have it, and ``problems``, what is wrong.
+
+    A row without problems conforms; in others, values that do not fit are NULL. It is one
+    projection, in which no value fails the job. What no row could mend, such as a required
+    column that is missing, raises at once.
+    """
+    get = lambda n: F.col(quoted(n))
+    empty = lambda path, why, kind: F.lit(None).cast(kind)
+    fitted = _columns(df.schema, schema, get, refuse=empty)
+    told = [
+        F.when(wrong, F.struct(F.lit(where).alias("column"), F.lit(why).alias("reason")))
+        for wrong, where, why in _problems(df.schema, schema, get)
+    ]
+    problems = F.filter(F.array(*told), lambda p: p.isNotNull()) if told else F.array()
+    return df.select(F.struct(*fitted).alias("row"), problems.cast(PROBLEMS).alias("problems"))

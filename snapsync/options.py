@@ -39,6 +39,8 @@ TARGET_OPTIONS = {
 }
 JOB_OPTIONS = {
     "attempt-incremental-updates": "incremental",
+    "attempt-delta-updates": "delta",
+    "reconcile-ranges": "reconcile",
     "incremental-lookback": "lookback",
     "max-parallel-writers": "max_parallel_writers",
     "max-retries": "max_attempts",
@@ -58,6 +60,7 @@ TARGET_FILES_FIELDS = {
     "verify": "verify",
     "keep-versions": "keep_versions",
     "max-parts": "max_parts",
+    "tier-parts": "tier",
     "write-options": "write_options",
 }
 TARGET_CATALOG_FIELDS = {
@@ -99,6 +102,10 @@ class CopyOptions:
     # Incremental copies re-read this many keys below the high-water mark, for
     # rows that were committed late.
     lookback: int = 0
+    # Copy of mutable tables with a key only what their marker column says has changed.
+    delta: bool = False
+    # Compare tables with an integral key range by range, and copy what differs.
+    reconcile: bool = False
     raise_on_failure: bool = False
 
     def __post_init__(self):
@@ -129,14 +136,16 @@ class FileTarget:
     keep_versions: int = 2
     # With this many parts the next increment joins them all into a new version.
     max_parts: int = 50
-    # Count the rows of the written files, from their footers, before they appear.
+    # The newest parts are merged as soon as so many are of one level.
+    tier: int = 8
+    # Compare the written files with the rows seen, by a digest, before they appear.
     verify: bool = False
     write_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
-        for name in ("keep_versions", "max_parts"):
-            if getattr(self, name) < 1:
-                raise ValueError(f"{name} must be at least 1")
+        for name, least in (("keep_versions", 1), ("max_parts", 1), ("tier", 2)):
+            if getattr(self, name) < least:
+                raise ValueError(f"{name} must be at least {least}")
 
     def qualified(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"

@@ -50,6 +50,9 @@ class Storage:
             raise ValueError("refusing to delete the root")
         self._fs.delete(self.path(*parts), True)
 
+    def make_folder(self, *parts: str) -> None:
+        self._fs.mkdirs(self.path(*parts))
+
     def write_text(self, text: str, *parts: str) -> None:
         """Create a file that appears with all of its text or not at all."""
         *folder, name = parts

@@ -10,7 +10,15 @@ from pyspark.sql import types as T
 
 from snapsync.functions.names import qualified_name, target_name
 from snapsync.functions.text import render_fixed_width
-from snapsync.operators.schema import conform, load_schema, target_fields, target_schema
+from snapsync.operators import sink
+from snapsync.operators.schema import (
+    conform,
+    conform_or_tell,
+    load_schema,
+    target_fields,
+    target_schema,
+)
+from snapsync.options import FileTarget
 
 ALL_TYPES = (
     "b boolean, i1 tinyint, i2 smallint, i4 int, i8 bigint, f float, d double, s string,"
@@ -263,3 +271,95 @@ def test_names(spark):
     assert tuple(found.first()) == (
         "Tags", "pre_Tags", "pre_Tags_20240209", "data.Tags", "proj:data.Tags",
     )
+
+
+# Texts that say less, more or something else than the value they would be cast to.
+PARTIAL = [
+    ("12:30:45", "TIMESTAMP"), ("12:30:45", "DATETIME"), ("2024", "DATE"), ("2024-03", "DATE"), ("2024", "TIMESTAMP"),
+    ("2024-03", "DATETIME"), ("T12:30", "TIMESTAMP"), ("1e400", "FLOAT64"), ("-1e400", "FLOAT64"), ("1e-400", "FLOAT64"),
+    ("0.1d", "FLOAT64"), ("1F", "FLOAT64"), ("2.D ", "FLOAT64"), ("today", "DATE"), ("now", "TIMESTAMP"),
+]
+FULL = [
+    ("2024-03-01", "DATE"), (" 2024-3-1 ", "DATE"), ("2024-03-01 12:30:45", "TIMESTAMP"), ("2024-03-01T12:30", "DATETIME"),
+    ("Infinity", "FLOAT64"), ("-inf", "FLOAT64"), ("NaN", "FLOAT64"), ("0.1", "FLOAT64"), ("0e9", "FLOAT64"), ("1e300", "FLOAT64"),
+]
+
+
+@pytest.mark.parametrize("text,kind", PARTIAL)
+def test_texts_that_do_not_say_the_whole_value_are_refused(spark, text, kind):
+    df = spark.createDataFrame([(text,)], "v string")
+    with pytest.raises(PySparkException, match="v: value does not fit"):
+        conform(df, load_schema(json.dumps([{"name": "v", "type": kind}]))).collect()
+
+
+def test_texts_that_say_the_whole_value_are_taken(spark):
+    for text, kind in FULL:
+        df = spark.createDataFrame([(text,)], "v string")
+        (row,) = conform(df, load_schema(json.dumps([{"name": "v", "type": kind}]))).collect()
+        assert row.v is not None
+
+
+BAD_SCHEMA = """[{"name": "k", "type": "INT64", "mode": "REQUIRED"},
+  {"name": "n", "type": "INT64"}, {"name": "day", "type": "DATE"},
+  {"name": "r", "type": "RECORD", "fields": [{"name": "x", "type": "INT64", "mode": "REQUIRED"},
+    {"name": "l", "type": "INT64", "mode": "REPEATED"}]}]"""
+BAD_ROWS = [
+    ("1", "2", "2024-01-01", (5, ["1", "2"])),
+    ("x", "2.5", "2024", (5, ["1"])),
+    (None, None, None, None),
+    ("4", "4", "2024-02-30", (None, ["q", None, "3"])),
+    ("5", None, None, (1, None)),
+]
+BAD_KIND = "k string, n string, day string, r struct<x:int,l:array<string>>"
+
+
+def test_problems_are_told_row_by_row(spark):
+    schema, df = load_schema(BAD_SCHEMA), spark.createDataFrame(BAD_ROWS, BAD_KIND)
+    told = conform_or_tell(df, schema).collect()
+    found = [[(p.column, p.reason.split()[0]) for p in r.problems] for r in told]
+    assert [sorted(f) for f in found] == [
+        [], [("day", "value"), ("k", "value"), ("n", "value")], [("k", "required")],
+        [("day", "value"), ("r.l[]", "value"), ("r.x", "required")], [],
+    ]
+    # The rows without problems are those that conform gives.
+    good = [told[i].row for i in (0, 4)]
+    assert good == conform(df.filter("k IN ('1', '5')"), schema).collect()
+    assert told[1].row.k is None and told[3].row.n == 4
+
+
+def test_quarantine(spark, tmp_path):
+    target, schema = FileTarget(str(tmp_path)), load_schema(BAD_SCHEMA)
+    df = spark.createDataFrame(BAD_ROWS * 20, BAD_KIND).repartition(3)
+    done = sink.write_conforming(df, target, "t", schema, "k")
+    assert (done.rows, done.bad_rows) == (40, 60)
+    kept = sink.read_snapshot(spark, target, "t")
+    assert kept.columns == ["k", "n", "day", "r"] and {r.k for r in kept.collect()} == {1, 5}
+    assert sink.high_water(spark, target, "t", "k") == 5
+    ledger = sink.read_ledger(spark, target, "t")
+    assert ledger.schema["source"].dataType == df.schema
+    assert ledger.count() == 7 * 20
+    assert {(r.source.k, r.column) for r in ledger.collect()} == {
+        ("x", "k"), ("x", "n"), ("x", "day"), (None, "k"), ("4", "day"), ("4", "r.x"), ("4", "r.l[]"),
+    }
+    # All rows conform, or none does.
+    for some, good in ((BAD_ROWS[:1], 1), (BAD_ROWS[1:2], 0), ([], 0)):
+        done = sink.write_conforming(spark.createDataFrame(some, BAD_KIND), target, "t", schema)
+        assert (done.rows, done.bad_rows) == (good, len(some) - good)
+        assert sink.read_snapshot(spark, target, "t").count() == good
+        assert sink.read_ledger(spark, target, "t").count() == (3 if len(some) > good else 0)
+
+
+def test_a_failed_quarantine_publishes_nothing(spark, tmp_path):
+    target, schema = FileTarget(str(tmp_path)), load_schema(BAD_SCHEMA)
+    df = spark.createDataFrame(BAD_ROWS, BAD_KIND)
+    sink.write_conforming(df, target, "t", schema)
+    boom = df.withColumn("n", F.when(F.col("k") == "5", F.raise_error(F.lit("boom"))).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="boom"):
+        sink.write_conforming(boom, target, "t", schema)
+    assert sink.read_snapshot(spark, target, "t").count() == 2
+    assert sink.read_ledger(spark, target, "t").count() == 7
+    with pytest.raises(ValueError, match="conforms"):
+        sink.write_conforming(df, target, "t", load_schema('[{"name": "conforms", "type": "BOOL"}]'))
+    sink.write_snapshot(df, target, "t")
+    with pytest.raises(FileNotFoundError, match="no ledger"):
+        sink.read_ledger(spark, target, "t")
