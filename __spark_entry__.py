@@ -18,9 +18,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import embedded_db
 from snapsync.functions.names import qualified_name, target_name
+from snapsync.functions.predicates import hash_remainders
 from snapsync.functions.text import render_fixed_width
 from snapsync.operators import sink
-from snapsync.operators.copy import copy_all, copy_incremental, failed_tables
+from snapsync.operators.copy import (
+    copy_all,
+    copy_delta,
+    copy_incremental,
+    copy_reconciled,
+    failed_tables,
+)
 from snapsync.operators.schema import conform, load_schema, target_schema
 from snapsync.options import CopyOptions, FileTarget
 from snapsync.plans.plan import immutability, plan_tables
@@ -90,6 +97,11 @@ DECLARED_ORDERS = """[
   {"name": "o_orderdate", "type": "DATE"},
   {"name": "o_orderpriority", "type": "STRING"}
 ]"""
+DECLARED_TEXTS = """[
+  {"name": "p_partkey", "type": "INT64", "mode": "REQUIRED"},
+  {"name": "p_name", "type": "STRING", "mode": "REQUIRED"},
+  {"name": "p_size", "type": "INT64"}
+]"""
 # The letters of l_returnflag are no numbers: this copy fails while it writes.
 DECLARED_LINEITEM = """[
   {"name": "l_orderkey", "type": "INT64"},
@@ -424,6 +436,121 @@ def incremental_joined(spark, sf_dir):
     return sink.read_snapshot(spark, target, "orders")
 
 
+def incremental_tiers(spark, sf_dir):
+    # As many increments as make parts of three levels.
+    target = FileTarget(workspace(spark, "tiers"), prefix=PREFIX, tier=3)
+    orders = _open(spark, sf_dir).read("orders")
+    for step in range(10):
+        part = orders.filter(F.pmod(F.hash("o_orderkey"), F.lit(10)) == step)
+        if step:
+            sink.append_increment(part, target, "orders", "o_orderkey")
+        else:
+            sink.write_snapshot(part, target, "orders", "o_orderkey")
+    return sink.read_snapshot(spark, target, "orders")
+
+
+def _later(days: int):
+    return F.expr(f"timestampadd(DAY, {days}, ts)")
+
+
+def delta_updates(spark, sf_dir):
+    # A table that is edited between copies: rows change, come, and change again.
+    events, target = _open(spark, sf_dir).read("events"), _target(spark, "delta")
+    k = F.col("event_id")
+    latest = events.agg(F.max("ts").alias("latest"), F.min("ts").alias("first")).first()
+    span = (latest.latest - latest.first).days + 1
+
+    def edited(df, when, step):
+        """Rows that change get a new value and a marker later than any before."""
+        return df.withColumns(
+            {
+                "value": F.when(when, F.col("value") * 2 + step).otherwise(F.col("value")),
+                "ts": F.when(when, _later(step * span)).otherwise(F.col("ts")),
+            }
+        )
+
+    first = events.filter(k % 4 != 1)
+    second = edited(events.filter(k % 4 != 3), (k % 10 == 2) | (k % 4 == 1), 1)
+    # Those of remainder 3 come again, with a new marker.
+    third = edited(edited(events, (k % 10 == 2) | (k % 4 == 1), 1), (k % 20 == 2) | (k % 4 == 3), 2)
+    row = {"table_name": "events", "target_name": "events", "append_key": "event_id", "primary_key": ["event_id"]}
+    for df in (first, second, third):
+        path = workspace(spark, "source")
+        df.write.parquet(f"{path}/events.parquet")
+        opened = FileSource(path, keys={"events": ["event_id"]}).open(spark)
+        copy_delta(opened, target, row, CopyOptions(delta=True, marker=MARKER))
+    return sink.read_snapshot(spark, target, "events")
+
+
+def range_reconcile(spark, sf_dir):
+    # Rows below the mark change, go, come and get other keys, without any marker.
+    orders, target = _open(spark, sf_dir).read("orders"), _target(spark, "reconcile")
+    k = F.col("o_orderkey")
+    sink.write_snapshot(orders.filter(k % 1000 != 5), target, "orders", "o_orderkey")
+    edited = orders.filter(k % 1000 != 7).withColumns(
+        {
+            "o_orderkey": F.when(k % 1000 == 9, -k).otherwise(k),
+            "o_totalprice": F.when(k % 1000 == 11, F.lit(0.5)).otherwise(F.col("o_totalprice")),
+        }
+    )
+    path = workspace(spark, "source")
+    edited.write.parquet(f"{path}/orders.parquet")
+    opened = FileSource(path, keys={"orders": ["o_orderkey"]}).open(spark)
+    row = {"table_name": "orders", "target_name": "orders", "append_key": "o_orderkey"}
+    copy_reconciled(opened, target, row, CopyOptions(reconcile=True))
+    return sink.read_snapshot(spark, target, "orders")
+
+
+def quarantine(spark, sf_dir):
+    # A part table of texts, some of which say no value of the declared type.
+    part, target = _open(spark, sf_dir).read("part"), _target(spark, "quarantine")
+    k = F.col("p_partkey")
+    texts = part.select(
+        F.when(k % 11 == 0, F.lit("p")).otherwise(k.cast("string")).alias("p_partkey"),
+        F.when(k % 13 == 0, None).otherwise(F.col("p_name")).alias("p_name"),
+        F.when(k % 7 == 0, F.concat(F.col("p_size").cast("string"), F.lit(".5")))
+        .otherwise(F.col("p_size").cast("string")).alias("p_size"),
+    )
+    sink.write_conforming(texts, target, "part", load_schema(DECLARED_TEXTS))
+    good = sink.read_snapshot(spark, target, "part").select(
+        F.lit("row").alias("kind"), F.col("p_partkey").cast("string").alias("p_partkey"), "p_name",
+        F.col("p_size").cast("string").alias("p_size"), F.lit(None).cast("string").alias("problem"),
+    )
+    ledger = sink.read_ledger(spark, target, "part")
+    bad = ledger.select(
+        F.lit("problem").alias("kind"), "source.*", F.concat_ws(": ", "column", "reason").alias("problem")
+    )
+    return good.unionByName(bad)
+
+
+def hash_splits(spark, sf_dir):
+    # The queries of a table without a key, of which some rows have no hash: as where a
+    # database gives none for a long row.
+    rows = _open(spark, sf_dir).read("lineitem")
+    text = "CONCAT_WS('|', l_orderkey, l_partkey, l_shipdate)"
+    hashed = f"CRC32(CAST(IF(l_linenumber = 3, NULL, {text}) AS BINARY))"
+    number, hits = split_by(hash_remainders(hashed, SPLITS))
+    seen = rows.select("l_linenumber", number.alias("split_id"), hits.alias("hits"))
+    return seen.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max("hits").alias("queries_of_a_row"),
+        F.max(F.when(F.col("l_linenumber") == 3, F.col("split_id"))).alias("split_without_hash"),
+    )
+
+
+def verified_parts(spark, sf_dir):
+    # Every part of a verified copy still holds the rows that were written.
+    target = FileTarget(workspace(spark, "verified"), prefix=PREFIX, verify=True)
+    copy_all(spark, FileSource(sf_dir, keys=KEYS), target)
+    found = [
+        sink.read_snapshot(spark, target, name)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("target_name"), "n_rows", F.lit(len(sink.damaged_parts(spark, target, name))).alias("damaged"))
+        for name in sink.list_tables(spark, target)
+    ]
+    return union_all(found)
+
+
 def incremental_copy(spark, sf_dir):
     target = _target(spark, "incremental")
     source = FileSource(sf_dir, keys=KEYS)
@@ -512,6 +639,12 @@ def copy_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_nulls": incremental_nulls,
         "incremental_reload": incremental_reload,
         "incremental_joined": incremental_joined,
+        "incremental_tiers": incremental_tiers,
+        "delta_updates": delta_updates,
+        "range_reconcile": range_reconcile,
+        "quarantine": quarantine,
+        "hash_splits": hash_splits,
+        "verified_parts": verified_parts,
         "incremental_copy": incremental_copy,
     }
 
@@ -815,6 +948,44 @@ def copy_sql() -> dict[str, str]:
         "incremental_reload": """SELECT * FROM events WHERE event_id <=
             (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
         "incremental_joined": "SELECT * FROM orders",
+        "incremental_tiers": "SELECT * FROM orders",
+        "delta_updates": """WITH span AS (
+            SELECT CAST(floor(epoch(max(ts) - min(ts)) / 86400) AS INTEGER) + 1 AS days FROM events
+          ), changes AS (
+            SELECT *, event_id % 10 = 2 OR event_id % 4 = 1 AS first,
+              event_id % 20 = 2 OR event_id % 4 = 3 AS second FROM events
+          ), once AS (
+            SELECT * REPLACE (CASE WHEN first THEN value * 2 + 1 ELSE value END AS value,
+              CASE WHEN first THEN ts + days * INTERVAL 1 DAY ELSE ts END AS ts)
+            FROM changes, span
+          )
+          SELECT event_id, CASE WHEN second THEN ts + 2 * days * INTERVAL 1 DAY ELSE ts END AS ts,
+            user_id, event_type, CASE WHEN second THEN value * 2 + 2 ELSE value END AS value, props
+          FROM once""",
+        "range_reconcile": """SELECT * REPLACE (
+            CASE WHEN o_orderkey % 1000 = 9 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey,
+            CASE WHEN o_orderkey % 1000 = 11 THEN 0.5 ELSE o_totalprice END AS o_totalprice)
+          FROM orders WHERE o_orderkey % 1000 <> 7""",
+        "quarantine": """WITH texts AS (
+            SELECT CASE WHEN p_partkey % 11 = 0 THEN 'p' ELSE CAST(p_partkey AS VARCHAR) END AS p_partkey,
+              CASE WHEN p_partkey % 13 <> 0 THEN p_name END AS p_name,
+              CAST(p_size AS VARCHAR) || CASE WHEN p_partkey % 7 = 0 THEN '.5' ELSE '' END AS p_size,
+              p_partkey % 11 = 0 AS a, p_partkey % 13 = 0 AS b, p_partkey % 7 = 0 AS c
+            FROM part
+          )
+          SELECT 'row' AS kind, p_partkey, p_name, p_size, CAST(NULL AS VARCHAR) AS problem
+          FROM texts WHERE NOT (a OR b OR c)
+          UNION ALL SELECT 'problem', p_partkey, p_name, p_size, unnest(list_filter([
+            CASE WHEN a THEN 'p_partkey: value does not fit bigint' END,
+            CASE WHEN b THEN 'p_name: required value is NULL' END,
+            CASE WHEN c THEN 'p_size: value does not fit bigint' END], lambda x: x IS NOT NULL))
+          FROM texts""",
+        "hash_splits": """SELECT l_linenumber, count(*) AS n_rows, 1 AS queries_of_a_row,
+            CASE WHEN l_linenumber = 3 THEN 0 END AS split_without_hash
+          FROM lineitem GROUP BY l_linenumber""",
+        "verified_parts": "SELECT * EXCLUDE (table_name) FROM (" + _counts_sql(
+            lambda t: f"'{PREFIX}{t}' AS target_name, count(*) AS n_rows, 0 AS damaged"
+        ) + ")",
         "incremental_copy": _counts_sql(
             lambda t: f"{filled("'ok'", "'skipped'")} AS status,"
             + f" {filled("'append'")} AS mode, {filled("0::BIGINT")} AS rows"

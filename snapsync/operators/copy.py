@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from snapsync.functions.names import quoted
 from snapsync.operators import sink
+from snapsync.operators.reconcile import reconciled
 from snapsync.operators.schema import conform
 from snapsync.options import CopyOptions, FileTarget, Target
 from snapsync.plans.plan import plan_tables
@@ -119,6 +120,92 @@ def copy_incremental(
     return "append", sink.append_increment(df, target, name, key)
 
 
+def _marker_of(schema: T.StructType, options: CopyOptions) -> str | None:
+    return next((c for c in schema.fieldNames() if c.lower() == options.marker.lower()), None)
+
+
+def copy_delta(
+    opened: Opened,
+    target: Target,
+    row: Mapping[str, Any],
+    options: CopyOptions,
+    declared: T.StructType | None = None,
+) -> tuple[str, sink.Written]:
+    """Copy the rows that the marker column says have changed; the newest of a key wins.
+
+    Rows from the latest marker that was copied on, so those of its very moment come again,
+    and those without a marker always. The rows that they replace are not written again.
+    The whole table is copied the first time, for other targets, for tables without a key,
+    and when the schema changed. Deleted rows stay: ``copy_reconciled`` finds them.
+    """
+    spark, name, keys = opened.spark, row["target_name"], row.get("primary_key")
+    df = read_table(opened, row, options)
+    if declared is not None:
+        df = conform(df, declared)
+    marker = _marker_of(df.schema, options)
+    # Keys are compared by their values; those of the declared schema may be renamed in case.
+    names = {c.lower(): c for c in df.columns}
+    keys = [names.get(k.lower()) for k in keys or []]
+    key = names.get(row["append_key"].lower()) if row.get("append_key") else None
+
+    def whole() -> tuple[str, sink.Written]:
+        done = sink.write_snapshot(
+            df, target, name, key, options.overwrite_existing, options.create_if_absent, marker
+        )
+        return "snapshot", done
+
+    if not isinstance(target, FileTarget) or marker is None or not keys or None in keys:
+        return whole()
+    mark = sink.latest_marker(spark, target, name, marker)
+    if mark is None:
+        return whole()
+    present = sink.read_snapshot(spark, target, name)
+    if _schema_pairs(df.schema) != _schema_pairs(present.schema):
+        return whole()
+    m = F.col(quoted(marker))
+    changed = df.filter((m >= sink.marker_value(mark, df.schema[marker].dataType)) | m.isNull())
+    log.info("changes of %s from %s on", name, mark)
+    return "delta", sink.append_delta(changed, target, name, keys, marker, key)
+
+
+def copy_reconciled(
+    opened: Opened,
+    target: Target,
+    row: Mapping[str, Any],
+    options: CopyOptions,
+    declared: T.StructType | None = None,
+) -> tuple[str, sink.Written]:
+    """Copy the key ranges in which source and target differ, whatever made them differ.
+
+    The whole table is copied the first time, for other targets, and when the schema changed.
+    """
+    spark, name, key = opened.spark, row["target_name"], row["append_key"]
+    if not isinstance(target, FileTarget) or not sink.target_exists(spark, target, name):
+        return "snapshot", copy_snapshot(opened, target, row, options, declared)
+    df = read_table(opened, row, options)
+    if declared is not None:
+        df = conform(df, declared)
+    present = sink.read_snapshot(spark, target, name)
+    if _schema_pairs(df.schema) != _schema_pairs(present.schema):
+        return "snapshot", copy_snapshot(opened, target, row, options, declared)
+    ranges, rows = reconciled(df, present, row)
+    log.info("%s differs in %s ranges", name, len(ranges))
+    if not ranges:
+        return "ranges", sink.unchanged(target, name, df.schema)
+    return "ranges", sink.replace_ranges(rows, target, name, key, ranges)
+
+
+def _way(row: Mapping[str, Any], options: CopyOptions):
+    """How a table is copied that need not be copied whole; None for one that is."""
+    if options.reconcile and row.get("append_key") is not None:
+        return copy_reconciled
+    if options.incremental and row["immutable"] and row.get("append_key") is not None:
+        return copy_incremental
+    if options.delta and not row["immutable"] and row.get("primary_key"):
+        return copy_delta
+    return None
+
+
 def copy_table(
     opened: Opened,
     target: Target,
@@ -132,15 +219,15 @@ def copy_table(
     no error gets out.
     """
     name, target_name = row["table_name"], target.qualified(row["target_name"])
-    incremental = options.incremental and row["immutable"] and row.get("append_key") is not None
+    way = _way(row, options)
     attempts, error = 0, ""
     while attempts < options.max_attempts:
         if attempts and options.retry_wait_seconds:
             time.sleep(options.retry_wait_seconds)
         attempts += 1
         try:
-            if incremental:
-                mode, done = copy_incremental(opened, target, row, options, declared)
+            if way is not None:
+                mode, done = way(opened, target, row, options, declared)
             else:
                 mode, done = "snapshot", copy_snapshot(opened, target, row, options, declared)
             log.info("copied %s to %s: %s rows", name, done.target_name, done.rows)

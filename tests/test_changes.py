@@ -1,0 +1,268 @@
+"""Targets of tables that change: deltas, ranges, merged parts, digests."""
+
+import glob
+import json
+import math
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from snapsync.functions.checksums import digest
+from snapsync.operators import sink
+from snapsync.operators.copy import copy_all, copy_delta, copy_reconciled
+from snapsync.operators.reconcile import cut, differing, fewer
+from snapsync.options import CopyOptions, FileTarget
+from snapsync.sources.files import FileSource
+from snapsync.storage import Storage
+
+
+@pytest.fixture
+def target(tmp_path):
+    return FileTarget(str(tmp_path / "target"))
+
+
+def source_of(spark, tmp_path, df, keys):
+    """A new source that holds ``df`` as table ``t``."""
+    path = f"{tmp_path}/source-{len(glob.glob(f'{tmp_path}/source-*'))}"
+    df.write.parquet(f"{path}/t.parquet")
+    return FileSource(path, keys={"t": keys}).open(spark)
+
+
+def manifests(spark, target, name="t"):
+    return sink._manifests(Storage(spark, target.path), name)
+
+
+ROW = {"table_name": "t", "target_name": "t", "append_key": "k", "primary_key": ["k"]}
+TABLE = "k bigint, v string, updated_at timestamp"
+
+
+def at(second):
+    return f"2024-01-01 00:{second // 60:02d}:{second % 60:02d}"
+
+
+def table(spark, data):
+    df = spark.createDataFrame([(k, v, at(s) if s is not None else None) for k, v, s in data], "k bigint, v string, s string")
+    return df.select("k", "v", F.col("s").cast("timestamp").alias("updated_at"))
+
+
+# Deltas ------------------------------------------------------------------
+
+
+def test_deltas_equal_a_full_copy(spark, tmp_path, target):
+    """Updates, inserts, re-inserts and rows without a marker, over several parts."""
+    steps = [
+        {k: (f"a{k}", 1 if k == 2 else 0) for k in range(20)},
+        {3: ("b3", 5), 20: ("b20", 6), 7: ("b7", 5), 30: ("null", None)},
+        {3: ("c3", 8), 21: ("c21", 9), 30: ("again", None)},
+        {20: ("d20", 9), 0: ("d0", 11)},
+    ]
+    now, base = {}, None
+    for i, step in enumerate(steps):
+        now |= step
+        opened = source_of(spark, tmp_path, table(spark, [(k, *v) for k, v in now.items()]), ["k"])
+        mode, done = copy_delta(opened, target, ROW, CopyOptions(delta=True))
+        assert mode == ("delta" if i else "snapshot")
+        assert done.rows <= len(now) if not i else done.rows < 8
+        assert rows(sink.read_snapshot(spark, target, "t")) == rows(opened.read("t"))
+        first = glob.glob(f"{target.path}/t/v*/p000000-*/*.parquet")
+        base = base or first
+        assert first == base
+    assert [m["mode"] for m in manifests(spark, target)] == ["snapshot", "delta", "delta", "delta"]
+    assert sink.high_water(spark, target, "t", "k") == 30
+
+
+def test_deltas_of_composite_and_null_keys(spark, target):
+    first = spark.createDataFrame([(1, "x", 1), (1, None, 2), (2, "x", 3)], "a int, b string, updated_at int")
+    second = spark.createDataFrame([(1, None, 20), (2, "y", 21)], first.schema)
+    sink.write_snapshot(first, target, "t", marker="updated_at")
+    assert sink.latest_marker(spark, target, "t", "updated_at") == "3"
+    sink.append_delta(second, target, "t", ["a", "b"], "updated_at")
+    assert rows(sink.read_snapshot(spark, target, "t")) == [(1, None, 20), (1, "x", 1), (2, "x", 3), (2, "y", 21)]
+    assert sink.latest_marker(spark, target, "t", "updated_at") == "21"
+
+
+def test_deltas_through_the_report(spark, tmp_path, target):
+    options = CopyOptions(delta=True, incremental=True)
+    for second, mode in ((1, "snapshot"), (2, "delta")):
+        data = [(k, f"{second}", second if k < 3 else 0) for k in range(10)]
+        path = f"{tmp_path}/in{second}"
+        table(spark, data).write.parquet(f"{path}/t.parquet")
+        report = copy_all(spark, FileSource(path, keys={"t": ["k"]}), target, options).first()
+        assert (report.status, report.mode) == ("ok", mode)
+    assert report.rows == 3
+
+
+def test_other_columns_mean_a_full_copy(spark, tmp_path, target):
+    opened = source_of(spark, tmp_path, table(spark, [(1, "a", 1)]), ["k"])
+    copy_delta(opened, target, ROW, CopyOptions())
+    wider = source_of(spark, tmp_path, table(spark, [(1, "a", 1)]).withColumn("place", F.lit(2)), ["k"])
+    assert copy_delta(wider, target, ROW, CopyOptions())[0] == "snapshot"
+    # Columns with the names that reading uses.
+    again = wider.read("t").withColumn("newest", F.lit(1))
+    sink.write_snapshot(again, target, "t", "k", marker="updated_at")
+    sink.append_delta(again, target, "t", ["k"], "updated_at", "k")
+    assert rows(sink.read_snapshot(spark, target, "t")) == rows(again)
+
+
+# Merged parts ------------------------------------------------------------
+
+
+def written_rows(target):
+    return sum(json.load(open(m))["rows"] for m in glob.glob(f"{target.path}/t/v*/p*/_manifest.json"))
+
+
+def test_increments_are_merged_by_tiers(spark, tmp_path):
+    target, n, each = FileTarget(str(tmp_path), tier=4), 40, 5
+    sink.write_snapshot(spark.range(each), target, "t", "id")
+    total = each
+    seen = set(glob.glob(f"{target.path}/t/v*/p*/_manifest.json"))
+    for i in range(1, n):
+        sink.append_increment(spark.range(each * i, each * i + each), target, "t", "id")
+        fresh = set(glob.glob(f"{target.path}/t/v*/p*/_manifest.json")) - seen
+        total += sum(json.load(open(m))["rows"] for m in fresh)
+        seen |= fresh
+    # A row is written once more for each power of four, never the whole table each time.
+    assert total <= each * n * (1 + math.log(n, 4))
+    assert len(manifests(spark, target)) <= 1 + 3 * (1 + math.log(n, 4))
+    assert len(glob.glob(f"{target.path}/t/v*")) == 1
+    found = sorted(r.id for r in sink.read_snapshot(spark, target, "t").collect())
+    assert found == list(range(each * n))
+    assert sink.high_water(spark, target, "t", "id") == each * n - 1
+
+
+def test_readers_keep_what_was_merged(spark, tmp_path):
+    target = FileTarget(str(tmp_path), tier=2)
+    sink.write_snapshot(spark.range(2), target, "t", "id")
+    sink.append_increment(spark.range(2, 4), target, "t", "id")
+    before = sink.read_snapshot(spark, target, "t")
+    sink.append_increment(spark.range(4, 6), target, "t", "id")
+    assert before.count() == 4
+    assert sink.read_snapshot(spark, target, "t").count() == 6
+
+
+def test_deltas_are_merged_by_tiers(spark, tmp_path):
+    target = FileTarget(str(tmp_path), tier=3)
+    now = {k: (k, 0, 0) for k in range(30)}
+    frame = lambda values: spark.createDataFrame(sorted(values), "k bigint, v int, updated_at int")
+    sink.write_snapshot(frame(now.values()), target, "t", "k", marker="updated_at")
+    for step in range(1, 11):
+        change = {k: (k, step, step) for k in range(step % 5, 30 + step, 7)}
+        now |= change
+        sink.append_delta(frame(change.values()), target, "t", ["k"], "updated_at", "k")
+        if step % 4 == 1:
+            assert rows(sink.read_snapshot(spark, target, "t")) == sorted(now.values())
+    assert rows(sink.read_snapshot(spark, target, "t")) == sorted(now.values())
+    assert len(manifests(spark, target)) <= 6
+    assert sink.latest_marker(spark, target, "t", "updated_at") == "10"
+
+
+# Ranges ------------------------------------------------------------------
+
+
+def test_cut_and_fewer():
+    assert cut(0, 9, 4) == [(0, 1), (2, 4), (5, 6), (7, 9)]
+    assert cut(-3, -2, 9) == [(-3, -3), (-2, -2)]
+    assert fewer([(None, 0), (1, 5), (9, 9), (20, 30)], 9) == [(None, 5), (9, 9), (20, 30)]
+    assert fewer([(None, 0), (3, 5), (9, 9), (20, 30)], 2) == [(None, 9), (20, 30)]
+
+
+def big(spark, n=50_000):
+    return spark.range(n).select((F.col("id") * 3).alias("k"), F.col("id").cast("string").alias("v"))
+
+
+def test_ranges_find_what_changed(spark, tmp_path, target):
+    """Edited, deleted, re-keyed, late and NULL-keyed rows below the mark."""
+    sink.write_snapshot(big(spark), target, "t", "k")
+    k = F.col("k")
+    edited = big(spark).filter("k <> 600").select(
+        F.when(k == 9000, 9001).otherwise(F.when(k == 120_000, None).otherwise(k)).alias("k"),
+        F.when(k == 30_000, "other").otherwise(F.col("v")).alias("v"),
+    )
+    edited = edited.unionAll(spark.createDataFrame([(40_001, "late"), (200_000, "new")], edited.schema))
+    opened = source_of(spark, tmp_path, edited, ["k"])
+    ranges = differing(opened.read("t"), sink.read_snapshot(spark, target, "t"), "k", leaf_rows=50)
+    held = lambda key: any((a is None or a <= key) and key <= b for a, b in ranges)
+    assert all(map(held, (600, 9000, 9001, 30_000, 40_001, 120_000, 200_000)))
+    assert ranges[0][0] is None and sum(b - a for a, b in ranges[1:]) < 5000
+    mode, done = copy_reconciled(opened, target, ROW, CopyOptions(reconcile=True))
+    assert mode == "ranges" and done.rows < 50_000
+    assert rows(sink.read_snapshot(spark, target, "t")) == rows(edited)
+    assert sink.high_water(spark, target, "t", "k") == 200_000
+    # Nothing differs any more, and nothing is written.
+    assert copy_reconciled(opened, target, ROW, CopyOptions())[1].rows == 0
+    assert len(manifests(spark, target)) == 2
+
+
+def test_ranges_after_a_reload(spark, tmp_path, target):
+    """A source loaded anew with keys up to the old mark and beyond looks as if it grew."""
+    sink.write_snapshot(big(spark, 5000), target, "t", "k")
+    anew = big(spark, 6000).withColumn("v", F.concat("v", F.lit("!")))
+    opened = source_of(spark, tmp_path, anew, ["k"])
+    copy_reconciled(opened, target, ROW, CopyOptions())
+    assert rows(sink.read_snapshot(spark, target, "t")) == rows(anew)
+    copy_reconciled(source_of(spark, tmp_path, anew.limit(0), ["k"]), target, ROW, CopyOptions())
+    assert sink.read_snapshot(spark, target, "t").count() == 0
+    copy_reconciled(opened, target, ROW, CopyOptions())
+    assert rows(sink.read_snapshot(spark, target, "t")) == rows(anew)
+
+
+def test_ranges_and_deltas_in_one_table(spark, target):
+    frame = lambda values: spark.createDataFrame(values, "k bigint, v int, updated_at int")
+    sink.write_snapshot(frame([(k, 0, 0) for k in range(10)]), target, "t", "k", marker="updated_at")
+    sink.append_delta(frame([(5, 1, 1), (11, 1, 1)]), target, "t", ["k"], "updated_at", "k")
+    # 4 and 5 are gone, 6 is another.
+    sink.replace_ranges(frame([(6, 2, 2)]), target, "t", "k", [(4, 6)])
+    sink.append_delta(frame([(4, 3, 3), (0, 3, 3)]), target, "t", ["k"], "updated_at", "k")
+    expected = {k: 0 for k in range(10)} | {11: 1, 6: 2, 4: 3, 0: 3}
+    del expected[5]
+    found = {r.k: r.v for r in sink.read_snapshot(spark, target, "t").collect()}
+    assert found == expected
+
+
+# Digests -----------------------------------------------------------------
+
+
+def summed(df):
+    return tuple(df.agg(*digest(df.schema)).first())
+
+
+def test_digests_tell_rows_apart(spark):
+    kind = "a string, b string, c array<string>, d struct<x:int,y:int>, e map<string,int>, f double"
+    row = ("x", None, ["p", None], (1, None), {"m": 1, "n": 2}, 0.5)
+    others = [
+        (None, "x", *row[2:]), ("x", "", *row[2:]), (*row[:2], [None, "p"], *row[3:]), (*row[:2], ["p"], *row[3:]),
+        (*row[:3], (None, 1), *row[4:]), (*row[:3], None, *row[4:]), (*row[:4], {"m": 2, "n": 1}, 0.5), (*row[:5], None),
+    ]
+    same = spark.createDataFrame([row], kind)
+    assert summed(same) == summed(spark.createDataFrame([(*row[:4], {"n": 2, "m": 1}, 0.5)], kind))
+    found = [summed(spark.createDataFrame([r], kind)) for r in (row, *others)]
+    assert len(set(found)) == len(found)
+    # Neither the order nor the tasks count, but how often a row is there does.
+    both = spark.createDataFrame([row, *others], kind)
+    assert summed(both) == summed(both.repartition(5))
+    assert summed(same.unionAll(same)) != summed(same)
+    assert summed(both.limit(0)) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("damage", ["value", "cells", "row"])
+def test_damaged_files_are_found(spark, tmp_path, damage):
+    target = FileTarget(str(tmp_path), verify=True)
+    data = spark.createDataFrame([(i, f"v{i}", f"w{i}") for i in range(50)], "id long, a string, b string")
+    sink.write_snapshot(data.coalesce(1), target, "t", "id")
+    sink.append_increment(data.selectExpr("id + 100 AS id", "a", "b"), target, "t", "id")
+    assert sink.damaged_parts(spark, target, "t") == []
+    (file,) = glob.glob(f"{target.path}/t/v*/p000000-*/*.parquet")
+    columns = pq.ParquetFile(file).read().to_pydict()
+    if damage == "value":
+        columns["a"][7] = "flipped"
+    elif damage == "cells":
+        columns["a"][7], columns["a"][8] = columns["a"][8], columns["a"][7]
+    else:
+        columns = {c: v[1:] for c, v in columns.items()}
+    pq.write_table(pa.table(columns), file)
+    for crc in glob.glob(f"{target.path}/t/v*/p000000-*/.*.crc"):
+        open(crc, "w").close()
+    assert [p[:7] for p in sink.damaged_parts(spark, target, "t")] == ["p000000"]
