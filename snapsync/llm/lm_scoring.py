@@ -5,12 +5,10 @@ one and none; the weights depend on the longest context that was seen, and how o
 (buckets of powers of two), and are learnt by expectation-maximisation on counts of
 held-out training texts.
 
-Counts are looked up in both directions in blocks. Documents are packed into batches,
-each one row of a written table. A batch sends its distinct n-grams, as sorted 64-bit
-hashes cut by hash range, to the ranges; a range adds up its counts and answers each
-batch in the order it was asked in; the batch then scores its texts with counts of just
-the n-grams it has. All arrays are sorted and packed, so an n-gram costs a few bytes on
-the way; no task holds more than a batch, or one range of the model.
+Documents are packed into batches, each one row of a written table. A batch asks for the
+counts of its distinct n-grams, as sorted 64-bit hashes, and scores its texts with them.
+``key_counts`` has how questions and answers travel: in packed blocks, a bounded number for
+each batch. No task holds more than a batch, or as much of the model.
 
 N-grams are told apart by 64-bit hashes. Texts are split into words at space and
 \\t \\n \\v \\f \\r with A-Z in lower case, and end with an end token; NULL is empty.
@@ -18,7 +16,7 @@ N-grams are told apart by 64-bit hashes. Texts are split into words at space and
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapsync.llm import key_counts
 from snapsync.llm.common import fold, texts, written
+from snapsync.llm.key_counts import packed_counts, packed_keys, unpacked_counts, unpacked_keys
 
 BATCH_BYTES = 12 << 20
 # Folds of the document key: one is never learnt from; of the others, one sets weights.
@@ -153,35 +153,6 @@ def unpacked(blob: bytes, order: int = ORDER) -> Batch:
     return Batch(batch.column("doc_id"), part, ends, words, grams)
 
 
-def packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted hashes: their differences by byte planes, which zlib makes small."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    planes = steps.view(np.uint8).reshape(-1, 8).T
-    used = 8 - int(np.argmax(planes[::-1].any(1))) if len(keys) and planes.any() else 0
-    return bytes([used]) + zlib.compress(np.ascontiguousarray(planes[:used]).tobytes(), 1)
-
-
-def unpacked_keys(data: bytes, n: int) -> np.ndarray:
-    planes = np.zeros((8, n), np.uint8)
-    used = data[0]
-    flat = np.frombuffer(zlib.decompress(data[1:]), np.uint8)
-    planes[:used] = flat.reshape(used, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
-
-
-def packed_counts(counts: np.ndarray) -> bytes:
-    planes = counts.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    used = 8 - int(np.argmax(planes[::-1].any(1))) if planes.any() else 0
-    return bytes([used]) + zlib.compress(np.ascontiguousarray(planes[:used]).tobytes(), 1)
-
-
-def unpacked_counts(data: bytes, n: int) -> np.ndarray:
-    planes = np.zeros((8, n), np.uint8)
-    used = data[0]
-    planes[:used] = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(used, n)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
-
-
 def _distinct(hashes: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes, and how often each occurs in training texts."""
     # The lowest bit makes room for the training flag: 63 bits tell n-grams apart.
@@ -192,97 +163,13 @@ def _distinct(hashes: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys[first], counts
 
 
-ASKED = "range int, batch long, grams int, tunes boolean, n long, keys binary, counts binary"
-
-
-def asked(packs: DataFrame, ranges: int, order: int = ORDER) -> DataFrame:
-    """Per batch, order and range: the n-grams it has, and their training counts."""
-
-    def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                number, tunes = batch.column("batch")[row].as_py(), batch.column("tunes")[row].as_py()
-                b = unpacked(batch.column("blob")[row].as_py(), order)
-                for grams, hashes in enumerate(b.grams, 1):
-                    keys, counts = _distinct(hashes, b.trains)
-                    for r, (i, j) in enumerate(_cuts(keys, ranges)):
-                        if i == j:
-                            continue
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "range": pa.array([r], pa.int32()),
-                                "batch": pa.array([number], pa.int64()),
-                                "grams": pa.array([grams], pa.int32()),
-                                "tunes": pa.array([tunes]),
-                                "n": pa.array([j - i], pa.int64()),
-                                "keys": pa.array([packed_keys(keys[i:j])], pa.binary()),
-                                "counts": pa.array([packed_counts(counts[i:j])], pa.binary()),
-                            }
-                        )
-
-    return packs.mapInArrow(run, ASKED)
-
-
-def _cuts(keys: np.ndarray, ranges: int) -> list[tuple[int, int]]:
-    """Where the keys of each hash range lie."""
-    edges = [np.uint64((r << 64) // ranges) for r in range(1, ranges)]
-    at = [0, *np.searchsorted(keys, np.array(edges, np.uint64)).tolist(), len(keys)]
-    return [*zip(at, at[1:])]
-
-
-ANSWERED = (
-    "range int, batch long, grams int, n long, counts binary, retained binary,"
-    " tokens long, types long, tuned_tokens long, tuned_types long"
-)
-
-
-def answered(questions: DataFrame) -> DataFrame:
-    """Each question with the counts of all batches; per range also its own totals.
-
-    ``retained`` has the counts without the texts that set the weights, for their
-    batches. The totals of a range are in one row of it, without a batch.
-    """
-
-    def answer(key, group):
-        span, grams = key[0].as_py(), key[1].as_py()
-        group = group.sort_by("batch")
-        sizes = group.column("n").to_numpy()
-        tunes = group.column("tunes").to_numpy(zero_copy_only=False).astype(bool)
-        keys = np.concatenate(
-            [unpacked_keys(k, n) for k, n in zip(group.column("keys").to_pylist(), sizes.tolist())]
-        )
-        counts = np.concatenate(
-            [unpacked_counts(c, n) for c, n in zip(group.column("counts").to_pylist(), sizes.tolist())]
-        )
-        known, where = np.unique(keys, return_inverse=True)
-        del keys
-        tuning = np.repeat(tunes, sizes)
-        total = np.bincount(where, counts, len(known)).astype(np.int64)
-        tuned = np.bincount(where[tuning], counts[tuning], len(known)).astype(np.int64)
-        retained = total - tuned
-        ends = np.r_[0, np.cumsum(sizes)]
-        out = {
-            "range": [span] * (len(sizes) + 1),
-            "batch": [*group.column("batch").to_pylist(), None],
-            "grams": [grams] * (len(sizes) + 1),
-            "n": [*sizes.tolist(), 0],
-            "counts": [packed_counts(total[where[a:b]]) for a, b in zip(ends, ends[1:])] + [None],
-            "retained": [
-                packed_counts(retained[where[a:b]]) if t else None
-                for a, b, t in zip(ends, ends[1:], tunes)
-            ]
-            + [None],
-        }
-        totals = {
-            "tokens": total.sum(),
-            "types": (total > 0).sum(),
-            "tuned_tokens": retained.sum(),
-            "tuned_types": (retained > 0).sum(),
-        }
-        out |= {k: [None] * len(sizes) + [int(v)] for k, v in totals.items()}
-        return pa.Table.from_pydict(out, schema=_arrow(ANSWERED))
-
-    return questions.groupBy("range", "grams").applyInArrow(answer, ANSWERED)
+def asked(blob: bytes, order: int = ORDER) -> Iterator[key_counts.Question]:
+    """What a batch has by length: its n-grams, their training counts, those of them tuned on."""
+    b = unpacked(blob, order)
+    tunes = bool((b.part == 2).any())
+    for grams, hashes in enumerate(b.grams, 1):
+        keys, counts = _distinct(hashes, b.trains)
+        yield grams, keys, counts, counts if tunes else np.zeros_like(counts), tunes
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -328,28 +215,64 @@ def learnt(cells: dict[tuple[int, ...], int], order: int = ORDER) -> np.ndarray:
     A cell is (state, -log2 of each estimate in STEPS, or -1 for zero). States without
     held-out tokens have the weights of all tokens together.
     """
-    start = np.array([0.5, 0.3, 0.2]) if order == 2 else np.arange(order + 1, 0, -1.0)
-    start /= start.sum()
-    if not cells:
-        return learnt({(0, *[-1] * order, 0): 0}, order)
-    keys = np.array(list(cells), np.int64)
+    keys = np.array(list(cells), np.int64).reshape(len(cells), order + 2)
     n = np.array(list(cells.values()), np.float64)
-    p = np.where(keys[:, 1:] < 0, 0.0, 2.0 ** (-keys[:, 1:] / STEPS))
+    pooled = maximised(keys[:, 1:], n, _start(order))
+    by_state = {
+        b: maximised(keys[own, 1:], n[own], pooled)
+        for b in np.unique(keys[:, 0]).tolist()
+        for own in [keys[:, 0] == b]
+    }
+    return _weights(pooled, by_state, order)
+
+
+def _start(order: int) -> np.ndarray:
+    start = np.array([0.5, 0.3, 0.2]) if order == 2 else np.arange(order + 1, 0, -1.0)
+    return start / start.sum()
+
 
-    def weights(p, n, w):
+def maximised(steps: np.ndarray, n: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weights after ``ROUNDS`` rounds from ``w``, on cells counted ``n`` times."""
+    p = np.where(steps < 0, 0.0, 2.0 ** (-steps / STEPS))
+    start = _start(p.shape[1] - 1)
+    for _ in range(ROUNDS if len(n) else 0):
+        share = w * p
+        share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
         # One count of the start keeps every weight above zero.
-        for _ in range(ROUNDS):
-            share = w * p
-            share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
-            w = (share * n[:, None]).sum(0) + start
-            w /= w.sum()
-        return w
-
-    pooled = weights(p, n, start)
+        w = (share * n[:, None]).sum(0) + start
+        w /= w.sum()
+    return w
+
+
+def learnt_by_state(cells: DataFrame, order: int) -> np.ndarray:
+    """``learnt`` of a written table of cells, each state in a task of its own.
+
+    The driver sees the cells of all states together, summed: at most as many as there are
+    sets of rounded probabilities, which the length of the corpus does not change.
+    """
+    steps = [c for c in cells.columns if c.startswith("p")]
+    whole = cells.groupBy(*steps).agg(F.sum("n").alias("n")).toArrow()
+
+    def table_of(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.column_stack([found.column(c).to_numpy() for c in steps]).astype(np.int64)
+        return keys, found.column("n").to_numpy().astype(np.float64)
+
+    pooled = maximised(*table_of(whole), _start(order))
+    schema = "state int, " + ", ".join(f"w{i} double" for i in range(order + 1))
+
+    def run(group: pa.Table) -> pa.Table:
+        w = maximised(*table_of(group), pooled)
+        state = pa.array([group.column("state")[0].as_py()], pa.int32())
+        return pa.Table.from_arrays([state, *(pa.array([x]) for x in w)], schema=_arrow(schema))
+
+    found = cells.groupBy("state").applyInArrow(run, schema).collect()
+    return _weights(pooled, {r.state: np.array(r[1:]) for r in found}, order)
+
+
+def _weights(pooled: np.ndarray, by_state: dict[int, np.ndarray], order: int) -> np.ndarray:
     found = np.tile(pooled, (BUCKETS * (order - 1), 1))
-    for b in np.unique(keys[:, 0]).tolist():
-        own = keys[:, 0] == b
-        found[b] = weights(p[own], n[own], pooled)
+    for state, w in by_state.items():
+        found[state] = w
     # A context that was not seen has no estimate.
     for level in range(1, order - 1):
         found[: level * BUCKETS, order - 2 - level] = 0.0
@@ -357,14 +280,20 @@ def learnt(cells: dict[tuple[int, ...], int], order: int = ORDER) -> np.ndarray:
     return found / found.sum(1, keepdims=True)
 
 
-def _looked_up(answers: pa.Table, column: str, b: Batch) -> tuple[list, list]:
+def _looked_up(answers: pa.Table, retained: bool, b: Batch) -> tuple[list, list]:
     """Counts of each token's n-grams by length, and of their contexts, from a batch's answers."""
     found = {}
     for grams, hashes in enumerate(b.grams, 1):
-        own = answers.filter(pc.equal(answers.column("grams"), grams)).sort_by("range")
+        own = answers.filter(pc.equal(answers.column("kind"), grams)).sort_by("span")
         keys = np.unique(hashes & ~np.uint64(1))
-        sizes, packed = own.column("n").to_pylist(), own.column(column).to_pylist()
-        counts = np.concatenate([unpacked_counts(c, n) for c, n in zip(packed, sizes)])
+        sizes = own.column("n").to_pylist()
+
+        def flat(name):
+            packed = own.column(name).to_pylist()
+            return np.concatenate([unpacked_counts(c, n) for c, n in zip(packed, sizes)])
+
+        # Without the texts that set the weights, where they are to be set.
+        counts = flat("c0") - flat("c1") if retained else flat("c0")
         if len(counts) != len(keys):
             raise ValueError("a batch differs from the one that asked")
         found[grams] = keys, counts
@@ -397,8 +326,7 @@ def _met(packs: DataFrame, answers: DataFrame, use, schema: str, order: int) ->
             return pa.Table.from_pylist([], schema=_arrow(schema))
         return use(unpacked(pack.column("blob")[0].as_py(), order), replies)
 
-    replies = answers.select("batch", "range", "grams", "n", "counts", "retained")
-    return packs.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, schema)
+    return packs.groupBy("batch").cogroup(answers.groupBy("sender")).applyInArrow(run, schema)
 
 
 def cells_of(packs: DataFrame, answers: DataFrame, totals: Totals, order: int) -> DataFrame:
@@ -406,7 +334,7 @@ def cells_of(packs: DataFrame, answers: DataFrame, totals: Totals, order: int) -
     schema = ", ".join([*(f"{c} int" for c in names), "n long"])
 
     def use(b: Batch, replies: pa.Table) -> pa.Table:
-        counts, contexts = _looked_up(replies, "retained", b)
+        counts, contexts = _looked_up(replies, True, b)
         p = estimates(counts, contexts, totals)
         with np.errstate(divide="ignore"):
             steps = np.where(p > 0, np.rint(-np.log2(p) * STEPS), -1).astype(np.int64)
@@ -414,15 +342,13 @@ def cells_of(packs: DataFrame, answers: DataFrame, totals: Totals, order: int) -
         columns = [pa.array(c, pa.int32()) for c in rows.T] + [pa.array(n, pa.int64())]
         return pa.Table.from_arrays(columns, schema=_arrow(schema))
 
-    found = _met(
-        packs.filter("tunes"), answers.filter("retained IS NOT NULL"), use, schema, order
-    )
+    found = _met(packs.filter("tunes"), answers.filter("c1 IS NOT NULL"), use, schema, order)
     return found.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def scores_of(packs: DataFrame, answers: DataFrame, totals: Totals, weights, order: int) -> DataFrame:
     def use(b: Batch, replies: pa.Table) -> pa.Table:
-        counts, contexts = _looked_up(replies, "counts", b)
+        counts, contexts = _looked_up(replies, False, b)
         p = (estimates(counts, contexts, totals) * weights[states(contexts)]).sum(1)
         word = counts[0]
         base = (word + 1) / (totals.tokens + totals.types + 1)
@@ -437,7 +363,7 @@ def scores_of(packs: DataFrame, answers: DataFrame, totals: Totals, weights, ord
         ]
         return pa.Table.from_arrays(columns, schema=_arrow(SCORES))
 
-    return _met(packs, answers.filter("batch IS NOT NULL"), use, SCORES, order)
+    return _met(packs, answers, use, SCORES, order)
 
 
 def scored(
@@ -449,15 +375,11 @@ def scored(
     count the end token. Rows without a key are learnt from.
     """
     packs = batches_of(df, key, text)
-    ranges = max(1, packs.count())
-    answers = written(answered(asked(packs, ranges, order)), "lm-answers")
-    sums = answers.filter("grams = 1 AND batch IS NULL").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "tuned_tokens", "tuned_types")]
-    )
-    tokens, types, tuned_tokens, tuned_types = sums.first()
-    # At most as many rows as there are states, for each set of rounded probabilities.
-    cells = cells_of(packs, answers, Totals(tuned_tokens, tuned_types), order).collect()
-    weights = learnt({tuple(r)[:-1]: r.n for r in cells}, order)
+    answers, sums = key_counts.counted(packs, lambda blob: asked(blob, order), "lm")
+    words = sums.filter("kind = 1").first()
+    tokens, tuned, types, retained = (words.s0, words.s1, words.t0, words.t1) if words else (0, 0, 0, 0)
+    cells = written(cells_of(packs, answers, Totals(tokens - tuned, retained), order), "lm-cells")
+    weights = learnt_by_state(cells, order)
     found = scores_of(packs, answers, Totals(tokens, types), weights, order)
     return found.select(
         "doc_id",

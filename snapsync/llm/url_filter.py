@@ -8,14 +8,15 @@ character reaches a threshold, which is set on a fifth of the judged URLs that t
 have not seen.
 
 Every n-gram is counted by itself; n-grams are told apart by 64-bit hashes. As in LM
-scoring, URLs are packed into batches, a batch asks hash ranges for just the n-grams it
-has, and no task holds more than a batch or one range of the counts.
+scoring, URLs are packed into batches, and a batch asks for just the n-grams it has
+(``key_counts``); no task holds more than a batch or as much of the counts.
 
 NULL and empty URLs have no host and no path, and a difference of 0.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from snapsync.llm import key_counts
 from snapsync.llm.common import fold, slices, written
-from snapsync.llm.lm_scoring import packed_counts, packed_keys, unpacked_counts, unpacked_keys
+from snapsync.llm.key_counts import unpacked_counts
 
 ORDER = 4
 BATCH_BYTES = 1 << 20  # of URLs; a byte has ten n-grams of eight bytes at most
@@ -209,87 +211,35 @@ def _unpacked(blob: bytes) -> tuple[pa.Table, list[str]]:
     return whole, [u or "" for u in whole.column("url").to_pylist()]
 
 
-COUNTED = "range int, batch long, n long, keys binary, blocked binary, allowed binary"
-
-
-def asked(packs: DataFrame, ranges: int) -> DataFrame:
-    """Per batch and range: the n-grams it has, and their counts in its URLs that train."""
-    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
-
-    def run(batches):
-        for batch in batches:
-            for number, blob in zip(*(batch.column(c).to_pylist() for c in ("batch", "blob"))):
-                rows, urls = _unpacked(blob)
-                sides = np.array(
-                    [
-                        (v == "allow") if p == TRAINS else -1
-                        for v, p in zip(*(rows.column(c).to_pylist() for c in ("verdict", "part")))
-                    ],
-                    int,
-                )
-                keys, counts = _counted(urls, sides)
-                at = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                for r, (i, j) in enumerate(zip(at, at[1:])):
-                    if i == j:
-                        continue
-                    parts = [packed_keys(keys[i:j]), *(packed_counts(c[i:j]) for c in counts)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([r], pa.int32()),
-                            *(pa.array([v], pa.int64()) for v in (number, j - i)),
-                            *(pa.array([v], pa.binary()) for v in parts),
-                        ],
-                        ["range", "batch", "n", "keys", "blocked", "allowed"],
-                    )
-
-    return packs.mapInArrow(run, COUNTED)
-
-
-def answered(questions: DataFrame) -> DataFrame:
-    """Each question with the counts of all batches."""
-
-    def answer(group: pa.Table) -> pa.Table:
-        sizes = group.column("n").to_pylist()
-
-        def flat(column, unpacked):
-            return np.concatenate(
-                [unpacked(v, n) for v, n in zip(group.column(column).to_pylist(), sizes)]
-            )
-
-        known, of = np.unique(flat("keys", unpacked_keys), return_inverse=True)
-        ends = np.cumsum([0, *sizes])
-        for name in ("blocked", "allowed"):
-            total = np.bincount(of, flat(name, unpacked_counts), len(known)).astype(np.int64)
-            packed = [packed_counts(total[of[a:b]]) for a, b in zip(ends, ends[1:])]
-            group = group.set_column(
-                group.schema.get_field_index(name), name, pa.array(packed, pa.binary())
-            )
-        return group
-
-    return questions.groupBy("range").applyInArrow(answer, COUNTED)
+def asked(blob: bytes) -> Iterator[key_counts.Question]:
+    """The n-grams that a batch has, and their counts in its URLs that train."""
+    rows, urls = _unpacked(blob)
+    judged = zip(*(rows.column(c).to_pylist() for c in ("verdict", "part")))
+    sides = np.array([(v == "allow") if p == TRAINS else -1 for v, p in judged], int)
+    keys, counts = _counted(urls, sides)
+    yield 0, keys, counts[0], counts[1], True
 
 
 def with_difference(rows: DataFrame) -> DataFrame:
     """``rows`` with ``difference`` by the models of those whose ``part`` is TRAINS."""
     schema = StructType([*rows.schema, StructField("difference", DoubleType())])
     packs = batches_of(rows)
-    answers = answered(asked(packs, max(1, packs.count())))
+    answers, _ = key_counts.counted(packs, asked, "url")
 
     def score(pack: pa.Table, replies: pa.Table) -> pa.Table:
         own, urls = _unpacked(pack.column("blob")[0].as_py())
-        replies = replies.sort_by("range")
+        replies = replies.sort_by("span")
         sizes = replies.column("n").to_pylist()
-        keys, *counts = (
-            np.concatenate([f(v, n) for v, n in zip(replies.column(c).to_pylist(), sizes)])
-            for c, f in (
-                ("keys", unpacked_keys), ("blocked", unpacked_counts), ("allowed", unpacked_counts)
-            )
-        )
+        counts = [
+            np.concatenate([unpacked_counts(v, n) for v, n in zip(replies.column(c).to_pylist(), sizes)])
+            for c in ("c0", "c1")
+        ]
+        keys, _ = _counted(urls, np.full(len(urls), -1))
         found = Model(keys, np.stack(counts)).difference(urls)
         found[[not u for u in urls]] = 0.0
         return own.append_column("difference", pa.array(found))
 
-    return packs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
+    return packs.groupBy("batch").cogroup(answers.groupBy("sender")).applyInArrow(score, schema)
 
 
 def threshold(judged: DataFrame) -> float:
