@@ -8,9 +8,11 @@ occurs in it; taking one away gives the text back.
 
 Turns are ordered by ``turn`` (NULL first), then role and text; repeated rows are turns
 of their own. NULL roles and texts are empty. A conversation with an invalid order of
-roles is formatted as well, and marked. Turns are formatted, parsed back and counted where
-they lie; the task of a conversation streams over its sorted turns for their order, the
-state of the machine and the running digests, so that a conversation may be of any length.
+roles is formatted as well, and marked. Turns are formatted where they lie, and each is
+parsed back there. The task of a conversation streams over its sorted turns for their order
+and the state of the machine. What is read back comes from the segments alone: they are
+joined and parsed again as one text, of which a turn at a time is in memory, so that a
+conversation may be of any length. Columns other than the four are left out.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,18 +92,21 @@ def turn_segments(role: str, text: str, template: Template) -> list[tuple[str, b
 SEGMENTS = "array<struct<text:string,loss:boolean>>"
 
 
-# What a turn has beside its order: ``plain`` is its text where the escaped one differs.
-TURN = f"role string, plain string, segments {SEGMENTS}, chars long, loss_chars long"
+# What a turn has beside its order.
+TURN = f"role string, segments {SEGMENTS}"
 
 
 def _turns(rows: DataFrame, template: Template) -> DataFrame:
-    """Each turn by itself: formatted, held against what is parsed back, and counted."""
-    names = ["conv_id", "turn", *(f.split()[0] for f in TURN.split(", "))]
+    """Each turn by itself, formatted and held against what is parsed back.
+
+    ``plain`` is its text where the escaped one differs: turns are ordered by it.
+    """
+    names = ["conv_id", "turn", "plain", *(f.split()[0] for f in TURN.split(", "))]
 
     def run(batches):
         parser = Parser(template)
         for batch in slices(batches):
-            texts, losses, plains, chars, loss_chars = [], [], [], [], []
+            texts, losses, plains = [], [], []
             for role, text in zip(*(batch.column(c).to_pylist() for c in ("role", "text"))):
                 parts = turn_segments(role, text, template)
                 whole = "".join(t for t, _ in parts)
@@ -109,8 +115,6 @@ def _turns(rows: DataFrame, template: Template) -> DataFrame:
                 texts += [t for t, _ in parts]
                 losses += [loss for _, loss in parts]
                 plains.append(None if parts[1][0] == text else text)
-                chars.append(len(whole))
-                loss_chars.append(sum(len(unescaped(t)) for t, loss in parts if loss))
             flat = pa.StructArray.from_arrays(
                 [pa.array(texts, pa.string()), pa.array(losses, pa.bool_())], ["text", "loss"]
             )
@@ -119,17 +123,15 @@ def _turns(rows: DataFrame, template: Template) -> DataFrame:
                 [
                     batch.column("conv_id"),
                     batch.column("turn"),
-                    batch.column("role"),
                     pa.array(plains, pa.string()),
+                    batch.column("role"),
                     pa.ListArray.from_arrays(at, flat),
-                    pa.array(chars, pa.int64()),
-                    pa.array(loss_chars, pa.int64()),
                 ],
                 names,
             )
 
     kind = rows.schema["turn"].dataType.simpleString()
-    return rows.mapInArrow(run, f"conv_id long, turn {kind}, {TURN}")
+    return rows.mapInArrow(run, f"conv_id long, turn {kind}, plain string, {TURN}")
 
 
 def formatted(
@@ -153,7 +155,7 @@ def formatted(
     )
     own = F.coalesce(F.col("plain"), F.col("segments")[1]["text"])
     ordered = _turns(rows, template).repartition("conv_id")
-    ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", own)
+    ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", own).drop("plain")
     kept = [f.split()[0] for f in TURN.split(", ")]
 
     def run(batches):
@@ -181,7 +183,7 @@ def formatted(
 
 
 class Parser:
-    """Turns back from formatted text."""
+    """Turns back from formatted text, which may come in pieces."""
 
     def __init__(self, template: Template):
         before, after = template.open.split("{role}")
@@ -189,18 +191,60 @@ class Parser:
             re.escape(before) + "(.*?)" + re.escape(after) + "(.*?)" + re.escape(template.close),
             re.DOTALL,
         )
+        self.rest = ""
 
-    def turns(self, text: str) -> list[tuple[str, str]]:
-        found, at = [], 0
-        while at < len(text):
-            match = self.turn.match(text, at)
-            if match is None:
-                raise ValueError(f"no turn at character {at}")
+    def feed(self, text: str) -> list[tuple[str, str]]:
+        """The turns that ``text`` completes; what is left waits for more."""
+        whole, found, at = self.rest + text, [], 0
+        while match := self.turn.match(whole, at):
             found.append((unescaped_role(match[1]), unescaped(match[2])))
             at = match.end()
+        self.rest = whole[at:]
+        return found
+
+    def end(self) -> None:
+        if self.rest:
+            left, self.rest = self.rest[:40], ""
+            raise ValueError(f"no turn at {left!r}")
+
+    def turns(self, text: str) -> list[tuple[str, str]]:
+        found = self.feed(text)
+        self.end()
         return found
 
 
+class Reading:
+    """A conversation as it is read back, segment by segment."""
+
+    def __init__(self, template: Template):
+        self.template, self.parser, self.state = template, Parser(template), template.start
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n = self.chars = self.loss_chars = 0
+
+    def add(self, segments: list[tuple[str, bool]]) -> None:
+        whole = "".join(t for t, _ in segments)
+        self.chars += len(whole)
+        for role, text in self.parser.feed(whole):
+            self.turns.update(f"{role}\n{text}\n".encode())
+            self.state = self.template.step(self.state, role)
+            self.n += 1
+        for text, loss in segments:
+            if loss:
+                text = unescaped(text)
+                self.loss.update(text.encode())
+                self.loss_chars += len(text)
+
+    def row(self, conv) -> pa.RecordBatch:
+        self.parser.end()
+        names = [f.split()[0] for f in READ.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+        values = [
+            conv, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars,
+            self.state in self.template.final,
+        ]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+
+
 READ = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
     " formatted_chars long, valid boolean"
@@ -208,47 +252,27 @@ READ = (
 
 
 def read_back(turns: DataFrame, template: Template = CHATML) -> DataFrame:
-    """Per conversation, from its formatted turns: digests of the turns and the loss texts.
+    """Per conversation, from its segments alone: digests of the turns and the loss texts.
 
-    ``turns`` is what ``formatted`` returns. ``valid``: the roles came in an order that
-    the template allows, up to a final one.
+    ``turns`` is what ``formatted`` returns, a conversation in order in one partition.
+    ``valid``: the roles came in an order that the template allows, up to a final one.
     """
-    # Written turns may come in any order; those that come from formatted() stay put.
-    def run(batches):
-        current, sums = (), None
-
-        def done():
-            turns, loss, n, loss_chars, chars, state = sums
-            valid = state in template.final
-            values = [current, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, valid]
-            names = [f.split()[0] for f in READ.split(", ")]
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip(values, kinds)], names
-            )
 
+    def run(batches):
+        current, reading = (), None
         for batch in batches:
-            flat = batch.column("segments").flatten()
-            middle = pa.array(np.arange(batch.num_rows) * 3 + 1)
-            columns = [batch.column(c) for c in ("conv_id", "state", "role", "plain", "chars", "loss_chars")]
-            columns += [flat.field(i).take(middle) for i in (0, 1)]
-            for conv, state, role, plain, chars, loss_chars, text, loss in zip(
-                *(c.to_pylist() for c in columns)
-            ):
+            lists = batch.column("segments")
+            flat = lists.flatten()
+            pieces = [*zip(flat.field(0).to_pylist(), flat.field(1).to_pylist())]
+            at = 0
+            for conv, n in zip(batch.column("conv_id").to_pylist(), pc.list_value_length(lists).to_pylist()):
                 if conv != current:
-                    if sums is not None:
-                        yield done()
-                    current = conv
-                    sums = [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, None]
-                text = (text if plain is None else plain).encode()
-                sums[0].update(b"%b\n%b\n" % (role.encode(), text))
-                if loss:
-                    sums[1].update(text)
-                sums[2] += 1
-                sums[3] += loss_chars
-                sums[4] += chars
-                sums[5] = state
-        if sums is not None:
-            yield done()
-
-    return turns.mapInArrow(run, READ)
+                    if reading is not None:
+                        yield reading.row(current)
+                    current, reading = conv, Reading(template)
+                reading.add(pieces[at : at + n])
+                at += n
+        if reading is not None:
+            yield reading.row(current)
+
+    return turns.select("conv_id", "segments").mapInArrow(run, READ)

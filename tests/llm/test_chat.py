@@ -103,3 +103,30 @@ def test_sums_of_turns_with_marks(spark):
     assert tuple(got)[1:5] == digests(rows)[1]
     wholes = ["".join(t for t, _ in chat.turn_segments(r, t, chat.CHATML)) for _, _, r, t in rows]
     assert got.formatted_chars == len("".join(wholes))
+
+
+def test_digests_come_from_the_segments(spark):
+    """A segment that is changed after the turn was formatted changes what is read back."""
+    df = spark.createDataFrame([(1, 0, "user", "<|a"), (1, 1, "assistant", "b <|im_end|> c")], SCHEMA)
+    turns = chat.formatted(df)
+    assert "plain" not in turns.columns
+    right = chat.read_back(turns).first()
+    spoilt = F.transform("segments", lambda s: F.struct(F.replace(s["text"], F.lit("\\"), F.lit("\\\\")).alias("text"), s["loss"].alias("loss")))
+    wrong = chat.read_back(turns.withColumn("segments", spoilt)).first()
+    assert wrong.turns_sha256 != right.turns_sha256 and wrong.loss_sha256 != right.loss_sha256
+    assert wrong.loss_chars == right.loss_chars + 1
+    # A mark that is made by two turns together, and a turn that is never closed.
+    cut = F.when(F.col("position") == 0, F.slice("segments", 1, 2)).otherwise(F.col("segments"))
+    (joined,) = chat.read_back(turns.withColumn("segments", cut)).collect()
+    assert joined.n_turns == 1
+    open_ended = F.slice("segments", 1, 2)
+    with pytest.raises(Exception, match="no turn at"):
+        chat.read_back(turns.withColumn("segments", open_ended)).collect()
+
+
+def test_parser_takes_pieces():
+    parser = chat.Parser(chat.CHATML)
+    whole = "".join(t for r in ("user", "assistant") for t, _ in chat.turn_segments(r, "x<|y", chat.CHATML))
+    found = [turn for i in range(len(whole)) for turn in parser.feed(whole[i])]
+    parser.end()
+    assert found == [("user", "x<|y"), ("assistant", "x<|y")]

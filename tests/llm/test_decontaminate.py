@@ -87,3 +87,52 @@ def test_query(spark, sf_dir):
     assert got == {
         (d, n, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest(), c) for d, n, h, i, c in expected
     }
+
+
+def test_one_scan_of_a_large_benchmark(spark):
+    """20 MB of items are one automaton: one Python stage over one scan, and no exchange."""
+    docs, _ = frames(spark)
+    items = spark.range(4000).select(
+        F.col("id").alias("item_id"),
+        F.expr("concat_ws(' ', transform(sequence(1, 600), i -> concat('w', hex(xxhash64(id, i) % 100000000))))").alias("text"),
+    )
+    assert items.agg(F.sum(F.octet_length("text"))).first()[0] < dc.BLOCK_BYTES
+    few = items.limit(3)
+    for found in (dc.clean(docs, few), dc.contamination(docs, few)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert len([*dc.blocks(items)]) == 1
+
+
+def test_shared_sentences_are_named_once(spark):
+    """300 items with one sentence, and a text that repeats it: 300 ids, not one list for each."""
+    sentence = "please read the passage and give the best of four answers"
+    items = [(i, f"{sentence} item{i} alone") for i in range(300)]
+    docs, benchmark = frames(spark, [(1, f"{sentence}. " * 200)], items)
+    (row,) = dc.spans(docs, benchmark, column="SPANS").collect()
+    assert len(row.SPANS["items"]) == 300 and len(row.SPANS.ranges) == 1
+    assert row.SPANS.n_words == 200 * 11 and "spans" not in row.asDict()
+
+
+def test_spans_keep_other_columns(spark):
+    docs, items = frames(spark)
+    docs = docs.withColumns({"row": F.lit(1), "found": F.lit("f"), "__spans": F.lit(2.5), "n_words": F.lit(3)})
+    kept = dc.clean(docs, items)
+    assert kept.schema == docs.schema and kept.count() == 3
+    found = dc.spans(docs, items)
+    assert set(found.columns) == {*docs.columns} and found.filter("found = 'f' AND row = 1").count() == docs.count()
+
+
+def test_every_window_has_a_chunk():
+    import random
+
+    rng = random.Random(2)
+    for trial in range(200):
+        own = [rng.choice("abc") for _ in range(rng.randrange(0, 26))]
+        doc = [rng.choice("abc") for _ in range(rng.randrange(0, 60))] + own[rng.randrange(0, 9) :] + ["c"]
+        items = [(7, " ".join(own)), (8, " ".join(own[3:15]))]
+        want = brute([(1, " ".join(doc))], items)[0]
+        scanner = dc.Scanner([(str(i), t.encode()) for i, t in items])
+        starts, ends, numbers = scanner.found(dc.words_of(" ".join(doc).encode()))
+        hit = {k for a, b in zip(starts, ends) for k in range(a, b)}
+        assert (len(hit), sorted(scanner.items_of(numbers))) == (want[2], want[3])
