@@ -187,12 +187,13 @@ ADDED = {"n_tokens": LongType(), "ids": BinaryType()}
 
 
 def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    kept = {n: batch.column(n) for n in batch.schema.names if n not in columns}
+    kept = {n: batch.column(n) for n in batch.schema.names if n.lower() not in columns}
     return pa.RecordBatch.from_pydict(kept | columns)
 
 
 def _schema(df: DataFrame, added: dict[str, DataType]) -> StructType:
-    kept = [f for f in df.schema if f.name not in added]
+    # Spark tells no names apart by case.
+    kept = [f for f in df.schema if f.name.lower() not in added]
     return StructType(kept + [StructField(n, t) for n, t in added.items()])
 
 
@@ -200,7 +201,8 @@ def encode(df: DataFrame, path: str, text: str = "text", check: bool = False) ->
     """``df`` with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers).
 
     With ``check`` also ``decoded``, the text that the ids give back, from the same pass.
-    Columns of those names are replaced; all others are kept.
+    Columns of those names, in any case of letters, are replaced; all others are kept. NULL
+    is an empty text; texts are encoded whole, however long, and rows that repeat each.
     """
     added = ADDED | ({"decoded": StringType()} if check else {})
 

@@ -70,3 +70,32 @@ def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     first = np.cumsum(counts) - counts
     return np.repeat(starts - first, counts) + np.arange(total, dtype=np.int64)
+
+
+# A bit map of row hashes is of 16 MB at most.
+FILTER_BITS = 1 << 27
+
+
+def bit_map(rows: DataFrame, column: str) -> np.ndarray:
+    """A filter of the hashes in ``column``, of bounded size: 64 bits for each, up to its limit.
+
+    It has every hash, and with it a few others: 1 in 64, and more beyond the limit, where
+    it only saves less. Spark sets the bits; the driver gets the map, not the hashes.
+    """
+    wanted = rows.count()
+    bits = min(FILTER_BITS, 1 << max(16, (64 * wanted).bit_length()))
+    place = F.pmod(F.col(column), F.lit(bits))
+    words = rows.select(
+        F.floor(place / 32).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int")).alias("bit"),
+    )
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    filled = np.zeros(bits // 32, np.uint32)
+    filled[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return filled
+
+
+def mapped(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash is in a bit map, or seems to be."""
+    place = hashes % (32 * len(filled))
+    return ((filled[place // 32] >> (place % 32).astype(np.uint32)) & 1).astype(bool)

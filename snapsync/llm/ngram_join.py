@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapsync.llm.common import expand, slices, texts, written
+from snapsync.llm.common import bit_map, expand, mapped, slices, texts, written
 from snapsync.llm.simhash import components
 
 SHINGLE, PERCENT = 4, 85
@@ -45,7 +45,6 @@ FAN = 8  # children of a tree's node
 PAGE, OVERHEAD = 1 << 20, 256
 PAIRS = 1 << 15  # bounds that are computed at a time
 KEYS = 1 << 20  # band keys that a task sorts at a time
-FILTER_BITS = 1 << 27  # of the filter of rows to read again, at most (16 MB)
 
 
 # Sets and bands ----------------------------------------------------------
@@ -354,38 +353,21 @@ def linked(
 # Pages -------------------------------------------------------------------
 
 
-def _filter_of(picks: DataFrame) -> np.ndarray:
-    """A bit map of the ``row`` hashes, of a size that is bounded; no row is missed."""
-    wanted = picks.count()
-    bits = min(FILTER_BITS, 1 << max(16, (64 * wanted).bit_length()))
-    place = F.pmod(F.col("row"), F.lit(bits))
-    words = picks.select(
-        F.floor(place / 32).cast("int").alias("word"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int")).alias("bit"),
-    )
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    filled = np.zeros(bits // 32, np.uint32)
-    filled[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-    return filled
-
-
 def _read_again(df: DataFrame, picks: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``picks`` (row and other columns) with ``own``, the shingles of the row.
 
     Texts are read again, but only the sets of rows that the filter lets through travel,
     one of each set and task.
     """
-    sent = df.sparkSession.sparkContext.broadcast(_filter_of(picks))
+    sent = df.sparkSession.sparkContext.broadcast(bit_map(picks, "row"))
     rows = df.select(_row(key, text).alias("row"), F.col(f"`{text}`").alias("text"))
 
     def run(batches):
         filled = sent.value
-        bits = 32 * len(filled)
         seen: set[int] = set()
         for whole in batches:
-            place = whole.column("row").to_numpy() % bits
-            wanted = (filled[place // 32] >> (place % 32).astype(np.uint32)) & 1
-            for batch in slices([whole.filter(pa.array(wanted.astype(bool)))]):
+            wanted = mapped(filled, whole.column("row").to_numpy())
+            for batch in slices([whole.filter(pa.array(wanted))]):
                 row = batch.column("row").to_pylist()
                 fresh = [i for i, r in enumerate(row) if not (r in seen or seen.add(r))]
                 batch = batch.take(pa.array(fresh, pa.int64()))

@@ -213,12 +213,13 @@ def kept(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "tex
     found = classified(df, labels, key, text)
     # A score depends on the text alone, so rows are told apart by key and text.
     # Written, they have a known size: texts are only shuffled if there are many.
-    bad = found.filter("score < 0.5").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h")
-    )
+    bad = found.filter("score < 0.5").select("doc_id", "text_hash")
     bad = written(bad.distinct(), "quality-rejected")
-    marked = df.withColumn("__k", F.col(f"`{key}`").cast("long")).withColumn(
-        "__t", F.xxhash64(F.col(f"`{text}`"))
+    # As one column, so that no name of a row's meets one used here.
+    rows = df.select(
+        F.struct("*").alias("row"),
+        F.col(f"`{key}`").cast("long").alias("key"),
+        F.xxhash64(F.col(f"`{text}`")).alias("hash"),
     )
-    same = F.col("__k").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__h"))
-    return marked.join(bad, same, "left_anti").drop("__k", "__t")
+    same = F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    return rows.join(bad, same, "left_anti").select("row.*")

@@ -147,8 +147,11 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``measures`` and ``failed_bits`` (bit i: rule i of RULES fails)."""
-    measured = measures(df.drop("failed_bits"), text)
+    """``df`` with ``measures`` and ``failed_bits`` (bit i: rule i of RULES fails).
+
+    Columns of those names are replaced. Texts are measured whole, however long.
+    """
+    measured = measures(df.drop("failed_bits", "measures"), text)
     bits = F.lit(0).cast("long")
     for name, condition in RULES:
         for measure in MEASURES:

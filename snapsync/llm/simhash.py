@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapsync.llm.common import slices, texts, written
+from snapsync.functions.checksums import row_hash
+from snapsync.llm.common import bit_map, mapped, slices, texts, written
 
 SEED = 42
 BITS = 64
@@ -50,11 +51,13 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3):
-    """``doc_id``, ``text_hash`` (of the text as it is) and ``fp`` of every row."""
+def fingerprints(
+    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, row: Column | None = None
+):
+    """``doc_id``, ``text_hash`` (of the text as it is, or ``row``) and ``fp`` of every row."""
     rows = df.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"),
-        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+        (F.xxhash64(F.col(f"`{text}`")) if row is None else row).alias("text_hash"),
         F.col(f"`{text}`").alias("text"),
     )
 
@@ -232,16 +235,33 @@ def near_duplicates(
 def representatives(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
-    """One row of ``df`` per component: that of the smallest doc_id, NULL ids last."""
-    signed = written(fingerprints(df, key, text, shingle), "simhash-signed")
-    rooted = groups(signed, distance)
+    """One row of ``df`` per component: that of the smallest doc_id, NULL ids last.
+
+    Of rows with one doc_id that whose hash over all columns is least stays; of rows that
+    repeat as a whole, one. Columns may have any names. Rows that are alone in their
+    component pass by; only the others, and a few that a filter of bounded size lets
+    through, travel with their texts.
+    """
+    signed = written(fingerprints(df, key, text, shingle, row_hash(df.schema)), "simhash-signed")
+    rooted = written(groups(signed, distance), "simhash-groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    least = signed.groupBy("fp").agg(F.min(order).alias("first"))
-    first = rooted.join(least, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    first = first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__h"))
-    marked = df.withColumn("__k", F.col(f"`{key}`").cast("long")).withColumn(
-        "__t", F.xxhash64(F.col(f"`{text}`"))
-    )
-    same = F.col("__k").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__h"))
-    # Rows that repeat as a whole are still there: one of each stays.
-    return marked.join(first, same, "left_semi").dropDuplicates(["__k", "__t"]).drop("__k", "__t")
+    least = signed.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    of_root = rooted.join(least, "fp").groupBy("root")
+    of_root = written(of_root.agg(F.min("first").alias("first"), F.sum("n").alias("n")), "simhash-firsts")
+    crowded = rooted.join(of_root.filter("n > 1"), "root").select("fp")
+    crowded = signed.join(crowded, "fp").select("text_hash").distinct()
+    sent = df.sparkSession.sparkContext.broadcast(bit_map(crowded, "text_hash"))
+    rows = df.select(F.struct("*").alias("row"), row_hash(df.schema).alias("hash"))
+
+    def dealt(among: bool):
+        def run(batches):
+            filled = sent.value
+            for batch in batches:
+                found = mapped(filled, batch.column("hash").to_numpy())
+                yield batch.filter(pa.array(found == among))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    first = of_root.select(F.col("first.text_hash").alias("hash"))
+    chosen = dealt(True).join(first, "hash", "left_semi").dropDuplicates(["hash"])
+    return dealt(False).unionByName(chosen).select("row.*")

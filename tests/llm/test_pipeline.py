@@ -70,3 +70,34 @@ def test_odd_rows(spark, sf_dir):
 
 def stages_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("length(text) > 400").first().text
+
+
+NAMES = ("__k", "__t", "__id", "__h", "__spans", "IDS", "Decoded", "N_TOKENS", "MEASURES", "SPANS", "row", "hash", "key", "document")
+
+
+@pytest.mark.parametrize("names", [NAMES[:7], NAMES[7:]])
+def test_columns_of_any_name_go_through(spark, sf_dir, names):
+    """Every stage but the last keeps them; the last replaces those that it makes, in any case."""
+    good = stages_text(spark, sf_dir)
+    docs = spark.createDataFrame([(1, good, "en", "a"), (2, good, "de", "b"), (3, "short", "en", "c")], "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id")) for n in names})
+    for name, stage in pipeline.STAGES:
+        docs = written(stage(spark, docs, sf_dir), "odd-names")
+        kept = [n for n in names if n.lower() not in ("ids", "decoded", "n_tokens")] if name == "bpe" else names
+        assert set(kept) <= set(docs.columns)
+        assert len({c.lower() for c in docs.columns}) == len(docs.columns)
+        for row in docs.collect():
+            assert all(row[n] == f"{n} of {row.doc_id}" for n in kept)
+    assert [r.doc_id for r in docs.collect()] == [1]
+
+
+def test_rows_of_one_id_that_differ_elsewhere(spark, sf_dir):
+    """Which of them stays does not depend on their order or tasks."""
+    good = stages_text(spark, sf_dir)
+    rows = [(1, good, lang, "s") for lang in ("en", "de", "fr", None)] * 2
+    found = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string, source string").repartition(3)
+        (row,) = pipeline.near_duplicates(spark, docs, sf_dir).collect()
+        found.add(row.lang)
+    assert len(found) == 1
