@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import embedded_db
 from snapsync.functions.names import qualified_name, target_name
-from snapsync.functions.predicates import hash_remainders
+from snapsync.functions.predicates import hash_remainders, hot_bound_predicates
 from snapsync.functions.text import render_fixed_width
 from snapsync.operators import sink
 from snapsync.operators.copy import (
@@ -167,6 +167,11 @@ def inferred_keys(spark, sf_dir):
     return keys.select("table_name", F.array_join("primary_key", ",").alias("primary_key"))
 
 
+def composite_keys(spark, sf_dir):
+    found = catalog.composite_keys(_open(spark, sf_dir).frames)
+    return found.select("table_name", F.array_join("key", ",").alias("key"))
+
+
 def full_scan(spark, sf_dir):
     return read_table(_open(spark, sf_dir), {"table_name": "customer"})
 
@@ -320,6 +325,36 @@ def balanced_splits(spark, sf_dir):
     return union_all(results)
 
 
+def sketched_splits(spark, sf_dir):
+    # The same from the sketches that a copy noted: bounds without a look at the keys.
+    opened, target = _open(spark, sf_dir), _target(spark, "sketched")
+    lineitem = opened.read("lineitem")
+    # Most keys in a corner, and a fifth of the rows of one key.
+    skewed = lineitem.selectExpr(
+        "CASE WHEN l_linenumber = 1 THEN 5L ELSE l_orderkey * l_orderkey END AS k", "l_partkey * 7 AS part"
+    )
+    results = []
+    for name, df, key in (("lineitem", lineitem, "l_orderkey"), ("skewed", skewed, "k")):
+        sink.write_snapshot(df, target, name, key)
+        bounds = sink.key_bounds(spark, target, name, key, SPLITS)
+        other = next(c for c in df.columns if c != key)
+        cut = hot_bound_predicates(
+            key, [f"{b}L" for b in bounds], lambda n, c=other: hash_remainders(f"ABS(HASH({c}))", n)
+        )
+        number, hits = split_by(cut)
+        rows = df.select(number.alias("split_id"), hits.alias("hits"))
+        per_split = rows.groupBy("split_id").agg(F.count(F.lit(1)).alias("n"), F.max("hits").alias("hits"))
+        even = F.max("n") * SPLITS <= 2 * F.sum("n") + 2 * SPLITS
+        results.append(
+            per_split.agg(
+                F.sum("n").alias("n_rows"),
+                F.max("hits").alias("queries_of_a_row"),
+                even.alias("none_above_twice_its_share"),
+            ).select(F.lit(name).alias("table_name"), "*")
+        )
+    return union_all(results)
+
+
 def target_names(spark, sf_dir):
     names = target_name("table_name", PREFIX)
     return catalog.tables(_open(spark, sf_dir)).select(
@@ -610,6 +645,7 @@ def copy_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_keys": catalog_keys,
         "candidate_keys": candidate_keys,
         "inferred_keys": inferred_keys,
+        "composite_keys": composite_keys,
         "select_tables": selected_tables,
         "immutability": immutable_tables,
         "key_range": key_ranges,
@@ -625,6 +661,7 @@ def copy_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jdbc_partitioned_scan": jdbc_partitioned_scan,
         "jdbc_composite_split": jdbc_composite_split,
         "snapshot_overwrite": snapshot_overwrite,
+        "sketched_splits": sketched_splits,
         "target_names": target_names,
         "dated_targets": dated_targets,
         "target_schema": target_schemas,
@@ -770,6 +807,25 @@ def _counts_sql(extra: Callable[[str], str]) -> str:
     )
 
 
+def _composite_sql() -> str:
+    """Pairs of columns of one table that tell its rows apart, where no column does."""
+
+    def pairs(table: str) -> str:
+        columns = [n for n, kind in _columns(table) if kind in ("bigint", "int")]
+        single = " OR ".join(f"count(DISTINCT {c}) = count(*)" for c in columns)
+        found = _union(
+            f"""SELECT '{a},{b}' AS key FROM {table} HAVING count(*) > 0
+                AND count(DISTINCT ({a}, {b})) = count(*)
+                AND count({a}) = count(*) AND count({b}) = count(*)"""
+            for i, a in enumerate(columns)
+            for b in columns[i + 1 :]
+        )
+        return f"SELECT '{table}' AS table_name, key FROM ({found}), (SELECT {single} AS one FROM {table}) WHERE NOT one"
+
+    kinds = {t: [k for _, k in _columns(t) if k in ("bigint", "int")] for t in TABLES}
+    return _union(pairs(t) for t in TABLES if len(kinds[t]) > 1)
+
+
 def copy_sql() -> dict[str, str]:
     spark_type = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
         WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
@@ -832,6 +888,12 @@ def copy_sql() -> dict[str, str]:
             for t, k in KEYS.items()
         ),
         "candidate_keys": _candidates_sql(),
+        "composite_keys": _composite_sql(),
+        "sketched_splits": _union(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, 1 AS queries_of_a_row,"
+            " true AS none_above_twice_its_share FROM lineitem"
+            for t in ("lineitem", "skewed")
+        ),
         "inferred_keys": f"""SELECT table_name, arg_min(column_name, ordinal_position)
             AS primary_key FROM ({_candidates_sql()})
             WHERE is_key AND (table_name, column_name) IN ({integral}) GROUP BY table_name""",
@@ -996,13 +1058,16 @@ def copy_sql() -> dict[str, str]:
     }
 
 
-# The operators on documents and their pipeline are optional.
+# The operators on documents and their pipeline are optional, and so is what they import.
 try:
     import corpus_pipeline
     from snapsync.llm import queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "snapsync.llm"):
+    # A module of the library itself that is missing is an error.
+    own = (missing.name or "").startswith("snapsync")
+    if own and not missing.name.startswith("snapsync.llm"):
         raise
+    print(f"without the operators on documents: {missing}", file=sys.stderr)
     llm = None
 
 

@@ -272,6 +272,43 @@ def _high_water(
     return local_frame(opened.spark, at_once(mark, growing), MARKS)
 
 
+def _noted_bounds(opened: Opened, target: Target, row: Mapping[str, Any]) -> list[int]:
+    """Split bounds of a database table from the sketches of its last copy, if it has any."""
+    splits = (row.get("n_splits") or 1) > 1 and row.get("split_by") == "rows"
+    if not splits or not isinstance(opened, OpenedJdbc) or not isinstance(target, FileTarget):
+        return []
+    key = row.get("key_column")
+    try:
+        return sink.key_bounds(
+            opened.spark, target, row["target_name"], key, row["n_splits"], row.get("max_key")
+        )
+    except Exception as e:
+        log.warning("no noted bounds of %s: %s", row["table_name"], _message(opened, e))
+        return []
+
+
+def upper_cuts(opened: Opened, plan: list) -> dict[str, tuple[str, int]]:
+    """``table: (key column, greatest key)`` now, of the tables that have an integral key.
+
+    All are asked for at once, before any is read. Tables without such a key have no mark
+    that tells the rows that come later.
+    """
+
+    def cut(row) -> tuple[str, tuple[str, int] | None]:
+        key = row.append_key or row.key_column
+        if key is None:
+            return row.table_name, None
+        try:
+            high = opened.key_stats(row.table_name, key).first().max_key
+        except Exception as e:
+            # The copy of this table will fail alike, and report it.
+            log.warning("no upper cut of %s: %s", row.table_name, _message(opened, e))
+            return row.table_name, None
+        return row.table_name, None if high is None else (key, int(high))
+
+    return {name: found for name, found in at_once(cut, plan) if found is not None}
+
+
 def copy_planned(
     opened: Opened,
     target: Target,
@@ -287,12 +324,16 @@ def copy_planned(
     """
     declared = declared or {}
     spark = opened.spark
+    cuts = upper_cuts(opened, plan) if options.consistent else {}
 
     def run(row) -> tuple:
         context = spark.sparkContext
         context.setLocalProperty("spark.scheduler.pool", f"copy-{row.table_name}")
         context.setLocalProperty("spark.job.description", f"copy {row.table_name}")
-        return copy_table(opened, target, row.asDict(), options, declared.get(row.table_name))
+        cut_column, upper_cut = cuts.get(row.table_name, (None, None))
+        planned = row.asDict() | {"cut_column": cut_column, "upper_cut": upper_cut}
+        planned["bounds"] = _noted_bounds(opened, target, planned)
+        return copy_table(opened, target, planned, options, declared.get(row.table_name))
 
     largest_first = sorted(plan, key=lambda r: (-r.bytes_to_sync, r.table_name))
     with ThreadPoolExecutor(max_workers=options.max_parallel_writers) as pool:

@@ -22,6 +22,7 @@ One job at a time may write a table.
 
 from __future__ import annotations
 
+import base64
 import json
 import logging
 import re
@@ -29,6 +30,7 @@ import time
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -175,6 +177,8 @@ def _write_part(
     if key is not None:
         k = F.col(quoted(key))
         counts += [F.min(k).alias("least"), F.max(k).alias("greatest")]
+        # How the keys lie, in a few KB whatever the rows, for splits of later reads.
+        counts.append(F.kll_sketch_agg_bigint(k.try_cast("long")).alias("sketch"))
     if marker is not None:
         counts.append(_mark(marker, df.schema[marker].dataType).alias("latest"))
     # All that is taken while the rows pass by; there is no second scan.
@@ -196,6 +200,7 @@ def _write_part(
         "key": key,
         "min_key": _whole(found.get("least")),
         "max_key": _whole(found.get("greatest")),
+        "sketch": base64.b64encode(found["sketch"]).decode() if found.get("sketch") else None,
         "marker": marker,
         "max_marker": found.get("latest"),
         "digest": {c: found[c] for c in DIGEST} if target.verify else None,
@@ -671,6 +676,54 @@ def high_water(spark: SparkSession, target: FileTarget, name: str, key: str) ->
     return _whole(rows.agg(F.max(F.col(quoted(key))).alias("high")).first().high)
 
 
+def key_bounds(
+    spark: SparkSession, target: FileTarget, name: str, key: str, n: int, high: int | None = None
+) -> list[int]:
+    """Keys that cut the table into ``n`` ranges of about as many rows; a key may repeat.
+
+    They come from the sketches that the parts noted when they were written, merged: no key
+    is read. Keys that the source has beyond the copied ones, up to ``high``, are cut as
+    densely as those. Empty if a part has no sketch.
+    """
+    found = _manifests(Storage(spark, target.path), name)
+    noted = [m for m in found if m["key"] != key or m["min_key"] is not None]
+    if n < 2 or not noted or any(m["key"] != key or not m.get("sketch") for m in noted):
+        return []
+    sketches = spark.createDataFrame([(base64.b64decode(m["sketch"]),) for m in noted], "s binary")
+    low, top = min(m["min_key"] for m in noted), max(m["max_key"] for m in noted)
+    # The splits that the keys copied before get, and those of the keys that came since.
+    fresh = max(0, (high or top) - top)
+    more = min(n - 1, -(-n * fresh // (fresh + top - low + 1)))
+    steps = FINE * (n - more)
+    ranks = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+    merged = F.kll_merge_agg_bigint("s")
+    fine = sketches.agg(F.kll_sketch_get_quantile_bigint(merged, ranks).alias("b")).first().b
+    return [*_packed_bounds(fine), *(top + 1 + i * fresh // more for i in range(more))]
+
+
+FINE = 4  # quantiles for each split, so that what follows a frequent key is cut off soon
+
+
+def _packed_bounds(fine: list[int]) -> list[int]:
+    """Bounds out of ``FINE`` times as many quantiles.
+
+    A key that fills most of a split is a bound as often as it fills one, and so is the next
+    quantile after it; elsewhere every ``FINE``-th is.
+    """
+    bounds: list[int] = []
+    held, after = 0, False
+    for key, same in groupby(fine):
+        times = len(list(same))
+        held += times
+        if times >= FINE - 1:
+            bounds += [key] * -(-times // FINE)
+            held, after = 0, True
+        elif held >= FINE or after:
+            bounds.append(key)
+            held, after = 0, False
+    return bounds
+
+
 def list_tables(spark: SparkSession, target: FileTarget) -> list[str]:
     storage = Storage(spark, target.path)
     return [n for n in storage.child_names() if _current(storage, n) is not None]

@@ -41,6 +41,7 @@ JOB_OPTIONS = {
     "attempt-incremental-updates": "incremental",
     "attempt-delta-updates": "delta",
     "reconcile-ranges": "reconcile",
+    "shared-upper-cut": "consistent",
     "incremental-lookback": "lookback",
     "max-parallel-writers": "max_parallel_writers",
     "max-retries": "max_attempts",
@@ -106,6 +107,9 @@ class CopyOptions:
     delta: bool = False
     # Compare tables with an integral key range by range, and copy what differs.
     reconcile: bool = False
+    # Fix the greatest key of every table before the first is read: rows that are added
+    # meanwhile are in no split of any table.
+    consistent: bool = False
     raise_on_failure: bool = False
 
     def __post_init__(self):

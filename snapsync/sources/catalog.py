@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,6 +172,103 @@ def candidate_keys(frames: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+KEY_SETS = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("key", T.ArrayType(T.StringType())),
+    ]
+)
+# The error of estimates of sets, and how far below the rows one rules a set out: six times it.
+SET_ERROR = 0.02
+
+
+def _estimates(df: DataFrame, sets: Sequence[Sequence[str]]) -> list[int]:
+    """The rows, and how many different values each set of columns has, estimated in one pass.
+
+    The sketches of tasks are merged; no value leaves its task.
+    """
+    hashes = [F.xxhash64(*[F.col(quoted(c)) for c in columns]) for columns in sets]
+    counts = [F.approx_count_distinct(h, SET_ERROR).alias(f"c{i}") for i, h in enumerate(hashes)]
+    return list(df.agg(F.count(F.lit(1)).alias("n"), *counts).first())
+
+
+def _set_value(df: DataFrame, columns: Sequence[str]) -> Column:
+    """32 bytes that are equal where the values of all columns are."""
+    parts = []
+    for c in columns:
+        value = _as_bytes(F.col(quoted(c)), df.schema[c].dataType)
+        # The length keeps ("a", "bc") and ("ab", "c") apart.
+        parts += [F.octet_length(value).cast("string"), F.lit(":"), F.hex(value)]
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
+
+
+def _unique_sets(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """The sets of columns of which no two rows have the same values: all in one shuffle."""
+    if not sets:
+        return []
+    values = [F.struct(F.lit(i).alias("i"), _set_value(df, c).alias("v")) for i, c in enumerate(sets)]
+    counted = (
+        df.select(F.explode(F.array(values)).alias("s"))
+        .groupBy("s.i", "s.v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("i")
+        .agg(F.max("n").alias("most"))
+    )
+    unique = {r.i for r in counted.filter("most = 1").collect()}
+    return [c for i, c in enumerate(sets) if i in unique]
+
+
+def minimal_keys(df: DataFrame, width: int = 2) -> list[tuple[str, ...]]:
+    """The sets of up to ``width`` columns that are keys, and of which no part is one.
+
+    Level by level: sets are made of columns without NULLs, none of them around a key that
+    is known. A set is ruled out if its columns have fewer combinations than there are rows,
+    then by its estimate; only what is left is counted. Measurements are no key columns.
+    """
+    fields = [f for f in df.schema.fields if _can_be_key(f.dataType)]
+    fields = [f.name for f in fields if not isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not fields:
+        return []
+    n, *filled = df.agg(F.count(F.lit(1)), *[F.count(F.col(quoted(c))) for c in fields]).first()
+    columns = [c for c, k in zip(fields, filled) if n and k == n]
+    found: list[tuple[str, ...]] = []
+    distinct: dict[str, int] = {}
+    for size in range(1, width + 1):
+        sets = [s for s in combinations(columns, size) if not any(set(k) <= set(s) for k in found)]
+        if size > 1:
+            # Of an estimate that is too low by all of its error.
+            most = {s: math.prod(distinct[c] * (1 + 6 * SET_ERROR) for c in s) for s in sets}
+            sets = [s for s in sets if most[s] >= n]
+        if not sets:
+            continue
+        _, *estimates = _estimates(df, sets)
+        if size == 1:
+            distinct = {s[0]: e for s, e in zip(sets, estimates)}
+        likely = [s for s, e in zip(sets, estimates) if e >= n * (1 - 6 * SET_ERROR)]
+        found += _unique_sets(df, likely)
+    return found
+
+
+def composite_keys(frames: Mapping[str, DataFrame], width: int = 2) -> DataFrame:
+    """``table_name, key``: the minimal keys of tables that no single column is a key of.
+
+    Of integral columns, as texts and measurements that happen to differ are no keys.
+    """
+
+    def integral(df: DataFrame) -> DataFrame:
+        names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+        return df.select(*map(quoted, names))
+
+    found = base.at_once(lambda df: minimal_keys(integral(df), width), frames.values())
+    rows = [
+        (name, list(key))
+        for name, keys in zip(frames, found)
+        if not any(len(k) == 1 for k in keys)
+        for key in keys
+    ]
+    return base.local_frame(next(iter(frames.values())).sparkSession, rows, KEY_SETS)
+
+
 def check_keys(frames: dict[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
     """``table_name, n_rows, n_keys, is_key`` of declared keys of any width.
 

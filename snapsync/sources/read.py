@@ -18,7 +18,7 @@ from snapsync.plans.splits import (
     split_predicates,
 )
 from snapsync.sources.base import Opened
-from snapsync.sources.jdbc import OpenedJdbc
+from snapsync.sources.jdbc import OpenedJdbc, literal
 
 # Queries of a table without any key: each scans all of it in the database, so there are
 # few of them, and one more for each further 4 GB.
@@ -33,11 +33,25 @@ def read_table(
 ) -> DataFrame:
     """All rows of one table, or those with a key greater than ``above``.
 
+    Where the plan row has an ``upper_cut``, rows with a greater key are left out: the
+    condition goes into the query of every split.
+    """
+    df = _all_rows(opened, row, options or CopyOptions(), above)
+    cut, key = row.get("upper_cut"), row.get("cut_column")
+    if cut is None or key is None:
+        return df
+    return df.filter((F.col(quoted(key)) <= F.lit(cut)) | F.col(quoted(key)).isNull())
+
+
+def _all_rows(
+    opened: Opened, row: Mapping[str, Any], options: CopyOptions, above: int | None
+) -> DataFrame:
+    """The rows as the plan row says how to read them.
+
     A database is read in ``n_splits`` parallel queries where the plan row has a
     key range, and in one otherwise. Files are cut into tasks by Spark itself; a
     ``bytes_per_split`` above Spark's own makes them fewer.
     """
-    options = options or CopyOptions()
     name, key, n = row["table_name"], row.get("key_column"), row.get("n_splits") or 1
     low, high, second = row.get("min_key"), row.get("max_key"), row.get("second_column")
     if not isinstance(opened, OpenedJdbc):
@@ -60,6 +74,8 @@ def read_table(
     if key is None or low is None or high is None:
         return opened.read(name)
     columns = [key] if second is None else [key, second]
+    if row.get("bounds"):
+        return opened.read_where(name, sketched_predicates(opened, name, key, row))
     if (row.get("split_by") or options.split_by) == "rows":
         primary = row.get("primary_key") or []
         integral = [f.name for f in opened.read(name).schema if isinstance(f.dataType, T.IntegralType)]
@@ -74,6 +90,16 @@ def read_table(
     return opened.read_range(name, key, low, high, n_ranges)
 
 
+def sketched_predicates(opened: Opened, name: str, key: str, row: Mapping[str, Any]) -> list[str]:
+    """Ranges between the keys of ``bounds``; one that repeats is cut by the other columns."""
+    others = [c for c in row.get("primary_key") or [] if c != key]
+    others = others or [c for c in opened.hashable_columns(name) if c != key]
+    cuts = [literal(b) for b in row["bounds"]]
+    return hot_bound_predicates(
+        opened.quote(key), cuts, lambda parts: opened.hash_predicates(others, parts)
+    )
+
+
 def _without_integral_key(opened: OpenedJdbc, name: str, row: Mapping[str, Any], n: int):
     """Parallel queries of a table that has no integral key to cut by.
 

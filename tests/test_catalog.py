@@ -472,3 +472,32 @@ def test_empty_directory(spark, tmp_path):
     assert catalog.tables(opened).count() == 0
     assert catalog.columns(opened).count() == 0
     assert plan_tables(opened, CopyOptions()).count() == 0
+
+
+def test_minimal_keys(spark):
+    df = spark.range(400).selectExpr(
+        "id % 20 AS a", "id div 20 AS b", "CAST(id % 20 AS string) AS c", "IF(id = 7, NULL, id) AS holes",
+        "id / 3.0D AS measured", "id % 2 AS few", "1 AS one", "array(id) AS list",
+    )
+    assert catalog.minimal_keys(df) == [("a", "b"), ("b", "c")]
+    # The same with a row that repeats, and with one that has other values of either column.
+    assert catalog.minimal_keys(df.unionAll(df.limit(1))) == []
+    assert catalog.minimal_keys(df.selectExpr("a", "b", "a * 100 + b AS id")) == [("id",), ("a", "b")]
+    assert catalog.minimal_keys(df.limit(0)) == [] and catalog.minimal_keys(spark.sql("SELECT 1.5D AS x")) == []
+    three = spark.range(1000).selectExpr("id % 10 AS x", "id div 10 % 10 AS y", "id div 100 AS z", "id % 5 AS w")
+    assert catalog.minimal_keys(three) == []
+    assert catalog.minimal_keys(three, 3) == [("x", "y", "z")]
+
+
+def test_set_values_do_not_run_together(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("", "abc")], "x string, y string")
+    assert ("x", "y") in catalog._unique_sets(df, [("x", "y")])
+    assert catalog._unique_sets(df.unionAll(df), [("x", "y")]) == []
+
+
+def test_composite_keys_of_tables(spark):
+    frames = FileSource("/root/testdata/sf0.01").open(spark).frames
+    frames = {t: frames[t] for t in ("conversations", "lineitem", "orders")}
+    found = [(r.table_name, tuple(r.key)) for r in catalog.composite_keys(frames).collect()]
+    assert found[0] == ("conversations", ("conv_id", "turn"))
+    assert {t for t, _ in found} == {"conversations"}

@@ -4,18 +4,24 @@ import glob
 import json
 import math
 
+import embedded_db
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from snapsync.functions.checksums import digest
+from snapsync.functions.predicates import hot_bound_predicates
 from snapsync.operators import sink
-from snapsync.operators.copy import copy_all, copy_delta, copy_reconciled
+from snapsync.operators.copy import copy_all, copy_delta, copy_reconciled, upper_cuts
 from snapsync.operators.reconcile import cut, differing, fewer
 from snapsync.options import CopyOptions, FileTarget
+from snapsync.plans.splits import split_by
 from snapsync.sources.files import FileSource
+from snapsync.sources.jdbc import JdbcSource
+from snapsync.sources.read import read_table
 from snapsync.storage import Storage
 
 
@@ -222,6 +228,76 @@ def test_ranges_and_deltas_in_one_table(spark, target):
     assert found == expected
 
 
+# Sketches ----------------------------------------------------------------
+
+
+def test_bounds_come_from_the_parts(spark, target):
+    """Merged over parts, without a scan, and even where keys are not."""
+    k = F.col("id")
+    first = spark.range(20_000).select((k * k).alias("k"))
+    sink.write_snapshot(first, target, "t", "k")
+    sink.append_increment(spark.range(20_000, 30_000).select((k * k).alias("k")), target, "t", "k")
+    bounds = sink.key_bounds(spark, target, "t", "k", 10)
+    whole = sink.read_snapshot(spark, target, "t")
+    number, hits = split_by(hot_bound_predicates("k", [f"{b}L" for b in bounds], lambda n: None))
+    counts = whole.groupBy(number.alias("q")).agg(F.count("*").alias("n"), F.max(hits).alias("hits")).collect()
+    assert sum(r.n for r in counts) == 30_000 and {r.hits for r in counts} == {1}
+    assert len(counts) == 10 and max(r.n for r in counts) < 2 * 3000
+    # Keys that came since are cut as well.
+    later = sink.key_bounds(spark, target, "t", "k", 10, 2 * 30_000**2)
+    assert len(later) == 9 and sum(b > 30_000**2 - 60_000 for b in later) >= 4
+    assert sink.key_bounds(spark, target, "t", "other", 10) == []
+    assert sink.key_bounds(spark, target, "t", "k", 1) == []
+
+
+def test_hot_keys_repeat_as_bounds(spark, target):
+    df = spark.range(1000).selectExpr("IF(id < 500, 7, id) AS k", "id AS v")
+    sink.write_snapshot(df, target, "t", "k")
+    bounds = sink.key_bounds(spark, target, "t", "k", 10)
+    assert bounds.count(7) >= 4
+    row = {"table_name": "hot", "key_column": "k", "min_key": 7, "max_key": 999, "n_splits": 10, "bounds": bounds}
+    embedded_db.execute(spark, "hots", 'CREATE TABLE APP."hot"("k" BIGINT, "v" BIGINT)', *[f'INSERT INTO APP."hot" VALUES ({r.k}, {r.v})' for r in df.filter("v % 10 = 0").collect()])
+    opened = JdbcSource("jdbc:derby:memory:hots", "APP", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", catalog="metadata").open(spark)
+    found = read_table(opened, row)
+    assert rows(found) == rows(df.filter("v % 10 = 0")) and found.rdd.getNumPartitions() >= 5
+
+
+def test_empty_and_null_keys_have_no_bounds(spark, target):
+    sink.write_snapshot(spark.range(0).select(F.col("id").alias("k")), target, "t", "k")
+    assert sink.key_bounds(spark, target, "t", "k", 4) == []
+    sink.write_snapshot(spark.sql("SELECT CAST(NULL AS bigint) AS k FROM range(9)"), target, "n", "k")
+    assert sink.key_bounds(spark, target, "n", "k", 4) == []
+
+
+# Consistent copies -------------------------------------------------------
+
+
+def test_rows_that_come_meanwhile_are_in_no_split(spark):
+    """The cut is chosen before the first read and is in the query of every split."""
+    embedded_db.execute(spark, "cuts", 'CREATE TABLE APP."grows"("k" BIGINT, "v" INT)')
+    insert = lambda a, b: embedded_db.execute(spark, "cuts", *[f'INSERT INTO APP."grows" VALUES ({k}, {k})' for k in range(a, b)])
+    insert(0, 40)
+    opened = JdbcSource("jdbc:derby:memory:cuts", "APP", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver", catalog="metadata").open(spark)
+    row = {"table_name": "grows", "append_key": "k", "key_column": "k", "min_key": 0, "max_key": 39, "n_splits": 4}
+    cuts = upper_cuts(opened, [Row(**row)])
+    assert cuts == {"grows": ("k", 39)}
+    insert(40, 60)
+    cut = row | {"cut_column": "k", "upper_cut": 39}
+    for way in ({}, {"n_splits": 1}, {"split_by": "rows"}, {"split_by": "range"}):
+        assert sorted(r.k for r in read_table(opened, cut | way).collect()) == list(range(40))
+        assert read_table(opened, row | way).count() == 60
+    found = read_table(opened, cut)
+    assert "LessThanOrEqual(k,39)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in read_table(opened, cut, above=30).collect()) == list(range(31, 40))
+
+
+def test_consistent_copies_through_the_report(spark, tmp_path, target):
+    data = spark.range(50).selectExpr("id AS k", "IF(id = 3, NULL, id) AS other")
+    opened = source_of(spark, tmp_path, data, ["k"])
+    report = copy_all(spark, opened, target, CopyOptions(consistent=True)).first()
+    assert (report.status, report.rows) == ("ok", 50)
+
+
 # Digests -----------------------------------------------------------------
 
 
