@@ -58,6 +58,8 @@ def slices(
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+    # A worker goes on to other tasks: what Arrow holds of this one is of no use to them.
+    pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

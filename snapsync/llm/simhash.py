@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapsync.functions.checksums import row_hash
-from snapsync.llm.common import bit_map, mapped, slices, texts, written
+from snapsync.llm.common import slices, texts, written
 
 SEED = 42
 BITS = 64
@@ -250,18 +250,26 @@ def representatives(
     of_root = written(of_root.agg(F.min("first").alias("first"), F.sum("n").alias("n")), "simhash-firsts")
     crowded = rooted.join(of_root.filter("n > 1"), "root").select("fp")
     crowded = signed.join(crowded, "fp").select("text_hash").distinct()
-    sent = df.sparkSession.sparkContext.broadcast(bit_map(crowded, "text_hash"))
-    rows = df.select(F.struct("*").alias("row"), row_hash(df.schema).alias("hash"))
+    bits, words = _word_map(crowded)
+    hashed = row_hash(df.schema)
+    rows = df.select(F.struct("*").alias("row"), hashed.alias("hash"), F.pmod(hashed, F.lit(bits)).alias("place"))
+    # No more rows than the map has words, which is bounded.
+    rows = rows.join(F.broadcast(words), F.floor(F.col("place") / 64) == F.col("word"), "left")
+    bit = F.call_function("shiftright", F.col("bits"), (F.col("place") % 64).cast("int"))
+    met = F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    first = of_root.select(F.col("first.text_hash").alias("hash"))
+    chosen = rows.filter(met).select("row", "hash").join(first, "hash", "left_semi").dropDuplicates(["hash"])
+    return rows.filter(~met).select("row", "hash").unionByName(chosen).select("row.*")
 
-    def dealt(among: bool):
-        def run(batches):
-            filled = sent.value
-            for batch in batches:
-                found = mapped(filled, batch.column("hash").to_numpy())
-                yield batch.filter(pa.array(found == among))
 
-        return rows.mapInArrow(run, rows.schema)
+MAP_BITS = 1 << 25  # at most: half a million words
 
-    first = of_root.select(F.col("first.text_hash").alias("hash"))
-    chosen = dealt(True).join(first, "hash", "left_semi").dropDuplicates(["hash"])
-    return dealt(False).unionByName(chosen).select("row.*")
+
+def _word_map(hashes: DataFrame) -> tuple[int, DataFrame]:
+    """A bit map of hashes: how many bits, and its words that are not 0 as (word, bits)."""
+    wanted = hashes.count()
+    bits = min(MAP_BITS, 1 << max(16, (16 * wanted).bit_length()))
+    place = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = hashes.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
+    return bits, written(words.groupBy("word").agg(F.bit_or("bit").alias("bits")), "simhash-map")
