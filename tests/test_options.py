@@ -19,7 +19,7 @@ SETTINGS = {
         "user": "robot",
         "password": "hidden-word",
         "database": "shop",
-        "tables-whitelist": ["Recipient_Domains", "tags"],
+        "tables-whitelist": ["Orders", "lineitem"],
         "tables-blacklist": [],
         "auto-parallelize": True,
         "megabytes-per-partition": 300,
@@ -84,16 +84,16 @@ def test_settings():
     env = {"GOOGLE_APPLICATION_CREDENTIALS": "/keys/k.json"}
     source, target, options = load_settings(json.dumps(SETTINGS), env)
     assert isinstance(source, JdbcSource) and source.database == "shop"
-    assert options.whitelist == {"recipient_domains", "tags"}
+    assert options.whitelist == {"orders", "lineitem"}
     assert options.bytes_per_split == 300 * MIB
     assert options.max_attempts == 3 and options.max_parallel_writers == 4
     assert options.overwrite_existing is False and options.create_if_absent is True
     assert isinstance(target, ConnectorTarget) and target.prefix == "pre_"
-    assert target.write_options("pre_tags") == {
+    assert target.write_options("pre_lineitem") == {
         "temporaryGcsBucket": "bucket",
         "parentProject": "proj",
         "credentialsFile": "/keys/k.json",
-        "table": "proj:data.pre_tags",
+        "table": "proj:data.pre_lineitem",
     }
 
 
