@@ -9,8 +9,8 @@ The index has one line per record, sorted by key: the host in reverse order of i
 labels, then the rest of the URL. A file of the index holds compressed blocks of lines
 and, at its end, a sparse directory with the first key of each block. A lookup finds the
 file by its first key, the block by binary search in the directory, the line by binary
-search in the block, and then reads the range of the archive that the line names. URLs that differ in
-the scheme, and all without one, share a key: the record's own URL decides.
+search in the block; tasks then read the ranges of the archives that the lines name. URLs that
+differ in the scheme, and all without one, share a key: the record's own URL decides.
 
 Files are written through Spark's text writer, one value per file, so they land in any
 store and only when their task commits; zero bytes after a gzip member are padding.
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ from snapsync.storage import Storage, workspace
 
 ARCHIVE_BYTES = 48 << 20
 BLOCK_LINES = 256
+# Blocks of an index file, whatever the size of the table.
+FILE_BLOCKS = 1024
+# Archive bytes of a task, bytes of one read, and the gap that a read goes over.
+TASK_BYTES, READ_BYTES, GAP_BYTES = 16 << 20, 4 << 20, 64 << 10
 LEVEL = 4
 DATE = "1970-01-01T00:00:00Z"  # the tables have no date of capture
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -301,18 +306,21 @@ def write_index(lines: DataFrame) -> str:
     ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
-        rows = []
+        task, made, rows, most = TaskContext.get().partitionId(), 0, [], FILE_BLOCKS * BLOCK_LINES
+
+        def whole(lines):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f"i{task:06d}-{made:06d}"]), pa.array([index_bytes(lines)], pa.binary())],
+                ["part", "value"],
+            )
+
         for batch in batches:
             rows += zip(*(batch.column(c).to_pylist() for c in ("key", "archive", "offset", "length")))
+            while len(rows) >= most:
+                yield whole(rows[:most])
+                made, rows = made + 1, rows[most:]
         if rows:
-            number = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([f"i{number:06d}"]),
-                    pa.array([index_bytes(rows)], pa.binary()),
-                ],
-                ["part", "value"],
-            )
+            yield whole(rows)
 
     folder = workspace(spark, "warc-index")
     files = ordered.mapInArrow(run, "part string, value binary")
@@ -402,12 +410,85 @@ RECORDS = (
 def records(spark: SparkSession, archives: str, lines: DataFrame, payload: bool = True) -> DataFrame:
     """The records that index lines name, each read as a range of its archive.
 
-    The payload of a response is held against its digest. ``payload=False`` leaves the
-    payload out of the result.
+    Lines travel to tasks of about ``TASK_BYTES`` of an archive, which read its ranges from
+    the store; ranges that lie close together are one read. A store that Arrow cannot open is
+    read by Spark, which brings the archives whole. The payload of a response is held against
+    its digest. ``payload=False`` leaves the payload out of the result.
     """
+    lines = lines.select("archive", "offset", "length")
+    found = (_in_ranges if _opens(archives) else _in_archives)(spark, archives, lines, payload)
+    return found if payload else found.drop("payload")
+
+
+def _rows(found: list[tuple]) -> pa.RecordBatch:
     names = [f.split()[0] for f in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-
+    columns = [*zip(*found)] or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for k, c in zip(kinds, columns)], names)
+
+
+def _opens(folder: str) -> bool:
+    """Whether Arrow has a file system for the folder's store."""
+    try:
+        fs.FileSystem.from_uri(_uri(folder))
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def _uri(path: str) -> str:
+    # Hadoop writes local paths with one slash, or with none of the scheme.
+    return re.sub(r"^(file:)?/+", "file:///", path)
+
+
+def close_together(ranges: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Ranges, sorted by offset, in groups that one read takes."""
+    group: list[tuple[int, int]] = []
+    for offset, length in ranges:
+        if group:
+            end = group[-1][0] + group[-1][1]
+            if offset - end > GAP_BYTES or offset + length - group[0][0] > READ_BYTES:
+                yield group
+                group = []
+        group.append((offset, length))
+    if group:
+        yield group
+
+
+def _in_ranges(spark: SparkSession, archives: str, lines: DataFrame, payload: bool) -> DataFrame:
+    storage = Storage(spark, archives)
+    if not any("=" in name for name in storage.child_names()):
+        return spark.createDataFrame([], RECORDS)
+    listed = spark.read.format("binaryFile").load(archives)
+    paths = listed.select(F.col("archive").cast("string").alias("archive"), "path")
+    # A given number of tasks is kept, though lines are few bytes beside what they name.
+    n_tasks = storage.size() // TASK_BYTES + 1
+    near = F.floor(F.col("offset") / TASK_BYTES)
+    dealt = lines.join(paths, "archive").repartition(n_tasks, F.col("path"), near)
+
+    def fetch(batches):
+        for batch in batches:
+            asked: dict[str, list[tuple[int, int]]] = {}
+            for path, *place in zip(*(batch.column(c).to_pylist() for c in ("path", "offset", "length"))):
+                asked.setdefault(path, []).append(tuple(place))
+            for path, ranges in asked.items():
+                store, name = fs.FileSystem.from_uri(_uri(path))
+                with store.open_input_file(name) as file:
+                    for group in close_together(sorted(ranges)):
+                        start = group[0][0]
+                        data = memoryview(file.read_at(group[-1][0] + group[-1][1] - start, start))
+                        yield _rows(
+                            [
+                                _row(*parsed(zlib.decompress(data[at - start : at - start + n], 31)), payload)
+                                for at, n in group
+                            ]
+                        )
+
+    dealt = dealt.sortWithinPartitions("path", "offset").select("path", "offset", "length")
+    return dealt.mapInArrow(fetch, RECORDS)
+
+
+def _in_archives(spark: SparkSession, archives: str, lines: DataFrame, payload: bool) -> DataFrame:
     def fetch(key, wanted, file):
         rows = []
         if wanted.num_rows and file.num_rows:
@@ -417,17 +498,12 @@ def records(spark: SparkSession, archives: str, lines: DataFrame, payload: bool
             ):
                 headers, body = parsed(zlib.decompress(content[offset : offset + length], 31))
                 rows.append(_row(headers, body, payload))
-        columns = [*zip(*rows)] or [[]] * len(names)
-        return pa.table({n: pa.array(c, k) for n, k, c in zip(names, kinds, columns)})
+        return pa.Table.from_batches([_rows(rows)])
 
     files = _files(spark, archives, "archive")
-    found = (
-        lines.select("archive", "offset", "length")
-        .groupBy("archive")
-        .cogroup(files.groupBy("archive"))
-        .applyInArrow(fetch, RECORDS)
+    return (
+        lines.groupBy("archive").cogroup(files.groupBy("archive")).applyInArrow(fetch, RECORDS)
     )
-    return found if payload else found.drop("payload")
 
 
 def captures(

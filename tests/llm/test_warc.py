@@ -136,3 +136,45 @@ def test_lines_with_one_key_and_no_page_fill_several_files(spark):
     assert len(warc.firsts(spark, index)) > 4
     lines = warc.lookup(spark, index, spark.createDataFrame([(None,)], "url string"))
     assert sorted(r.offset for r in lines.collect()) == [*range(20_000)]
+
+
+def test_ranges_of_archives_without_their_contents(spark, written, monkeypatch):
+    archives, index = written
+    found = warc.records(spark, archives, warc.entries(spark, index))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan
+    rows = sorted(map(str, found.collect()))
+    # A store that Arrow does not open; then many tasks.
+    monkeypatch.setattr(warc, "_opens", lambda folder: False)
+    assert sorted(map(str, warc.records(spark, archives, warc.entries(spark, index)).collect())) == rows
+    monkeypatch.undo()
+    monkeypatch.setattr(warc, "TASK_BYTES", 512)
+    assert sorted(map(str, warc.records(spark, archives, warc.entries(spark, index)).collect())) == rows
+
+
+def test_reads_of_close_ranges(monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 100)
+    monkeypatch.setattr(warc, "GAP_BYTES", 5)
+    ranges = [(0, 10), (10, 10), (25, 10), (41, 50), (91, 40), (131, 300), (431, 1)]
+    groups = [*warc.close_together(ranges)]
+    assert [len(g) for g in groups] == [3, 2, 1, 1] and [r for g in groups for r in g] == ranges
+    assert [*warc.close_together([])] == []
+
+
+def test_stores():
+    assert warc._uri("file:/a/b") == warc._uri("/a/b") == warc._uri("file:///a/b") == "file:///a/b"
+    assert warc._uri("viewfs://in/x") == "viewfs://in/x"
+    assert warc._opens("/tmp") and not warc._opens("viewfs://in/x")
+
+
+def test_index_files_are_closed_every_so_many_blocks(spark, written, monkeypatch):
+    archives, index = written
+    monkeypatch.setattr(warc, "BLOCK_LINES", 1)
+    monkeypatch.setattr(warc, "FILE_BLOCKS", 1)
+    index = warc.write_index(warc.lines_of(spark, archives).coalesce(1))
+    assert len(warc.firsts(spark, index)) == len(ROWS)
+    for page, url in ((6, "http://a.org/"), (5, "no scheme")):
+        assert page in [r[0] for r in warc.read_url(spark, archives, index, url)]
+    urls = spark.createDataFrame([(u,) for _, u, _ in ROWS], "url string")
+    found = warc.captures(spark, archives, index, urls)
+    assert sorted(str(r.page_id) for r in found.collect()) == sorted(str(r[0]) for r in ROWS)
