@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapsync.llm.common import expand, slices, texts
+from snapsync.llm.common import expand, slices, texts, written
 from snapsync.storage import Storage, workspace
 
 # Of text in a share, on average; of token ids in a shard, at most.
@@ -49,6 +49,8 @@ SHARD_BYTES = 16 << 20
 DOC_BYTES = 256  # What a document costs besides
 POINTS, HOT_POINTS = 128, 16  # of the sample, for each share
 KEY_BYTES = 4096  # of token ids, by which the rows of one id are cut
+# The most points that the driver gets (8 bytes), and of hot ids (KEY_BYTES): 64 MB each.
+MOST_POINTS, MOST_HOT_POINTS = 1 << 23, 1 << 14
 PIECES = 1 << 24  # shards of a share
 CACHE_WORDS = 500_000
 # Words that are encoded as one text.
@@ -401,7 +403,7 @@ FILES = ", ".join(
 )
 
 
-def _sampled(rows: DataFrame, step: int, path: str | None = None, end: int = 0) -> pa.Table:
+def _sampled(rows: DataFrame, step: int, path: str | None = None, end: int = 0) -> DataFrame:
     """``doc_id`` at each ``step`` bytes of the rows; with a tokenizer, their first token ids.
 
     A long document is there once for each step that it fills.
@@ -428,15 +430,38 @@ def _sampled(rows: DataFrame, step: int, path: str | None = None, end: int = 0)
 
     size = F.octet_length("text").alias("size")
     if path:
-        return rows.select("doc_id", size, "text").mapInArrow(run, "doc_id long, key binary").toArrow()
-    return rows.select("doc_id", size).mapInArrow(run, "doc_id long").toArrow()
+        return rows.select("doc_id", size, "text").mapInArrow(run, "doc_id long, key binary")
+    return rows.select("doc_id", size).mapInArrow(run, "doc_id long")
+
+
+def _thinned(points: DataFrame, most: int) -> pa.Table:
+    """The points, or every k-th of them in their order, such that about ``most`` are left.
+
+    They are sorted by Spark; the driver gets no more, whatever the table's size. Bounds are
+    cut from fewer points then, and shares grow instead of their number.
+    """
+    points = written(points, "token-points")
+    every = -(-points.count() // most)
+    if every <= 1:
+        return points.toArrow()
+
+    def run(batches):
+        passed = every // 2
+        for batch in batches:
+            at = np.arange(batch.num_rows) + passed
+            yield batch.take(pa.array(np.flatnonzero(at % every == every - 1)))
+            passed += batch.num_rows
+
+    order = points.columns
+    ordered = points.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.mapInArrow(run, points.schema).toArrow()
 
 
 class Shares:
     """Bounds of the shares of (doc_id, token ids), NULLs first."""
 
     def __init__(self, rows: DataFrame, path: str, end: int):
-        points = _sampled(rows, max(SHARD_BYTES // POINTS, 1)).column("doc_id")
+        points = _thinned(_sampled(rows, max(SHARD_BYTES // POINTS, 1)), MOST_POINTS).column("doc_id")
         n = len(points) // POINTS + 1
         nulls = points.null_count
         ids = np.sort(points.drop_null().to_numpy())
@@ -454,6 +479,7 @@ class Shares:
         if self.nulls > 1:
             hot = F.col("doc_id").isNull() | hot
         keys = _sampled(rows.filter(hot), max(SHARD_BYTES // HOT_POINTS, 1), path, end)
+        keys = _thinned(keys, MOST_HOT_POINTS)
         grouped = {d: [] for d in several}
         for d, key in zip(*(keys.column(c).to_pylist() for c in ("doc_id", "key"))):
             grouped[d].append(key)

@@ -126,3 +126,27 @@ def test_one_id_fills_several_bounded_shards(spark, monkeypatch, library):
     first = min(([*library.encode(t).ids, 2] for d, t in rows if d == 7), key=lambda i: np.array(i, "<u2").tobytes())
     assert found[7] == first
     assert found.keys() == {7, 8, 59, -(1 << 63)}
+
+
+def test_points_of_the_driver_are_bounded(spark, monkeypatch, library):
+    rows = [(i % 700, f"text {i} " * 20) for i in range(2000)] + [(None, f"null {i} " * 20) for i in range(1000)]
+    rows += [(5, f"five {i} " * 20) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(tf, "SHARD_BYTES", 4_000)
+    many = tf._thinned(tf._sampled(df, 100), 1 << 30)
+    few = tf._thinned(tf._sampled(df, 100), 300)
+    assert 200 < len(few) < 400 < len(many)
+    share = few.column("doc_id").null_count / len(few)
+    assert abs(share - many.column("doc_id").null_count / len(many)) < 0.05
+    counts = []
+    for most, hot in ((1 << 23, 1 << 14), (tf.POINTS * 10, 40)):
+        monkeypatch.setattr(tf, "MOST_POINTS", most)
+        monkeypatch.setattr(tf, "MOST_HOT_POINTS", hot)
+        folder = tf.write(df, PATH, 2)
+        got = sorted(map(tuple, tf.read(spark, folder).collect()), key=lambda r: r[1])
+        assert got == expected(rows, library)
+        shards = tf.manifest(spark, folder).collect()
+        assert all(s.docs == 1 or 2 * s.tokens + tf.DOC_BYTES * s.docs <= 4_000 for s in shards)
+        counts.append(len({s.shard // tf.PIECES for s in shards}))
+    # Fewer and larger shares, of shards as large as before.
+    assert counts[1] <= 11 < counts[0]
