@@ -215,7 +215,7 @@ def _jdbc_row(opened, table, n_splits):
 
 def jdbc_catalog_keys(spark, sf_dir):
     opened = _jdbc(spark, sf_dir, "conversations")
-    rows = catalog.tables(opened).select("table_name", "table_rows")
+    rows = catalog.tables(opened, "counted").select("table_name", "table_rows")
     keys = catalog.keys(opened).filter("table_name = 'conversations'")
     return keys.join(rows, "table_name").select(
         "table_name", F.array_join("primary_key", ",").alias("primary_key"), "table_rows"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import re
 from collections.abc import Callable, Mapping, Sequence
@@ -9,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,41 @@ HASH_FUNCTIONS = {
     "jdbc:oracle:": ("ORA_HASH({})", " || '|' || "),
     "jdbc:sqlserver:": ("ABS(CAST(BINARY_CHECKSUM({}) AS BIGINT))", ", "),
 }
+# What databases know of their tables without reading them: name, rows (NULL or
+# negative where unknown), bytes of the table, bytes of its indexes. ``{}`` is the schema.
+STATISTICS = {
+    "jdbc:postgresql:": (
+        "SELECT c.relname AS name, CAST(c.reltuples AS BIGINT) AS n, pg_table_size(c.oid) AS b,"
+        " pg_indexes_size(c.oid) AS i FROM pg_class c JOIN pg_namespace s ON s.oid = c.relnamespace"
+        " WHERE c.relkind = 'r' AND s.nspname = {}"
+    ),
+    "jdbc:sqlserver:": (
+        "SELECT t.name AS name, SUM(CASE WHEN p.index_id < 2 THEN p.row_count ELSE 0 END) AS n,"
+        " SUM(CASE WHEN p.index_id < 2 THEN p.used_page_count ELSE 0 END) * 8192 AS b,"
+        " SUM(CASE WHEN p.index_id < 2 THEN 0 ELSE p.used_page_count END) * 8192 AS i"
+        " FROM sys.tables t JOIN sys.schemas s ON s.schema_id = t.schema_id"
+        " JOIN sys.dm_db_partition_stats p ON p.object_id = t.object_id"
+        " WHERE s.name = {} GROUP BY t.name"
+    ),
+    "jdbc:oracle:": (
+        "SELECT table_name AS name, num_rows AS n, num_rows * avg_row_len AS b, 0 AS i"
+        " FROM all_tables WHERE owner = {}"
+    ),
+    "jdbc:db2:": (
+        "SELECT tabname AS name, card AS n, CASE WHEN card >= 0 THEN card * avgrowsize END AS b,"
+        " 0 AS i FROM syscat.tables WHERE type = 'T' AND tabschema = {}"
+    ),
+    "jdbc:derby:": (
+        "SELECT t.tablename AS name, CAST(NULL AS BIGINT) AS n,"
+        " SUM(CASE WHEN p.isindex = 0 THEN p.numallocatedpages * p.pagesize ELSE 0 END) AS b,"
+        " SUM(CASE WHEN p.isindex = 0 THEN 0 ELSE p.numallocatedpages * p.pagesize END) AS i"
+        " FROM sys.systables t JOIN sys.sysschemas s ON s.schemaid = t.schemaid,"
+        " TABLE (SYSCS_DIAG.SPACE_TABLE()) p"
+        " WHERE p.tableid = t.tableid AND s.schemaname = {} GROUP BY t.tablename"
+    ),
+}
+V2_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
+
 # Types, in lower case, that databases do not concatenate or compare.
 LONG_TYPES = frozenset(
     "blob clob nclob long bfile xmltype xml tinyblob mediumblob longblob text ntext image"
@@ -170,9 +206,18 @@ class OpenedJdbc(base.Opened):
     def tables(
         self, sizes: str = "stored", wanted: Callable[[str], bool] | None = None
     ) -> DataFrame:
-        """Catalog figures; the row counts may be estimates. Views have no size."""
+        """Catalog figures; the row counts may be estimates. Views have no size.
+
+        Without an information schema, ``stored`` are the database's own statistics, which cost
+        no look at the data; ``counted`` has exact row counts with them. What has no statistics,
+        and all tables with ``logical``, is counted and measured by a query for each table.
+        """
         if self.source.catalog_kind == "metadata":
-            return self._metadata_tables(wanted or (lambda name: True))
+            wanted = wanted or (lambda name: True)
+            known = {} if sizes == "logical" else self._statistics()
+            if not known:
+                return self._metadata_tables(wanted)
+            return self._known_tables(known, wanted, sizes == "counted")
         return self._information_schema("tables", base.TABLES, " AND data_length IS NOT NULL")
 
     def columns(self) -> DataFrame:
@@ -260,12 +305,58 @@ class OpenedJdbc(base.Opened):
                 return function.format(quoted_column)
         return f"OCTET_LENGTH({quoted_column})"
 
-    def _metadata_tables(self, wanted: Callable[[str], bool]) -> DataFrame:
+    def _statistics(self) -> dict[str, tuple[int | None, int, int]]:
+        """Rows (NULL: unknown), bytes and index bytes by table; empty if there are none."""
+        for start, sql in STATISTICS.items():
+            if self.source.url.startswith(start):
+                try:
+                    found = self.query(sql.format(sql_string(self.database))).toDF("name", "n", "b", "i")
+                    return {
+                        r.name: (None if r.n is None or r.n < 0 else int(r.n), int(r.b), int(r.i or 0))
+                        for r in found.collect()
+                        if r.b is not None
+                    }
+                except Exception as e:
+                    log.warning("no statistics of %s: %s", self.database, type(e).__name__)
+        return {}
+
+    def _known_tables(
+        self, known: Mapping[str, tuple], wanted: Callable[[str], bool], counted: bool
+    ) -> DataFrame:
+        names = self._metadata_names()
+
+        def rows_of(name: str) -> int | None:
+            if not wanted(name):
+                return known[name][0]
+            try:
+                if counted:
+                    return self.row_count(name)
+                # Unknown is not empty; whether a table has a row is cheap to tell.
+                n = known[name][0]
+                return 0 if n is None and self.read(name).isEmpty() else n
+            except Exception as e:
+                log.warning("no look into %s: %s", name, type(e).__name__)
+                return None
+
+        there = [n for n in names if n in known]
+        counts = base.at_once(rows_of, there)
+        rows = [(self.database, name, n, *known[name][1:]) for name, n in zip(there, counts)]
+        found = base.local_frame(self.spark, rows, base.TABLES)
+        missing = set(names) - set(there)
+        if not missing:
+            return found
+        return found.unionByName(self._metadata_tables(wanted, missing))
+
+    def _metadata_tables(
+        self, wanted: Callable[[str], bool], names: set[str] | None = None
+    ) -> DataFrame:
         # The driver knows no sizes: the database counts, one query per table.
         fixed: dict[str, int] = {}
         longer: dict[str, list[str]] = {}
         for r in self._metadata_column_rows():
             name, code = r["TABLE_NAME"], int(r["DATA_TYPE"])
+            if names is not None and name not in names:
+                continue
             fixed.setdefault(name, 0)
             if code in FIXED_WIDTHS:
                 fixed[name] += FIXED_WIDTHS[code]
@@ -320,6 +411,37 @@ class OpenedJdbc(base.Opened):
 
     # Scans ---------------------------------------------------------------
 
+    @cached_property
+    def _catalog(self) -> str:
+        """The name of a catalog of Spark for this database, which pushes aggregates down."""
+        options = self.source.reader_options()
+        name = "snapsync_" + hashlib.sha256(repr(sorted(options.items())).encode()).hexdigest()[:16]
+        setting = f"spark.sql.catalog.{name}"
+        for key, value in options.items():
+            self.spark.conf.set(f"{setting}.{key}", value)
+        self.spark.conf.set(setting, V2_CATALOG)
+        return name
+
+    def table(self, name: str) -> DataFrame:
+        """The table through Spark's catalog interface."""
+        return self.spark.table(".".join(quoted(p) for p in (self._catalog, self.database, name)))
+
+    def aggregated(self, name: str, *columns: Column) -> DataFrame | None:
+        """Aggregates of the whole table, by the database.
+
+        None if Spark would have to fetch the rows for it, as with databases that it does
+        not know the functions of.
+        """
+        df = self.table(name).agg(*columns)
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return df if "PushedAggregates: [" in plan and "Aggregate(" not in plan else None
+
+    def row_count(self, name: str) -> int:
+        df = self.aggregated(name, F.count("*").alias("n"))
+        if df is None:
+            df = self.query(f"SELECT COUNT(*) AS n FROM {self.qualified(name)}").toDF("n")
+        return int(df.first().n)
+
     def read(self, name: str) -> DataFrame:
         return self._reader().option("dbtable", self.qualified(name)).load()
 
@@ -455,13 +577,18 @@ class OpenedJdbc(base.Opened):
 
     def append_stats(self, name: str, key: str) -> DataFrame:
         # A primary key has no NULLs, and its greatest value is at the end of the index.
-        stats = self.query(
-            f"SELECT MAX({self.quote(key)}) AS max_key FROM {self.qualified(name)}"
-        ).toDF("max_key")
+        stats = self.aggregated(name, F.max(quoted(key)).alias("max_key"))
+        if stats is None:
+            stats = self.query(
+                f"SELECT MAX({self.quote(key)}) AS max_key FROM {self.qualified(name)}"
+            ).toDF("max_key")
         return stats.select(
             F.col("max_key").cast("decimal(38,0)").alias("max_key"),
             F.lit(0).cast("long").alias("null_keys"),
         )
 
     def probe_empty_estimates(self) -> bool:
-        return self.source.catalog_kind == "information_schema"
+        # Statistics may be as old.
+        return self.source.catalog_kind == "information_schema" or any(
+            map(self.source.url.startswith, STATISTICS)
+        )

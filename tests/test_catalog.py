@@ -501,3 +501,80 @@ def test_composite_keys_of_tables(spark):
     found = [(r.table_name, tuple(r.key)) for r in catalog.composite_keys(frames).collect()]
     assert found[0] == ("conversations", ("conv_id", "turn"))
     assert {t for t, _ in found} == {"conversations"}
+
+
+@pytest.fixture(scope="module")
+def sized(spark):
+    """Tables of skewed widths, without rows, and with a name in two cases."""
+    name = "sized"
+    embedded_db.execute(
+        spark,
+        name,
+        'CREATE TABLE APP."skewed"("id" BIGINT NOT NULL PRIMARY KEY, "note" CLOB)',
+        'CREATE TABLE APP."hollow"("id" INT)',
+        'CREATE TABLE APP."Hollow"("id" INT)',
+        "CREATE SCHEMA OTHER",
+        'CREATE TABLE OTHER."skewed"("id" INT)',
+        'INSERT INTO APP."Hollow" VALUES 1',
+    )
+    # One row in twenty is 200 times as long as the others. One writer fills the pages.
+    df = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("x"), F.when(F.expr("id % 20 = 3"), 4000).otherwise(20).cast("int")).alias("note"))
+    df.write.format("jdbc").mode("append").options(
+        url=f"jdbc:derby:memory:{name}", dbtable='APP."skewed"', driver=embedded_db.source(name).driver,
+    ).save()
+    return embedded_db.source(name).open(spark)
+
+
+def test_sizes_without_a_look_at_the_data(sized, monkeypatch):
+    measured = {r.table_name: r for r in catalog.tables(sized, "logical").collect()}
+    asked, query = [], sized.query
+    monkeypatch.setattr(sized, "query", lambda sql: asked.append(sql) or query(sql))
+    monkeypatch.setattr(sized, "_measured", None)
+    stored = {r.table_name: r for r in catalog.tables(sized).collect()}
+    (sql,) = asked
+    assert "note" not in sql and "skewed" not in sql
+    assert {n: r.table_rows for n, r in stored.items()} == {"skewed": None, "hollow": 0, "Hollow": None}
+    # Pages have the heads of rows (mostly of 28 bytes here) besides the values.
+    true = measured["skewed"].data_length
+    assert true <= stored["skewed"].data_length <= 1.25 * true and stored["skewed"].index_length > 0
+    counted = {r.table_name: r.table_rows for r in catalog.tables(sized, "counted").collect()}
+    assert counted == {"skewed": 4000, "hollow": 0, "Hollow": 1} and len(asked) == 2
+
+
+def test_tables_without_statistics_are_measured(spark, sized, monkeypatch):
+    known = sized._statistics()
+    measured = {r.table_name: r.data_length for r in catalog.tables(sized, "logical").collect()}
+    monkeypatch.setattr(sized, "_statistics", lambda: {n: v for n, v in known.items() if n != "skewed"})
+    found = {r.table_name: (r.table_rows, r.data_length) for r in catalog.tables(sized).collect()}
+    assert found["skewed"] == (4000, measured["skewed"]) and found["hollow"] == (0, known["hollow"][1])
+    monkeypatch.undo()
+
+    def denied(sql):
+        raise PermissionError
+
+    monkeypatch.setattr(sized, "query", denied)
+    assert sized._statistics() == {}
+
+
+def test_statistics_that_were_never_made(spark, monkeypatch):
+    opened = JdbcSource("jdbc:postgresql://h/d", "public").open(spark)
+    found = "values ('old', -1L, 8192L, 0L), ('new', 7L, 99L, 5L), ('none', NULL, NULL, NULL)"
+    asked = []
+    monkeypatch.setattr(opened, "query", lambda sql: asked.append(sql) or spark.sql(found))
+    assert opened._statistics() == {"old": (None, 8192, 0), "new": (7, 99, 5)}
+    assert "s.nspname = 'public'" in asked[0] and opened.probe_empty_estimates()
+    # A database that is not known has none.
+    other = JdbcSource("jdbc:h2:mem:x", "public").open(spark)
+    assert other._statistics() == {} and not other.probe_empty_estimates()
+
+
+def test_aggregates_by_the_catalog_interface(spark, sized):
+    df = sized.aggregated("skewed", F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("z"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregates: [COUNT(*), MIN(id), MAX(id)]" in plan and "HashAggregate" not in plan
+    low = sized.key_stats("skewed", "id").first()
+    assert tuple(df.first()) == (4000, low.min_key, low.max_key) == (4000, 0, 3999)
+    assert tuple(sized.append_stats("skewed", "id").first()) == (3999, 0)
+    # What the database does not compute is not fetched for it.
+    assert sized.aggregated("skewed", F.approx_count_distinct("id")) is None
+    assert sized.row_count("Hollow") == 1 and sized.row_count("hollow") == 0
