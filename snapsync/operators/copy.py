@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from snapsync.functions.names import quoted
 from snapsync.operators import sink
 from snapsync.operators.reconcile import reconciled
-from snapsync.operators.schema import conform
-from snapsync.options import CopyOptions, FileTarget, Target
+from snapsync.operators.schema import conform, required
+from snapsync.options import ConnectorTarget, CopyOptions, FileTarget, Target
 from snapsync.plans.plan import plan_tables
 from snapsync.plans.select import chosen_tables
 from snapsync.sources.base import Opened, at_once, local_frame
@@ -68,6 +68,9 @@ def copy_snapshot(
     df = read_table(opened, row, options)
     if declared is not None:
         df = conform(df, declared)
+        if isinstance(target, ConnectorTarget):
+            # The connector makes the table from the schema of the rows.
+            df = required(df, declared)
     log.info("writing %s: %s", row["target_name"], df.schema.simpleString())
     return sink.write_snapshot(
         df,
@@ -142,6 +145,8 @@ def copy_delta(
     df = read_table(opened, row, options)
     if declared is not None:
         df = conform(df, declared)
+        if isinstance(target, ConnectorTarget):
+            df = required(df, declared)
     marker = _marker_of(df.schema, options)
     # Keys are compared by their values; those of the declared schema may be renamed in case.
     names = {c.lower(): c for c in df.columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 from collections.abc import Callable, Mapping
 from typing import Any
@@ -273,6 +274,34 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(_columns(df.schema, schema, lambda n: F.col(quoted(n))))
 
 
+def _filler(data_type: T.DataType) -> Column:
+    """Some value of a type that is not NULL, and that Spark knows not to be."""
+    if isinstance(data_type, T.StructType):
+        return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in data_type.fields])
+    if isinstance(data_type, T.ArrayType):
+        return F.array().cast(data_type)
+    if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(datetime.datetime(1970, 1, 1)).cast(data_type)
+    text = isinstance(data_type, (T.StringType, T.BinaryType))
+    return F.lit("" if text else 0).cast(data_type)
+
+
+def required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Conforming rows, with REQUIRED columns as such that Spark knows to have no NULL.
+
+    Writers make the columns of other systems from that, and from the descriptions that
+    ``conform`` leaves with the columns. The NULLs have been refused: no value is replaced.
+    """
+    return df.select(
+        [
+            F.col(quoted(f.name))
+            if f.nullable
+            else F.coalesce(F.col(quoted(f.name)), _filler(f.dataType)).alias(f.name, metadata=f.metadata)
+            for f in schema.fields
+        ]
+    )
+
+
 # Rows that do not conform ------------------------------------------------
 
 

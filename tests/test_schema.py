@@ -2,12 +2,14 @@ import datetime
 import json
 from decimal import Decimal
 
+import embedded_db
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapsync import copy_all
 from snapsync.functions.names import qualified_name, target_name
 from snapsync.functions.text import render_fixed_width
 from snapsync.operators import sink
@@ -15,10 +17,12 @@ from snapsync.operators.schema import (
     conform,
     conform_or_tell,
     load_schema,
+    required,
     target_fields,
     target_schema,
 )
-from snapsync.options import FileTarget
+from snapsync.options import ConnectorTarget, CopyOptions, FileTarget
+from snapsync.sources.files import FileSource
 
 ALL_TYPES = (
     "b boolean, i1 tinyint, i2 smallint, i4 int, i8 bigint, f float, d double, s string,"
@@ -363,3 +367,35 @@ def test_a_failed_quarantine_publishes_nothing(spark, tmp_path):
     sink.write_snapshot(df, target, "t")
     with pytest.raises(FileNotFoundError, match="no ledger"):
         sink.read_ledger(spark, target, "t")
+
+
+def test_required_columns_reach_the_connector(spark, write_tables):
+    kinds = ["BOOL", "INT64", "FLOAT64", "NUMERIC", "STRING", "BYTES", "DATE", "DATETIME", "TIMESTAMP"]
+    entries = [{"name": f"c{i}", "type": k, "mode": "REQUIRED", "description": k} for i, k in enumerate(kinds)]
+    entries += [{"name": "r", "type": "RECORD", "mode": "REQUIRED", "fields": [{"name": "x", "type": "INT64"}]}]
+    entries += [{"name": "n", "type": "INT64"}]
+    schema = load_schema(json.dumps(entries))
+    values = "true, 1, 0.5D, 2.5, 'x', X'00', DATE'2024-01-02', TIMESTAMP_NTZ'2024-01-02 03:04:05', TIMESTAMP'2024-01-02 03:04:05Z'"
+    columns = [f"c{i}" for i in range(len(kinds))] + ["r", "n"]
+    df = spark.sql(f"SELECT {values}, named_struct('x', 7), 3").toDF(*columns)
+    fitted = required(conform(df, schema), schema)
+    assert [f.nullable for f in fitted.schema.fields] == [False] * 10 + [True]
+    assert [f.dataType for f in fitted.schema.fields] == [f.dataType for f in schema.fields]
+    assert fitted.schema["c1"].metadata == {"description": "INT64"}
+    assert fitted.collect() == conform(df, schema).collect()
+    for name in columns[:-1]:
+        lost = df.withColumn(name, F.lit(None).cast(df.schema[name].dataType))
+        with pytest.raises(PySparkException, match=f"{name}: required value is NULL"):
+            required(conform(lost, schema), schema).collect()
+
+    embedded_db.execute(spark, "requireddb", 'CREATE TABLE APP."seen"("id" INT)')
+    source = embedded_db.source("requireddb")
+    target = ConnectorTarget(
+        dataset="APP", format="jdbc", options={"url": source.url, "dbtable": "{table}", "driver": source.driver}
+    )
+    path = write_tables(T=df.select("c1", "c4", "n"))
+    declared = load_schema(json.dumps([entries[1], entries[4], entries[-1]]))
+    report = copy_all(spark, FileSource(path), target, CopyOptions(), declared={"T": declared})
+    assert [r.status for r in report.collect()] == ["ok"]
+    made = {r["COLUMN_NAME"].lower(): r["IS_NULLABLE"] for r in source.open(spark)._metadata_column_rows() if r["TABLE_NAME"] == "T"}
+    assert made == {"c1": "NO", "c4": "NO", "n": "YES"}
