@@ -59,18 +59,26 @@ def tier(parts: Sequence[tuple[str, Manifest]], fan: int) -> list[str]:
 def in_ranges(key: str, ranges: Sequence[Range]) -> Column:
     """Whether a row's key is in one of the ranges; never NULL."""
     k = F.col(quoted(key))
-    found = F.lit(False)
-    for low, high in ranges:
-        inside = F.lit(True)
+
+    def inside(low: int | None, high: int | None) -> Column:
+        found = F.lit(True)
         if low is not None:
-            inside = inside & (k >= low)
+            found = found & (k >= low)
         if high is not None:
-            inside = inside & (k <= high)
-        found = found | (F.coalesce(inside, F.lit(False)) if low is not None else inside | k.isNull())
-    return F.coalesce(found, F.lit(False))
+            found = found & (k <= high)
+        return F.coalesce(found, F.lit(False)) if low is not None else found | k.isNull()
+
+    def either(first: int, last: int) -> Column:
+        # By halves: Spark goes down into a predicate as deep as it is nested.
+        if last - first == 1:
+            return inside(*ranges[first])
+        middle = (first + last) // 2
+        return either(first, middle) | either(middle, last)
+
+    return F.coalesce(either(0, len(ranges)) if ranges else F.lit(False), F.lit(False))
 
 
-def _free_name(schema: T.StructType, name: str) -> str:
+def free_name(schema: T.StructType, name: str) -> str:
     taken = {c.lower() for c in schema.fieldNames()}
     while name in taken:
         name += "_"
@@ -96,7 +104,7 @@ def rows_of(
         if not groups or deltas[i] or groups[-1][0] != later:
             groups.append((later, []))
         groups[-1][1].append(i)
-    place = _free_name(schema, "place")
+    place = free_name(schema, "place")
     frames = []
     for later, members in groups:
         df = read([parts[i][0] for i in members])
@@ -108,7 +116,7 @@ def rows_of(
     if not any(deltas):
         return union_all(frames).drop(place)
     keys = next(m["keys"] for (_, m), d in zip(parts, deltas) if d)
-    newest = _free_name(schema, "newest")
+    newest = free_name(schema, "newest")
     changed = union_all(
         read([parts[i][0]]).select(*map(quoted, keys)).withColumn(newest, F.lit(i))
         for i in range(len(parts))

@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 
 from snapsync.functions.checksums import DIGEST, digest
 from snapsync.functions.names import quoted
-from snapsync.operators.parts import Range, in_ranges
+from snapsync.operators.parts import Range, free_name, in_ranges
 
 log = logging.getLogger(__name__)
 
 FAN = 64  # ranges that the whole, and then each differing one, is cut into
 LEAF_ROWS = 10_000  # a range of so many rows is copied rather than cut again
 MOST = 256  # ranges that are filtered by: the nearest ones are joined beyond it
+# Ranges that are cut again in a round, so that FAN times as many digests reach the driver. Were
+# there more, those joined to MOST would hold nearly all that is between: they are copied uncut.
+OPEN = 16 * MOST
 
 
 def cut(low: int, high: int, n: int) -> list[tuple[int, int]]:
@@ -38,26 +41,17 @@ def cut(low: int, high: int, n: int) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(starts, starts[1:])]
 
 
-def _number(key: str, ranges: Sequence[Range]) -> Column:
-    """The number of the range that a row is in; ranges are in order and without gaps inside.
+def _start(key: str, low: int, width: int, kind: str) -> Column:
+    """The least key of the range that a row is in, of ranges of one width from ``low`` on."""
+    k = F.col(quoted(key)).cast(kind)
+    return k - (k - F.lit(str(low)).cast(kind)) % F.lit(str(width)).cast(kind)
 
-    A search by halves, so that a row is compared with few bounds however many there are.
-    """
-    k = F.col(quoted(key))
-
-    def find(first: int, last: int) -> Column:
-        if first == last:
-            return F.lit(first)
-        middle = (first + last + 1) // 2
-        return F.when(k >= ranges[middle][0], find(middle, last)).otherwise(find(first, middle - 1))
-
-    return find(0, len(ranges) - 1)
 
-
-def digests(df: DataFrame, key: str, ranges: Sequence[Range]) -> dict[int, tuple[int, ...]]:
-    """The digest of each range that has rows, by the range's number."""
-    rows = df.filter(in_ranges(key, ranges)).groupBy(_number(key, ranges).alias("range"))
-    return {r["range"]: tuple(r[c] for c in DIGEST) for r in rows.agg(*digest(df.schema)).collect()}
+def digests(df: DataFrame, key: str, start: Column) -> dict[int | None, tuple[int, ...]]:
+    """The digest of each range that has rows, by its least key; that of NULL keys by None."""
+    rows = df.groupBy(start.alias("start")).agg(*digest(df.schema)).collect()
+    number = lambda k: None if k is None else int(k)
+    return {number(r["start"]): tuple(r[c] for c in DIGEST) for r in rows}
 
 
 def fewer(ranges: Sequence[Range], most: int = MOST) -> list[Range]:
@@ -81,10 +75,23 @@ def fewer(ranges: Sequence[Range], most: int = MOST) -> list[Range]:
     return [tuple(r) for r in found]
 
 
+def _within(df: DataFrame, key: str, ranges: Sequence[Range], start: Column) -> DataFrame:
+    """The rows whose range, which begins at ``start``, is one of ``ranges``."""
+    near = fewer(ranges, max(len(ranges), 1))
+    rows = df.filter(in_ranges(key, fewer(near)))
+    if len(near) <= MOST:
+        return rows
+    name = free_name(df.schema, "start")
+    starts = df.sparkSession.createDataFrame([(str(a),) for a, _ in ranges], f"{name} string")
+    return rows.join(F.broadcast(starts), start.cast("string") == F.col(name), "left_semi")
+
+
 def differing(source: DataFrame, target: DataFrame, key: str, leaf_rows: int = LEAF_ROWS) -> list[Range]:
     """The ranges of the integral ``key`` in which the rows of both sides are not the same.
 
-    NULL keys are in a range without a least key. Both sides have the same columns.
+    NULL keys are in a range without a least key. Both sides have the same columns. The
+    ranges of a round have one width, a power of two, so that a row's is found by its key
+    alone, however many there are.
     """
     k = F.col(quoted(key))
     span = [F.min(k).cast("decimal(38,0)").alias("low"), F.max(k).cast("decimal(38,0)").alias("high")]
@@ -92,22 +99,35 @@ def differing(source: DataFrame, target: DataFrame, key: str, leaf_rows: int = L
     lows, highs = [int(s.low) for s in spans if s.low is not None], [int(s.high) for s in spans if s.low is not None]
     found: list[Range] = []
     low, high = (min(lows), max(highs)) if lows else (0, 0)
+    kind = "bigint" if -(2**63) <= low and high < 2**63 and high - low < 2**63 else "decimal(38,0)"
+    width = 1 << max((high - low).bit_length() - FAN.bit_length() + 1, 0)
+    n = (high - low) // width + 1
     # NULL keys go with all that is below the first key, which is nothing.
-    open_ranges: list[Range] = [(None, low - 1), *cut(low, high, FAN)]
+    open_ranges: list[Range] = [(None, low - 1), *cut(low, low + n * width - 1, n)]
+    sides = [source, target]
     while open_ranges:
-        ours, theirs = (digests(df, key, open_ranges) for df in (source, target))
-        finer: list[Range] = []
-        for i, (a, b) in enumerate(open_ranges):
-            mine, other = ours.get(i), theirs.get(i)
+        ours, theirs = (digests(df, key, _start(key, low, width, kind)) for df in sides)
+        coarse: list[Range] = []
+        most = 0
+        for a, b in open_ranges:
+            mine, other = ours.get(a), theirs.get(a)
             if mine == other:
                 continue
             rows = max(mine[0] if mine else 0, other[0] if other else 0)
             if a is None or a == b or rows <= leaf_rows:
-                found.append((a, b))
+                found.append((a, min(b, high)))
             else:
-                finer += cut(a, b, FAN)
-        log.info("%s of %s ranges are cut again", len(finer) // FAN, len(open_ranges))
-        open_ranges = finer
+                coarse.append((a, b))
+                most = max(most, rows)
+        if len(coarse) > OPEN:
+            found, coarse = found + [(a, min(b, high)) for a, b in coarse], []
+        log.info("%s of %s ranges are cut again", len(coarse), len(open_ranges))
+        # Into no more than it takes for half of what is copied at once.
+        pieces = min(FAN, width, 1 << (2 * most // max(leaf_rows, 1)).bit_length())
+        open_ranges = [piece for a, b in coarse for piece in cut(a, b, pieces)]
+        start, near = _start(key, low, width, kind), [(a, min(b, high)) for a, b in coarse]
+        sides = [_within(df, key, near, start) for df in (source, target)]
+        width //= pieces
     return fewer(sorted(found, key=lambda r: (r[0] is not None, r[0] or 0)))
 
 

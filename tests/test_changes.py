@@ -16,6 +16,7 @@ from snapsync.functions.checksums import digest
 from snapsync.functions.predicates import hot_bound_predicates
 from snapsync.operators import sink
 from snapsync.operators.copy import copy_all, copy_delta, copy_reconciled, upper_cuts
+from snapsync.operators.parts import in_ranges
 from snapsync.operators.reconcile import cut, differing, fewer
 from snapsync.options import CopyOptions, FileTarget
 from snapsync.plans.splits import split_by
@@ -202,6 +203,28 @@ def test_ranges_find_what_changed(spark, tmp_path, target):
     assert len(manifests(spark, target)) == 2
 
 
+def test_ranges_that_differ_everywhere(spark, tmp_path, target):
+    """Thousands of ranges are open at once, far apart, with NULL and extreme keys among them."""
+    k = F.col("id")
+    edges = spark.createDataFrame([(-(2**63) + 1, "low"), (2**63 - 1, "high"), (None, "none")], "k bigint, v string")
+    before = spark.range(60_000).select((k * 1001).alias("k"), k.cast("string").alias("v")).unionAll(edges)
+    for first in (before, before.filter("abs(k) < 1e9")):
+        name = "t" if first is before else "u"
+        sink.write_snapshot(first, target, name, "k")
+        edited = first.withColumn("v", F.when(F.col("k") % 20_020 == 0, F.concat("v", F.lit("!"))).otherwise(F.col("v")))
+        present = sink.read_snapshot(spark, target, name)
+        ranges = differing(edited, present, "k", leaf_rows=4)
+        assert len(ranges) <= 256 and differing(present, first, "k", leaf_rows=4) == []
+        sink.replace_ranges(edited.filter(in_ranges("k", ranges)), target, name, "k", ranges)
+        assert rows(sink.read_snapshot(spark, target, name)) == rows(edited)
+
+
+def test_in_many_ranges(spark):
+    ranges = [(None, -5), *((i, i) for i in range(0, 9000, 3))]
+    df = spark.range(-7, 9000).select("id").unionAll(spark.sql("SELECT CAST(NULL AS bigint)"))
+    assert df.filter(in_ranges("id", ranges)).count() == 3 + 1 + 3000
+
+
 def test_ranges_after_a_reload(spark, tmp_path, target):
     """A source loaded anew with keys up to the old mark and beyond looks as if it grew."""
     sink.write_snapshot(big(spark, 5000), target, "t", "k")
