@@ -495,6 +495,27 @@ def test_set_values_do_not_run_together(spark):
     assert catalog._unique_sets(df.unionAll(df), [("x", "y")]) == []
 
 
+def test_unique_sets_by_hashes(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("id DIV 40 AS x", "id % 40 AS y", "IF(id = 7, 6, id) AS z")
+    sets = [("x", "y"), ("x", "z"), ("y", "z"), ("z",)]
+    assert catalog._unique_sets(df, sets) == [("x", "y"), ("y", "z")]
+    nulls = spark.createDataFrame([(1, None), (2, None), (3, 3)], "x bigint, y bigint")
+    assert catalog._unique_sets(nulls, [("x", "y"), ("x",)]) == [("x",)]
+    # Hashes that many values share change nothing.
+    monkeypatch.setattr(catalog, "_set_hash", lambda columns: F.xxhash64(columns[-1]) % 64)
+    assert catalog._unique_sets(df, sets) == [("x", "y"), ("y", "z")]
+
+
+def test_set_hashes_travel_once_a_row(spark, monkeypatch):
+    """A key costs a hash of 8 bytes a row, and what is none costs a part of that."""
+    counted = []
+    whole = catalog._repeated
+    monkeypatch.setattr(catalog, "_repeated", lambda df, sets, one_in=1: counted.append((len(sets), one_in)) or whole(df, sets, one_in))
+    df = spark.range(20_000).selectExpr("id AS a", "id DIV 2 AS b", "id DIV 4 AS c")
+    assert catalog._unique_sets(df, [("a",), ("b",), ("c",)]) == [("a",)]
+    assert counted == [(3, catalog.FEW), (1, 1)]
+
+
 def test_composite_keys_of_tables(spark):
     frames = FileSource("/root/testdata/sf0.01").open(spark).frames
     frames = {t: frames[t] for t in ("conversations", "lineitem", "orders")}
