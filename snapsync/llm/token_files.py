@@ -106,6 +106,8 @@ class WordTable:
         self.numbers = np.empty(0, np.int64)
         self.others: dict[bytes, int] = {}
         self.size = 0
+        # In how many calls a word was met, by its number.
+        self.met = np.empty(0, np.int32)
 
     def numbered(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """The number of each word ``text[start:end]``, and the words that are new.
@@ -142,6 +144,8 @@ class WordTable:
         self.hashes = np.insert(self.hashes, at[fresh], found[fresh])
         self.lanes = np.insert(self.lanes, at[fresh], lanes[:, first[fresh]], axis=1)
         self.numbers = np.insert(self.numbers, at[fresh], numbers[fresh])
+        self.met = np.r_[self.met, np.zeros(len(new), np.int32)]
+        self.met[numbers[numbers >= 0]] += 1
         out = numbers[of]
         # A word that shares the hash of an odd one is found by itself, too.
         odd |= out < 0
@@ -152,11 +156,31 @@ class WordTable:
                 self.size += 1
                 new.append(word)
             out[i] = self.others[word]
+        self.met = np.r_[self.met, np.zeros(self.size - len(self.met), np.int32)]
         return out, new
 
+    def thin(self, most: int) -> np.ndarray:
+        """Forget all words but those met often, ``most`` or fewer -> which stay, by number.
+
+        Those get the next numbers from 0 on, and stay again if they are met again.
+        """
+        least = 2
+        while (self.met >= least).sum() > most:
+            least *= 2
+        stay = self.met >= least
+        stay[list(self.others.values())] = False
+        rows = stay[self.numbers]
+        self.hashes, self.lanes = self.hashes[rows], self.lanes[:, rows]
+        self.numbers = (np.cumsum(stay) - 1)[self.numbers[rows]]
+        self.others = {}
+        self.size = int(stay.sum())
+        self.met = np.ones(self.size, np.int32)
+        return stay
+
 
 class Encoder:
-    """Ids by the tokenizers library; a word that a task has met is not encoded again."""
+    """Ids by the tokenizers library; a word that a task has met is not encoded again,
+    unless it was met too seldom to be kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -181,13 +205,17 @@ class Encoder:
             if len(ids) == 1:
                 self.marks[m] = ids[0]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._forget()
-
-    def _forget(self):
         self.words = WordTable()
         self.ids = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
+    def _forget(self):
+        """Half of the words that a task may keep stay at most."""
+        stay = self.words.thin(CACHE_WORDS // 2)
+        counts = np.diff(self.starts)[stay]
+        self.ids = self.ids[expand(self.starts[:-1][stay], counts)]
+        self.starts = np.r_[0, np.cumsum(counts)]
+
     def _joined(self, part: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are encoded as one text, and how many each word has."""
         text = " ".join(part)

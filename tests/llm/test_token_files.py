@@ -36,6 +36,22 @@ def test_words_are_encoded_as_in_their_text(library):
         assert ids[a:b].tolist() == e.ids, ascii(text)
 
 
+def test_words_that_are_met_often_are_kept(library, monkeypatch):
+    """What a task forgets changes no ids, and words of every batch are encoded once."""
+    monkeypatch.setattr(tf, "CACHE_WORDS", 50)
+    coded, learnt = tf.Encoder(PATH), []
+    learn = coded._learn
+    monkeypatch.setattr(coded, "_learn", lambda new: learnt.extend(new) or learn(new))
+    for n in range(30):
+        texts = [f"the House, of x{'y' * 30} {n}", *(f"w{n}q{i} of{i}! " * 2 for i in range(12))]
+        ids, ends = coded.encode([t.encode() for t in texts])
+        for a, b, e in zip(ends, ends[1:], library.encode_batch(texts, add_special_tokens=False)):
+            assert ids[a:b].tolist() == e.ids
+        assert len(coded.starts) == coded.words.size + 1 and coded.words.size < 80
+    assert [learnt.count(w) for w in (b"the", b"house,", b"of3!")] == [1, 1, 1]
+    assert learnt.count(b"w0q1") == 1 and coded.words.thin(3).sum() <= 3
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = tf.Encoder(path)
