@@ -16,6 +16,8 @@ from snapsync.storage import workspace
 
 # Bytes of text that a task works on at a time; one longer text stands alone.
 SLICE_BYTES = 2 << 20
+# Rows of numbers that the driver may hold for a broadcast, at some 100 bytes each.
+BROADCAST_ROWS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def many(df: DataFrame) -> bool:
+    """True if a written table has more rows than the driver should hold for a broadcast."""
+    return df.count() > BROADCAST_ROWS
+
+
+def dealt(df: DataFrame, when: bool = True) -> DataFrame:
+    """``df`` as a side of a join of which neither side is broadcast, if ``when``.
+
+    Spark broadcasts what it takes to be small. It goes by the size of files, where rows may
+    be compressed to little, and takes an explode to make a row of each row.
+    """
+    return df.hint("merge") if when else df
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

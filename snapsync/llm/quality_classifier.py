@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapsync.llm.common import fold, slices, written
+from snapsync.llm.common import dealt, fold, many, slices, written
 
 SHRINKAGE = 0.1
 LEAST_VARIANCE = 1e-4
@@ -204,7 +204,7 @@ def classified(
         .groupBy(F.col(key).cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("int").alias("quality"))
     )
-    classes = fit(rows.join(known, "doc_id"))
+    classes = fit(rows.join(dealt(known, many(labels)), "doc_id"))
     return score(rows, classes).withColumn("held_out", held_out(F.col("doc_id")))
 
 
@@ -212,7 +212,7 @@ def kept(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "tex
     """The rows of ``df`` that score 0.5 or more."""
     found = classified(df, labels, key, text)
     # A score depends on the text alone, so rows are told apart by key and text.
-    # Written, they have a known size: texts are only shuffled if there are many.
+    # Written, they are counted: texts are only shuffled if there are many.
     bad = found.filter("score < 0.5").select("doc_id", "text_hash")
     bad = written(bad.distinct(), "quality-rejected")
     # As one column, so that no name of a row's meets one used here.
@@ -222,4 +222,4 @@ def kept(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "tex
         F.xxhash64(F.col(f"`{text}`")).alias("hash"),
     )
     same = F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    return rows.join(bad, same, "left_anti").select("row.*")
+    return rows.join(dealt(bad, many(bad)), same, "left_anti").select("row.*")

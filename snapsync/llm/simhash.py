@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapsync.functions.checksums import row_hash
-from snapsync.llm.common import slices, texts, written
+from snapsync.llm.common import dealt, many, slices, texts, written
 
 SEED = 42
 BITS = 64
@@ -141,7 +141,7 @@ def _meetings(fps: DataFrame, distance: int) -> DataFrame:
     )
     if inner == outer:
         heads = heads.filter("n > 1")
-    met = spread.join(heads, "point").filter(F.col("fp") != F.col("a"))
+    met = dealt(spread).join(heads, "point").filter(F.col("fp") != F.col("a"))
     return met.select("a", F.col("fp").alias("b")).distinct()
 
 
@@ -159,12 +159,12 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     variants = _variants(fps.repartition(tasks), distance)
     sizes = variants.groupBy("tag", "rest").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = written(variants.join(sizes, ["tag", "rest"]), "simhash-shared")
+    shared = written(dealt(variants).join(sizes, ["tag", "rest"]), "simhash-shared")
     some = shared.filter(F.col("n") <= CROWD)
     left = some.select("tag", "rest", F.col("fp").alias("a"))
     right = some.select("tag", "rest", F.col("fp").alias("b"))
     pairs = (
-        left.join(right, ["tag", "rest"])
+        dealt(left, many(shared)).join(right, ["tag", "rest"])
         .filter(F.col("a") < F.col("b"))
         .filter(_met_once(distance) & (_distance("a", "b") <= distance))
         .select("a", "b")
@@ -187,13 +187,15 @@ def _unsettled(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, of all nodes of (a, b)."""
     edges = written(edges.select("a", "b").filter("a <> b"), "simhash-edges")
+    # No round makes more edges than it gets.
+    wide = many(edges)
     while _unsettled(edges):
         # Large star: neighbours above a node go to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = (
-            both.join(least, F.col("a") == F.col("u"))
+            dealt(both, wide).join(least, F.col("a") == F.col("u"))
             .filter("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
@@ -201,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: neighbours below a node, and the node, go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select(F.col("a").alias("u"), "m")
-        joined = large.join(least, F.col("a") == F.col("u"))
+        joined = dealt(large, wide).join(least, F.col("a") == F.col("u"))
         small = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         edges = written(small.distinct(), "simhash-star")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -212,7 +214,7 @@ def groups(signed: DataFrame, distance: int = 2) -> DataFrame:
     """``fp`` and ``root`` (the fingerprint that names its component), each ``fp`` once."""
     fps = signed.select("fp").distinct()
     roots = components(links(fps, distance))
-    joined = fps.join(roots, F.col("fp") == F.col("node"), "left")
+    joined = dealt(fps, many(signed)).join(roots, F.col("fp") == F.col("node"), "left")
     return joined.select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -246,10 +248,11 @@ def representatives(
     rooted = written(groups(signed, distance), "simhash-groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     least = signed.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    of_root = rooted.join(least, "fp").groupBy("root")
+    wide = many(signed)
+    of_root = dealt(rooted, wide).join(least, "fp").groupBy("root")
     of_root = written(of_root.agg(F.min("first").alias("first"), F.sum("n").alias("n")), "simhash-firsts")
-    crowded = rooted.join(of_root.filter("n > 1"), "root").select("fp")
-    crowded = signed.join(crowded, "fp").select("text_hash").distinct()
+    crowded = dealt(rooted, wide).join(of_root.filter("n > 1"), "root").select("fp")
+    crowded = dealt(signed, wide).join(crowded, "fp").select("text_hash").distinct()
     bits, words = _word_map(crowded)
     hashed = row_hash(df.schema)
     rows = df.select(F.struct("*").alias("row"), hashed.alias("hash"), F.pmod(hashed, F.lit(bits)).alias("place"))
@@ -257,6 +260,7 @@ def representatives(
     rows = rows.join(F.broadcast(words), F.floor(F.col("place") / 64) == F.col("word"), "left")
     bit = F.call_function("shiftright", F.col("bits"), (F.col("place") % 64).cast("int"))
     met = F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    # Hashes do not compress: files of these are no smaller than what a broadcast holds.
     first = of_root.select(F.col("first.text_hash").alias("hash"))
     chosen = rows.filter(met).select("row", "hash").join(first, "hash", "left_semi").dropDuplicates(["hash"])
     return rows.filter(~met).select("row", "hash").unionByName(chosen).select("row.*")

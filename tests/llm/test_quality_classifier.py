@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from snapsync.llm import common
 from snapsync.llm import quality_classifier as qc
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -63,3 +64,23 @@ def test_nulls_repeats_and_missing_labels(spark):
     assert kept.columns == docs.columns and kept.filter("doc_id IS NULL OR doc_id = 1").count() == 3
     assert qc.classified(docs.limit(0), odd).count() == 0
     assert qc.kept(docs.limit(0), none).count() == 0
+
+
+def test_many_labels_and_many_rejected_rows_are_not_broadcast(spark, monkeypatch):
+    rows = [(i, f"good words here {i}" if i % 2 else f"# {i} # !") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], LABELS)
+    kept = {r.doc_id for r in qc.kept(docs, labels).collect()}
+    assert kept == {i for i in range(40) if i % 2}
+    plans = []
+
+    def noted(joined, fit=qc.fit):
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return fit(joined)
+
+    monkeypatch.setattr(qc, "fit", noted)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    found = qc.kept(docs, labels)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+    assert {r.doc_id for r in found.collect()} == kept

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from snapsync.llm import simhash
+from snapsync.llm import common, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -93,6 +93,49 @@ def test_nulls_ties_and_copies(spark):
     assert simhash.representatives(df.limit(0)).count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plans of what simhash writes, by label, as they stand before they run."""
+    found = {}
+
+    def noted(df, label):
+        found.setdefault(label, []).append(plan_of(df))
+        return common.written(df, label)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    return found
+
+
+def test_what_becomes_many_rows_is_not_broadcast(spark, plans):
+    """Spark takes the 64 variants of a fingerprint, or its 65 points, for one row."""
+    fps = common.written(spark.createDataFrame([(n,) for n in clustered(1, 20)], "fp long"), "fps")
+    simhash.links(fps)
+    (plan,) = plans["simhash-shared"]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    for distance in (1, 2):
+        plan = plan_of(simhash._meetings(fps, distance))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+# Copies, and texts of which every shingle but one is that of the next text.
+TEXTS = [(i, " ".join(f"v{j}" for j in range(i // 3, i // 3 + 200))) for i in range(60)] + [(100 + i, f"w{i} x{i} y{i} z{i}") for i in range(40)]
+
+
+def test_representatives_of_many_rows_broadcast_a_map_only(spark, monkeypatch, plans):
+    df = spark.createDataFrame(TEXTS, SCHEMA)
+    kept = {r.doc_id for r in simhash.representatives(df).collect()}
+    plans.clear()
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    found = simhash.representatives(df)
+    assert {"simhash-shared", "simhash-edges", "simhash-star", "simhash-groups", "simhash-firsts", "simhash-map"} <= {*plans}
+    assert [label for label, own in plans.items() if "Broadcast" in "".join(own)] == []
+    assert {r.doc_id for r in found.collect()} == kept
+
+
 def test_query(spark, sf_dir):
     from snapsync.llm.queries import op2_simhash
 
