@@ -229,9 +229,11 @@ def near_duplicates(
     signed = written(fingerprints(df, key, text, shingle), "simhash-signed")
     rooted = written(groups(signed, distance), "simhash-groups")
     least = signed.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    of_root = rooted.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = rooted.join(of_root, "root").select("fp", "component_id")
-    return signed.join(ids, "fp").select("doc_id", "fp", "component_id")
+    wide = many(signed)
+    of_root = dealt(rooted, wide).join(least, "fp")
+    of_root = of_root.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = dealt(rooted, wide).join(of_root, "root").select("fp", "component_id")
+    return dealt(signed, wide).join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def representatives(

@@ -125,15 +125,32 @@ def test_what_becomes_many_rows_is_not_broadcast(spark, plans):
 TEXTS = [(i, " ".join(f"v{j}" for j in range(i // 3, i // 3 + 200))) for i in range(60)] + [(100 + i, f"w{i} x{i} y{i} z{i}") for i in range(40)]
 
 
+def slow_rows(rows):
+    """(doc_id, fp, smallest doc_id linked to it) of each row."""
+    prints = {d: slow_fingerprint(t) for d, t in rows}
+    root, least = slow_components(set(prints.values()), 2), {}
+    for d, p in sorted(prints.items()):
+        least.setdefault(root[p], d)
+    return {(d, signed(p), least[root[p]]) for d, p in prints.items()}
+
+
 def test_representatives_of_many_rows_broadcast_a_map_only(spark, monkeypatch, plans):
     df = spark.createDataFrame(TEXTS, SCHEMA)
-    kept = {r.doc_id for r in simhash.representatives(df).collect()}
-    plans.clear()
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     found = simhash.representatives(df)
     assert {"simhash-shared", "simhash-edges", "simhash-star", "simhash-groups", "simhash-firsts", "simhash-map"} <= {*plans}
     assert [label for label, own in plans.items() if "Broadcast" in "".join(own)] == []
-    assert {r.doc_id for r in found.collect()} == kept
+    assert {r.doc_id for r in found.collect()} == {least for _, _, least in slow_rows(TEXTS)}
+
+
+def test_near_duplicates_of_many_rows_broadcast_nothing(spark, monkeypatch, plans):
+    df = spark.createDataFrame(TEXTS, SCHEMA)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    found = simhash.near_duplicates(df)
+    joins = plan_of(found)
+    assert joins.count("SortMergeJoin") == 3 and "Broadcast" not in joins
+    assert [label for label, own in plans.items() if "Broadcast" in "".join(own)] == []
+    assert {tuple(r) for r in found.collect()} == slow_rows(TEXTS)
 
 
 def test_query(spark, sf_dir):
